@@ -9,6 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.scoring import char_overlap
+from ..session import materialize
 from .common import attach_row, bounded_broadcast
 
 
@@ -74,14 +75,29 @@ def tag_to_coarse(first: DataFrame, tag_map: DataFrame) -> DataFrame:
                     F.when(F.col("type").isNull(), 1).otherwise(0).alias("branch"))
 
 
-def top_label(words: DataFrame, labels: DataFrame, scorer: Callable[[Column, Column], Column] = char_overlap,
+def top_label(words: DataFrame, labels: DataFrame, scorer=char_overlap,
               word_col: str = "word", out_col: str = "label") -> DataFrame:
     """Best candidate label per distinct word: highest score, ties to the
-    lowest label ordinal.  ``labels(name, ord)`` is a small class list; it is
-    packed into one array (a global aggregate, one row) and every word scores
-    it in-row, so no word x label join is materialised."""
-    packed = labels.agg(F.sort_array(F.collect_list(F.struct("ord", "name"))).alias("_labs"))
+    lowest label ordinal.  ``labels(name, ord)`` is the candidate class list.
+
+    ``scorer`` is either a column function ``(word, label) -> score`` —
+    then the (small) label list is packed into one array, a global
+    aggregate of one row, and every word scores it in-row, so no
+    word x label join is materialised — or a score table ``(word, label,
+    score)`` from a model, joined on the word; only the labels it scores
+    are candidates, and a word it does not score gets the lowest-ordinal
+    label."""
     d = words.select(word_col).distinct()
+    if isinstance(scorer, DataFrame):
+        sc = (scorer.select(F.col("word").alias(word_col), F.col("label").alias("name"), "score")
+              .join(bounded_broadcast(labels.select("name", "ord")), "name"))
+        best = (d.join(sc, word_col)
+                .groupBy(word_col).agg(F.max_by("name", F.struct("score", (-F.col("ord")).alias("o")))
+                                       .alias(out_col)))
+        first = labels.agg(F.min_by("name", "ord").alias("_first"))
+        return (attach_row(d.join(best, word_col, "left"), first)
+                .select(word_col, F.coalesce(out_col, "_first").alias(out_col)))
+    packed = labels.agg(F.sort_array(F.collect_list(F.struct("ord", "name"))).alias("_labs"))
     d = attach_row(d, packed)
     best = F.array_max(F.transform("_labs", lambda l: F.struct(
         scorer(F.col(word_col), l["name"]).alias("s"), (-l["ord"]).alias("o"), l["name"].alias("n"))))
@@ -94,7 +110,7 @@ def coarse_types(mentions: DataFrame, tag_map: DataFrame, coarse: DataFrame,
     label for the unmapped ones (scored once per distinct word)."""
     t = tag_to_coarse(first_mentions(mentions, id_col), tag_map)
     misc = t.where("branch = 1")
-    lab = top_label(misc, coarse)
+    lab = top_label(misc, coarse, scorer)
     return (t.join(lab, "word", "left")
             .withColumn("type", F.when(F.col("branch") == 1, F.col("label")).otherwise(F.col("type")))
             .drop("label"))
@@ -117,11 +133,14 @@ def fine_types(coarse_df: DataFrame, fine: DataFrame, keep: str = "Person",
 
 def extract_entities(mentions: DataFrame, tag_map: DataFrame, onto: dict[str, DataFrame],
                      root: str = "Entity", keep: str = "Person", scorer=char_overlap,
-                     id_col: str = "article_id") -> DataFrame:
+                     id_col: str = "article_id", checkpoint: bool = True) -> DataFrame:
     """``(article_id, text, type, eidx)`` with ``eidx`` the 0-based
     position of the entity in the article's list."""
     from .ontology import class_levels
     coarse, fine = class_levels(onto["class"], root)
     ft = fine_types(coarse_types(mentions, tag_map, coarse, scorer, id_col), fine, keep, scorer, id_col)
-    return ft.withColumn("eidx", (F.row_number().over(W.partitionBy(id_col).orderBy("eord")) - 1).cast("int")) \
+    out = ft.withColumn("eidx", (F.row_number().over(W.partitionBy(id_col).orderBy("eord")) - 1).cast("int")) \
         .drop("eord")
+    # the entity table feeds the pair join (twice), the naming of triplets
+    # (twice) and the record; materialise it once
+    return materialize(out) if checkpoint else out

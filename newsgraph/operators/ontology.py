@@ -9,24 +9,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-
 def class_closure(classes: DataFrame, max_depth: int = 64) -> DataFrame:
     """``(name, ancestor)`` reflexive-transitive closure of ``parent``.
 
-    Semi-naive iteration: each round joins only the pairs found in the
-    previous round with the parent edges, until no new pair appears.  The
-    loop runs once per level of the hierarchy."""
+    Breadth-first by path length: ``paths_k`` holds the ancestors exactly k
+    levels up, ``paths_{k+1} = paths_k ⋈ parent``; the closure is the
+    distinct union of all levels.  Each level references the previous one
+    once, so the plan grows linearly with the depth, and the only action is
+    one emptiness check per level of the hierarchy.  A cycle exceeds
+    ``max_depth`` and raises."""
     edges = classes.where(F.col("parent").isNotNull()).select("name", "parent").distinct()
     names = classes.select("name").unionByName(edges.select(F.col("parent").alias("name"))).distinct()
-    closure = names.select("name", F.col("name").alias("ancestor"))
-    frontier = edges.select("name", F.col("parent").alias("ancestor"))
+    levels = [names.select("name", F.col("name").alias("ancestor"))]
+    paths = edges.select("name", F.col("parent").alias("ancestor"))
     for _ in range(max_depth):
-        new = frontier.join(closure, ["name", "ancestor"], "left_anti").distinct()
-        if new.isEmpty():
-            return closure
-        closure = closure.unionByName(new)
-        frontier = (new.alias("n").join(edges.alias("e"), F.col("n.ancestor") == F.col("e.name"))
-                    .select(F.col("n.name").alias("name"), F.col("e.parent").alias("ancestor")))
+        if paths.isEmpty():
+            out = levels[0]
+            for lv in levels[1:]:
+                out = out.unionByName(lv)
+            return out.distinct()
+        levels.append(paths)
+        paths = (paths.alias("p").join(edges.alias("e"), F.col("p.ancestor") == F.col("e.name"))
+                 .select(F.col("p.name").alias("name"), F.col("e.parent").alias("ancestor")))
     raise RuntimeError("class hierarchy deeper than max_depth (cycle?)")
 
 
@@ -48,11 +52,14 @@ def candidate_relations(onto: dict[str, DataFrame]) -> DataFrame:
     """D3: ``(sbj_type, obj_type, prop, prop_ord)`` such that an ancestor of
     the subject type is in the property's domain and an ancestor of the
     object type is in its range.  A property with an empty domain or range
-    matches nothing."""
+    matches nothing.  Computed once per ontology dict and kept in it."""
+    if "_cands" in onto:
+        return onto["_cands"]
     clo = class_closure(onto["class"])
     sd = (clo.join(onto["domain"], clo.ancestor == onto["domain"]["class"])
           .select(F.col("name").alias("sbj_type"), "prop").distinct())
     ro = (clo.join(onto["range"], clo.ancestor == onto["range"]["class"])
           .select(F.col("name").alias("obj_type"), "prop").distinct())
     props = onto["property"].select(F.col("name").alias("prop"), F.col("ord").alias("prop_ord"))
-    return sd.join(ro, "prop").join(props, "prop").select("sbj_type", "obj_type", "prop", "prop_ord")
+    onto["_cands"] = sd.join(ro, "prop").join(props, "prop").select("sbj_type", "obj_type", "prop", "prop_ord")
+    return onto["_cands"]

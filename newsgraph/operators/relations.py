@@ -47,17 +47,36 @@ def score_hypotheses(hyp: DataFrame, premises: DataFrame, premise_col: str = "pr
 
 
 _PAIR = ["article_id", "sbj_idx", "sbj_text", "sbj_type", "obj_idx", "obj_text", "obj_type"]
+_KEY = ["article_id", "sbj_idx", "obj_idx"]
 
 
 def best_relation(scored: DataFrame, threshold: float = 0.78) -> DataFrame:
     """E5: per ordered pair, the hypothesis with the highest probability
-    (ties: lowest ``hord``); a triplet iff that probability > threshold."""
-    key = F.struct(F.col("prob"), F.struct((-F.col("hord.prop_ord")).alias("a"),
-                                           (-F.col("hord.t_ord")).alias("b")))
-    best = (scored.groupBy(*_PAIR)
-            .agg(F.max_by(F.struct("prop", "prob"), key).alias("_b"))
-            .select(*_PAIR, F.col("_b.prop").alias("relation"), F.col("_b.prob").alias("prob")))
-    return best.where(F.col("prob") > threshold)
+    (ties: lowest ``hord``); a triplet iff that probability > threshold.
+
+    The pair is grouped on its integer key and the aggregation buffer holds
+    only fixed-width values (probability and ordinals), so Spark runs a
+    hash aggregate with map-side combine.  Returns ``(article_id, sbj_idx,
+    obj_idx, prop_ord, prob)``; ``name_triplets`` adds the texts."""
+    key = F.struct(F.col("prob"), (-F.col("hord.prop_ord")).alias("a"), (-F.col("hord.t_ord")).alias("b"))
+    best = (scored.groupBy(*_KEY)
+            .agg(F.max_by(F.struct(F.col("hord.prop_ord").alias("po"), F.col("prob").alias("p")), key).alias("_b"))
+            .select(*_KEY, F.col("_b.po").alias("prop_ord"), F.col("_b.p").alias("prob"))
+            .where(F.col("prob") > threshold))
+    return best
+
+
+def name_triplets(best: DataFrame, entities: DataFrame, props: DataFrame,
+                  id_col: str = "article_id") -> DataFrame:
+    """Attach entity texts/types (by index) and the relation name (by
+    ordinal, from the bounded property table)."""
+    s = entities.select(id_col, F.col("eidx").alias("sbj_idx"), F.col("text").alias("sbj_text"),
+                        F.col("type").alias("sbj_type"))
+    o = entities.select(id_col, F.col("eidx").alias("obj_idx"), F.col("text").alias("obj_text"),
+                        F.col("type").alias("obj_type"))
+    p = bounded_broadcast(props.select(F.col("name").alias("relation"), F.col("ord").alias("prop_ord")))
+    return (best.join(s, [id_col, "sbj_idx"]).join(o, [id_col, "obj_idx"]).join(p, "prop_ord")
+            .select(*_PAIR, "relation", "prob"))
 
 
 def all_relations(scored: DataFrame, threshold: float = 0.78) -> DataFrame:
@@ -77,7 +96,7 @@ def extract_relations(articles: DataFrame, entities: DataFrame, onto: dict[str,
     prem = premises if premises is not None else articles.select(id_col, F.col(premise_col).alias("premise"))
     pairs = entity_pairs(entities, candidate_relations(onto), id_col)
     scored = score_hypotheses(hypotheses(pairs, onto["template"]), prem, "premise", id_col)
-    trip = best_relation(scored, threshold)
+    trip = name_triplets(best_relation(scored, threshold), entities, onto["property"], id_col)
     ent = entities.groupBy(id_col).agg(F.transform(
         F.sort_array(F.collect_list(F.struct("eidx", "text", "type"))),
         lambda e: F.struct(e["text"].alias("text"), e["type"].alias("type"))).alias("found_entities"))

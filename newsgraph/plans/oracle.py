@@ -141,14 +141,19 @@ t0 AS (SELECT f.*, coalesce(tag.type, 'none') AS type0, CASE WHEN tag.type IS NU
        FROM firstm f LEFT JOIN tag USING (entity_group)),
 coarse AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS ord FROM (SELECT DISTINCT name FROM cls WHERE parent = 'Entity')),
 fine AS (SELECT name, row_number() OVER (ORDER BY name) - 1 AS ord FROM (SELECT DISTINCT c.name FROM cls c JOIN coarse k ON c.parent = k.name)),
+tsc AS (SELECT s_name AS word, n_name AS label, 1.0 AS score FROM supplier JOIN nation ON s_nationkey = n_nationkey
+        UNION ALL SELECT s_name, r_name, 1.0 FROM supplier JOIN nation ON s_nationkey = n_nationkey
+          JOIN region ON n_regionkey = r_regionkey),
 mw AS (SELECT DISTINCT word FROM t0 WHERE branch = 1),
-ctop AS (SELECT word, name AS label FROM (SELECT word, name, ord, {_overlap('word', 'name')} AS sc FROM mw, coarse)
-         QUALIFY row_number() OVER (PARTITION BY word ORDER BY sc DESC, ord) = 1),
+ctop AS (SELECT mw.word, coalesce(b.label, (SELECT name FROM coarse ORDER BY ord LIMIT 1)) AS label FROM mw LEFT JOIN (
+           SELECT word, name AS label FROM (SELECT tsc.word, coarse.name, coarse.ord, tsc.score FROM tsc JOIN coarse ON tsc.label = coarse.name)
+           QUALIFY row_number() OVER (PARTITION BY word ORDER BY score DESC, ord) = 1) b USING (word)),
 ct AS (SELECT t0.article_id, t0.pos, t0.word, CASE WHEN branch = 1 THEN ctop.label ELSE type0 END AS type, branch
        FROM t0 LEFT JOIN ctop USING (word)),
 fw AS (SELECT DISTINCT word FROM ct WHERE type <> '{tb.KEEP_COARSE}'),
-ftop AS (SELECT word, name AS label FROM (SELECT word, name, ord, {_overlap('word', 'name')} AS sc FROM fw, fine)
-         QUALIFY row_number() OVER (PARTITION BY word ORDER BY sc DESC, ord) = 1),
+ftop AS (SELECT fw.word, coalesce(b.label, (SELECT name FROM fine ORDER BY ord LIMIT 1)) AS label FROM fw LEFT JOIN (
+           SELECT word, name AS label FROM (SELECT tsc.word, fine.name, fine.ord, tsc.score FROM tsc JOIN fine ON tsc.label = fine.name)
+           QUALIFY row_number() OVER (PARTITION BY word ORDER BY score DESC, ord) = 1) b USING (word)),
 e0 AS (SELECT ct.article_id, ct.word AS text,
          CASE WHEN ct.type = '{tb.KEEP_COARSE}' THEN ct.type ELSE ftop.label END AS type,
          CASE WHEN ct.type = '{tb.KEEP_COARSE}' THEN 1 ELSE 0 END AS k, ct.branch AS b, ct.pos AS p

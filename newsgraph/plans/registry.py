@@ -170,7 +170,8 @@ def q_first_mentions(spark, sf):
 def _coarse(spark, sf):
     onto = tb.ontology(spark, sf)
     coarse, _ = ontology.class_levels(onto["class"], tb.ROOT_CLASS)
-    return entities.coarse_types(tb.mentions(spark, sf), tb.tag_map(spark, sf), coarse)
+    return entities.coarse_types(tb.mentions(spark, sf), tb.tag_map(spark, sf), coarse,
+                                 scorer=tb.type_scores(spark, sf))
 
 
 def q_coarse_type(spark, sf):
@@ -180,7 +181,7 @@ def q_coarse_type(spark, sf):
 def _entities(spark, sf):
     onto = tb.ontology(spark, sf)
     return entities.extract_entities(tb.mentions(spark, sf), tb.tag_map(spark, sf), onto,
-                                     tb.ROOT_CLASS, tb.KEEP_COARSE)
+                                     tb.ROOT_CLASS, tb.KEEP_COARSE, scorer=tb.type_scores(spark, sf))
 
 
 def q_fine_type(spark, sf):
@@ -202,7 +203,9 @@ def q_hypotheses(spark, sf):
 
 def q_best_relation(spark, sf):
     b = relations.best_relation(_scored(spark, sf), RELATION_THRESHOLD)
-    return b.select("article_id", "sbj_idx", "obj_idx", "relation", F.round("prob", 9).alias("prob"))
+    props = tb.ontology(spark, sf)["property"].select(F.col("name").alias("relation"), F.col("ord").alias("prop_ord"))
+    return (b.join(F.broadcast(props), "prop_ord")
+            .select("article_id", "sbj_idx", "obj_idx", "relation", F.round("prob", 9).alias("prob")))
 
 
 def triplet_records(spark, sf):

@@ -16,7 +16,6 @@ SEMANTIC_CONF = {
 
 DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
-    "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
     "spark.ui.enabled": "false",
@@ -30,6 +29,13 @@ def get_session(master: str | None = None, app: str = "newsgraph",
     b = SparkSession.builder.appName(app)
     if master:
         b = b.master(master)
+        if master.startswith("local"):
+            # local mode: the driver JVM is the only executor
+            b = b.config("spark.driver.memory", os.environ.get("NEWSGRAPH_DRIVER_MEMORY", "16g"))
+            # small test data: keep post-shuffle stages spread over the cores
+            # instead of coalescing them into one task (no effect at scale,
+            # where partitions are far above this size)
+            b = b.config("spark.sql.adaptive.coalescePartitions.enabled", "false")
     for k, v in {**DEFAULT_CONF, **SEMANTIC_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     if shuffle_partitions:
@@ -59,3 +65,16 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     local = tempfile.mkdtemp(prefix="newsgraph-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()
+
+
+def materialize(df):
+    """Cut lineage of a table that several later joins read: a reliable
+    ``checkpoint()`` into the shared checkpoint folder (survives executor
+    loss; never a machine-local checkpoint)."""
+    from pyspark import StorageLevel
+    ensure_checkpoint_dir(df.sparkSession)
+    df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()

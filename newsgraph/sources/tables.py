@@ -125,6 +125,19 @@ def mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("s_name").alias("word"), F.col("n_name").alias("entity_group"))
 
 
+def type_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Zero-shot typing model output stand-in, as a score table
+    ``(word, label, score)``: a supplier name scores 1.0 for its nation and
+    for its nation's region."""
+    sup = table(spark, sf_dir, "supplier")
+    nat = table(spark, sf_dir, "nation")
+    reg = table(spark, sf_dir, "region")
+    j = sup.join(nat, sup.s_nationkey == nat.n_nationkey).join(reg, nat.n_regionkey == reg.r_regionkey)
+    return (j.select(F.col("s_name").alias("word"), F.col("n_name").alias("label"), F.lit(1.0).alias("score"))
+            .unionByName(j.select(F.col("s_name").alias("word"), F.col("r_name").alias("label"),
+                                  F.lit(1.0).alias("score"))))
+
+
 def premises(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Premise stand-in per order: '<supplier> supplies <part>' per line."""
     li = table(spark, sf_dir, "lineitem")
