@@ -27,8 +27,9 @@ def read_articles(spark: SparkSession, path: str | list[str], fmt: str = "csv",
       is an explicit year list; ``None`` keeps every file.  The filter is on
       the first four characters of the *file name*, pushed to file listing
       through ``_metadata``.
-    * A pandas index column ``__index_level_0__`` is dropped, and
-      ``Unnamed: 0`` is renamed ``original_index``, both only when present.
+    * A pandas index column ``__index_level_0__`` is dropped, and the
+      unnamed leading index column is renamed ``original_index``, both only
+      when present.
     * ``sample``: keep ``sample`` files chosen by a seeded hash of the path
       (debug runs); rows of the other files are never read.
     """
@@ -56,8 +57,11 @@ def read_articles(spark: SparkSession, path: str | list[str], fmt: str = "csv",
               .join(F.broadcast(files), "_fp", "left_semi").drop("_fp"))
     if "__index_level_0__" in df.columns:
         df = df.drop("__index_level_0__")
-    if "Unnamed: 0" in df.columns:
-        df = df.withColumnRenamed("Unnamed: 0", "original_index")
+    # the unnamed leading index column: pandas calls it 'Unnamed: 0', Spark's
+    # CSV reader '_c0'
+    for unnamed in ("Unnamed: 0", "_c0"):
+        if unnamed in df.columns and "original_index" not in df.columns:
+            df = df.withColumnRenamed(unnamed, "original_index")
     return df
 
 
@@ -67,7 +71,7 @@ def read_label_index(spark: SparkSession, path: str) -> DataFrame:
     The file is read as text (one job), parsed with ``from_json`` into a
     map and exploded twice.  Works for a single pretty-printed file.
     """
-    raw = spark.read.option("wholetext", True).text(path)
+    raw = spark.read.text(path, wholetext=True)
     m = F.from_json("value", T.MapType(T.StringType(), T.ArrayType(T.IntegerType())))
     return (raw.select(F.explode(m).alias("file", "idxs"))
             .select("file", F.explode("idxs").alias("idx")).distinct())
