@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .similarity import dense_pairs, similar_text_pairs
+from .similarity import dense_pairs, text_component_edges
 
 
 def dedup_title_keep_last(df: DataFrame, id_col: str = "article_id", day_col: str = "datetime",
@@ -24,14 +24,14 @@ def dedup_title_keep_last(df: DataFrame, id_col: str = "article_id", day_col: st
 
 def component_labels(df: DataFrame, eps: float = 0.35, text_col: str = "text",
                      id_col: str = "article_id", day_col: str = "datetime",
-                     k: int = 3) -> DataFrame:
+                     k: int = 3, hot: int = 1000) -> DataFrame:
     """E3 over D7: ``(id, cluster_id)`` for every row of ``df``.
 
     The cluster id is the smallest id of the connected component of the
     eps-graph (DBSCAN with min_samples=1 is exactly this).  Rows whose text
     has no words are singletons.
     """
-    edges, copies, nodes = similar_text_pairs(df, eps, text_col, id_col, day_col, k)
+    edges, copies, nodes = text_component_edges(df, eps, text_col, id_col, day_col, k, hot)
     comp = connected_components(edges, nodes, src="id_a", dst="id_b")
     rep_lab = comp.select(F.col("node").alias("id"), F.col("component").alias("cluster_id"))
     copy_lab = copies.join(rep_lab.withColumnRenamed("id", "rep"), "rep").select("id", "cluster_id")
@@ -73,9 +73,9 @@ def cluster_report(df: DataFrame, labels: DataFrame, id_col: str = "article_id",
 
 def erase_similar(df: DataFrame, eps: float = 0.35, text_col: str = "text",
                   id_col: str = "article_id", day_col: str = "datetime",
-                  title_col: str = "title", k: int = 3) -> DataFrame:
+                  title_col: str = "title", k: int = 3, hot: int = 1000) -> DataFrame:
     """Title dedup (keep last), then near-duplicate clusters of the
     survivors within each day, keeping the first of each cluster."""
     f1 = dedup_title_keep_last(df, id_col, day_col, title_col)
-    labels = component_labels(f1, eps, text_col, id_col, day_col, k)
+    labels = component_labels(f1, eps, text_col, id_col, day_col, k, hot)
     return keep_first(f1, labels, id_col)

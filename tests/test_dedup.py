@@ -119,3 +119,28 @@ def test_erase_similar_keeps_first_of_cluster(spark):
     rep = dedup.cluster_report(df, lab).collect()
     assert {(r.cluster_id, r.article_id, r.is_representative) for r in rep} == \
         {(0, 0, True), (0, 1, False), (0, 2, False)}
+
+
+def test_hot_posting_lists_keep_components(spark):
+    """The pivot path for hot posting lists gives the same components as
+    full pairing (forced here with hot=2 on groups of near-copies)."""
+    import random
+    rnd = random.Random(3)
+    words = [f"v{i}" for i in range(30)]
+    rows = []
+    i = 0
+    for g in range(5):
+        base = [rnd.choice(words) for _ in range(25)]
+        for _ in range(8):
+            b = list(base)
+            for _ in range(rnd.randint(0, 8)):
+                b[rnd.randrange(len(b))] = rnd.choice(words)
+            rows.append((i, "d" if g % 2 else "e", f"t{i}", " ".join(b)))
+            i += 1
+    df = spark.createDataFrame(rows, "article_id long, datetime string, title string, text string")
+    groups = lambda lab: sorted(sorted(r.id for r in lab.collect() if r.cluster_id == c)
+                                for c in {r.cluster_id for r in lab.collect()})
+    for eps in (0.3, 0.5):
+        full = dedup.component_labels(df, eps, hot=10_000)
+        piv = dedup.component_labels(df, eps, hot=2)
+        assert groups(full) == groups(piv), eps
