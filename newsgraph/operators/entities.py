@@ -59,11 +59,13 @@ def gazetteer_mentions(df: DataFrame, gazetteer: DataFrame, text_col: str = "tex
 
 
 def first_mentions(mentions: DataFrame, id_col: str = "article_id") -> DataFrame:
-    """first mention of each word in an article (its tag wins).  A
-    map-side-combined aggregation: a hot word is no hot task."""
-    return (mentions.groupBy(id_col, "word")
-            .agg(F.min_by(F.struct("pos", "entity_group"), "pos").alias("_f"))
-            .select(id_col, F.col("_f.pos").alias("pos"), "word", F.col("_f.entity_group").alias("entity_group")))
+    """first mention of each word in an article (its tag wins).  The
+    first position is a map-side-combined ``min`` (a hot word is no hot
+    task); the mention at that position is kept by a semi-join."""
+    first = mentions.groupBy(id_col, "word").agg(F.min("pos").alias("pos"))
+    # (article, pos) identifies a mention, so the semi-join keeps one row
+    return (mentions.join(first, [id_col, "word", "pos"], "left_semi")
+            .select(id_col, "pos", "word", "entity_group"))
 
 
 def tag_to_coarse(first: DataFrame, tag_map: DataFrame) -> DataFrame:
@@ -89,11 +91,16 @@ def top_label(words: DataFrame, labels: DataFrame, scorer=char_overlap,
     label."""
     d = words.select(word_col).distinct()
     if isinstance(scorer, DataFrame):
+        labs = bounded_broadcast(labels.select("name", "ord"))
         sc = (scorer.select(F.col("word").alias(word_col), F.col("label").alias("name"), "score")
-              .join(bounded_broadcast(labels.select("name", "ord")), "name"))
+              .join(labs, "name"))
+        # aggregate the label ordinal (fixed width: a hash aggregate), then
+        # name it from the bounded label table
         best = (d.join(sc, word_col)
-                .groupBy(word_col).agg(F.max_by("name", F.struct("score", (-F.col("ord")).alias("o")))
-                                       .alias(out_col)))
+                .groupBy(word_col).agg(F.max_by("ord", F.struct("score", (-F.col("ord")).alias("o")))
+                                       .alias("_o"))
+                .join(labs.select(F.col("ord").alias("_o"), F.col("name").alias(out_col)), "_o")
+                .drop("_o"))
         first = labels.agg(F.min_by("name", "ord").alias("_first"))
         return (attach_row(d.join(best, word_col, "left"), first)
                 .select(word_col, F.coalesce(out_col, "_first").alias(out_col)))

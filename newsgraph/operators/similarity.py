@@ -19,10 +19,11 @@ from __future__ import annotations
 
 import math
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..session import materialize
 from .common import spread
 
 
@@ -31,28 +32,31 @@ def shingle_sets(df: DataFrame, text_col: str = "text", id_col: str = "article_i
     """(id, day, sh array<string>) — distinct word k-grams of ``text_col``."""
     toks = spread(df).select(F.col(id_col).alias("id"), F.col(day_col).alias("day"),
                              tx.word_tokens(text_col).alias("toks"))
-    return toks.select("id", "day", F.size("toks").alias("ntok"),
-                       tx.shingles_of_tokens("toks", k).alias("sh"))
+    return toks.select("id", "day", tx.shingles_of_tokens("toks", k).alias("sh"))
 
 
 def collapse_copies(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Collapse identical non-empty sets of a day.
 
     Returns ``(reps, copies)``: ``reps(id, day, sh, n)`` one row per distinct
-    set (id = smallest member), ``copies(id, rep)`` for the other members.
-    The grouping is a partial aggregation, so a hot group of copies is
-    combined map-side.
-    """
-    # filter on the token count, not on ``sh``: a predicate on ``sh`` would be
-    # pushed below the projection and compute the shingles twice
-    s = sets.where(F.col("ntok") > 0).withColumn(
-        "sig", F.sha2(F.array_join(F.sort_array("sh"), "\u001f"), 256))
-    reps = (s.groupBy("day", "sig")
-            .agg(F.min("id").alias("id"), F.any_value("sh").alias("sh"))
-            .withColumn("n", F.size("sh")))
-    copies = (s.join(reps.select("day", "sig", F.col("id").alias("rep")), ["day", "sig"])
+    set (id = smallest member; an empty set is always its own singleton,
+    never merged or paired), ``copies(id, rep)`` for the other members.  The
+    grouping is a partial aggregation, so a hot group of copies is combined
+    map-side.  ``reps`` is read by several later joins, so it is
+    materialised once (reliable checkpoint)."""
+    # no filter here: a predicate on the sets would be pushed below the
+    # projection (and the repartition) and recompute the shingles
+    sig = F.when(F.size("sh") == 0, F.concat(F.lit("empty:"), F.col("id").cast("string"))) \
+        .otherwise(F.sha2(F.array_join(F.sort_array("sh"), "\u001f"), 256))
+    s = materialize(sets.select("id", "day", "sh", sig.alias("sig")))
+    # fixed-width hash aggregate for the representative id; the set itself
+    # is fetched by a semi-join instead of being carried through the group
+    rep_ids = s.groupBy("day", "sig").agg(F.min("id").alias("rep"))
+    reps = (s.join(rep_ids.select(F.col("rep").alias("id")), "id", "left_semi")
+            .select("id", "day", "sh", F.size("sh").alias("n")))
+    copies = (s.select("id", "day", "sig").join(rep_ids, ["day", "sig"])
               .where(F.col("id") != F.col("rep")).select("id", "rep"))
-    return reps.drop("sig"), copies
+    return materialize(reps), copies
 
 
 def _prefixes(reps: DataFrame, t2: float) -> DataFrame:
@@ -65,10 +69,11 @@ def _prefixes(reps: DataFrame, t2: float) -> DataFrame:
     dfreq = flat.groupBy("term").agg(F.count("*").alias("df"))
     ranked = flat.join(dfreq, "term")
     plen = F.least(F.col("n"), F.col("n") - F.ceil(F.col("n") * F.lit(t2)) + 2)
-    return (ranked.groupBy("id", "day", "n")
-            .agg(F.sort_array(F.collect_list(F.struct("df", "term"))).alias("o"))
-            .select("id", "day", "n", F.explode(F.slice("o", 1, plen.cast("int"))).alias("e"))
-            .select("id", "day", "n", F.col("e.term").alias("term")))
+    # position in the global order within each set (a window per set: one
+    # set is one source row, so no window partition is larger than a text)
+    rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "term"))
+    return (ranked.withColumn("_r", rank).where(F.col("_r") <= plen)
+            .select("id", "day", "n", "term"))
 
 
 def _pair_candidates(a: DataFrame, b: DataFrame, t2: float, ordered: bool = True) -> DataFrame:
@@ -105,7 +110,7 @@ def set_pairs(reps: DataFrame, eps: float) -> DataFrame:
     t = 1.0 - eps
     if t <= 0:
         raise ValueError("eps must be < 1 for set similarity")
-    pref = _prefixes(reps, t * t)
+    pref = materialize(_prefixes(reps, t * t))   # read by both sides of the self-join
     return _verify(_pair_candidates(pref, pref, t * t), reps, t)
 
 
@@ -126,7 +131,8 @@ def component_edges(reps: DataFrame, eps: float, hot: int = 1000) -> DataFrame:
     t2 = t * t
     pref = _prefixes(reps, t2)
     sizes = pref.groupBy("day", "term").agg(F.count("*").alias("_m"), F.min("id").alias("pivot"))
-    tagged = pref.join(sizes, ["day", "term"])
+    # tagged prefixes are read by the cold self-join (twice) and the hot paths
+    tagged = materialize(pref.join(sizes, ["day", "term"]))
     cold = tagged.where(F.col("_m") <= hot).select("id", "day", "n", "term")
     hotp = tagged.where(F.col("_m") > hot).select("id", "day", "n", "term", "pivot")
     edges = _verify(_pair_candidates(cold, cold, t2), reps, t).select("id_a", "id_b", "day")

@@ -148,7 +148,7 @@ def premises(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (j.select(F.col("l_orderkey").alias("article_id"), _line_pos().alias("pos"),
                      line.alias("line"))
             .groupBy("article_id")
-            .agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("pos", "line"))),
+            .agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "line"))),
                                           lambda x: x["line"]), ". ").alias("premise")))
 
 
