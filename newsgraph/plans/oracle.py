@@ -86,9 +86,10 @@ LINE_ORDER = ("l_linenumber NULLS FIRST, l_partkey NULLS FIRST, l_suppkey NULLS
 STEPS = f"""li AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_ORDER}) - 1 AS rn FROM lineitem),
 z AS (SELECT l_orderkey AS article_id, CAST(rn AS INTEGER) AS step,
         [(l_quantity / 50.0) * 5.0, (l_extendedprice / 100000.0) * 5.0, (l_discount * 10.0) * 5.0,
-         (l_tax * 10.0) * 5.0] AS z, 'tok' || CAST(l_partkey AS VARCHAR) AS token FROM li),
+         (l_tax * 10.0) * 5.0] AS z, 'tok' || CAST(l_partkey AS VARCHAR) AS token,
+        CAST(l_returnflag = 'R' AS INTEGER) AS label FROM li),
 h AS (SELECT *, list_max(z) AS m FROM z),
-e AS (SELECT article_id, step, token,
+e AS (SELECT article_id, step, token, label,
         m + ln(list_sum(list_transform(z, lambda x: exp(x - m))))
           - list_sum(list_transform(z, lambda x: exp(x - m) * x)) / list_sum(list_transform(z, lambda x: exp(x - m)))
           AS entropy,
@@ -350,4 +351,26 @@ n AS (SELECT count(*) AS n FROM articles)
 SELECT article_id, index, CAST(floor(index / {rg.CHUNK_ROWS}) + 1 AS BIGINT) AS chunk FROM ix, n
 WHERE index % {rg.CHUNK_ROWS} <> 0 AND (floor(index / {rg.CHUNK_ROWS}) + 1) * {rg.CHUNK_ROWS} <= n - 1
   AND floor(index / {rg.CHUNK_ROWS}) + 1 <= 99""",
+
+    "nli_entailment": "WITH " + STEPS + """
+SELECT article_id, step,
+  round(exp(z[1] - list_max(z[1:3])) / list_sum(list_transform(z[1:3], lambda x: exp(x - list_max(z[1:3])))), 9)
+    AS p_neutral,
+  round(exp(z[1] - greatest(z[1], z[3])) / (exp(z[1] - greatest(z[1], z[3])) + exp(z[3] - greatest(z[1], z[3]))), 9)
+    AS p_two_way
+FROM z""",
+
+    "predicted_positives": "WITH " + STEPS + """
+SELECT article_id, step, argmax AS pred FROM e WHERE argmax = 1""",
+
+    "confusion": "WITH " + STEPS + """
+SELECT label, argmax AS pred, count(*) AS n FROM e GROUP BY label, argmax""",
+
+    "all_relations": "WITH RECURSIVE " + SCORED + f"""
+SELECT article_id, sbj_idx, obj_idx, prop AS relation, round(prob, 9) AS prob FROM sc
+WHERE prob > {_dbl(rg.RELATION_THRESHOLD)}""",
+
+    "tweet_clean": r"""SELECT conv_id, turn, t AS text FROM (
+  SELECT conv_id, turn, regexp_replace(text, 'https?://t\.co[^\n]*', '', 'g') AS t FROM conversations)
+WHERE length(t) >= 10""",
 }

@@ -262,6 +262,41 @@ def q_dense_index_chunks(spark, sf):
     return indexing.with_chunk(a, CHUNK_ROWS, reference_quirk=True).select("article_id", "index", "chunk")
 
 
+def q_nli_entailment(spark, sf):
+    """I11 on the stand-in logits: the first three values as (entail,
+    neutral, contradiction), both softmax variants."""
+    from ..functions.scoring import nli_softmax
+    st = tb.gen_steps(spark, sf)
+    z3 = F.slice("logits", 1, 3)
+    return st.select("article_id", "step", F.round(nli_softmax(z3, True), 9).alias("p_neutral"),
+                     F.round(nli_softmax(z3, False), 9).alias("p_two_way"))
+
+
+def q_predicted_positives(spark, sf):
+    """Steps whose argmax label is 1."""
+    pp = relevance.predicted_positives(tb.gen_steps(spark, sf))
+    return pp.select("article_id", "step", "pred")
+
+
+def q_confusion(spark, sf):
+    """Counts of (label, prediction); label = returned line."""
+    st = tb.gen_steps(spark, sf)
+    am = (F.array_position("logits", F.array_max("logits")) - 1).cast("int")
+    return relevance.confusion(st.withColumn("pred", am), "label", "pred")
+
+
+def q_all_relations(spark, sf):
+    """Every hypothesis above the threshold."""
+    a = relations.all_relations(_scored(spark, sf), RELATION_THRESHOLD)
+    return a.select("article_id", "sbj_idx", "obj_idx", "relation", F.round("prob", 9).alias("prob"))
+
+
+def q_tweet_clean(spark, sf):
+    """Strip t.co links, keep texts of at least 10 characters."""
+    c = tb.table(spark, sf, "conversations")
+    return trainset.clean_tweets(c).select("conv_id", "turn", "text")
+
+
 def q_relevance_model(spark, sf):
     a = _articles(spark, sf)
     lab = tb.labels(spark, sf).select(F.col("doc_id").alias("article_id"), F.col("quality").cast("double")
@@ -304,5 +339,10 @@ QUERIES = {
     "catch_up_days": q_catch_up_days,
     "daily_counts": q_daily_counts,
     "dense_index_chunks": q_dense_index_chunks,
+    "nli_entailment": q_nli_entailment,
+    "predicted_positives": q_predicted_positives,
+    "confusion": q_confusion,
+    "all_relations": q_all_relations,
+    "tweet_clean": q_tweet_clean,
     "relevance_model": q_relevance_model,
 }

@@ -163,7 +163,8 @@ def gen_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return li.select(F.col("l_orderkey").alias("article_id"),
                      (_line_pos() - 1).cast("int").alias("step"),
                      z.alias("logits"),
-                     F.concat(F.lit("tok"), F.col("l_partkey").cast("string")).alias("token"))
+                     F.concat(F.lit("tok"), F.col("l_partkey").cast("string")).alias("token"),
+                     (F.col("l_returnflag") == "R").cast("int").alias("label"))
 
 
 def coref_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
