@@ -19,9 +19,9 @@ def entity_pairs(entities: DataFrame, cands: DataFrame, id_col: str = "article_i
     formed.  Rows: ``(article_id, sbj_idx, sbj_text, sbj_type, obj_idx,
     obj_text, obj_type, prop, prop_ord)``."""
     s = entities.select(id_col, F.col("eidx").alias("sbj_idx"), F.col("text").alias("sbj_text"),
-                        F.col("type").alias("sbj_type"))
+                        F.col("type").alias("sbj_type"), tx.word_tokens("text").alias("sbj_toks"))
     o = entities.select(id_col, F.col("eidx").alias("obj_idx"), F.col("text").alias("obj_text"),
-                        F.col("type").alias("obj_type"))
+                        F.col("type").alias("obj_type"), tx.word_tokens("text").alias("obj_toks"))
     c = bounded_broadcast(cands)
     sc = s.join(c, "sbj_type")
     return (sc.join(o, [id_col, "obj_type"])
@@ -31,19 +31,32 @@ def entity_pairs(entities: DataFrame, cands: DataFrame, id_col: str = "article_i
 def hypotheses(pairs: DataFrame, templates: DataFrame) -> DataFrame:
     """I8: one hypothesis per template of each candidate relation; ``hord``
     orders all hypotheses of a pair (property order, then template order)."""
-    t = bounded_broadcast(templates.select(F.col("prop"), F.col("ord").alias("t_ord"), F.col("text").alias("tmpl")))
+    # a template whose placeholders touch no letter/digit cannot merge an
+    # entity's token with its own: its hypothesis tokens are then the
+    # template's tokens plus the entities' (tokenised once per entity)
+    glued = "[\\p{L}\\p{N}]\\{(sbj|obj)\\}|\\{(sbj|obj)\\}[\\p{L}\\p{N}]"
+    t = bounded_broadcast(templates.select(
+        F.col("prop"), F.col("ord").alias("t_ord"), F.col("text").alias("tmpl"),
+        (~F.col("text").rlike(glued)).alias("t_safe"),
+        tx.word_tokens(F.regexp_replace("text", "\\{(sbj|obj)\\}", " ")).alias("t_toks")))
     return (pairs.join(t, "prop")
             .withColumn("hypothesis", tx.fill_template("tmpl", "sbj_text", "obj_text"))
-            .withColumn("hord", F.struct("prop_ord", "t_ord"))
-            .drop("tmpl"))
+            .withColumn("hord", F.struct("prop_ord", "t_ord")))
 
 
 def score_hypotheses(hyp: DataFrame, premises: DataFrame, premise_col: str = "premise",
                      id_col: str = "article_id") -> DataFrame:
     """K4: ``prob`` = share of hypothesis tokens present in the premise."""
     p = premises.select(id_col, F.array_distinct(tx.word_tokens(premise_col)).alias("_pt"))
-    return hyp.join(p, id_col, "left").withColumn(
-        "prob", token_share("hypothesis", F.coalesce("_pt", F.array().cast("array<string>")))).drop("_pt")
+    pt = F.coalesce("_pt", F.array().cast("array<string>"))
+    h = F.array_distinct(F.concat("t_toks", "sbj_toks", "obj_toks"))
+    fast = F.when(F.size(h) > 0, F.size(F.array_intersect(h, pt)) / F.size(h)).otherwise(F.lit(0.0))
+    # the string path is inlined (not the ``hypothesis`` column) so that a
+    # query that never selects the hypothesis text does not build it
+    slow = token_share(tx.fill_template("tmpl", "sbj_text", "obj_text"), pt)
+    prob = F.when(F.col("t_safe"), fast).otherwise(slow)
+    return (hyp.join(p, id_col, "left").withColumn("prob", prob)
+            .drop("_pt", "tmpl", "t_safe", "t_toks", "sbj_toks", "obj_toks"))
 
 
 _PAIR = ["article_id", "sbj_idx", "sbj_text", "sbj_type", "obj_idx", "obj_text", "obj_type"]

@@ -12,8 +12,9 @@ Two vector kinds:
   No pair is lost; every candidate is then checked exactly.  Identical sets
   in a day are collapsed to one representative before any pairing, so a
   group of copies costs one row, not a quadratic number of pairs.
-* **Dense vectors** (an embedding table).  Exact cosine within a day,
-  compared tile by tile so that a large day is spread over many tasks.
+* **Dense vectors** (an embedding table).  Exact cosine within a day by
+  metric partitioning around pivots (triangle inequality on angles), so
+  vectors far apart are never paired; large cells are cut into tiles.
 """
 from __future__ import annotations
 
@@ -24,7 +25,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..session import materialize
-from .common import spread
+from .common import bounded_broadcast, spread
 
 
 def shingle_sets(df: DataFrame, text_col: str = "text", id_col: str = "article_id",
@@ -175,32 +176,87 @@ def _norm(v):
     return F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
 
 
+def _unit_vectors(vectors: DataFrame, id_col: str, day_col: str, vec_col: str) -> DataFrame:
+    v = vectors.select(F.col(id_col).alias("id"), F.col(day_col).alias("day"),
+                       F.col(vec_col).cast("array<double>").alias("v"))
+    # the norm is its own column so the unit-vector lambda reads it, not recomputes it
+    return (v.select("id", "day", "v", _norm(F.col("v")).alias("nv")).where(F.col("nv") > 0)
+            .select("id", "day", F.transform("v", lambda x: x / F.col("nv")).alias("u")))
+
+
+def _dot(a, b):
+    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+
+
+def _angle(a, b):
+    return F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), _dot(a, b))))
+
+
+def _grid_pairs(left: DataFrame, right: DataFrame, block: list[str], tile_rows: int) -> DataFrame:
+    """All (left, right) row pairs of each block, spread over tile pairs.
+
+    A block with n rows is cut into ceil(n / tile_rows) hash tiles per side;
+    every (left tile, right tile) is its own join key, so one large block
+    becomes many tasks of bounded size."""
+    sizes = right.groupBy(*block).agg(
+        F.ceil(F.count("*") / F.lit(float(tile_rows))).cast("int").alias("_nt"))
+    lt = (left.join(sizes, block)
+          .withColumn("_ti", F.pmod(F.xxhash64("id"), F.col("_nt")).cast("int"))
+          .withColumn("_tj", F.explode(F.sequence(F.lit(0), F.col("_nt") - 1))).drop("_nt"))
+    rt = (right.join(sizes, block)
+          .withColumn("_tj", F.pmod(F.xxhash64("id2"), F.col("_nt")).cast("int"))
+          .withColumn("_ti", F.explode(F.sequence(F.lit(0), F.col("_nt") - 1))).drop("_nt"))
+    return lt.join(rt, block + ["_ti", "_tj"]).drop("_ti", "_tj")
+
+
 def dense_pairs(vectors: DataFrame, eps: float, id_col: str = "article_id",
                 day_col: str = "datetime", vec_col: str = "vec",
-                tile_rows: int = 4096) -> DataFrame:
+                tile_rows: int = 4096, pivots_per_day: int = 16) -> DataFrame:
     """Exact cosine-distance pairs (distance ≤ eps) within a day for dense vectors.
 
-    A day with n vectors is cut into ``ceil(n / tile_rows)`` hash tiles; each
-    tile pair is one join key, so a large day becomes many equal tasks
-    instead of one.  Zero vectors are never linked.  Returns
-    ``(id_a, id_b, day, dist)`` with ``id_a < id_b``.
+    Metric partitioning by pivots, exact by the triangle inequality of the
+    angle between unit vectors:
+
+    * about ``pivots_per_day`` vectors of each day (chosen by id hash) are
+      pivots; every vector's *home cell* is its nearest pivot and each
+      cell's radius is the largest angle of a home member to its pivot;
+    * a vector joins every cell whose pivot is within radius + θ of it,
+      where θ = acos(1 - eps); a pair within θ therefore always meets in the
+      home cell of either end, and is emitted once, from the cell with the
+      smaller index;
+    * vectors far from each other are never paired; a cell with many
+      members is further cut into hash tiles (``tile_rows``).
+
+    Zero vectors are never linked.  Returns ``(id_a, id_b, day, dist)`` with
+    ``id_a < id_b``.
     """
-    v = vectors.select(F.col(id_col).alias("id"), F.col(day_col).alias("day"),
-                       F.col(vec_col).cast("array<double>").alias("v"))
-    # the norm is its own column so the unit-vector lambda reads it, not recomputes it
-    v = (v.select("id", "day", "v", _norm(F.col("v")).alias("nv")).where(F.col("nv") > 0)
-         .select("id", "day", F.transform("v", lambda x: x / F.col("nv")).alias("u")))
-    sizes = v.groupBy("day").agg(F.ceil(F.count("*") / F.lit(float(tile_rows))).cast("int").alias("nt"))
-    v = v.join(sizes, "day").withColumn("tile", F.pmod(F.xxhash64("id"), F.col("nt")).cast("int"))
-    # left copy: (tile, j) for j ≥ tile ; right copy: (i, tile) for i ≤ tile
-    left = v.select("day", "id", "u", F.col("tile").alias("ti"),
-                    F.explode(F.sequence("tile", F.col("nt") - 1)).alias("tj"))
-    right = v.select("day", F.col("id").alias("id2"), F.col("u").alias("u2"),
-                     F.explode(F.sequence(F.lit(0), "tile")).alias("ti"), F.col("tile").alias("tj"))
-    j = left.join(right, ["day", "ti", "tj"]).where((F.col("ti") < F.col("tj")) | (F.col("id") < F.col("id2")))
-    dot = F.aggregate(F.zip_with("u", "u2", lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
+    theta = math.acos(max(-1.0, min(1.0, 1.0 - eps)))
+    # acos amplifies rounding near 1 (error ~ sqrt(ulp)): widen the bound
+    margin = 1e-6
+    u = _unit_vectors(vectors, id_col, day_col, vec_col)
+    n_day = bounded_broadcast(u.groupBy("day").agg(F.count("*").alias("_n"), F.min("id").alias("_first")))
+    # ~pivots_per_day pivots by id hash, plus the day's smallest id so that
+    # every day has at least one
+    piv = (u.join(n_day, "day")
+           .where((F.pmod(F.xxhash64(F.col("id"), F.lit(17)), F.col("_n")) < pivots_per_day)
+                  | (F.col("id") == F.col("_first")))
+           .select("day", F.col("id").alias("pid"), F.col("u").alias("pu")))
+    piv = bounded_broadcast(piv)
+    dist = u.join(piv, "day").select("id", "day", "u", "pid", _angle(F.col("u"), F.col("pu")).alias("a"))
+    home = (dist.groupBy("id", "day").agg(F.min_by("pid", F.struct("a", "pid")).alias("cell"),
+                                          F.min("a").alias("a_home")))
+    radius = home.groupBy("day", "cell").agg(F.max("a_home").alias("r"))
+    members = (dist.join(home, ["id", "day"]).where(F.col("pid") == F.col("cell"))
+               .select("id", "day", "u", "cell"))
+    reach = (dist.join(radius.withColumnRenamed("cell", "pid"), ["day", "pid"])
+             .where(F.col("a") <= F.col("r") + F.lit(theta + margin))
+             .join(home.select("id", "day", F.col("cell").alias("home2")), ["id", "day"])
+             .select(F.col("id").alias("id2"), "day", F.col("u").alias("u2"),
+                     F.col("pid").alias("cell"), "home2"))
+    j = _grid_pairs(members, reach, ["day", "cell"], tile_rows)
+    j = j.where((F.col("home2") > F.col("cell")) | ((F.col("home2") == F.col("cell")) & (F.col("id") < F.col("id2"))))
     return (j.select(F.least("id", "id2").alias("id_a"), F.greatest("id", "id2").alias("id_b"), "day",
-                     (F.lit(1.0) - dot).alias("dist"))
+                     (F.lit(1.0) - _dot(F.col("u"), F.col("u2"))).alias("dist"))
             .where(F.col("dist") <= F.lit(eps)))
 
 
