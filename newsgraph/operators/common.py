@@ -29,11 +29,14 @@ def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]):
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin ``df`` only when it has fewer partitions than cores.
+    """Round-robin a freshly scanned ``df`` only when it has fewer
+    partitions than cores.
 
     A scan of one large row group is a single task; CPU-heavy text work
     after it would use one core.  At cluster scale the scan already has
-    thousands of splits and this is a no-op (no extra shuffle).
+    thousands of splits and this is a no-op (no extra shuffle).  Apply it
+    to scans only: on a plan with shuffles, asking for the partition count
+    would run those shuffles early.
     """
     sc = df.sparkSession.sparkContext
     want = min_partitions or sc.defaultParallelism

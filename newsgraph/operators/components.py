@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import ensure_checkpoint_dir
+from ..session import ensure_checkpoint_dir, materialize
 
 
 def _both(e: DataFrame) -> DataFrame:
@@ -49,10 +49,11 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None,
     Returns ``(node, component)``.
     """
     ensure_checkpoint_dir(edges.sparkSession)
-    e = _norm(edges, src, dst).checkpoint()
+    e = materialize(_norm(edges, src, dst))
     n_old = e.count()
     for _ in range(max_rounds):
-        new = _small_star(_large_star(e)).checkpoint()
+        # persisted, then checkpointed: the round is computed once
+        new = materialize(_small_star(_large_star(e)))
         n_new = new.count()
         if n_new == n_old and new.join(e, ["u", "v"], "left_anti").isEmpty():
             e = new

@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from .common import attach_row, bounded_broadcast, spread
+from .common import attach_row, bounded_broadcast
 
 # A glossary up to this many entries is inlined as a map literal (no join,
 # no shuffle); a larger one is joined as a table.
@@ -18,8 +18,7 @@ GLOSSARY_INLINE_LIMIT = 50_000
 
 def split_sentences(df: DataFrame, text_col: str = "text", out_col: str = "split_text") -> DataFrame:
     """C5 + I4: drop rows whose text is null, add the sentence list."""
-    return spread(df.where(F.col(text_col).isNotNull())).withColumn(
-        out_col, tx.split_sentences_expr(text_col))
+    return df.where(F.col(text_col).isNotNull()).withColumn(out_col, tx.split_sentences_expr(text_col))
 
 
 def explode_list(df: DataFrame, list_col: str, id_col: str = "article_id",

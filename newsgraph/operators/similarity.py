@@ -25,14 +25,14 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..session import materialize
-from .common import bounded_broadcast, spread
+from .common import bounded_broadcast
 
 
 def shingle_sets(df: DataFrame, text_col: str = "text", id_col: str = "article_id",
                  day_col: str = "datetime", k: int = 3) -> DataFrame:
     """(id, day, sh array<string>) — distinct word k-grams of ``text_col``."""
-    toks = spread(df).select(F.col(id_col).alias("id"), F.col(day_col).alias("day"),
-                             tx.word_tokens(text_col).alias("toks"))
+    toks = df.select(F.col(id_col).alias("id"), F.col(day_col).alias("day"),
+                     tx.word_tokens(text_col).alias("toks"))
     return toks.select("id", "day", tx.shingles_of_tokens("toks", k).alias("sh"))
 
 

@@ -12,6 +12,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
+from ..operators.common import spread
 
 TABLES = ("region nation customer supplier part orders lineitem events documents "
           "embeddings pages benchmark labels conversations").split()
@@ -61,7 +62,7 @@ GLOSSARY = [("le", "the"), ("la", "the"), ("les", "the"), ("des", "of the"), ("d
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """F1 article table from ``documents``: the first line is the title and
     the day key spreads documents over seven consecutive days."""
-    d = table(spark, sf_dir, "documents")
+    d = spread(table(spark, sf_dir, "documents"))
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 7).cast("int"))
     return d.select(
         F.col("doc_id").alias("article_id"),
