@@ -112,10 +112,14 @@ def top_label(words: DataFrame, labels: DataFrame, scorer=char_overlap,
 
 
 def coarse_types(mentions: DataFrame, tag_map: DataFrame, coarse: DataFrame,
-                 scorer=char_overlap, id_col: str = "article_id") -> DataFrame:
+                 scorer=char_overlap, id_col: str = "article_id", checkpoint: bool = False) -> DataFrame:
     """J5 first half: first mentions, tag lookup, and the zero-shot coarse
-    label for the unmapped ones (scored once per distinct word)."""
+    label for the unmapped ones (scored once per distinct word).  The
+    first-mention table is read by both typing steps; ``checkpoint``
+    materialises it once."""
     t = tag_to_coarse(first_mentions(mentions, id_col), tag_map)
+    if checkpoint:
+        t = materialize(t)
     misc = t.where("branch = 1")
     lab = top_label(misc, coarse, scorer)
     return (t.join(lab, "word", "left")
@@ -145,7 +149,8 @@ def extract_entities(mentions: DataFrame, tag_map: DataFrame, onto: dict[str, Da
     position of the entity in the article's list."""
     from .ontology import class_levels
     coarse, fine = class_levels(onto["class"], root)
-    ft = fine_types(coarse_types(mentions, tag_map, coarse, scorer, id_col), fine, keep, scorer, id_col)
+    ft = fine_types(coarse_types(mentions, tag_map, coarse, scorer, id_col, checkpoint), fine, keep, scorer,
+                    id_col)
     out = ft.withColumn("eidx", (F.row_number().over(W.partitionBy(id_col).orderBy("eord")) - 1).cast("int")) \
         .drop("eord")
     # the entity table feeds the pair join (twice), the naming of triplets
