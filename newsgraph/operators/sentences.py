@@ -129,7 +129,12 @@ def extractive_summary(df: DataFrame, k: int = 3, min_words: int = 10, max_words
     sents = sentence_table(df, list_col, id_col)
     toks = sents.select(id_col, "pos", F.explode(tx.word_tokens("sentence")).alias("term"))
     n_docs = df.agg(F.count_distinct(id_col).cast("double").alias("n_docs"))
-    dfreq = toks.select(id_col, "term").distinct().groupBy("term").agg(F.count("*").alias("df"))
+    # document frequency from each article's distinct tokens (an in-row
+    # array_distinct; the count is combined map-side), no (article, term)
+    # distinct shuffle
+    art_terms = df.select(F.explode(F.array_distinct(F.flatten(
+        F.transform(list_col, lambda s: tx.word_tokens(s))))).alias("term"))
+    dfreq = art_terms.groupBy("term").agg(F.count("*").alias("df"))
     idf = attach_row(dfreq, n_docs).select("term", F.log(F.col("n_docs") / F.col("df")).alias("idf"))
     scored = (toks.join(idf, "term")
               .groupBy(id_col, "pos")

@@ -25,8 +25,8 @@ def read_articles(spark: SparkSession, path: str | list[str], fmt: str = "csv",
       it from a substring of the first path.
     * ``years``: a ``(start, end)`` pair is end-exclusive; any other iterable
       is an explicit year list; ``None`` keeps every file.  The filter is on
-      the first four characters of the *file name*, pushed to file listing
-      through ``_metadata``.
+      the first four characters of the *file name* (the ``_metadata``
+      column), one job for all years.
     * A pandas index column ``__index_level_0__`` is dropped, and the
       unnamed leading index column is renamed ``original_index``, both only
       when present.
