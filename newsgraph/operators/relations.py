@@ -67,9 +67,9 @@ def best_relation(scored: DataFrame, threshold: float = 0.78) -> DataFrame:
     """E5: per ordered pair, the hypothesis with the highest probability
     (ties: lowest ``hord``); a triplet iff that probability > threshold.
 
-    The pair is grouped on its integer key and the aggregation buffer holds
-    only fixed-width values (probability and ordinals), so Spark runs a
-    hash aggregate with map-side combine.  Returns ``(article_id, sbj_idx,
+    The pair is grouped on its integer key and the aggregation carries only
+    numbers (probability and ordinals), never the entity or relation names,
+    with map-side combine.  Returns ``(article_id, sbj_idx,
     obj_idx, prop_ord, prob)``; ``name_triplets`` adds the texts."""
     key = F.struct(F.col("prob"), (-F.col("hord.prop_ord")).alias("a"), (-F.col("hord.t_ord")).alias("b"))
     best = (scored.groupBy(*_KEY)
