@@ -20,14 +20,6 @@ def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> Dat
     return F.broadcast(df) if n <= max_rows else df
 
 
-def null_safe_on(left: DataFrame, right: DataFrame, cols: list[str]):
-    cond = None
-    for c in cols:
-        e = left[c].eqNullSafe(right[c])
-        cond = e if cond is None else cond & e
-    return cond
-
-
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     """Round-robin a freshly scanned ``df`` only when it has fewer
     partitions than cores.

@@ -258,8 +258,3 @@ def dense_pairs(vectors: DataFrame, eps: float, id_col: str = "article_id",
     return (j.select(F.least("id", "id2").alias("id_a"), F.greatest("id", "id2").alias("id_b"), "day",
                      (F.lit(1.0) - _dot(F.col("u"), F.col("u2"))).alias("dist"))
             .where(F.col("dist") <= F.lit(eps)))
-
-
-def lsh_radius(eps: float) -> float:
-    """Euclidean radius between unit vectors equivalent to cosine distance eps."""
-    return math.sqrt(2.0 * eps)

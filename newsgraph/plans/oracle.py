@@ -124,12 +124,6 @@ cand AS (SELECT sd.sbj_type, ro.obj_type, sd.prop, prop.prop_ord FROM
             ON sd.prop = ro.prop JOIN prop ON prop.prop = sd.prop)"""
 
 
-def _overlap(w: str, lab: str) -> str:
-    L = f"list_distinct(string_split(lower({lab}), ''))"
-    W = f"list_distinct(string_split(lower({w}), ''))"
-    return f"CASE WHEN len({L}) > 0 THEN len(list_intersect({L}, {W})) / len({L}) ELSE 0.0 END"
-
-
 ENTS = ONTO + f""",
 mentions AS (SELECT l_orderkey AS article_id,
         CAST(row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_ORDER}) - 1 AS INTEGER) AS pos,

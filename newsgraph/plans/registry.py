@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from ..operators import (coref, dedup, entities, indexing, ontology, relations, relevance,
                          sentences, similarity, trainset, uncertainty)
-from ..operators.common import attach_row
+from ..operators.common import attach_row, bounded_broadcast
 from ..sources import ingest
 from ..sources import tables as tb
 
@@ -204,7 +204,7 @@ def q_hypotheses(spark, sf):
 def q_best_relation(spark, sf):
     b = relations.best_relation(_scored(spark, sf), RELATION_THRESHOLD)
     props = tb.ontology(spark, sf)["property"].select(F.col("name").alias("relation"), F.col("ord").alias("prop_ord"))
-    return (b.join(F.broadcast(props), "prop_ord")
+    return (b.join(bounded_broadcast(props), "prop_ord")
             .select("article_id", "sbj_idx", "obj_idx", "relation", F.round("prob", 9).alias("prob")))
 
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..operators.common import attach_row
+from ..operators.common import attach_row, bounded_broadcast
 
 
 def high_water_mark(df: DataFrame, col: str = "datetime") -> DataFrame:
@@ -32,7 +32,7 @@ def catch_up_days(source: DataFrame, local_mark, remote_mark, col: str = "dateti
     cal = marks.select(F.explode(F.sequence(F.to_date("local", "yyyyMMdd"), F.to_date("remote", "yyyyMMdd"),
                                             F.expr("INTERVAL 1 DAY"))).alias("d")) \
         .select(F.date_format("d", "yyyyMMdd").alias(col))
-    return source.join(F.broadcast(cal), col, "left_semi")
+    return source.join(bounded_broadcast(cal), col, "left_semi")
 
 
 def land_days(df: DataFrame, path: str, col: str = "datetime", fmt: str = "parquet") -> None:

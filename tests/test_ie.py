@@ -104,3 +104,20 @@ def test_entropy_and_uncertain(spark):
     u = {r.article_id: r.error_captured for r in uncertainty.uncertain_tokens(steps, threshold=3.5).collect()}
     assert u == {1: ["a"], 2: ["pass"]}
     assert uncertainty.only_uncertain(uncertainty.uncertain_tokens(steps, threshold=3.5)).count() == 1
+
+
+def test_top_label_column_scorer(spark):
+    from newsgraph.functions.scoring import char_overlap
+    words = spark.createDataFrame([("europa",), ("asiatic",), ("zzz",)], "word string")
+    labels = spark.createDataFrame([("EUROPE", 0), ("ASIA", 1), ("AFRICA", 2)], "name string, ord int")
+    got = {r.word: r.label for r in entities.top_label(words, labels, char_overlap).collect()}
+    # europa covers 4/5 of EUROPE's letters; asiatic covers all of ASIA;
+    # zzz scores 0 everywhere -> lowest ordinal
+    assert got == {"europa": "EUROPE", "asiatic": "ASIA", "zzz": "EUROPE"}
+
+
+def test_pack_logits_long_form(spark):
+    long_rows = [(1, 0, 2, 0.5), (1, 0, 0, 1.5), (1, 0, 1, -1.0)]
+    df = spark.createDataFrame(long_rows, "article_id long, step int, token_id int, logit double")
+    r = uncertainty.pack_logits(df).first()
+    assert r.logits == [1.5, -1.0, 0.5]
