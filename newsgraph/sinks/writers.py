@@ -20,13 +20,18 @@ def _csv_safe(df: DataFrame) -> DataFrame:
     return df.select(*cols)
 
 
-def write_by_day(df: DataFrame, path: str, fmt: str = "json", day_col: str = "datetime") -> None:
+def write_by_day(df: DataFrame, path: str, fmt: str = "json", day_col: str = "datetime",
+                 order_col: str | None = None) -> None:
     """One folder per day ``day=<key>``; ``day_col`` stays in the
     rows (a partition value is re-read as a number and a null day becomes
     a default partition, so the copy is what is partitioned on).  Only the
     days present are overwritten.  JSON is written as JSON lines with
-    non-ASCII kept; CSV gets array/struct columns as JSON strings."""
+    non-ASCII kept; CSV gets array/struct columns as JSON strings.
+    ``order_col`` keeps rows in that order inside each written file (the
+    reference kept row order); no shuffle is added for it."""
     out = df.withColumn("day", F.coalesce(F.col(day_col).cast("string"), F.lit("null")))
+    if order_col is not None:
+        out = out.sortWithinPartitions("day", order_col)
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day")
     if fmt == "csv":
         out = _csv_safe(out)

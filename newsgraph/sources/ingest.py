@@ -35,6 +35,29 @@ def catch_up_days(source: DataFrame, local_mark, remote_mark, col: str = "dateti
     return source.join(bounded_broadcast(cal), col, "left_semi")
 
 
+def day_predicates(local_mark: str, remote_mark: str, col: str = "datetime") -> list[str]:
+    """One ``col = 'yyyyMMdd'`` predicate per day of ``[local, remote]``
+    (both ends included).  Only the two marks, never data, are used."""
+    from datetime import date, timedelta
+    d0 = date(int(local_mark[:4]), int(local_mark[4:6]), int(local_mark[6:]))
+    d1 = date(int(remote_mark[:4]), int(remote_mark[4:6]), int(remote_mark[6:]))
+    out = []
+    while d0 <= d1:
+        out.append(f"{col} = '{d0.strftime('%Y%m%d')}'")
+        d0 += timedelta(days=1)
+    return out
+
+
+def read_days_jdbc(spark: SparkSession, url: str, table: str, local_mark: str, remote_mark: str,
+                   properties: dict | None = None, col: str = "datetime") -> DataFrame:
+    """A8 against a database: one JDBC partition per day (``predicates``),
+    so the day filter runs in the database and days are fetched in
+    parallel; the result feeds ``land_days``.  Needs a reachable database
+    and its JDBC driver on the classpath."""
+    return spark.read.jdbc(url, table, predicates=day_predicates(local_mark, remote_mark, col),
+                           properties=properties or {})
+
+
 def land_days(df: DataFrame, path: str, col: str = "datetime", fmt: str = "parquet") -> None:
     """Write one partition per day; only the days present are replaced
     (dynamic partition overwrite), earlier days stay."""

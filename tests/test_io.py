@@ -132,3 +132,15 @@ def test_pipeline_order_and_unknown(spark):
         raise AssertionError("expected ValueError")
     except ValueError:
         pass
+
+
+def test_day_predicates_inclusive():
+    from newsgraph.sources.ingest import day_predicates
+    assert day_predicates("20200228", "20200302") == [
+        "datetime = '20200228'", "datetime = '20200229'", "datetime = '20200301'", "datetime = '20200302'"]
+
+
+def test_write_by_day_keeps_order(spark, tmp_dir):
+    df = spark.createDataFrame([(i, "20200101") for i in (5, 3, 9, 1)], "article_id long, datetime string").coalesce(1)
+    write_by_day(df, f"{tmp_dir}/o", "json", order_col="article_id")
+    assert [r.article_id for r in spark.read.json(f"{tmp_dir}/o").collect()] == [1, 3, 5, 9]
