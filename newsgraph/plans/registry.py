@@ -239,10 +239,11 @@ def q_high_water_mark(spark, sf):
 
 def _landed(spark, sf):
     ev = tb.table(spark, sf, "events")
-    mid = ev.agg((F.min(F.unix_micros(F.col("ts").cast("timestamp"))) + (F.max(F.unix_micros(F.col("ts").cast("timestamp"))) - F.min(F.unix_micros(F.col("ts").cast("timestamp")))) / 2)
-                 .alias("_mid"))
-    return attach_row(ev, mid).where(F.unix_micros(F.col("ts").cast("timestamp")) < F.col("_mid")).select(
-        tx.day_key("ts").alias("datetime"))
+    # micros since the epoch of a zone-less timestamp: independent of the
+    # session time zone
+    us = F.expr("timestampdiff(MICROSECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts)")
+    mid = ev.agg((F.min(us) + (F.max(us) - F.min(us)) / 2).alias("_mid"))
+    return attach_row(ev, mid).where(us < F.col("_mid")).select(tx.day_key("ts").alias("datetime"))
 
 
 def q_catch_up_days(spark, sf):
