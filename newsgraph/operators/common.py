@@ -40,9 +40,11 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
 def attach_row(df: DataFrame, one_row: DataFrame) -> DataFrame:
     """Add the columns of a one-row table (a global aggregate) to every row.
 
-    ``one_row`` must be an aggregate without grouping keys, so it has
-    exactly one row; it is broadcast on a constant key.  This attaches
-    scalars (a count, a map literal) computed by Spark, never pairs.
+    Each column becomes a scalar subquery (``DataFrame.scalar()``): Spark
+    runs the aggregate once and uses its value as a constant, so no join
+    (and no pairing) is planned at all.  ``one_row`` must be an aggregate
+    without grouping keys, i.e. exactly one row.
     """
-    return (df.withColumn("_one", F.lit(0))
-            .join(F.broadcast(one_row.withColumn("_one", F.lit(0))), "_one").drop("_one"))
+    for c in one_row.columns:
+        df = df.withColumn(c, one_row.select(c).scalar())
+    return df

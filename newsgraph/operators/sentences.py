@@ -11,9 +11,10 @@ from pyspark.sql import functions as F
 from ..functions import text as tx
 from .common import attach_row, bounded_broadcast
 
-# A glossary up to this many entries is inlined as a map literal (no join,
-# no shuffle); a larger one is joined as a table.
-GLOSSARY_INLINE_LIMIT = 50_000
+# A glossary up to this many entries is inlined as one map value (no join,
+# no shuffle); a larger one is joined as a table.  Spark looks a key up in a
+# map value by scanning its keys, so the inline form stays small.
+GLOSSARY_INLINE_LIMIT = 200
 
 
 def split_sentences(df: DataFrame, text_col: str = "text", out_col: str = "split_text") -> DataFrame:
@@ -63,9 +64,9 @@ def glossary_map(df: DataFrame, glossary: DataFrame, list_col: str = "split_text
 
     Tokens are the sentence split on single spaces; a token whose lower-case
     form is in the glossary is replaced, others are kept.  A glossary within
-    ``GLOSSARY_INLINE_LIMIT`` entries becomes one map literal built from the
-    table (in-row ``transform``, no join); a larger one goes through an
-    exploded join on the token."""
+    ``GLOSSARY_INLINE_LIMIT`` entries becomes one map value (a scalar
+    subquery over the table; in-row ``transform``, no join); a larger one
+    goes through an exploded hash join on the token."""
     g = glossary.select(F.col(src).alias("src"), F.col(dst).alias("dst")).dropDuplicates(["src"])
     n = g.limit(GLOSSARY_INLINE_LIMIT + 1).count()
     if n <= GLOSSARY_INLINE_LIMIT:
