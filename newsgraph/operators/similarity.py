@@ -156,7 +156,7 @@ def similar_text_pairs(df: DataFrame, eps: float = 0.35, text_col: str = "text",
 
     ``edges(id_a, id_b, day, sim)`` between representatives, ``copies(id,
     rep)`` linking every other copy to its representative, ``nodes(node)``
-    all ids that have a non-empty set."""
+    every representative id (a text without words is its own singleton)."""
     sets = shingle_sets(df, text_col, id_col, day_col, k)
     reps, copies = collapse_copies(sets)
     return set_pairs(reps, eps), copies, reps.select(F.col("id").alias("node"))
