@@ -24,7 +24,7 @@ class PipelineConfig:
     token_labeler: Callable[[Column], Column] | None = None  # text -> array<struct<token,label>>
     eps: float = 0.35
     translate_fn: Callable[[Column], Column] | None = None
-    glossary: DataFrame | None = None
+    glossary: DataFrame | dict | None = None
     translate_mode: int = 1
     summary_k: int = 3
     extra_stages: dict = field(default_factory=dict)

@@ -97,8 +97,7 @@ def q_flatten_regroup(spark, sf):
 
 def q_glossary_translate(spark, sf):
     s = _split(spark, sf)
-    g = spark.createDataFrame(tb.GLOSSARY, "src string, dst string")
-    t = sentences.glossary_map(s, g)
+    t = sentences.glossary_map(s, dict(tb.GLOSSARY))
     return t.select("article_id", F.posexplode("translated_text").alias("pos", "translated"))
 
 

@@ -40,13 +40,13 @@ def test_keep_mask(spark):
     assert (r.eng, r.other) == ("a c", "b c")
 
 
-def test_glossary_inline_and_join_agree(spark, monkeypatch):
-    df = spark.createDataFrame([(1, ["le chat et la", "x"]), (2, [])], "article_id long, split_text array<string>")
-    g = spark.createDataFrame([("le", "the"), ("la", "the"), ("et", "and")], "src string, dst string")
-    a = {r.article_id: r.translated_text for r in sentences.glossary_map(df, g).collect()}
-    monkeypatch.setattr(sentences, "GLOSSARY_INLINE_LIMIT", 1)
+def test_glossary_literal_and_join_agree(spark):
+    df = spark.createDataFrame([(1, ["le chat et la", "x", "a  b"]), (2, [])], "article_id long, split_text array<string>")
+    pairs = [("le", "the"), ("la", "the"), ("et", "and")]
+    g = spark.createDataFrame(pairs, "src string, dst string")
+    a = {r.article_id: r.translated_text for r in sentences.glossary_map(df, dict(pairs)).collect()}
     b = {r.article_id: r.translated_text for r in sentences.glossary_map(df, g).collect()}
-    assert a == b == {1: ["the chat and the", "x"], 2: []}
+    assert a == b == {1: ["the chat and the", "x", "a  b"], 2: []}
 
 
 def test_paragraph_prefix(spark):
