@@ -2,7 +2,6 @@
 E7 zero-shot top label, I13 coarse/fine typing, H3 ordering (J5)."""
 from __future__ import annotations
 
-from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
