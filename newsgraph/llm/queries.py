@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import compress_quality, jaccard, line_rules, packing
+from . import chat, compress_quality, jaccard, line_rules, order_minhash, packing
 from .shared import read
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -26,6 +26,14 @@ def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress_quality.op8(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op9_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.op9(read(spark, sf_dir, "conversations"))
+
+
+def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.op10(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -36,6 +44,8 @@ QUERIES = {
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
     "op8_quality_classifier": op8_quality_classifier,
+    "op9_chat_formatting": op9_chat_formatting,
+    "op10_document_fingerprints": op10_document_fingerprints,
     "pipeline": pipeline,
 }
 
@@ -43,4 +53,5 @@ QUERIES = {
 #: against brute force, round trips and held-out labels.
 SQL = {
     "op6_quality_rules": line_rules.SQL,
+    "op9_chat_formatting": chat.SQL,
 }
