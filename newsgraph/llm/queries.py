@@ -4,7 +4,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, compress_quality, jaccard, line_rules, order_minhash, packing
+from . import chat, compress_quality, jaccard, licenses, line_rules, order_minhash, packing, url_filter
 from .shared import read
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -14,6 +14,10 @@ def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), BPE)
 
 
+def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.op4(read(spark, sf_dir, "documents"))
+
+
 def op5_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard.jaccard_join(read(spark, sf_dir, "documents"))
 
@@ -22,6 +26,10 @@ def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_rules.op6(read(spark, sf_dir, "documents"))
 
 
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.op7(read(spark, sf_dir, "pages"))
+
+
 def op8_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return compress_quality.op8(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -41,8 +49,10 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op4_license_scan": op4_license_scan,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
+    "op7_url_filter": op7_url_filter,
     "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_document_fingerprints": op10_document_fingerprints,
@@ -52,6 +62,7 @@ QUERIES = {
 #: Tokenisation, compression and MinHash are no SQL; tests hold those queries
 #: against brute force, round trips and held-out labels.
 SQL = {
+    "op4_license_scan": licenses.SQL,
     "op6_quality_rules": line_rules.SQL,
     "op9_chat_formatting": chat.SQL,
 }
