@@ -4,16 +4,26 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, compress_quality, jaccard, licenses, line_rules, order_minhash, packing, url_filter
+from . import (chat, compress_quality, jaccard, licenses, line_rules, order_minhash, packing, pieces, url_filter,
+               wrappers)
 from .shared import read
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
+PIECES = public_tokenizers.path("piece_bpe_32k.model")
 
 
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(read(spark, sf_dir, "documents"), BPE)
 
 
+def op2_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return wrappers.op2(read(spark, sf_dir, "pages"))
+
+
+def op3_sentencepiece_nbest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pieces.op3(read(spark, sf_dir, "documents"), PIECES)
+
+
 def op4_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.op4(read(spark, sf_dir, "documents"))
 
@@ -49,6 +59,8 @@ def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_best_fit_packing": op1_best_fit_packing,
+    "op2_html_extraction": op2_html_extraction,
+    "op3_sentencepiece_nbest": op3_sentencepiece_nbest,
     "op4_license_scan": op4_license_scan,
     "op5_ngram_jaccard_join": op5_ngram_jaccard_join,
     "op6_quality_rules": op6_quality_rules,
