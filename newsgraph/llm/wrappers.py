@@ -10,15 +10,16 @@ regular expression over tokens:
 * any other surplus on either side becomes optional.
 
 The wrapper then says where the pages' variable text lies: the region (a path
-of open tags) that holds most of it, weighed by what its tags mean, is the
+of open tags) that holds most of it, or is marked as an article, is the
 article, and every page's tokens aligned with nodes of that region are its
-text.  Boilerplate inside the region (by tag, class, id or role) stays out.
+text.  Boilerplate inside the region (by tag, class, id or role) stays out; in
+a region that is not marked, so do texts that the pages share.
 
 Pages are sorted by host and dealt in runs of at most ``BLOCK`` pages, one
 wrapper each, so a host of any size is spread over many tasks and no task
 holds more than one run of pages.  A lone page makes its own wrapper.
 
-Null html counts as empty; pages without a region have an empty text.  A null
+Null html counts as empty and has an empty text.  A null
 or malformed url is a host of its own name; equal rows, equal and null ids
 are pages like others; extra columns are ignored.
 """
@@ -38,6 +39,8 @@ from .url_filter import url_parts
 BLOCK = 64
 #: Tokens looked ahead for the end of a surplus, and back for a repeated group.
 REACH = 400
+#: A wrapper this long learns no more; later pages are read with it as it is.
+MAX_NODES = 4000
 
 # What HTML says about its elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -45,6 +48,7 @@ RAW = frozenset("script style noscript template textarea title iframe object svg
 BLOCKS = frozenset("address article aside blockquote body caption center dd details div dl dt fieldset figcaption "
                    "figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main nav ol p pre section "
                    "summary table tbody td tfoot th thead tr ul".split())
+CONTAINERS = frozenset("article body center div main section table tbody td".split())
 CLOSED_BY = {  # an open element of the key ends where one of these begins
     "p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
     "th": {"td", "th", "tr"}, "option": {"option"}}
@@ -78,22 +82,33 @@ class Node:
     path: tuple
     mass: int = 0     # characters of variable text seen here
     back: int = -1    # a repeated group ends here; where it begins
+    seen: int = 1     # pages that have it
 
 
 def tokens(page: str) -> list[Token]:
     """Tags and texts of a page with the elements they stand in.  Contents of
-    scripts, styles and the like are dropped; white space alone is no text."""
+    scripts, styles and the like are dropped; white space alone is no text.
+    Inline tags without a class, id or role part no text, and elements that
+    end by implication get their end tag, so that loose markup aligns."""
     out: list[Token] = []
     stack: list[str] = []
     names: list[str] = []
     at, end = 0, len(page)
+
+    def close(depth: int) -> None:
+        while len(names) > depth:
+            stack.pop()
+            out.append(Token("/" + names.pop(), "", tuple(stack)))
+
     while at < end:
         m = _TOKEN.match(page, at)
         if m is None:
             break
         at = m.end()
         if (text := m["text"]) is not None:
-            if not text.isspace():
+            if out and not out[-1].key:
+                out[-1].text += text
+            elif not text.isspace():
                 out.append(Token("", text, tuple(stack)))
             continue
         if m["name"] is None:
@@ -101,17 +116,15 @@ def tokens(page: str) -> list[Token]:
         name = m["name"].lower()
         if m["close"]:
             if name in names:
-                while names:
-                    stack.pop()
-                    if names.pop() == name:
-                        break
-                out.append(Token("/" + name, "", tuple(stack)))
+                close(len(names) - 1 - names[::-1].index(name))
             continue
-        while names and any(name in CLOSED_BY.get(x, ()) for x in names[-6:]):
-            # inline elements left open inside a paragraph end with it
-            stack.pop()
-            names.pop()
+        while at_fault := [k for k in range(max(0, len(names) - 6), len(names)) if name in CLOSED_BY.get(names[k], ())]:
+            close(at_fault[0])  # with the inline elements left open inside
         marks = " ".join(sorted(next(filter(None, g[1:]), "").lower() for g in _MARK.findall(m["attrs"])))
+        if not marks and name not in BLOCKS and name not in RAW:
+            if name == "br" and out and not out[-1].key:
+                out[-1].text += " "
+            continue
         key = f"{name} {marks}" if marks else name
         out.append(Token(key, "", tuple(stack)))
         if name in RAW:
@@ -159,6 +172,7 @@ class Wrapper:
             t = page[j]
             node = nodes[i] if i < len(nodes) else None
             if node and node.key == t.key:
+                node.seen += learn
                 if not t.key and node.text is not None and node.text != t.text:
                     if learn:
                         node.mass += len(node.text) + len(t.text)
@@ -241,23 +255,26 @@ class Wrapper:
             elif node.back >= i:
                 node.back = -1
 
-    def region(self) -> tuple | None:
-        """Path of the elements that hold the article: of the regions marked
-        as article the one with the most text, else the deepest that holds
-        most of the text outside boilerplate; of a lone page all text counts."""
+    def region(self) -> tuple[tuple, bool]:
+        """Path of the elements that hold the article, and whether they are
+        marked as such: of the marked regions the one with the most text, else
+        the deepest container that holds most of the text outside boilerplate.
+        Of a lone page, and where no text varies, all text counts."""
         mass: dict[tuple, int] = {}
-        for n in self.nodes:
-            if n.key or boilerplate(n.path):
-                continue
-            own = n.mass or (len(n.text or "") if self.pages == 1 else 1)
-            for depth in range(1, len(n.path) + 1):
-                mass[n.path[:depth]] = mass.get(n.path[:depth], 0) + own
-        marked = [p for p in mass if is_article(p[-1]) and not any(is_article(k) for k in p[:-1])]
+        texts = [n for n in self.nodes if not n.key and not boilerplate(n.path)]
+        varies = any(n.mass for n in texts)
+        for n in texts:
+            for depth in range(len(n.path) + 1):
+                mass[n.path[:depth]] = mass.get(n.path[:depth], 0) + (n.mass if varies else len(n.text or ""))
+        marked = [p for p in mass if p and is_article(p[-1]) and not any(is_article(k) for k in p[:-1])]
         if marked:
-            return max(marked, key=lambda p: (mass[p], -len(p)))
-        whole = max(mass.values(), default=0)
-        deep = [p for p, m in mass.items() if 10 * m >= 7 * whole and p[-1].split(" ")[0] in BLOCKS]
-        return max(deep, key=len, default=None)
+            return max(marked, key=lambda p: (mass[p], -len(p))), True
+        deep = [p for p, m in mass.items() if 10 * m >= 7 * mass[()] and p and p[-1].split(" ")[0] in CONTAINERS]
+        return max(deep, key=len, default=()), not varies
+
+    def constant(self, i: int) -> bool:
+        """Whether node i is a text that pages share."""
+        return self.nodes[i].text is not None and self.nodes[i].seen > 1
 
 
 def is_article(key: str) -> bool:
@@ -282,25 +299,21 @@ def boilerplate(path: tuple) -> bool:
     return False
 
 
-def main_text(page: list[Token], at: list[int], wrapper: Wrapper, region: tuple | None) -> str:
-    """Blocks of the page's tokens that lie in the region, one per line."""
-    if region is None:
-        return ""
+def main_text(page: list[Token], at: list[int], wrapper: Wrapper, region: tuple, whole: bool) -> str:
+    """Blocks of the page's tokens that lie in the region, one per line;
+    unless ``whole``, without the texts that pages share."""
     depth, lines, block = len(region), [], []
     skipped: dict[tuple, bool] = {}
     for t, i in zip(page, at, strict=True):
         if t.key:
-            name = t.key.lstrip("/").split(" ")[0]
-            if name in BLOCKS:
+            if t.key.lstrip("/").split(" ")[0] in BLOCKS:
                 lines.append("".join(block))
                 block = []
-            elif name == "br":
-                block.append(" ")
             continue
         path = wrapper.nodes[i].path if i >= 0 else t.path
         if path not in skipped:
             skipped[path] = path[:depth] != region or boilerplate(path)
-        if not skipped[path]:
+        if not skipped[path] and (whole or i < 0 or not wrapper.constant(i)):
             block.append(t.text)
     lines.append("".join(block))
     clean = (" ".join(references.unescape(x).split()) for x in lines)
@@ -312,9 +325,9 @@ def extract_block(pages: list[str]) -> list[str]:
     streams = [tokens(p) for p in pages]
     wrapper = Wrapper(streams[0])
     for s in streams[1:]:
-        wrapper.align(s)
+        wrapper.align(s, learn=len(wrapper.nodes) < MAX_NODES)
     region = wrapper.region()
-    return [main_text(s, wrapper.align(s, learn=False), wrapper, region) for s in streams]
+    return [main_text(s, wrapper.align(s, learn=False), wrapper, *region) for s in streams]
 
 
 def extract(pages: DataFrame, block: int = BLOCK) -> DataFrame:
