@@ -4,20 +4,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row limit under which a side table may be broadcast.  Tables above it are
-# joined with a shuffle (and AQE may still broadcast them at run time when
-# their measured size turns out small).
-BROADCAST_ROW_LIMIT = 1_000_000
+# Bytes, as the optimizer estimates them, up to which a side table is
+# broadcast.  Larger ones are joined with a shuffle (and AQE may still
+# broadcast them at run time when their measured size turns out small).
+BROADCAST_BYTES = 32 << 20
 
 
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_ROW_LIMIT) -> DataFrame:
-    """Broadcast ``df`` only after checking its row count; else return it as is.
+def estimated_bytes(df: DataFrame) -> int:
+    """The optimizer's size estimate, an upper bound for the plans of side
+    tables (scans, projections, filters, unions).  Starts no job."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
-    The check is a ``limit(max_rows + 1).count()``, so it never scans more
-    than ``max_rows + 1`` rows of the side table.
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+
+def bounded_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` where its estimated size is at most ``max_bytes``;
+    else return it as it is."""
+    return F.broadcast(df) if estimated_bytes(df) <= max_bytes else df
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:

@@ -40,8 +40,7 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 
 def connected_components(edges: DataFrame, nodes: DataFrame | None = None,
-                         src: str = "src", dst: str = "dst", node: str = "node",
-                         max_rounds: int = 200) -> DataFrame:
+                         src: str = "src", dst: str = "dst", node: str = "node") -> DataFrame:
     """Label every node with the smallest node id of its component.
 
     ``edges``: undirected (src, dst) long ids.  ``nodes``: optional table
@@ -51,7 +50,7 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None,
     ensure_checkpoint_dir(edges.sparkSession)
     e = materialize(_norm(edges, src, dst))
     n_old = e.count()
-    for _ in range(max_rounds):
+    while True:
         # persisted, then checkpointed: the round is computed once
         new = materialize(_small_star(_large_star(e)))
         n_new = new.count()
@@ -59,8 +58,6 @@ def connected_components(edges: DataFrame, nodes: DataFrame | None = None,
             e = new
             break
         e, n_old = new, n_new
-    else:
-        raise RuntimeError("connected_components did not converge")
     d = _both(e)
     labels = d.groupBy(F.col("a").alias(node)).agg(F.least(F.min("b"), F.col("a")).alias("component"))
     if nodes is not None:

@@ -9,29 +9,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-def class_closure(classes: DataFrame, max_depth: int = 64) -> DataFrame:
+from ..session import materialize
+
+
+def class_closure(classes: DataFrame) -> DataFrame:
     """``(name, ancestor)`` reflexive-transitive closure of ``parent``.
 
-    Breadth-first by path length: ``paths_k`` holds the ancestors exactly k
-    levels up, ``paths_{k+1} = paths_k ⋈ parent``; the closure is the
-    distinct union of all levels.  Each level references the previous one
-    once, so the plan grows linearly with the depth, and the only action is
-    one emptiness check per level of the hierarchy.  A cycle exceeds
-    ``max_depth`` and raises."""
-    edges = classes.where(F.col("parent").isNotNull()).select("name", "parent").distinct()
+    Breadth-first: each round joins the pairs found last with ``parent`` and
+    keeps those not known yet, until none are new; several parents add no
+    repeated pairs and a cycle ends like any other hierarchy.  Every round's
+    pairs are materialised, so a round reads only the one before it."""
+    edges = materialize(classes.where(F.col("parent").isNotNull()).select("name", "parent").distinct())
     names = classes.select("name").unionByName(edges.select(F.col("parent").alias("name"))).distinct()
-    levels = [names.select("name", F.col("name").alias("ancestor"))]
-    paths = edges.select("name", F.col("parent").alias("ancestor"))
-    for _ in range(max_depth):
-        if paths.isEmpty():
-            out = levels[0]
-            for lv in levels[1:]:
-                out = out.unionByName(lv)
-            return out.distinct()
-        levels.append(paths)
-        paths = (paths.alias("p").join(edges.alias("e"), F.col("p.ancestor") == F.col("e.name"))
-                 .select(F.col("p.name").alias("name"), F.col("e.parent").alias("ancestor")))
-    raise RuntimeError("class hierarchy deeper than max_depth (cycle?)")
+    known = materialize(names.select("name", F.col("name").alias("ancestor")))
+    new = known
+    while True:
+        step = (new.alias("p").join(edges.alias("e"), F.col("p.ancestor") == F.col("e.name"))
+                .select(F.col("p.name").alias("name"), F.col("e.parent").alias("ancestor")).distinct())
+        new = materialize(step.join(known, ["name", "ancestor"], "left_anti"))
+        if new.isEmpty():
+            return known
+        known = known.unionByName(new)
 
 
 def class_levels(classes: DataFrame, root: str = "Entity") -> tuple[DataFrame, DataFrame]:
@@ -61,5 +59,6 @@ def candidate_relations(onto: dict[str, DataFrame]) -> DataFrame:
     ro = (clo.join(onto["range"], clo.ancestor == onto["range"]["class"])
           .select(F.col("name").alias("obj_type"), "prop").distinct())
     props = onto["property"].select(F.col("name").alias("prop"), F.col("ord").alias("prop_ord"))
-    onto["_cands"] = sd.join(ro, "prop").join(props, "prop").select("sbj_type", "obj_type", "prop", "prop_ord")
+    onto["_cands"] = materialize(sd.join(ro, "prop").join(props, "prop")
+                                 .select("sbj_type", "obj_type", "prop", "prop_ord"))
     return onto["_cands"]

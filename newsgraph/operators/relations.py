@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..functions.scoring import token_share
+from ..functions.scoring import score, token_share
 from .common import bounded_broadcast
 from .ontology import candidate_relations
 
@@ -45,8 +45,15 @@ def hypotheses(pairs: DataFrame, templates: DataFrame) -> DataFrame:
 
 
 def score_hypotheses(hyp: DataFrame, premises: DataFrame, premise_col: str = "premise",
-                     id_col: str = "article_id") -> DataFrame:
-    """K4: ``prob`` = share of hypothesis tokens present in the premise."""
+                     id_col: str = "article_id", scorer=None, **kw) -> DataFrame:
+    """K4: ``prob`` = share of hypothesis tokens present in the premise, or
+    what ``scorer`` (any K1 form: a Column, a score table, a fitted model, a
+    pandas UDF with ``inputs=``) gives for the rows of ``hyp`` with the premise
+    attached, e.g. the entailment probability of an NLI model."""
+    if scorer is not None:
+        p = premises.select(id_col, F.col(premise_col).alias("premise"))
+        scored = score(hyp.join(p, id_col, "left"), scorer, "prob", **kw)
+        return scored.drop("premise", "tmpl", "t_safe", "t_toks", "sbj_toks", "obj_toks")
     p = premises.select(id_col, F.array_distinct(tx.word_tokens(premise_col)).alias("_pt"))
     pt = F.coalesce("_pt", F.array().cast("array<string>"))
     h = F.array_distinct(F.concat("t_toks", "sbj_toks", "obj_toks"))
@@ -67,16 +74,20 @@ def best_relation(scored: DataFrame, threshold: float = 0.78) -> DataFrame:
     """E5: per ordered pair, the hypothesis with the highest probability
     (ties: lowest ``hord``); a triplet iff that probability > threshold.
 
-    The pair is grouped on its integer key and the aggregation carries only
-    numbers (probability and ordinals), never the entity or relation names,
-    with map-side combine.  Returns ``(article_id, sbj_idx,
-    obj_idx, prop_ord, prob)``; ``name_triplets`` adds the texts."""
-    key = F.struct(F.col("prob"), (-F.col("hord.prop_ord")).alias("a"), (-F.col("hord.t_ord")).alias("b"))
-    best = (scored.groupBy(*_KEY)
-            .agg(F.max_by(F.struct(F.col("hord.prop_ord").alias("po"), F.col("prob").alias("p")), key).alias("_b"))
-            .select(*_KEY, F.col("_b.po").alias("prop_ord"), F.col("_b.p").alias("prob"))
-            .where(F.col("prob") > threshold))
-    return best
+    The pair is grouped on its integer key and the aggregation carries two
+    numbers, never the entity or relation names, so it is a hash aggregate
+    with map-side combine: the probability, and a rank that orders by
+    probability (to 2^-40) and then by the lowest ordinals.  Hypotheses at or
+    below the threshold cannot win and are dropped before.  Returns
+    ``(article_id, sbj_idx, obj_idx, prop_ord, prob)``; ``name_triplets`` adds
+    the texts.  Property and template ordinals lie below 1024."""
+    order = F.col("hord.prop_ord").cast("long") * 1024 + F.col("hord.t_ord")
+    rank = F.round(F.col("prob") * float(1 << 40)).cast("long") * (1 << 20) + ((1 << 20) - 1 - order)
+    return (scored.where(F.col("prob") > threshold)
+            .select(*_KEY, "prob", rank.alias("_rank")).groupBy(*_KEY)
+            .agg(F.max("_rank").alias("_rank"), F.max("prob").alias("prob"))
+            .select(*_KEY, F.floor(((1 << 20) - 1 - F.pmod("_rank", F.lit(1 << 20))) / 1024).cast("int")
+                    .alias("prop_ord"), "prob"))
 
 
 def name_triplets(best: DataFrame, entities: DataFrame, props: DataFrame,
@@ -99,7 +110,8 @@ def all_relations(scored: DataFrame, threshold: float = 0.78) -> DataFrame:
 
 def extract_relations(articles: DataFrame, entities: DataFrame, onto: dict[str, DataFrame],
                       premises: DataFrame | None = None, threshold: float = 0.78,
-                      premise_col: str = "translated_summary", id_col: str = "article_id") -> DataFrame:
+                      premise_col: str = "translated_summary", id_col: str = "article_id",
+                      scorer=None, **kw) -> DataFrame:
     """J6 + E10: the triplet record per article.
 
     ``found_entities array<struct<text,type>>`` in entity order and
@@ -108,7 +120,7 @@ def extract_relations(articles: DataFrame, entities: DataFrame, onto: dict[str,
     bounded by the article's own entity count."""
     prem = premises if premises is not None else articles.select(id_col, F.col(premise_col).alias("premise"))
     pairs = entity_pairs(entities, candidate_relations(onto), id_col)
-    scored = score_hypotheses(hypotheses(pairs, onto["template"]), prem, "premise", id_col)
+    scored = score_hypotheses(hypotheses(pairs, onto["template"]), prem, "premise", id_col, scorer, **kw)
     trip = name_triplets(best_relation(scored, threshold), entities, onto["property"], id_col)
     ent = entities.groupBy(id_col).agg(F.transform(
         F.sort_array(F.collect_list(F.struct("eidx", "text", "type"))),

@@ -4,7 +4,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..functions import text as tx
 from ..functions.scoring import score
+from .common import attach_row
 
 
 def relevance_filter(df: DataFrame, scorer, threshold: float = -0.4, out_col: str = "score",
@@ -37,6 +39,40 @@ def fit_relevance(df: DataFrame, label_col: str = "label", title_col: str = "tit
     return Pipeline(stages=[pair, tok, tf, idf, lr]).fit(df)
 
 
+def _terms(df: DataFrame, title_col: str, text_col: str):
+    return tx.word_tokens(F.concat_ws(" ", title_col, text_col))
+
+
+def fit_term_odds(df: DataFrame, label_col: str = "label", title_col: str = "title",
+                  text_col: str = "text") -> DataFrame:
+    """K2: naive Bayes on the word counts of *all* labelled rows, by grouping.
+
+    ``(term, weight, prior)``: the smoothed log odds of a term between label 1
+    and label 0, and the log odds of the labels themselves on every row."""
+    rows = df.where(F.col(label_col).isin(0, 1))
+    prior = rows.agg((F.log(F.count(F.when(F.col(label_col) == 1, 1)) + 1)
+                      - F.log(F.count(F.when(F.col(label_col) == 0, 1)) + 1)).alias("prior"))
+    counts = (rows.select(F.col(label_col).alias("_y"), F.explode(_terms(df, title_col, text_col)).alias("term"))
+              .groupBy("term").agg(F.count(F.when(F.col("_y") == 1, 1)).alias("pos"),
+                                   F.count(F.when(F.col("_y") == 0, 1)).alias("neg")))
+    totals = counts.agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"), F.count("*").alias("_v"))
+    weight = (F.log((F.col("pos") + 1) / (F.col("_p") + F.col("_v")))
+              - F.log((F.col("neg") + 1) / (F.col("_n") + F.col("_v"))))
+    return attach_row(attach_row(counts, totals).select("term", weight.alias("weight")), prior)
+
+
+def term_odds_scores(df: DataFrame, model: DataFrame, id_col: str = "article_id", title_col: str = "title",
+                     text_col: str = "text") -> DataFrame:
+    """``(id, score)``: prior plus the weights of a row's distinct terms; a
+    score table for ``relevance_filter``.  Rows without a known term score
+    the prior."""
+    terms = df.select(id_col, F.explode(F.array_distinct(_terms(df, title_col, text_col))).alias("term"))
+    sums = terms.join(model, "term").groupBy(id_col).agg(F.sum("weight").alias("_w"))
+    prior = model.agg(F.max("prior").alias("_prior"))
+    return (attach_row(df.select(id_col).join(sums, id_col, "left"), prior)
+            .select(id_col, (F.col("_prior") + F.coalesce("_w", F.lit(0.0))).alias("score")))
+
+
 def predicted_positives(df: DataFrame, logits_col: str = "logits", positive: int = 1) -> DataFrame:
     """Rows whose argmax label (first maximum, 0-based) is ``positive``."""
     am = F.array_position(logits_col, F.array_max(logits_col)) - 1

@@ -340,20 +340,36 @@ SELECT datetime, count(*) AS n_rows FROM ev WHERE datetime IN (SELECT datetime F
     "daily_counts": "WITH " + ARTICLES + "\nSELECT datetime, count(*) AS n_articles FROM articles GROUP BY datetime",
 
     "dense_index_chunks": "WITH " + ARTICLES + f""",
-ix AS (SELECT article_id, row_number() OVER (ORDER BY article_id) - 1 AS index FROM articles),
-n AS (SELECT count(*) AS n FROM articles)
-SELECT article_id, index, CAST(floor(index / {rg.CHUNK_ROWS}) + 1 AS BIGINT) AS chunk FROM ix, n
-WHERE index % {rg.CHUNK_ROWS} <> 0 AND (floor(index / {rg.CHUNK_ROWS}) + 1) * {rg.CHUNK_ROWS} <= n - 1
-  AND floor(index / {rg.CHUNK_ROWS}) + 1 <= 99""",
+ix AS (SELECT article_id, title, text, row_number() OVER (ORDER BY article_id) - 1 AS index FROM articles)
+SELECT article_id, index, CAST(floor(index / {rg.CHUNK_ROWS}) AS BIGINT) AS chunk, title,
+       CAST(length(text) AS INTEGER) AS text_chars FROM ix""",
 
-    "nli_entailment": "WITH " + STEPS + """
+    "nli_entailment": f"""WITH li AS (
+  SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {LINE_ORDER}) - 1 AS rn FROM lineitem),
+z AS (SELECT l_orderkey AS article_id, CAST(rn AS INTEGER) AS step,
+        [(l_discount * 10.0) * 5.0, (l_tax * 10.0) * 5.0, (l_quantity / 50.0) * 5.0] AS z FROM li)
 SELECT article_id, step,
-  round(exp(z[1] - list_max(z[1:3])) / list_sum(list_transform(z[1:3], lambda x: exp(x - list_max(z[1:3])))), 9)
-    AS p_neutral,
+  round(exp(z[1] - list_max(z)) / list_sum(list_transform(z, lambda x: exp(x - list_max(z)))), 9) AS p_neutral,
   round(exp(z[1] - greatest(z[1], z[3])) / (exp(z[1] - greatest(z[1], z[3])) + exp(z[3] - greatest(z[1], z[3]))), 9)
     AS p_two_way
 FROM z""",
 
+    "relevance_model": "WITH " + ARTICLES + f""",
+t AS (SELECT article_id, {wt("concat_ws(' ', title, text)")} AS ts FROM articles),
+known AS (SELECT t.article_id, ts, quality AS y FROM t JOIN labels l ON l.doc_id = t.article_id
+          WHERE quality IN (0, 1)),
+counts AS (SELECT term, count(*) FILTER (y = 1) AS pos, count(*) FILTER (y = 0) AS neg
+           FROM (SELECT y, unnest(ts) AS term FROM known) GROUP BY term),
+totals AS (SELECT sum(pos) AS p, sum(neg) AS n, count(*) AS v FROM counts),
+weights AS (SELECT term, ln((pos + 1) / (p + v)) - ln((neg + 1) / (n + v)) AS w FROM counts, totals),
+prior AS (SELECT ln(count(*) FILTER (y = 1) + 1) - ln(count(*) FILTER (y = 0) + 1) AS prior FROM known),
+sums AS (SELECT article_id, sum(w) AS w
+         FROM (SELECT article_id, unnest(list_distinct(ts)) AS term FROM t) JOIN weights USING (term)
+         GROUP BY article_id)
+SELECT article_id, round(prior + coalesce(w, 0), 6) AS score
+FROM t LEFT JOIN sums USING (article_id), prior
+WHERE prior + coalesce(w, 0) >= {_dbl(rg.RELEVANCE_THRESHOLD)}""",
+
     "predicted_positives": "WITH " + STEPS + """
 SELECT article_id, step, argmax AS pred FROM e WHERE argmax = 1""",
 

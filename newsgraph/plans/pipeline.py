@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import dedup, relevance, sentences
+from ..session import materialize
 from ..sinks.writers import stage_path, write_by_day
 
 
@@ -82,9 +83,10 @@ STAGES: dict[str, Callable[[DataFrame, PipelineConfig], DataFrame]] = {
 
 def run_pipeline(df: DataFrame, tasks: list[str], cfg: PipelineConfig | None = None) -> DataFrame:
     """Apply the named stages in order.  Unknown names fail before any work
-    runs.  With ``output_path`` each stage's table is written per day under
-    its stage folder (the write is the only action; the returned DataFrame
-    stays lazy)."""
+    runs.  With ``output_path`` each stage's table is materialised once (a
+    checkpoint into the shared folder), written per day under its stage folder,
+    and is what the next stage reads, so no stage runs twice; without it the
+    returned DataFrame stays lazy."""
     cfg = cfg or PipelineConfig()
     registry = {**STAGES, **cfg.extra_stages}
     unknown = [t for t in tasks if t not in registry]
@@ -93,5 +95,6 @@ def run_pipeline(df: DataFrame, tasks: list[str], cfg: PipelineConfig | None = N
     for t in tasks:
         df = registry[t](df, cfg)
         if cfg.output_path:
+            df = materialize(df)
             write_by_day(df, stage_path(cfg.output_path, t), "json")
     return df

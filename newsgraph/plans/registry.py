@@ -258,18 +258,18 @@ def q_daily_counts(spark, sf):
 
 
 def q_dense_index_chunks(spark, sf):
-    a = indexing.with_dense_index(_articles(spark, sf).select("article_id"), ["article_id"])
-    return indexing.with_chunk(a, CHUNK_ROWS, reference_quirk=True).select("article_id", "index", "chunk")
+    a = indexing.with_dense_index(_articles(spark, sf).select("article_id", "title", "text"), ["article_id"])
+    return indexing.with_chunk(a, CHUNK_ROWS).select("article_id", "index", "chunk", "title",
+                                                     F.length("text").alias("text_chars"))
 
 
 def q_nli_entailment(spark, sf):
-    """I11 on the stand-in logits: the first three values as (entail,
-    neutral, contradiction), both softmax variants."""
+    """I11 on stand-in logits (entail, neutral, contradiction), both softmax
+    variants."""
     from ..functions.scoring import nli_softmax
-    st = tb.gen_steps(spark, sf)
-    z3 = F.slice("logits", 1, 3)
-    return st.select("article_id", "step", F.round(nli_softmax(z3, True), 9).alias("p_neutral"),
-                     F.round(nli_softmax(z3, False), 9).alias("p_two_way"))
+    st = tb.nli_logits(spark, sf)
+    return st.select("article_id", "step", F.round(nli_softmax("logits", True), 9).alias("p_neutral"),
+                     F.round(nli_softmax("logits", False), 9).alias("p_two_way"))
 
 
 def q_predicted_positives(spark, sf):
@@ -299,10 +299,11 @@ def q_tweet_clean(spark, sf):
 
 def q_relevance_model(spark, sf):
     a = _articles(spark, sf)
-    lab = tb.labels(spark, sf).select(F.col("doc_id").alias("article_id"), F.col("quality").cast("double")
-                                      .alias("label"))
-    model = relevance.fit_relevance(a.join(lab, "article_id"), max_iter=10)
-    return relevance.relevance_filter(a, model, RELEVANCE_THRESHOLD).select("article_id", "score")
+    lab = tb.labels(spark, sf).select(F.col("doc_id").alias("article_id"), F.col("quality").alias("label"))
+    model = relevance.fit_term_odds(a.join(lab, "article_id"))
+    scores = relevance.term_odds_scores(a, model)
+    kept = relevance.relevance_filter(a, scores, RELEVANCE_THRESHOLD, keys=["article_id"])
+    return kept.select("article_id", F.round("score", 6).alias("score"))
 
 
 QUERIES = {

@@ -32,10 +32,6 @@ def get_session(master: str | None = None, app: str = "newsgraph",
         if master.startswith("local"):
             # local mode: the driver JVM is the only executor
             b = b.config("spark.driver.memory", os.environ.get("NEWSGRAPH_DRIVER_MEMORY", "16g"))
-            # small test data: keep post-shuffle stages spread over the cores
-            # instead of coalescing them into one task (no effect at scale,
-            # where partitions are far above this size)
-            b = b.config("spark.sql.adaptive.coalescePartitions.enabled", "false")
     for k, v in {**DEFAULT_CONF, **SEMANTIC_CONF, **(extra or {})}.items():
         b = b.config(k, v)
     if shuffle_partitions:
@@ -50,8 +46,9 @@ def get_session(master: str | None = None, app: str = "newsgraph",
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    ``spark.checkpoint.dir`` is read from the session.  Only when it is
-    unset (local tests, a laptop) do we create our own scratch folder.
+    ``spark.checkpoint.dir`` is read from the session.  Where it is unset,
+    only a plain local session (its driver is its one executor) gets a scratch
+    folder of its own; a cluster whose executors could not read it raises.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -62,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir()
+    if not (sc.master == "local" or sc.master.startswith("local[")):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     local = tempfile.mkdtemp(prefix="newsgraph-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
     sc.setCheckpointDir(local)
     return sc.getCheckpointDir()

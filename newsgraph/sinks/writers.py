@@ -27,9 +27,11 @@ def write_by_day(df: DataFrame, path: str, fmt: str = "json", day_col: str = "da
     a default partition, so the copy is what is partitioned on).  Only the
     days present are overwritten.  JSON is written as JSON lines with
     non-ASCII kept; CSV gets array/struct columns as JSON strings.
-    ``order_col`` keeps rows in that order inside each written file (the
-    reference kept row order); no shuffle is added for it."""
-    out = df.withColumn("day", F.coalesce(F.col(day_col).cast("string"), F.lit("null")))
+    The rows are dealt by day, so that a day becomes few files however many
+    tasks made it; AQE splits a large day and joins small ones by their
+    measured size.  ``order_col`` keeps rows in that order inside each written
+    file."""
+    out = df.withColumn("day", F.coalesce(F.col(day_col).cast("string"), F.lit("null"))).hint("rebalance", "day")
     if order_col is not None:
         out = out.sortWithinPartitions("day", order_col)
     w = out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day")

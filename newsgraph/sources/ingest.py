@@ -2,6 +2,7 @@
 per-day landing with dynamic partition overwrite."""
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,13 +26,16 @@ def catch_up_days(source: DataFrame, local_mark, remote_mark, col: str = "dateti
     """Rows of every day in ``[local, remote]`` (both ends included, so
     the last landed day is fetched again).  Marks are ``yyyyMMdd`` strings
     or one-row DataFrames (e.g. ``high_water_mark``); no driver round trip.
-    A calendar of days is generated in-plan and semi-joined to the source,
-    so the day predicate reaches the scan as a join filter."""
+    A calendar of days is generated in-plan and semi-joined to the source.
+    Marks given as strings are also a literal range on the day, which prunes
+    the partitions of a day-partitioned source."""
     spark = source.sparkSession
     marks = attach_row(_mark_row(local_mark, "local", spark), _mark_row(remote_mark, "remote", spark))
     cal = marks.select(F.explode(F.sequence(F.to_date("local", "yyyyMMdd"), F.to_date("remote", "yyyyMMdd"),
                                             F.expr("INTERVAL 1 DAY"))).alias("d")) \
         .select(F.date_format("d", "yyyyMMdd").alias(col))
+    if isinstance(local_mark, str) and isinstance(remote_mark, str):
+        source = source.where(F.col(col).between(local_mark, remote_mark))
     return source.join(bounded_broadcast(cal), col, "left_semi")
 
 
@@ -65,28 +69,36 @@ def land_days(df: DataFrame, path: str, col: str = "datetime", fmt: str = "parqu
      .option("partitionOverwriteMode", "dynamic").partitionBy("day").format(fmt).save(path))
 
 
+def read_landed(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The table landed at ``path``, or None where nothing is there yet.  Any
+    other failure (a listing, a permission, a broken file) is raised: taken
+    for an empty table it would lose the landed rows at the next overwrite."""
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    try:
+        return reader.parquet(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        raise
+
+
 def update_tables(spark: SparkSession, specs: list[dict]) -> DataFrame:
     """For each spec ``{"name", "source": DataFrame, "path", "col"}`` land
     the catch-up days when the source is ahead of the landed table.
 
-    Returns ``(table, local, remote, n_days, action)``.  The two marks per
-    table are the only values brought to the driver (loop control)."""
+    Returns ``(table, local, remote, n_days, action)``; ``n_days`` counts the
+    calendar days fetched.  The two marks per table are the only values brought to the driver (loop control)."""
     rows = []
     for sp in specs:
         col = sp.get("col", "datetime")
         remote = high_water_mark(sp["source"], col).first()["mark"]
-        try:
-            landed = spark.read.parquet(sp["path"])
-            local = high_water_mark(landed, "day").first()["mark"]
-        except Exception:  # nothing landed yet
-            local = None
+        landed = read_landed(spark, sp["path"])
+        local = high_water_mark(landed, "day").first()["mark"] if landed is not None else None
         if remote is None or (local is not None and int(local) >= int(remote)):
             rows.append((sp["name"], local, remote, 0, "up-to-date"))
             continue
         start = local if local is not None else high_water_mark(
             sp["source"].select(F.min(col).alias(col)), col).first()["mark"]
-        batch = catch_up_days(sp["source"], start, remote, col)
-        land_days(batch, sp["path"], col)
-        n_days = batch.select(col).distinct().count()
-        rows.append((sp["name"], local, remote, n_days, "fetched"))
+        land_days(catch_up_days(sp["source"], start, remote, col), sp["path"], col)
+        rows.append((sp["name"], local, remote, len(day_predicates(start, remote, col)), "fetched"))
     return spark.createDataFrame(rows, "table string, local string, remote string, n_days long, action string")

@@ -15,8 +15,33 @@ ARTICLE_SCHEMA = T.StructType([
 ])
 
 
+_FILE = "_source_file"
+
+
+def _read_csv_by_name(spark: SparkSession, path: str | list[str], schema: T.StructType | None) -> DataFrame:
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value",
+                                         F.col("_metadata.file_block_start").alias("at"))
+    # the first line of each file; only file names and headers reach the driver
+    heads = lines.where("at = 0").groupBy("file").agg(F.first("value").alias("header"))
+    groups: dict[str, list[str]] = {}
+    for r in heads.orderBy("file").collect():
+        groups.setdefault(r["header"], []).append(r["file"])
+    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    out = None
+    for files in groups.values():
+        part = reader.csv(files)
+        part = part.select("*", F.col("_metadata.file_path").alias(_FILE))
+        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
+    if out is None:
+        return spark.createDataFrame([], (schema or T.StructType()).add(_FILE, "string"))
+    if schema is not None:
+        out = out.select(*((F.col(f.name) if f.name in out.columns else F.lit(None)).cast(f.dataType).alias(f.name)
+                           for f in schema.fields), _FILE)
+    return out
+
+
 def read_articles(spark: SparkSession, path: str | list[str], fmt: str = "csv",
-                  years: tuple[int, int] | Iterable[int] | None = (2017, 2023),
+                  years: tuple[int, int] | Iterable[int] | None = None,
                   schema: T.StructType | None = None,
                   sample: int | None = None, seed: int = 111) -> DataFrame:
     """Scan article files in one job.
@@ -26,24 +51,25 @@ def read_articles(spark: SparkSession, path: str | list[str], fmt: str = "csv",
     * ``years``: a ``(start, end)`` pair is end-exclusive; any other iterable
       is an explicit year list; ``None`` keeps every file.  The filter is on
       the first four characters of the *file name* (the ``_metadata``
-      column), one job for all years.
+      column), one job for all years.  A file without a year in front is
+      left out by any filter.
+    * CSV columns are aligned by name: files are grouped by their header
+      line, each group is read with its own header, and the groups are united
+      by name (a column that a group lacks is null).  With ``schema`` the
+      columns are picked from these by name.
     * A pandas index column ``__index_level_0__`` is dropped, and the
       unnamed leading index column is renamed ``original_index``, both only
       when present.
     * ``sample``: keep ``sample`` files chosen by a seeded hash of the path
       (debug runs); rows of the other files are never read.
     """
-    reader = spark.read
-    if schema is not None:
-        reader = reader.schema(schema)
     if fmt == "csv":
-        reader = reader.option("header", True).option("multiLine", True).option("escape", '"')
-        if schema is None:
-            reader = reader.option("inferSchema", False)
-    elif fmt == "json":
-        reader = reader.option("multiLine", False)
-    df = reader.format(fmt).load(path)
-    fname = F.col("_metadata.file_name")
+        df = _read_csv_by_name(spark, path, schema)
+    else:
+        reader = spark.read if schema is None else spark.read.schema(schema)
+        df = reader.format(fmt).load(path)
+    df = df if fmt == "csv" else df.select("*", F.col("_metadata.file_path").alias(_FILE))
+    fname = F.element_at(F.split(_FILE, "/"), -1)
     if years is not None:
         if isinstance(years, tuple) and len(years) == 2:
             year_ok = F.substring(fname, 1, 4).cast("int").between(years[0], years[1] - 1)
@@ -51,10 +77,9 @@ def read_articles(spark: SparkSession, path: str | list[str], fmt: str = "csv",
             year_ok = F.substring(fname, 1, 4).isin([str(y) for y in years])
         df = df.where(year_ok)
     if sample is not None:
-        files = (df.select(F.col("_metadata.file_path").alias("_fp")).distinct()
-                 .orderBy(F.xxhash64("_fp", F.lit(seed))).limit(sample))
-        df = (df.withColumn("_fp", F.col("_metadata.file_path"))
-              .join(F.broadcast(files), "_fp", "left_semi").drop("_fp"))
+        files = df.select(_FILE).distinct().orderBy(F.xxhash64(_FILE, F.lit(seed))).limit(sample)
+        df = df.join(F.broadcast(files), _FILE, "left_semi")  # ``sample`` names
+    df = df.drop(_FILE)
     if "__index_level_0__" in df.columns:
         df = df.drop("__index_level_0__")
     # the unnamed leading index column: pandas calls it 'Unnamed: 0', Spark's

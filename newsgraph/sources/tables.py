@@ -168,6 +168,16 @@ def gen_steps(spark: SparkSession, sf_dir: str) -> DataFrame:
                      (F.col("l_returnflag") == "R").cast("int").alias("label"))
 
 
+def nli_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """NLI stand-in: three logits (entail, neutral, contradiction) per order
+    line, from the line's discount, tax and quantity."""
+    li = table(spark, sf_dir, "lineitem")
+    z = F.array((F.col("l_discount") * 10.0) * 5.0, (F.col("l_tax") * 10.0) * 5.0,
+                (F.col("l_quantity") / 50.0) * 5.0)
+    return li.select(F.col("l_orderkey").alias("article_id"), (_line_pos() - 1).cast("int").alias("step"),
+                     z.alias("logits"))
+
+
 def coref_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Coreference span stand-in: offsets of listed words in ``documents``.
 

@@ -4,28 +4,72 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql import Window as W
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import dedup_title_keep_last
+from ..sources.ingest import read_landed
+
+_ARRIVED = "_arrived"
 
 
 def _landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except Exception:  # nothing landed yet
-        return spark.createDataFrame([], schema)
+    """The landed rows, empty where nothing has landed yet (only a missing
+    path counts as that; other failures stop the batch)."""
+    found = read_landed(spark, path, schema)
+    return spark.createDataFrame([], schema) if found is None else found.select(*schema.fieldNames())
 
 
-def _replace_days(spark: SparkSession, merged: DataFrame, dst: str, batch_id: int,
+def _replace_days(spark: SparkSession, days: DataFrame, rows: DataFrame, dst: str, batch_id: int,
                   day_col: str, schema: T.StructType) -> None:
-    """Write the recomputed days to a per-batch staging folder, then replace
-    exactly those day partitions of ``dst`` (Spark refuses to overwrite a
-    path the same job reads).  Re-running a batch id rewrites the same
-    staging folder and the same partitions: idempotent."""
-    stage = f"{dst.rstrip('/')}_staging/batch={batch_id}"
-    merged.withColumn("day", F.col(day_col)).write.mode("overwrite").parquet(stage)
-    (spark.read.parquet(stage).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy("day").parquet(dst))
+    """Make ``rows`` the whole content of the given ``days`` of ``dst``.
+
+    The rows are written to a per-batch staging folder first (Spark refuses to
+    overwrite a path the same job reads), then replace exactly those day
+    partitions.  A day that is left without rows is overwritten with none.
+    Re-running a batch id rewrites the same folders: idempotent."""
+    root = dst.rstrip("/")
+    staged = f"{root}_staging/batch={batch_id}"
+    rows.withColumn("day", F.col(day_col)).write.mode("overwrite").parquet(staged)
+    new = spark.read.parquet(staged)
+    (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(dst))
+    empty = days.join(new.select(day_col).distinct(), day_col, "left_anti").where(F.col(day_col).isNotNull())
+    for r in empty.collect():  # day names only
+        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{root}/day={r[0]}")
+
+
+def _upsert(spark: SparkSession, batch: DataFrame, batch_id: int, dst: str, key: str, day_col: str,
+            schema: T.StructType) -> DataFrame:
+    """Land a batch: the newest version of a key wins, wherever it was before.
+    Returns the touched days: those of the batch and those its keys left."""
+    columns = schema.fieldNames()
+    newest = W.partitionBy(key).orderBy(F.col(_ARRIVED).desc(), F.col("_row").desc())
+    b = (batch.withColumn("_row", F.monotonically_increasing_id())
+         .withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").select(*columns))
+    old = _landed(spark, dst, schema)
+    left = old.join(b.select(key), key, "left_semi").select(day_col)
+    days = b.select(day_col).unionByName(left).distinct().persist()
+    merged = (old.join(days, day_col, "left_semi").join(b.select(key), key, "left_anti").unionByName(b))
+    _replace_days(spark, days, merged, dst, batch_id, day_col, schema)
+    return days
+
+
+def _start(spark: SparkSession, src: str, checkpoint: str, schema: T.StructType, fmt: str, available_now: bool,
+           land) -> StreamingQuery:
+    stream = spark.readStream.schema(schema).format(fmt).load(src)
+    # arrival order: file time, then file name; rows of one file by position
+    stream = stream.withColumn(_ARRIVED, F.struct("_metadata.file_modification_time", "_metadata.file_path"))
+
+    def once(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # read several times below
+        try:
+            land(batch, batch_id)
+        finally:
+            batch.unpersist()
+
+    w = stream.writeStream.foreachBatch(once).option("checkpointLocation", checkpoint)
+    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
+    return w.start()
 
 
 def stream_ingest(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: T.StructType,
@@ -33,44 +77,33 @@ def stream_ingest(spark: SparkSession, src: str, dst: str, checkpoint: str, sche
                   available_now: bool = True) -> StreamingQuery:
     """L1: new article files -> day partitions of ``dst``.
 
-    Each micro-batch reads the days it touches from ``dst``, replaces rows
-    whose key arrives again (a re-fetched day does not duplicate), keeps
-    the day's other rows, and rewrites only those days."""
-    data_cols = [f.name for f in schema.fields]
+    A key that arrives again is replaced by its newest version, also when its
+    day has changed; only the touched days are rewritten."""
+    def land(batch: DataFrame, batch_id: int) -> None:
+        _upsert(spark, batch, batch_id, dst, key, day_col, schema).unpersist()
 
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        b = batch.dropDuplicates([key])
-        days = b.select(day_col).distinct()
-        old = _landed(spark, dst, schema).select(*data_cols).join(F.broadcast(days), day_col, "left_semi")
-        merged = old.join(b.select(key), key, "left_anti").unionByName(b.select(*data_cols))
-        _replace_days(spark, merged, dst, batch_id, day_col, schema)
-
-    stream = spark.readStream.schema(schema).format(fmt).load(src)
-    w = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    return _start(spark, src, checkpoint, schema, fmt, available_now, land)
 
 
 def stream_title_dedup(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: T.StructType,
                        key: str = "article_id", day_col: str = "datetime", title_col: str = "title",
                        fmt: str = "parquet", available_now: bool = True) -> StreamingQuery:
     """L2: same-day title dedup on a stream, keeping the LAST article as the
-    batch operator does.  Each micro-batch recomputes the days it touches
-    over landed + new rows.  (``dropDuplicatesWithinWatermark`` keeps the
-    first row, so it would not be equivalent.)"""
-    data_cols = [f.name for f in schema.fields]
-
-    def upsert(batch: DataFrame, batch_id: int) -> None:
-        days = batch.select(day_col).distinct()
-        old = _landed(spark, dst, schema).select(*data_cols).join(F.broadcast(days), day_col, "left_semi")
-        allrows = old.unionByName(batch.select(*data_cols)).dropDuplicates([key])
-        _replace_days(spark, dedup_title_keep_last(allrows, key, day_col, title_col), dst, batch_id,
+    batch operator does.  All articles land in ``<dst>_raw`` (newest version
+    per key); the days a batch touches are deduplicated again from there, so
+    an article that a later retitle sets free comes back.
+    (``dropDuplicatesWithinWatermark`` keeps the first row, so it would not be
+    equivalent.)"""
+    raw = dst.rstrip("/") + "_raw"
+
+    def land(batch: DataFrame, batch_id: int) -> None:
+        days = _upsert(spark, batch, batch_id, raw, key, day_col, schema)
+        rows = _landed(spark, raw, schema).join(days, day_col, "left_semi")
+        _replace_days(spark, days, dedup_title_keep_last(rows, key, day_col, title_col), dst, batch_id,
                       day_col, schema)
+        days.unpersist()
 
-    stream = spark.readStream.schema(schema).format(fmt).load(src)
-    w = stream.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint)
-    w = w.trigger(availableNow=True) if available_now else w.trigger(processingTime="1 minute")
-    return w.start()
+    return _start(spark, src, checkpoint, schema, fmt, available_now, land)
 
 
 def stream_daily_counts(spark: SparkSession, src: str, checkpoint: str, schema: T.StructType,
@@ -78,7 +111,8 @@ def stream_daily_counts(spark: SparkSession, src: str, checkpoint: str, schema:
                         name: str = "daily_counts", path: str | None = None,
                         fmt: str = "parquet") -> StreamingQuery:
     """L3: rows per day with a late-data bound: a day is emitted once the
-    watermark (max event time - ``lateness``) passes its end."""
+    watermark (max event time - ``lateness``) passes its end.  The last open
+    day therefore stays in the state until later events arrive."""
     stream = spark.readStream.schema(schema).format(fmt).load(src)
     agg = (stream.withWatermark(ts_col, lateness)
            .groupBy(F.window(ts_col, "1 day").alias("w"))

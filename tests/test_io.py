@@ -159,3 +159,70 @@ def test_stream_ingest_replay_is_idempotent(spark, tmp_dir):
     stream_ingest(spark, f"{src}/*", f"{tmp_dir}/land", f"{tmp_dir}/ck_b", schema).awaitTermination()
     landed = spark.read.parquet(f"{tmp_dir}/land")
     assert sorted(r.article_id for r in landed.collect()) == [0, 1, 2]
+
+
+def test_csv_columns_follow_their_names(spark, tmp_dir):
+    os.makedirs(f"{tmp_dir}/in")
+    for name, lines in [("2020_a.csv", ["title,text,datetime", "T1,x1,20200101"]),
+                        ("2021_b.csv", ["text,title,datetime", "x2,T2,20210101"]),
+                        ("2024b.csv", ["title,text", "T3,x3"]), ("plain.csv", ["title,text", "T4,x4"])]:
+        with open(f"{tmp_dir}/in/{name}", "w") as f:
+            f.write("\n".join(lines) + "\n")
+    rows = read_articles(spark, f"{tmp_dir}/in").collect()
+    assert sorted((r.title, r.text, r.datetime) for r in rows) == [
+        ("T1", "x1", "20200101"), ("T2", "x2", "20210101"), ("T3", "x3", None), ("T4", "x4", None)]
+    from newsgraph.sources.readers import ARTICLE_SCHEMA
+    typed = read_articles(spark, f"{tmp_dir}/in", schema=ARTICLE_SCHEMA)
+    assert typed.schema == ARTICLE_SCHEMA and {r.title for r in typed.collect()} == {"T1", "T2", "T3", "T4"}
+    assert read_articles(spark, f"{tmp_dir}/in", sample=2).count() == 2
+
+
+def _stream(spark, tmp_dir, run, batches, schema):
+    from pyspark.sql.types import StructType
+    for i, rows in enumerate(batches):
+        spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(f"{tmp_dir}/src/f{i}")
+        run(spark, f"{tmp_dir}/src/*", f"{tmp_dir}/dst", f"{tmp_dir}/ck", StructType.fromDDL(schema)).awaitTermination()
+    return sorted((r.article_id, r.datetime, r.title, r.text) for r in spark.read.schema(SCHEMA).parquet(
+        f"{tmp_dir}/dst").collect())
+
+
+def test_stream_ingest_newest_version_and_moved_day(spark, tmp_dir):
+    from newsgraph.streaming.ingest import stream_ingest
+    got = _stream(spark, tmp_dir, stream_ingest, [
+        [(1, "20200101", "A", "old"), (2, "20200102", "B", "y")],
+        [(1, "20200103", "A", "new")],              # moved: its first day is left empty
+        [(2, "20200102", "B", "v1")], [(2, "20200102", "B", "v2")]], SCHEMA)
+    assert got == [(1, "20200103", "A", "new"), (2, "20200102", "B", "v2")]
+
+
+def test_stream_title_dedup_retitle_equals_batch(spark, tmp_dir):
+    from newsgraph.streaming.ingest import stream_title_dedup
+    got = _stream(spark, tmp_dir, stream_title_dedup, [
+        [(1, "20200101", "A", "x"), (2, "20200101", "A", "y")],
+        [(2, "20200101", "C", "z")]], SCHEMA)
+    assert got == [(1, "20200101", "A", "x"), (2, "20200101", "C", "z")]
+
+
+def test_a_failed_read_is_not_an_empty_table(spark, tmp_dir):
+    import pytest
+    os.makedirs(f"{tmp_dir}/t")
+    with open(f"{tmp_dir}/t/part-0.parquet", "w") as f:
+        f.write("this is no parquet file")
+    with pytest.raises(Exception):
+        ingest.read_landed(spark, f"{tmp_dir}/t").collect()
+    assert ingest.read_landed(spark, f"{tmp_dir}/missing") is None
+
+
+def test_pipeline_runs_each_stage_once(spark, tmp_dir):
+    ran = spark.sparkContext.accumulator(0)
+
+    def count(rows):
+        for pdf in rows:
+            ran.add(len(pdf))
+            yield pdf
+
+    stage = lambda df, cfg: df.mapInPandas(count, df.schema)
+    df = spark.createDataFrame([(i, "20200101", f"T{i}", "x y z.") for i in range(20)], SCHEMA)
+    cfg = PipelineConfig(output_path=f"{tmp_dir}/out", extra_stages={"counted": stage})
+    out = run_pipeline(df, ["counted", "preprocess", "split_sentence"], cfg)
+    assert out.count() == 20 and ran.value == 20
