@@ -61,12 +61,14 @@ def collapse_copies(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 
 def _prefixes(reps: DataFrame, t2: float) -> DataFrame:
-    """(id, day, n, term) for the prefix elements of every representative.
-
-    Prefix length keeps elements until the remaining k satisfy k < t²·n
-    (one extra element guards the ceil against float rounding), with
-    elements in global (document frequency, term) order, rarest first."""
-    flat = reps.select("id", "day", "n", F.explode("sh").alias("term"))
+    """(id, day, n, term, rest) for the prefix elements of every representative.
+
+    ``term`` is the shingle's 64-bit hash (candidates are verified on the real
+    sets), ``rest`` the number of elements from this one on.  Prefix length
+    keeps elements until the remaining k satisfy k < t²·n (one extra element
+    guards the ceil against float rounding), with elements in global (document
+    frequency, term) order, rarest first."""
+    flat = reps.select("id", "day", "n", F.explode(F.transform("sh", lambda s: F.xxhash64(s))).alias("term"))
     dfreq = flat.groupBy("term").agg(F.count("*").alias("df"))
     ranked = flat.join(dfreq, "term")
     plen = F.least(F.col("n"), F.col("n") - F.ceil(F.col("n") * F.lit(t2)) + 2)
@@ -74,20 +76,25 @@ def _prefixes(reps: DataFrame, t2: float) -> DataFrame:
     # set is one source row, so no window partition is larger than a text)
     rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "term"))
     return (ranked.withColumn("_r", rank).where(F.col("_r") <= plen)
-            .select("id", "day", "n", "term"))
+            .select("id", "day", "n", "term", (F.col("n") - F.col("_r") + 1).alias("rest")))
+
 
+def _pair_candidates(pref: DataFrame, t: float) -> DataFrame:
+    """Candidate pairs sharing (day, term), by two exact filters.
 
-def _pair_candidates(a: DataFrame, b: DataFrame, t2: float, ordered: bool = True) -> DataFrame:
-    """Candidate pairs sharing (day, term), with the set-size filter:
-    cos ≥ t needs t²·n_a ≤ n_b ≤ n_a / t²."""
-    a, b = a.alias("a"), b.alias("b")
+    Size: cos ≥ t needs t²·n_a ≤ n_b ≤ n_a / t².  Position: no element before
+    a pair's first common one is shared, so its overlap is at most the smaller
+    of the two ``rest`` there; a pair that reaches the threshold passes at its
+    first common term, and one whose sets differ too much before it never
+    becomes a row."""
+    a, b = pref.alias("a"), pref.alias("b")
+    need = F.lit(t) * F.sqrt(F.col("a.n").cast("double") * F.col("b.n")) - F.lit(1e-9)
     cond = ((F.col("a.day") == F.col("b.day")) & (F.col("a.term") == F.col("b.term"))
-            & (F.col("b.n") >= F.col("a.n") * t2) & (F.col("a.n") >= F.col("b.n") * t2))
-    cond = cond & ((F.col("a.id") < F.col("b.id")) if ordered else (F.col("a.id") != F.col("b.id")))
-    return (a.join(b, cond)
-            .select(F.least("a.id", "b.id").alias("id_a"), F.greatest("a.id", "b.id").alias("id_b"),
-                    F.col("a.day").alias("day"))
-            .distinct())
+            & (F.col("a.id") < F.col("b.id"))
+            & (F.col("b.n") >= F.col("a.n") * (t * t)) & (F.col("a.n") >= F.col("b.n") * (t * t))
+            & (F.least("a.rest", "b.rest") >= need))
+    return (a.join(b, cond).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"),
+                                   F.col("a.day").alias("day")).distinct())
 
 
 def _verify(cand: DataFrame, reps: DataFrame, t: float) -> DataFrame:
@@ -106,47 +113,12 @@ def set_pairs(reps: DataFrame, eps: float) -> DataFrame:
 
     ``reps(id, day, sh, n)``; returns ``(id_a, id_b, day, sim)`` with
     ``id_a < id_b``.  Edge rule: ``overlap / sqrt(n_a * n_b) >= 1 - eps``.
-    This is the full edge list; ``component_edges`` gives a spanning
-    subset for clustering without pairing inside hot posting lists."""
+    Posting lists of any length go the same way."""
     t = 1.0 - eps
     if t <= 0:
         raise ValueError("eps must be < 1 for set similarity")
     pref = materialize(_prefixes(reps, t * t))   # read by both sides of the self-join
-    return _verify(_pair_candidates(pref, pref, t * t), reps, t)
-
-
-def component_edges(reps: DataFrame, eps: float, hot: int = 1000) -> DataFrame:
-    """Edges that connect exactly the same components as ``set_pairs``,
-    without forming all pairs of a hot posting list.
-
-    A posting list ``(day, term)`` with more than ``hot`` members (many
-    near-copies sharing a rare shingle) is handled by a pivot: its smallest
-    id is compared with every member; members linked to the pivot are
-    connected through it, so pairs *between two of them* are skipped.
-    Every other pair of the list (an unlinked member with any member) is
-    still verified, so no connection is lost.  Lists up to ``hot`` members
-    pair as usual.  Returns ``(id_a, id_b, day)``."""
-    t = 1.0 - eps
-    if t <= 0:
-        raise ValueError("eps must be < 1 for set similarity")
-    t2 = t * t
-    pref = _prefixes(reps, t2)
-    sizes = pref.groupBy("day", "term").agg(F.count("*").alias("_m"), F.min("id").alias("pivot"))
-    # tagged prefixes are read by the cold self-join (twice) and the hot paths
-    tagged = materialize(pref.join(sizes, ["day", "term"]))
-    cold = tagged.where(F.col("_m") <= hot).select("id", "day", "n", "term")
-    hotp = tagged.where(F.col("_m") > hot).select("id", "day", "n", "term", "pivot")
-    edges = _verify(_pair_candidates(cold, cold, t2), reps, t).select("id_a", "id_b", "day")
-    # pivot against every member of its list
-    piv = (hotp.where(F.col("id") != F.col("pivot"))
-           .select(F.col("pivot").alias("id_a"), F.col("id").alias("id_b"), "day").distinct())
-    linked = _verify(piv, reps, t).select("id_a", "id_b", "day")
-    # members of a hot list not linked to its pivot pair with every member
-    link_keys = linked.select(F.col("id_a").alias("pivot"), F.col("id_b").alias("id"), "day")
-    unlinked = (hotp.where(F.col("id") != F.col("pivot"))
-                .join(link_keys, ["pivot", "id", "day"], "left_anti"))
-    rest = _verify(_pair_candidates(unlinked.drop("pivot"), hotp.drop("pivot"), t2, ordered=False), reps, t)
-    return edges.unionByName(linked).unionByName(rest.select("id_a", "id_b", "day"))
+    return _verify(_pair_candidates(pref, t), reps, t)
 
 
 def similar_text_pairs(df: DataFrame, eps: float = 0.35, text_col: str = "text",
@@ -162,16 +134,6 @@ def similar_text_pairs(df: DataFrame, eps: float = 0.35, text_col: str = "text",
     return set_pairs(reps, eps), copies, reps.select(F.col("id").alias("node"))
 
 
-def text_component_edges(df: DataFrame, eps: float = 0.35, text_col: str = "text",
-                         id_col: str = "article_id", day_col: str = "datetime", k: int = 3,
-                         hot: int = 1000) -> tuple[DataFrame, DataFrame, DataFrame]:
-    """Like ``similar_text_pairs`` but with ``component_edges`` (for
-    clustering): ``(edges, copies, nodes)``."""
-    sets = shingle_sets(df, text_col, id_col, day_col, k)
-    reps, copies = collapse_copies(sets)
-    return component_edges(reps, eps, hot), copies, reps.select(F.col("id").alias("node"))
-
-
 def _norm(v):
     return F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
 

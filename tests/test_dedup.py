@@ -121,29 +121,51 @@ def test_erase_similar_keeps_first_of_cluster(spark):
         {(0, 0, True), (0, 1, False), (0, 2, False)}
 
 
-def test_hot_posting_lists_keep_components(spark):
-    """The pivot path for hot posting lists gives the same components as
-    full pairing (forced here with hot=2 on groups of near-copies)."""
+def test_template_texts_below_the_threshold_stay_linear(spark):
+    """Texts that share a template but not enough of it: no edge, and the
+    candidate rows grow with the number of texts, not with its square."""
+    from newsgraph.operators import similarity as sm
+
+    def candidates(n):
+        rows = [(i, "20200101", " ".join([f"t{k}" for k in range(22)] + [f"u{i}x{k}" for k in range(13)]))
+                for i in range(n)]
+        df = spark.createDataFrame(rows, "article_id long, datetime string, text string")
+        reps, _ = sm.collapse_copies(sm.shingle_sets(df))
+        pref = sm.materialize(sm._prefixes(reps, 0.65 ** 2))
+        assert sm.set_pairs(reps, 0.35).count() == 0
+        return sm._pair_candidates(pref, 0.65).count()
+
+    assert candidates(100) <= 100 and candidates(400) <= 400
+
+
+def test_labels_equal_full_pairing(spark):
+    """Groups of near-copies: components equal those of all verified pairs."""
     import random
-    rnd = random.Random(3)
-    words = [f"v{i}" for i in range(30)]
+    rng = random.Random(9)
     rows = []
-    i = 0
-    for g in range(5):
-        base = [rnd.choice(words) for _ in range(25)]
-        for _ in range(8):
-            b = list(base)
-            for _ in range(rnd.randint(0, 8)):
-                b[rnd.randrange(len(b))] = rnd.choice(words)
-            rows.append((i, "d" if g % 2 else "e", f"t{i}", " ".join(b)))
-            i += 1
-    df = spark.createDataFrame(rows, "article_id long, datetime string, title string, text string")
-    groups = lambda lab: sorted(sorted(r.id for r in lab.collect() if r.cluster_id == c)
-                                for c in {r.cluster_id for r in lab.collect()})
-    for eps in (0.3, 0.5):
-        full = dedup.component_labels(df, eps, hot=10_000)
-        piv = dedup.component_labels(df, eps, hot=2)
-        assert groups(full) == groups(piv), eps
+    for g in range(6):
+        base = [f"g{g}w{rng.randrange(60)}" for _ in range(50)]
+        for _ in range(12):
+            w = list(base)
+            for _ in range(rng.randrange(8)):
+                w[rng.randrange(50)] = f"e{rng.randrange(40)}"
+            rows.append((len(rows), "20200101", " ".join(w)))
+    df = spark.createDataFrame(rows, "article_id long, datetime string, text string")
+    sets = [{tuple(t.split()[i:i + 3]) for i in range(48)} for _, _, t in rows]
+    root = list(range(len(rows)))
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) / (len(sets[i]) * len(sets[j])) ** 0.5 >= 0.65:
+                a, b = sorted((find(i), find(j)))
+                root[b] = a
+    lab = {r.id: r.cluster_id for r in dedup.component_labels(df, 0.35).collect()}
+    assert lab == {i: find(i) for i in range(len(rows))}
 
 
 def test_dense_pivot_cells_match_brute_force(spark):
