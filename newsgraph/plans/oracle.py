@@ -209,8 +209,9 @@ WHERE f1.article_id = comp.cluster_id""",
 
     "cluster_report": "WITH RECURSIVE " + _shingle_ctes(rg.NEAR_DUP_EPS) + """,
 sizes AS (SELECT cluster_id, count(*) AS n_members FROM comp GROUP BY cluster_id HAVING count(*) > 1)
-SELECT comp.cluster_id, comp.node AS article_id, CAST(comp.node = comp.cluster_id AS INTEGER) AS is_rep, n_members
-FROM comp JOIN sizes USING (cluster_id)""",
+SELECT comp.cluster_id, comp.node AS article_id, CAST(comp.node = comp.cluster_id AS INTEGER) AS is_rep,
+       f1.original_index, f1.title, n_members
+FROM comp JOIN sizes USING (cluster_id) JOIN f1 ON f1.article_id = comp.node""",
 
     "dense_near_dup_edges": "WITH RECURSIVE " + _dense_ctes(rg.DENSE_EPS) + "\nSELECT id_a, id_b FROM dedges",
 
@@ -277,6 +278,23 @@ hot AS (SELECT e.article_id, e.step, e.token FROM e JOIN ends USING (article_id)
 cap AS (SELECT article_id, string_agg(token, ' ' ORDER BY step) AS captured FROM hot GROUP BY article_id)
 SELECT ends.article_id, coalesce(cap.captured, 'pass') AS captured FROM ends LEFT JOIN cap USING (article_id)""",
 
+    "only_uncertain": "WITH " + STEPS + f""",
+ends AS (SELECT article_id, min(step) FILTER (WHERE argmax = {tb.END_TOKEN_ID}) AS end_step FROM e GROUP BY article_id)
+SELECT e.article_id, string_agg(e.token, ' ' ORDER BY step) AS captured FROM e JOIN ends USING (article_id)
+WHERE end_step IS NOT NULL AND e.step < end_step AND e.entropy >= {_dbl(tb.ENTROPY_THRESHOLD)}
+GROUP BY e.article_id""",
+
+    "prompted_text": "WITH " + SPLIT + """
+SELECT article_id, 'summarize: ' || array_to_string(s, ' ') AS prompt FROM s""",
+
+    "scored_relations": "WITH RECURSIVE " + SCORED + f""",
+n AS (SELECT l_orderkey AS article_id, count(*) AS n FROM lineitem GROUP BY l_orderkey),
+model AS (SELECT hyp.*, (n * 7 + prop_ord * 3) % 11 / 10.0 AS p FROM hyp JOIN n USING (article_id))
+SELECT article_id, sbj_idx, obj_idx, prop AS relation, round(CAST(p AS DOUBLE), 9) AS prob
+FROM (SELECT * FROM model QUALIFY row_number() OVER (
+        PARTITION BY article_id, sbj_idx, obj_idx ORDER BY p DESC, prop_ord, t_ord) = 1)
+WHERE p > {_dbl(rg.RELATION_THRESHOLD)}""",
+
     "cluster_rep": "WITH " + SPANS + """
 SELECT k.article_id, k.cluster_id, best.rep FROM (SELECT DISTINCT article_id, cluster_id FROM d) k
 LEFT JOIN best USING (article_id, cluster_id)""",

@@ -66,7 +66,7 @@ def q_cluster_report(spark, sf):
     lab = dedup.component_labels(f1, NEAR_DUP_EPS)
     rep = dedup.cluster_report(f1, lab)
     return rep.select("cluster_id", "article_id", F.col("is_representative").cast("int").alias("is_rep"),
-                      "n_members")
+                      "original_index", "title", "n_members")
 
 
 def q_dense_near_dup_edges(spark, sf):
@@ -144,6 +144,37 @@ def q_uncertain_tokens(spark, sf):
     return u.select("article_id", F.array_join("error_captured", " ").alias("captured"))
 
 
+def q_only_uncertain(spark, sf):
+    """Articles with a captured token."""
+    u = uncertainty.uncertain_tokens(tb.gen_steps(spark, sf), threshold=tb.ENTROPY_THRESHOLD,
+                                     end_id=tb.END_TOKEN_ID)
+    return uncertainty.only_uncertain(u).select("article_id", F.array_join("error_captured", " ").alias("captured"))
+
+
+def q_prompted_text(spark, sf):
+    """I7 + I10: sentences joined to one paragraph behind the prompt."""
+    return _split(spark, sf).select("article_id", tx.with_prompt(tx.join_paragraphs("split_text")).alias("prompt"))
+
+
+def q_scored_relations(spark, sf):
+    """K1 + E5: relations by a model's score table (here a score per article
+    and property, from the line count of the article's order)."""
+    onto = tb.ontology(spark, sf)
+    lines = tb.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("article_id")).agg(
+        F.count("*").alias("n"))
+    props = onto["property"].select(F.col("name").alias("prop"), F.col("ord").alias("_ord"))
+    table = lines.withColumn("prop", F.explode(F.array(*(F.lit(p) for p, _ in tb.PROPERTIES)))).join(
+        bounded_broadcast(props), "prop").select(
+        "article_id", "prop", ((F.col("n") * 7 + F.col("_ord") * 3) % 11 / 10.0).alias("prob"))
+    pairs = relations.entity_pairs(_entities(spark, sf), ontology.candidate_relations(onto))
+    scored = relations.score_hypotheses(relations.hypotheses(pairs, onto["template"]), tb.premises(spark, sf),
+                                        scorer=table, keys=["article_id", "prop"])
+    b = relations.best_relation(scored, RELATION_THRESHOLD)
+    named = props.select(F.col("prop").alias("relation"), F.col("_ord").alias("prop_ord"))
+    return (b.join(bounded_broadcast(named), "prop_ord")
+            .select("article_id", "sbj_idx", "obj_idx", "relation", F.round("prob", 9).alias("prob")))
+
+
 def q_cluster_rep(spark, sf):
     return coref.cluster_representative(tb.coref_spans(spark, sf))
 
@@ -325,6 +356,9 @@ QUERIES = {
     "token_keep_mask": q_token_keep_mask,
     "step_entropy": q_step_entropy,
     "uncertain_tokens": q_uncertain_tokens,
+    "only_uncertain": q_only_uncertain,
+    "prompted_text": q_prompted_text,
+    "scored_relations": q_scored_relations,
     "cluster_rep": q_cluster_rep,
     "coref_rewrite": q_coref_rewrite,
     "class_closure": q_class_closure,
