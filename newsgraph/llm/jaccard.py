@@ -258,9 +258,10 @@ def verified_links(docs: DataFrame, classes: DataFrame, threshold: float = THRES
     return rows.groupBy("band", "bucket", "i", "j").applyInArrow(run, "set_key string, root string, links long")
 
 
-def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: float = RECALL,
-                 block: int = BLOCK) -> DataFrame:
-    """doc_id, class_id, n_links, n_copies for every row of ``docs``."""
+def joined(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, recall: float = RECALL,
+           block: int = BLOCK) -> DataFrame:
+    """doc_id, class_id, n_links, n_copies for every row of ``docs``, with
+    ``text_key`` (the text's digest) and ``class_key`` (one per class)."""
     bands, rows = choose_bands(threshold, recall)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
     sketch = stage(sketches(docs, bands, rows, n), "sketches")
@@ -272,19 +273,28 @@ def jaccard_join(docs: DataFrame, threshold: float = THRESHOLD, n: int = N, reca
     linked = classes.select("set_key", "rep", "n_texts").join(labels, "set_key", "left").join(counts, "set_key", "left")
     named = linked.join(linked.where("component is not null").groupBy("component").agg(F.min("rep").alias("least")),
                         "component", "left")
-    per_class = named.select("set_key", F.when(F.col("component").isNotNull(), F.col("least"))
-                             .otherwise(F.col("rep")).alias("class_id"),
-                             (F.coalesce("links", F.lit(0)) + F.col("n_texts") - 1).alias("n_links"))
+    per_class = named.select(
+        "set_key", F.coalesce("component", "set_key").alias("class_key"),
+        F.when(F.col("component").isNotNull(), F.col("least")).otherwise(F.col("rep")).alias("class_id"),
+        (F.coalesce("links", F.lit(0)) + F.col("n_texts") - 1).alias("n_links"))
     copies = sketch.groupBy("set_key", "text_key").agg(F.count("*").alias("n_copies"))
-    return (sketch.select("doc_id", "set_key", "text_key").join(copies.join(per_class, "set_key"),
-                                                                ["set_key", "text_key"])
-            .select("doc_id", "class_id", "n_links", "n_copies"))
+    return sketch.select("doc_id", "set_key", "text_key").join(copies.join(per_class, "set_key"),
+                                                               ["set_key", "text_key"])
+
+
+def jaccard_join(docs: DataFrame, **settings) -> DataFrame:
+    """doc_id, class_id, n_links, n_copies for every row of ``docs``."""
+    return joined(docs, **settings).select("doc_id", "class_id", "n_links", "n_copies")
 
 
 def keep_one(docs: DataFrame, **settings) -> DataFrame:
-    """One document of each class: the one with the smallest id (of rows with
-    equal ids, one), with all columns of ``docs``."""
-    first = jaccard_join(docs, **settings)
-    kept = first.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).select(F.col("doc_id").alias("kept_id")).distinct()
-    left = docs.join(kept, docs["doc_id"].eqNullSafe(kept["kept_id"]), "left_semi")
-    return left.dropDuplicates(["doc_id"])
+    """One document of each class: the one with the smallest id (null ids
+    last; of equal ids, the smallest text digest), with the columns of
+    ``docs``."""
+    order = F.struct(F.col("doc_id").isNull(), "doc_id", "text_key")
+    first = joined(docs, **settings).groupBy("class_key").agg(F.min(order).alias("first"))
+    kept = first.select(F.col("first.doc_id").alias("_kept_id"), F.col("first.text_key").alias("_kept_text"))
+    keyed = docs.withColumn("_text_key", F.md5(F.coalesce(F.col("text").cast("string"), F.lit(""))))
+    left = keyed.join(kept, keyed["doc_id"].cast("long").eqNullSafe(kept["_kept_id"])
+                      & (keyed["_text_key"] == kept["_kept_text"]), "left_semi")
+    return left.dropDuplicates(["doc_id", "_text_key"]).select(docs.columns)

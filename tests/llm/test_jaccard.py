@@ -90,8 +90,12 @@ def test_keep_one(spark):
     assert kept == {c for _, c, _, _ in brute(rows)}
 
 
-def test_keep_one_of_rows_with_equal_or_null_ids(odd_docs):
+def test_keep_one_of_rows_with_equal_or_null_ids(spark, odd_docs):
     kept = jaccard.keep_one(odd_docs)
     assert kept.columns == odd_docs.columns
-    ids = [r["doc_id"] for r in kept.collect()]
-    assert sorted(x for x in ids if x is not None) == [1, 2, 4, 7, 8, 9, 10, 11]
+    rows = kept.select("doc_id", "text").collect()
+    assert sorted(r["doc_id"] for r in rows if r["doc_id"] is not None) == [1, 2, 4, 7, 8, 9, 10, 11]
+    assert [r["text"] for r in rows if r["doc_id"] == 9] == ["same id, other text"]  # the other 9 copies 1
+    a, b = (" ".join(f"{c}{i}" for i in range(40)) for c in "ab")
+    df = spark.createDataFrame([(5, a), (5, b), (5, b), (6, a), (7, b)], "doc_id long, text string")
+    assert sorted(map(tuple, jaccard.keep_one(df).collect())) == [(5, a), (5, b)]
