@@ -5,7 +5,10 @@ stands at a place, and one of bytes for a character that is no piece.
 Forward Viterbi gives every place the best score of reaching it.  A search
 from the end of the text back to its beginning uses these scores as its A*
 heuristic; as they are exact, complete paths leave the queue in the order of
-their scores, and the first N are the N best.
+their scores, and the first N are the N best.  Scores are whole numbers of
+``UNIT``, so that paths of equal scores tie exactly; of these the one closest
+to its end goes on first, and no more than about N times a path's length of
+places are ever visited.
 
 No piece goes on across the space in front of a word, so the lattice is a
 chain of word lattices.  Only the N - 1 words whose second best path loses
@@ -21,9 +24,8 @@ Decoding joins the pieces and takes off the space put before the text, so
 every text comes back as it was; a literal U+2581, which the plain library
 turns into a space, is written as bytes.
 
-Null text counts as empty and has no pieces.  Of equal scores the paths whose
-last difference uses the longer piece come first, then those that change a
-later word.  Equal rows and null ids are kept, extra columns are ignored.
+Null text counts as empty and has no pieces.  Paths of equal scores have a
+fixed order.  Equal rows and null ids are kept, extra columns are ignored.
 """
 from __future__ import annotations
 
@@ -41,20 +43,22 @@ from pyspark.sql import functions as F
 
 N_BEST = 4
 #: Distinct words one Python worker remembers.
-CACHE_WORDS = 500_000
+CACHE_WORDS = 800_000
 SPACE = "▁"
+UNIT = 1e-4
 _WORD = re.compile(r" +[^ ]*")
 
-Path = tuple[float, tuple[int, ...]]
+#: Below any score.
+NONE = -(1 << 62)
 
 
-def search(n_places: int, into: list[list[tuple[int, float, tuple]]], forward: list[float],
-           n: int) -> list[tuple[float, tuple]]:
+def search(n_places: int, into: list[list[tuple[int, int, tuple]]], forward: list[int],
+           n: int) -> list[tuple[int, tuple]]:
     """The ``n`` best paths from place 0 to the last one.  ``into[j]``: the
     edges (from, score, label) that end at j, in order of preference."""
-    queue, made, found = [(-forward[-1], 0, n_places - 1, 0.0, None)], 0, []
+    queue, made, found = [(-forward[-1], n_places - 1, 0, 0, None)], 0, []
     while queue and len(found) < n:
-        _, _, place, score, path = heapq.heappop(queue)
+        _, place, _, score, path = heapq.heappop(queue)
         if place == 0:
             labels = []
             while path is not None:
@@ -63,9 +67,9 @@ def search(n_places: int, into: list[list[tuple[int, float, tuple]]], forward: l
             found.append((score, tuple(labels)))
             continue
         for start, s, label in into[place]:
-            if forward[start] > -math.inf:
+            if forward[start] > NONE:
                 made += 1
-                heapq.heappush(queue, (-(score + s + forward[start]), made, start, score + s, (label, path)))
+                heapq.heappush(queue, (-(score + s + forward[start]), start, made, score + s, (label, path)))
     return found
 
 
@@ -79,7 +83,7 @@ class Segmenter:
         self.bytes_of: list[bytes] = []
         self._byte_ids = [0] * 256
         #: piece or beginning of one -> score (below 0), or None for a mere beginning
-        self._score: dict[str, float | None] = {}
+        self._score: dict[str, int | None] = {}
         self._id: dict[str, int] = {}
         for i, s in enumerate(scores):
             piece = model.id_to_piece(i)
@@ -96,17 +100,17 @@ class Segmenter:
             self.bytes_of.append(text.encode())
             for k in range(1, len(text)):
                 self._score.setdefault(text[:k], None)
-            self._score[text] = min(-math.log(1 - s) if ranked else s, -1e-9)
+            self._score[text] = min(round((-math.log(1 - s) if ranked else s) / UNIT), -1)
             self._id[text] = i
         self._alone = {x for x in self._id if len(x) == 1}
         self._longest = max(map(len, self._id), default=1)
         #: letter and stop that stand together inside some piece
         self._joined = {x for piece in self._id for x in re.findall(r"(?=([^\W\d_][.,]))", piece)}
-        self._byte_score = min(x for x in self._score.values() if x) - 10
-        self._best: dict[str, tuple[bytes, float, float]] = {}
-        self._paths: dict[str, list[tuple[float, bytes]]] = {}
+        self._byte_score = min(x for x in self._score.values() if x) - round(10 / UNIT)
+        self._best: dict[str, tuple[bytes, int, int]] = {}
+        self._paths: dict[str, list[tuple[int, bytes]]] = {}
 
-    def edges(self, word: str) -> list[tuple[int, int, float, tuple[int, ...]]]:
+    def edges(self, word: str) -> list[tuple[int, int, int, tuple[int, ...]]]:
         """(from, to, score, ids) of a word's lattice, by falling length from
         each place."""
         out, size = [], len(word)
@@ -124,7 +128,7 @@ class Segmenter:
             out += reversed(here)
         return out
 
-    def _word(self, word: str) -> tuple[bytes, float, float]:
+    def _word(self, word: str) -> tuple[bytes, int, int]:
         """Ids and score of a word's best path, and what its second best loses
         (forward Viterbi that keeps the two best scores of every place)."""
         # a stop or comma behind a letter mostly begins a piece, so the word without it may be known
@@ -133,8 +137,8 @@ class Segmenter:
             (ids, score, loss), tail = self.word(core), self.word(word[len(core):])
             return ids + tail[0], score + tail[1], min(loss, tail[2])
         get, size, alone, longest = self._score.get, len(word), self._alone, self._longest
-        first, second = [-math.inf] * (size + 1), [-math.inf] * (size + 1)
-        first[0] = 0.0
+        first, second = [NONE] * (size + 1), [NONE] * (size + 1)
+        first[0] = 0
         start_of = [0] * (size + 1)
         for i in range(size):
             here, here2 = first[i], second[i]
@@ -168,20 +172,20 @@ class Segmenter:
         ids.reverse()
         return _bytes(ids), first[size], first[size] - second[size]
 
-    def word(self, word: str) -> tuple[bytes, float, float]:
+    def word(self, word: str) -> tuple[bytes, int, int]:
         if (known := self._best.get(word)) is None:
             if len(self._best) >= CACHE_WORDS:
                 self._best.clear()
             known = self._best[word] = self._word(word)
         return known
 
-    def paths(self, word: str) -> list[tuple[float, bytes]]:
+    def paths(self, word: str) -> list[tuple[int, bytes]]:
         """A word's N best paths."""
         if (known := self._paths.get(word)) is None:
             if len(self._paths) >= CACHE_WORDS // 20:
                 self._paths.clear()
             into: list[list] = [[] for _ in range(len(word) + 1)]
-            forward = [0.0] + [-math.inf] * len(word)
+            forward = [0] + [NONE] * len(word)
             for i, j, s, ids in self.edges(word):
                 into[j].append((i, s, ids))
                 forward[j] = max(forward[j], forward[i] + s)
@@ -200,18 +204,18 @@ class Segmenter:
             words = [" " + w for w in text.split(" ")]
         get = self._best.get
         known = [get(w) or self.word(w) for w in words]
-        total = math.fsum([k[1] for k in known])
+        total = sum([k[1] for k in known])
         losses = [k[2] for k in known]
         ids = [k[0] for k in known]
         # the words with the smallest losses, in text order, are the places of a small lattice
         free = sorted(heapq.nsmallest(self.n_best - 1, range(len(words)), key=losses.__getitem__))
-        free = [w for w in free if losses[w] < math.inf]
+        free = [w for w in free if losses[w] < -NONE // 2]
         into = [[]] + [[(k, s - known[w][1], (w, p)) for s, p in self.paths(words[w])] for k, w in enumerate(free)]
         out = []
-        for loss, labels in search(len(free) + 1, into, [0.0] * (len(free) + 1), self.n_best):
+        for loss, labels in search(len(free) + 1, into, [0] * (len(free) + 1), self.n_best):
             for w, p in labels:
                 ids[w] = p
-            out.append((total + loss, b"".join(ids)))
+            out.append(((total + loss) * UNIT, b"".join(ids)))
         return out
 
     def decode(self, ids: bytes) -> str:
