@@ -27,6 +27,7 @@ from __future__ import annotations
 
 import html as references
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -39,8 +40,6 @@ from .url_filter import url_parts
 BLOCK = 64
 #: Tokens looked ahead for the end of a surplus, and back for a repeated group.
 REACH = 400
-#: A wrapper this long learns no more; later pages are read with it as it is.
-MAX_NODES = 4000
 
 # What HTML says about its elements.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
@@ -75,14 +74,21 @@ class Token:
     path: tuple       # keys of the open elements around it
 
 
-@dataclass(slots=True)
+@dataclass(slots=True, eq=False)
 class Node:
     key: str
     text: str | None  # a text all pages share; None: a slot
     path: tuple
-    mass: int = 0     # characters of variable text seen here
-    back: int = -1    # a repeated group ends here; where it begins
-    seen: int = 1     # pages that have it
+    prev: Node | None = None
+    next: Node | None = None
+    loops: dict[str, Node] | None = None  # repeated groups that end here: first key, first node
+    gone: bool = False
+    pos: int = -1     # place in the wrapper when last counted
+
+    @property
+    def back(self) -> int:
+        """Where a repeated group that ends here begins, or -1."""
+        return max((n.pos for n in (self.loops or {}).values() if not n.gone), default=-1)
 
 
 def tokens(page: str) -> list[Token]:
@@ -137,9 +143,22 @@ def tokens(page: str) -> list[Token]:
 
 
 class Wrapper:
+    """The expression is a ring of linked nodes, so that it grows and folds
+    without a look at its other nodes, whatever its length."""
+
     def __init__(self, first: list[Token]):
-        self.nodes = [Node(t.key, t.text if not t.key else "", t.path) for t in first]
-        self.pages = 1
+        self.end = end = Node("/", "", ())
+        end.prev = end.next = end
+        self.follow(first)
+
+    @property
+    def nodes(self) -> list[Node]:
+        out, n = [], self.end.next
+        while n is not self.end:
+            n.pos = len(out)
+            out.append(n)
+            n = n.next
+        return out
 
     def _fits(self, group: list[str], stream: list[str], at: int) -> int:
         """Where ``stream`` stands after one more run of ``group`` from ``at``,
@@ -155,126 +174,145 @@ class Wrapper:
                 return -1
         return at
 
-    def _group(self, keys: list[str], end: int, opening: str) -> int:
-        """Where the group ending at ``end`` begins with ``opening``, or -1."""
-        for s in range(end - 1, max(-1, end - REACH), -1):
-            if keys[s] == opening:
-                return s
-        return -1
+    def _group(self, last: Node, opening: str) -> list[Node]:
+        """The closed group of nodes that ends with ``last`` and begins with
+        ``opening`` beside it, or none."""
+        if last.key and last.key[0] != "/" and last.key.split(" ")[0] not in VOID | RAW:
+            return []
+        out, depth, n = [], len(last.path), last
+        while len(out) < REACH and n is not self.end and len(n.path) >= depth:
+            out.append(n)
+            if n.key == opening and len(n.path) == depth:
+                return out[::-1]
+            n = n.prev
+        return []
 
     def align(self, page: list[Token], learn: bool = True) -> list[int]:
-        """Node index of every token; with ``learn`` the wrapper grows to
-        accept the page."""
-        nodes, stream = self.nodes, [t.key for t in page]
-        at = [-1] * len(page)
-        i = j = 0
+        """Place in the wrapper of every token's node, -1 where it has none;
+        with ``learn`` the wrapper grows to accept the page."""
+        met = self.follow(page, learn)
+        _ = self.nodes  # counts them
+        return [n.pos if n else -1 for n in met]
+
+    def follow(self, page: list[Token], learn: bool = True) -> list[Node | None]:
+        """The node of every token."""
+        end, stream = self.end, [t.key for t in page]
+        met: list[Node | None] = [None] * len(page)
+        i, j = end.next, 0
+        gap, stop = None, 0  # up to ``stop`` the page has a surplus before node ``gap``
         while j < len(page):
             t = page[j]
-            node = nodes[i] if i < len(nodes) else None
+            node = None if i is end or i is gap and j < stop else i
             if node and node.key == t.key:
-                node.seen += learn
-                if not t.key and node.text is not None and node.text != t.text:
-                    if learn:
-                        node.mass += len(node.text) + len(t.text)
-                        node.text = None
-                elif not t.key and node.text is None and learn:
-                    node.mass += len(t.text)
-                at[j] = i
-                i, j = i + 1, j + 1
+                if learn and not t.key and node.text != t.text:
+                    node.text = None
+                met[j] = node
+                i, j = node.next, j + 1
                 continue
-            if i and nodes[i - 1].back >= 0 and nodes[nodes[i - 1].back].key == t.key:
-                i = nodes[i - 1].back  # once more through a repeated group
+            last = i.prev
+            if last.loops and (first := last.loops.get(t.key)) and not first.gone:
+                met[j] = first  # once more through a repeated group
+                i, j = first.next, j + 1
                 continue
             if node and not node.key:  # a text that this page lacks
-                i += 1
+                i = i.next
                 continue
             if not t.key:  # a text that the wrapper lacks
                 if learn:
-                    self._insert(i, [t])
-                    at[j] = i
-                    i += 1
+                    met[j] = self._insert(i, t)
                 j += 1
                 continue
             # the page repeats the group just matched
-            keys = [n.key for n in nodes[max(0, i - REACH):i]]
-            if i and t.key[:1] != "/" and (s := self._group(keys, len(keys), t.key)) >= 0 \
-                    and self._fits(keys[s:], stream, j) > 0:
-                s += max(0, i - REACH)
+            if t.key[0] != "/" and (group := self._group(last, t.key)) \
+                    and self._fits([n.key for n in group], stream, j) > 0:
                 if learn:
-                    nodes[i - 1].back = s
-                i = s
+                    last.loops = {**(last.loops or {}), t.key: group[0]}
+                met[j] = group[0]
+                i, j = group[0].next, j + 1
                 continue
             # the wrapper repeats the group just matched: fold it
-            if learn and node and node.key[:1] != "/":
-                ahead = [n.key for n in nodes[i:i + REACH]]
-                s = self._group(keys, len(keys), node.key)
-                if s >= 0 and (e := self._fits(keys[s:], ahead, 0)) > 0:
-                    s += max(0, i - REACH)
-                    for n in nodes[i:i + e]:
-                        if not n.key:
-                            for old in nodes[s:i]:
-                                if not old.key:
-                                    old.mass += len(n.text or "") + n.mass
-                                    old.text = None
-                                    break
-                    self._remove(i, e)
-                    nodes[i - 1].back = s
+            if learn and node and node.key[0] != "/" and (group := self._group(last, node.key)):
+                e = self._fits([n.key for n in group], [n.key for n in self._ahead(i)], 0)
+                if e > 0:
+                    for n in group:
+                        n.text = "" if n.key else None
+                    last.loops = {**(last.loops or {}), node.key: group[0]}
+                    i = self._remove(i, e)
                     continue
-            skip_page = next((k for k in range(j + 1, min(len(page), j + REACH)) if node and stream[k] == node.key), -1)
-            skip_wrapper = next((m for m in range(i + 1, min(len(nodes), i + REACH)) if nodes[m].key == t.key), -1)
-            if skip_wrapper >= 0 and (skip_page < 0 or skip_wrapper - i <= skip_page - j):
-                i = skip_wrapper  # optional in the wrapper
-            elif skip_page >= 0 or node is None:
-                stop = skip_page if skip_page >= 0 else len(page)
-                if learn:  # optional, known from this page on
-                    self._insert(i, page[j:stop])
-                    at[j:stop] = range(i, i + stop - j)
-                    i += stop - j
-                j = stop
-            else:
-                if learn:
-                    self._insert(i, [t])
-                    at[j] = i
-                    i += 1
-                j += 1
-        self.pages += learn
-        return at
-
-    def _insert(self, i: int, page: list[Token]) -> None:
-        new = [Node(t.key, None if not t.key else "", t.path, len(t.text)) for t in page]
-        for n in self.nodes:
-            if n.back >= i:
-                n.back += len(new)
-        self.nodes[i:i] = new
-
-    def _remove(self, i: int, n: int) -> None:
-        del self.nodes[i:i + n]
-        for node in self.nodes:
-            if node.back >= i + n:
-                node.back -= n
-            elif node.back >= i:
-                node.back = -1
-
-    def region(self) -> tuple[tuple, bool]:
-        """Path of the elements that hold the article, and whether they are
-        marked as such: of the marked regions the one with the most text, else
-        the deepest container that holds most of the text outside boilerplate.
-        Of a lone page, and where no text varies, all text counts."""
-        mass: dict[tuple, int] = {}
-        texts = [n for n in self.nodes if not n.key and not boilerplate(n.path)]
-        varies = any(n.mass for n in texts)
-        for n in texts:
-            for depth in range(len(n.path) + 1):
-                mass[n.path[:depth]] = mass.get(n.path[:depth], 0) + (n.mass if varies else len(n.text or ""))
-        marked = [p for p in mass if p and is_article(p[-1]) and not any(is_article(k) for k in p[:-1])]
-        if marked:
-            return max(marked, key=lambda p: (mass[p], -len(p))), True
-        deep = [p for p, m in mass.items() if 10 * m >= 7 * mass[()] and p and p[-1].split(" ")[0] in CONTAINERS]
-        return max(deep, key=len, default=()), not varies
-
-    def constant(self, i: int) -> bool:
-        """Whether node i is a text that pages share."""
-        return self.nodes[i].text is not None and self.nodes[i].seen > 1
+            skip_page, later = -1, None
+            if node:
+                try:
+                    skip_page = stream.index(node.key, j + 1, j + REACH)
+                except ValueError:
+                    pass
+                later = next(((n, k) for k, n in enumerate(self._ahead(i)) if n.key == t.key), None)
+            if later and (skip_page < 0 or later[1] <= skip_page - j):
+                met[j] = later[0]  # optional in the wrapper
+                i, j = later[0].next, j + 1
+                continue
+            if skip_page >= 0:  # optional, known from this page on
+                gap, stop = i, skip_page
+            if learn:
+                met[j] = self._insert(i, t)
+            j += 1
+        return met
+
+    def _ahead(self, i: Node) -> list[Node]:
+        out = []
+        while i is not self.end and len(out) < REACH:
+            out.append(i)
+            i = i.next
+        return out
+
+    def _insert(self, i: Node, t: Token) -> Node:
+        n = Node(t.key, t.text if not t.key else "", t.path, i.prev, i)
+        i.prev.next = i.prev = n
+        return n
+
+    def _remove(self, i: Node, n: int) -> Node:
+        """The node behind the ``n`` nodes that go, from ``i`` on."""
+        before = i.prev
+        for _ in range(n):
+            i.gone, i.pos = True, -1
+            i = i.next
+        before.next, i.prev = i, before
+        return i
+
+
+class Shared:
+    """Texts that most pages have at the same node."""
+
+    def __init__(self, streams: list[list[Token]], met: list[list[Node | None]]):
+        self.pages = len(streams)
+        self.seen = Counter(x for s, m in zip(streams, met, strict=True)
+                            for x in {(n, t.text) for t, n in zip(s, m, strict=True) if n and not t.key})
+
+    def __call__(self, node: Node | None, text: str) -> bool:
+        seen = self.seen[node, text]
+        return seen > 1 and 2 * seen > self.pages
+
+
+def region(streams: list[list[Token]], met: list[list[Node | None]], shared: Shared) -> tuple[tuple, bool]:
+    """Path of the elements that hold the article, and whether all texts
+    there count: of the marked regions the one with the most text, else the
+    deepest container that holds most of the text outside boilerplate.  Where
+    no text varies, all text counts."""
+    texts = [(n.path if n else t.path, len(t.text), not shared(n, t.text))
+             for s, m in zip(streams, met, strict=True) for t, n in zip(s, m, strict=True) if not t.key]
+    varies = any(own for *_, own in texts)
+    by_path: Counter[tuple] = Counter()
+    for path, size, own in texts:
+        by_path[path] += size if own or not varies else 0
+    mass: Counter[tuple] = Counter()
+    for path, size in by_path.items():
+        if not boilerplate(path):
+            for depth in range(len(path) + 1):
+                mass[path[:depth]] += size
+    marked = [p for p in mass if p and is_article(p[-1]) and not any(is_article(k) for k in p[:-1])]
+    if marked:
+        return max(marked, key=lambda p: (mass[p], -len(p))), True
+    deep = [p for p, m in mass.items() if 10 * m >= 7 * mass[()] and p and p[-1].split(" ")[0] in CONTAINERS]
+    return max(deep, key=len, default=()), not varies
 
 
 def is_article(key: str) -> bool:
@@ -299,21 +337,21 @@ def boilerplate(path: tuple) -> bool:
     return False
 
 
-def main_text(page: list[Token], at: list[int], wrapper: Wrapper, region: tuple, whole: bool) -> str:
+def main_text(page: list[Token], met: list[Node | None], shared: Shared, region: tuple, whole: bool) -> str:
     """Blocks of the page's tokens that lie in the region, one per line;
     unless ``whole``, without the texts that pages share."""
     depth, lines, block = len(region), [], []
     skipped: dict[tuple, bool] = {}
-    for t, i in zip(page, at, strict=True):
+    for t, n in zip(page, met, strict=True):
         if t.key:
             if t.key.lstrip("/").split(" ")[0] in BLOCKS:
                 lines.append("".join(block))
                 block = []
             continue
-        path = wrapper.nodes[i].path if i >= 0 else t.path
+        path = n.path if n else t.path
         if path not in skipped:
             skipped[path] = path[:depth] != region or boilerplate(path)
-        if not skipped[path] and (whole or i < 0 or not wrapper.constant(i)):
+        if not skipped[path] and (whole or not shared(n, t.text)):
             block.append(t.text)
     lines.append("".join(block))
     clean = (" ".join(references.unescape(x).split()) for x in lines)
@@ -325,9 +363,11 @@ def extract_block(pages: list[str]) -> list[str]:
     streams = [tokens(p) for p in pages]
     wrapper = Wrapper(streams[0])
     for s in streams[1:]:
-        wrapper.align(s, learn=len(wrapper.nodes) < MAX_NODES)
-    region = wrapper.region()
-    return [main_text(s, wrapper.align(s, learn=False), wrapper, *region) for s in streams]
+        wrapper.follow(s)
+    met = [wrapper.follow(s, learn=False) for s in streams]
+    shared = Shared(streams, met)
+    where = region(streams, met, shared)
+    return [main_text(s, m, shared, *where) for s, m in zip(streams, met, strict=True)]
 
 
 def extract(pages: DataFrame, block: int = BLOCK) -> DataFrame:

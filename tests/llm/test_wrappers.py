@@ -68,3 +68,17 @@ def test_odd_rows(spark):
     got = sorted(((r["page_id"], r["n_chars"]) for r in wrappers.op2(df).collect()), key=str)
     assert got == sorted([(1, 0), (2, 2), (2, 2), (None, 0), (3, 499_999)], key=str)
     assert wrappers.op2(df.limit(0)).collect() == []
+
+
+def test_pages_after_a_long_first_page_are_learned():
+    texts = [[f"Line number {k} {i}." for i in range(n)] for k, n in enumerate((1500, 3, 4, 5, 6))]
+    pages = [page(f"T{k}", ["Said on every page.", *x], notice=k % 2 == 1) for k, x in enumerate(texts)]
+    assert wrappers.extract_block(pages) == ["\n".join([f"T{k}", *x]) for k, x in enumerate(texts)]
+    # varied pages: a new element on every page is learned, also beyond 4,000 nodes
+    streams = [wrappers.tokens("<div>" + "".join(f"<p class='c{k} d{i}'>x{k}</p>" for i in range(90)) + "</div>")
+               for k in range(64)]
+    w = wrappers.Wrapper(streams[0])
+    for s in streams[1:]:
+        w.align(s)
+    assert len(w.nodes) > 4000
+    assert all(i >= 0 for s in streams for i in w.align(s, learn=False))
