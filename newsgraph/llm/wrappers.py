@@ -9,11 +9,13 @@ regular expression over tokens:
   repeated one;
 * any other surplus on either side becomes optional.
 
-The wrapper then says where the pages' variable text lies: the region (a path
-of open tags) that holds most of it, or is marked as an article, is the
-article, and every page's tokens aligned with nodes of that region are its
-text.  Boilerplate inside the region (by tag, class, id or role) stays out; in
-a region that is not marked, so do texts that the pages share.
+On a page that marks elements as article, the text in all of these is the
+article, and so is the text at places of the wrapper that lie in such elements
+on most pages.  For the other pages of the block the wrapper says which texts
+vary: the region (a path of open tags, without marks that change from page to
+page) that holds most of them is the article, and texts that most pages share
+stay out; pages of another layout have a region of their own.  Boilerplate
+inside the region (by tag, class, id or role) stays out.
 
 Pages are sorted by host and dealt in runs of at most ``BLOCK`` pages, one
 wrapper each, so a host of any size is spread over many tasks and no task
@@ -48,6 +50,7 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
                    "figure footer form h1 h2 h3 h4 h5 h6 head header hr html legend li main nav ol p pre section "
                    "summary table tbody td tfoot th thead tr ul".split())
 CONTAINERS = frozenset("article body center div main section table tbody td".split())
+SINGLE = frozenset("html body article main".split())
 CLOSED_BY = {  # an open element of the key ends where one of these begins
     "p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
     "th": {"td", "th", "tr"}, "option": {"option"}}
@@ -64,6 +67,7 @@ _TOKEN = re.compile(
     r"|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:\"[^\"]*\"|'[^']*'|[^'\">])*)(?:>|\Z)"
     r"|(?P<text>[^<]+|<)", re.S)
 _MARK = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
+_DIGITS = re.compile(r"\d+")
 _RAW_END = {name: re.compile(rf"</{name}(?=[\s/>])[^>]*(?:>|\Z)", re.I) for name in RAW}
 
 
@@ -292,27 +296,59 @@ class Shared:
         return seen > 1 and 2 * seen > self.pages
 
 
-def region(streams: list[list[Token]], met: list[list[Node | None]], shared: Shared) -> tuple[tuple, bool]:
-    """Path of the elements that hold the article, and whether all texts
-    there count: of the marked regions the one with the most text, else the
-    deepest container that holds most of the text outside boilerplate.  Where
-    no text varies, all text counts."""
-    texts = [(n.path if n else t.path, len(t.text), not shared(n, t.text))
-             for s, m in zip(streams, met, strict=True) for t, n in zip(s, m, strict=True) if not t.key]
-    varies = any(own for *_, own in texts)
+def loosened(streams: list[list[Token]]) -> list[list[Token]]:
+    """The tokens by which pages align: elements that a page has one of lose
+    their marks, digits count as one sign, and marks of one page only go where
+    most pages have such marks on the tag."""
+    def marks(key: str) -> list[tuple[str, str]]:
+        name, *words = _DIGITS.sub("#", key).split(" ")
+        return [(name, w) for w in words]
+
+    heads = [{t.key for t in s if t.key and t.key[0] != "/"} for s in streams]
+    on = Counter(m for keys in heads for m in {m for k in keys for m in marks(k)})
+    own = Counter(name for keys in heads for name in {m[0] for k in keys for m in marks(k) if on[m] == 1})
+    loose = {name for name, n in own.items() if n > 1 and 2 * n >= len(streams)}
+    keys: dict[str, str] = {}
+    paths: dict[tuple, tuple] = {}
+
+    def key(k: str) -> str:
+        if k not in keys:
+            name = k.split(" ")[0]
+            kept = [] if name in SINGLE else [m[1] for m in marks(k) if on[m] > 1 or name not in loose]
+            keys[k] = " ".join([name, *kept])
+        return keys[k]
+
+    def path(p: tuple) -> tuple:
+        if p not in paths:
+            paths[p] = tuple(map(key, p))
+        return paths[p]
+
+    return [[Token(key(t.key), t.text, path(t.path)) for t in s] for s in streams]
+
+
+def marked(page: list[Token]) -> list[bool]:
+    """Whether each text lies in an element marked as article: in the
+    outermost one around any that is marked by its tag or a whole class, id or
+    role, and where the page has none of these, by a part of one."""
+    paths = {t.path for t in page if not t.key}
+    found = [p for p in paths if any(map(is_article, p)) and not boilerplate(p)]
+    whole = [p for p in found if any(not IN_WORDS.union(IN_TAGS).isdisjoint(k.split(" ")) for k in p)]
+    roots = {p[:next(d for d, k in enumerate(p, 1) if is_article(k))] for p in whole or found}
+    inside = {p: any(p[:len(r)] == r for r in roots) and not boilerplate(p) for p in paths}
+    return [not t.key and inside[t.path] for t in page]
+
+
+def region(texts: list[tuple[tuple, int]]) -> tuple:
+    """Path of the deepest container that holds most of the texts (path, size)."""
     by_path: Counter[tuple] = Counter()
-    for path, size, own in texts:
-        by_path[path] += size if own or not varies else 0
+    for path, size in texts:
+        by_path[path] += size
     mass: Counter[tuple] = Counter()
     for path, size in by_path.items():
-        if not boilerplate(path):
-            for depth in range(len(path) + 1):
-                mass[path[:depth]] += size
-    marked = [p for p in mass if p and is_article(p[-1]) and not any(is_article(k) for k in p[:-1])]
-    if marked:
-        return max(marked, key=lambda p: (mass[p], -len(p))), True
+        for depth in range(len(path) + 1):
+            mass[path[:depth]] += size
     deep = [p for p, m in mass.items() if 10 * m >= 7 * mass[()] and p and p[-1].split(" ")[0] in CONTAINERS]
-    return max(deep, key=len, default=()), not varies
+    return max(deep, key=len, default=())
 
 
 def is_article(key: str) -> bool:
@@ -337,37 +373,74 @@ def boilerplate(path: tuple) -> bool:
     return False
 
 
-def main_text(page: list[Token], met: list[Node | None], shared: Shared, region: tuple, whole: bool) -> str:
-    """Blocks of the page's tokens that lie in the region, one per line;
-    unless ``whole``, without the texts that pages share."""
-    depth, lines, block = len(region), [], []
-    skipped: dict[tuple, bool] = {}
-    for t, n in zip(page, met, strict=True):
-        if t.key:
-            if t.key.lstrip("/").split(" ")[0] in BLOCKS:
-                lines.append("".join(block))
-                block = []
-            continue
-        path = n.path if n else t.path
-        if path not in skipped:
-            skipped[path] = path[:depth] != region or boilerplate(path)
-        if not skipped[path] and (whole or not shared(n, t.text)):
+def main_text(page: list[Token], kept: list[bool]) -> str:
+    """Blocks of the texts that are kept, one per line."""
+    lines, block = [], []
+    for t, keep in zip(page, kept, strict=True):
+        if keep:
             block.append(t.text)
+        elif t.key and t.key.lstrip("/").split(" ")[0] in BLOCKS:
+            lines.append("".join(block))
+            block = []
     lines.append("".join(block))
     clean = (" ".join(references.unescape(x).split()) for x in lines)
     return "\n".join(x for x in clean if x)
 
 
+def by_place(streams: list[list[Token]], met: list[list[Node | None]], kept: list[list[bool]]) -> None:
+    """Adds the texts whose nodes lie in the marked elements of most pages,
+    where a page lacks the marks; a page with no marks at all only gets them
+    if they are most of its text, for else it has another layout."""
+    votes: Counter[Node] = Counter()
+    for s, m, x in zip(streams, met, kept, strict=True):
+        if any(x):
+            for t, n, keep in zip(s, m, x, strict=True):
+                if n and not t.key:
+                    votes[n] += 1 if keep else -1
+    for k, (s, m, x) in enumerate(zip(streams, met, kept, strict=True)):
+        good = [not t.key and not boilerplate(t.path) for t in s]
+        new = [keep or g and n is not None and votes[n] > 0 for keep, g, n in zip(x, good, m, strict=True)]
+        size = lambda flags, s=s: sum(len(t.text) for t, f in zip(s, flags, strict=True) if f)
+        if any(x) or 10 * size(new) >= 7 * size(good):
+            kept[k] = new
+
+
+def unmarked(streams: list[list[Token]], loose: list[list[Token]], met: list[list[Node | None]]) -> list[list[bool]]:
+    """Whether each text is its page's own and lies in the region of the
+    variable text.  A region serves the pages that have most of their variable
+    text there; the others, of another layout, are looked at anew."""
+    kept: list[list[bool]] = [[] for _ in streams]
+    rest = list(range(len(streams)))
+    while rest:
+        shared = Shared([streams[k] for k in rest], [met[k] for k in rest])
+        good = {k: [not t.key and not boilerplate(t.path) for t in streams[k]] for k in rest}
+        own = {k: [g and not shared(n, t.text) for g, t, n in zip(good[k], streams[k], met[k], strict=True)] for k in rest}
+        if not any(map(any, own.values())):  # no text varies: all counts
+            own = good
+        sizes = {k: [(t.path, len(t.text)) for t, o in zip(loose[k], own[k], strict=True) if o] for k in rest}
+        where = region([x for k in rest for x in sizes[k]])
+        lies = {k: sum(n for p, n in sizes[k] if p[:len(where)] == where) for k in rest}
+        served = [k for k in rest if 2 * lies[k] >= sum(n for _, n in sizes[k])]
+        for k in served:
+            kept[k] = [o and t.path[:len(where)] == where for t, o in zip(loose[k], own[k], strict=True)]
+        rest = [k for k in rest if k not in served]
+    return kept
+
+
 def extract_block(pages: list[str]) -> list[str]:
     """Main texts of pages of one host, by their common wrapper."""
     streams = [tokens(p) for p in pages]
-    wrapper = Wrapper(streams[0])
-    for s in streams[1:]:
+    kept, loose = [marked(s) for s in streams], loosened(streams)
+    wrapper = Wrapper(loose[0])
+    for s in loose[1:]:
         wrapper.follow(s)
-    met = [wrapper.follow(s, learn=False) for s in streams]
-    shared = Shared(streams, met)
-    where = region(streams, met, shared)
-    return [main_text(s, m, shared, *where) for s, m in zip(streams, met, strict=True)]
+    met = [wrapper.follow(s, learn=False) for s in loose]
+    by_place(streams, met, kept)
+    if bare := [k for k, x in enumerate(kept) if not any(x)]:
+        found = unmarked([streams[k] for k in bare], [loose[k] for k in bare], [met[k] for k in bare])
+        for k, x in zip(bare, found, strict=True):
+            kept[k] = x
+    return [main_text(s, x) for s, x in zip(streams, kept, strict=True)]
 
 
 def extract(pages: DataFrame, block: int = BLOCK) -> DataFrame:

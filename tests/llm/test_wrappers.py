@@ -82,3 +82,25 @@ def test_pages_after_a_long_first_page_are_learned():
         w.align(s)
     assert len(w.nodes) > 4000
     assert all(i >= 0 for s in streams for i in w.align(s, learn=False))
+
+
+def test_marks_of_one_page_and_other_layouts_lose_no_text():
+    assert wrappers.extract_block(["<article id=a><h1>A</h1><p>One two three four.</article>",
+                                   "<article id=b><h1>B</h1><p>Five.<ul><li>Six</ul></article>"]) == [
+        "A\nOne two three four.", "B\nFive.\nSix"]
+    # the first page owned the region: a later list was inserted with the later page's path
+    blog = [f"<body class='post-template postid-{k}'><div>Menu</div><div id=post-{k}><h1>T{k}</h1><p>Own text {k}."
+            + f"<blockquote>Said {k}</blockquote>" * (k == 2) + f"<h2>Sub {k}</h2><ul><li>item {k}</ul>" * (k > 2)
+            + "</div><div>Imprint</div></body>" for k in range(6)]
+    assert wrappers.extract_block(blog) == [
+        f"T{k}\nOwn text {k}." + f"\nSaid {k}" * (k == 2) + f"\nSub {k}\nitem {k}" * (k > 2) for k in range(6)]
+    # two layouts on one host, one of them marked; two regions on one page
+    mixed = [f"<main><p>Marked {k}.</main><div><article><p>Second {k}.</article></div>" for k in range(3)] + [
+        f"<div class=x><p>{'Plain words ' * 9}{k}.</div><div>Imprint</div>" for k in range(3)] + [
+        f"<section id=s><p>Third layout {k}.</section>" for k in range(2)]
+    assert wrappers.extract_block(mixed) == [f"Marked {k}.\nSecond {k}." for k in range(3)] + [
+        f"{'Plain words ' * 9}{k}." for k in range(3)] + [f"Third layout {k}." for k in range(2)]
+    # a page of the marked layout without the mark: its article is where the others have theirs
+    lost = [f"<div><article><h1>T{k}</h1><p>Own text of page {k}.</article><p>Read {k} more</div>" for k in range(4)]
+    lost.append("<div><h1>T4</h1><p>Own text of page 4.<hr class=end></div>")
+    assert wrappers.extract_block(lost) == [f"T{k}\nOwn text of page {k}." for k in range(5)]
