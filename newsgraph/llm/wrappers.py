@@ -13,8 +13,8 @@ On a page that marks elements as article, the text in all of these is the
 article, and so is the text at places of the wrapper that lie in such elements
 on most pages.  For the other pages of the block the wrapper says which texts
 vary: the region (a path of open tags, without marks that change from page to
-page) that holds most of them is the article, and texts that most pages share
-stay out; pages of another layout have a region of their own.  Boilerplate
+page) that holds most of them is the article, and texts that most of the
+block's distinct pages share stay out; pages of another layout have a region of their own.  Boilerplate
 inside the region (by tag, class, id or role) stays out.
 
 Pages are sorted by host and dealt in runs of at most ``BLOCK`` pages, one
@@ -284,7 +284,7 @@ class Wrapper:
 
 
 class Shared:
-    """Texts that most pages have at the same node."""
+    """Texts that most of the (distinct) pages have at the same node."""
 
     def __init__(self, streams: list[list[Token]], met: list[list[Node | None]]):
         self.pages = len(streams)
@@ -428,8 +428,11 @@ def unmarked(streams: list[list[Token]], loose: list[list[Token]], met: list[lis
 
 
 def extract_block(pages: list[str]) -> list[str]:
-    """Main texts of pages of one host, by their common wrapper."""
-    streams = [tokens(p) for p in pages]
+    """Main texts of pages of one host, by their common wrapper.  Copies, also
+    such that differ only in what is no token, are one page to it."""
+    read = [tokens(p) for p in pages]
+    same = [tuple((t.key, t.text) for t in s) for s in read]
+    streams = list(dict(zip(same, read, strict=True)).values())
     kept, loose = [marked(s) for s in streams], loosened(streams)
     wrapper = Wrapper(loose[0])
     for s in loose[1:]:
@@ -440,7 +443,8 @@ def extract_block(pages: list[str]) -> list[str]:
         found = unmarked([streams[k] for k in bare], [loose[k] for k in bare], [met[k] for k in bare])
         for k, x in zip(bare, found, strict=True):
             kept[k] = x
-    return [main_text(s, x) for s, x in zip(streams, kept, strict=True)]
+    texts = dict(zip(dict.fromkeys(same), (main_text(s, x) for s, x in zip(streams, kept, strict=True)), strict=True))
+    return [texts[x] for x in same]
 
 
 def extract(pages: DataFrame, block: int = BLOCK) -> DataFrame:

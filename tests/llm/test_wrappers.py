@@ -104,3 +104,15 @@ def test_marks_of_one_page_and_other_layouts_lose_no_text():
     lost = [f"<div><article><h1>T{k}</h1><p>Own text of page {k}.</article><p>Read {k} more</div>" for k in range(4)]
     lost.append("<div><h1>T4</h1><p>Own text of page 4.<hr class=end></div>")
     assert wrappers.extract_block(lost) == [f"T{k}\nOwn text of page {k}." for k in range(5)]
+
+
+def test_copies_among_other_pages_lose_no_text():
+    one = "<div><h1>Twice</h1><p>A first part.</p><blockquote>Quoted.</blockquote><p>The last part.</p></div>"
+    other = "<div><h1>Once</h1><p>Another text.</p><p>With an end.</p></div>"
+    assert wrappers.extract_block([one, one, other]) == [
+        "Twice\nA first part.\nQuoted.\nThe last part."] * 2 + ["Once\nAnother text.\nWith an end."]
+    # most rows, not most pages
+    pages = [page(f"T{k}", [f"Own {k}.", f"And {k}."]) for k in range(4)]
+    links = page("T0", ["Own 0.", "And 0."]).replace("href=/", "href=/copy/")
+    assert wrappers.extract_block([pages[0], links] * 8 + pages) == ["T0\nOwn 0.\nAnd 0."] * 16 + [
+        f"T{k}\nOwn {k}.\nAnd {k}." for k in range(4)]
