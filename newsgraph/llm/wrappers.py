@@ -15,7 +15,8 @@ on most pages.  For the other pages of the block the wrapper says which texts
 vary: the region (a path of open tags, without marks that change from page to
 page) that holds most of them is the article, and texts that most of the
 block's distinct pages share stay out; pages of another layout have a region of their own.  Boilerplate
-inside the region (by tag, class, id or role) stays out.
+inside the region (by tag, class, id or role) stays out; a class, id or role
+makes no boilerplate of an element that holds the article.
 
 Pages are sorted by host and dealt in runs of at most ``BLOCK`` pages, one
 wrapper each, so a host of any size is spread over many tasks and no task
@@ -32,6 +33,7 @@ import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import lru_cache
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -326,15 +328,14 @@ def loosened(streams: list[list[Token]]) -> list[list[Token]]:
     return [[Token(key(t.key), t.text, path(t.path)) for t in s] for s in streams]
 
 
-def marked(page: list[Token]) -> list[bool]:
+def marked(page: list[Token], clean: dict[tuple, bool]) -> list[bool]:
     """Whether each text lies in an element marked as article: in the
-    outermost one around any that is marked by its tag or a whole class, id or
-    role, and where the page has none of these, by a part of one."""
-    paths = {t.path for t in page if not t.key}
-    found = [p for p in paths if any(map(is_article, p)) and not boilerplate(p)]
-    whole = [p for p in found if any(not IN_WORDS.union(IN_TAGS).isdisjoint(k.split(" ")) for k in p)]
+    outermost one around any that says article, and where the page has none
+    of these, around a part of a class, id or role that does."""
+    found = [p for p, good in clean.items() if good and any(map(is_article, p))]
+    whole = [p for p in found if any(map(says_article, p))]
     roots = {p[:next(d for d, k in enumerate(p, 1) if is_article(k))] for p in whole or found}
-    inside = {p: any(p[:len(r)] == r for r in roots) and not boilerplate(p) for p in paths}
+    inside = {p: good and any(p[:len(r)] == r for r in roots) for p, good in clean.items()}
     return [not t.key and inside[t.path] for t in page]
 
 
@@ -356,23 +357,72 @@ def is_article(key: str) -> bool:
     return name in IN_TAGS or not IN_WORDS.isdisjoint(marks)
 
 
-_out: dict[str, bool] = {}
-
-
-def boilerplate(path: tuple) -> bool:
-    """Whether any element around is boilerplate.  A header inside an article
-    is the article's own."""
+def out_tag(path: tuple) -> bool:
+    """Whether any element around is boilerplate by its tag.  A header inside
+    an article is the article's own."""
     inside = False
     for key in path:
-        if key not in _out:
-            name, *marks = key.replace("-", " ").replace("_", " ").split(" ")
-            _out[key] = name in OUT_TAGS or (name not in ("html", "body") and not OUT_WORDS.isdisjoint(marks))
-        if _out[key] or key.split(" ")[0] == "header" and not inside:
+        name = key.split(" ")[0]
+        if name in OUT_TAGS or name == "header" and not inside:
             return True
         inside = inside or is_article(key)
     return False
 
 
+def says_article(key: str) -> bool:
+    """Whether the tag or a whole class, id or role marks an article."""
+    return not (IN_TAGS | IN_WORDS).isdisjoint(key.split(" "))
+
+
+@lru_cache(100_000)
+def out_word(key: str, whole: bool) -> bool:
+    """Whether a class, id or role, or unless ``whole`` a part of one, is a
+    boilerplate word."""
+    name, *marks = (key if whole else key.replace("-", " ").replace("_", " ")).split(" ")
+    return name not in ("html", "body") and not OUT_WORDS.isdisjoint(marks)
+
+
+def out_words(path: tuple, whole: bool = False) -> list[tuple]:
+    """Elements around, as paths, that are boilerplate by a word; of the
+    outermost one that says article, only a whole class counts."""
+    out, inside = [], False
+    for depth, key in enumerate(path, 1):
+        if out_word(key, whole or not inside and says_article(key)):
+            out.append(path[:depth])
+        inside = inside or is_article(key)
+    return out
+
+
+def fair(page: list[Token]) -> dict[tuple, bool]:
+    """Whether each path of the page's texts is free of boilerplate.  A word
+    does not make boilerplate of an element that holds the page's article:
+    most of the text in elements that say article or, without these, most of
+    the text and the main heading (nine tenths of a text with no such heading)."""
+    sizes = Counter()
+    for t in page:
+        if not t.key:
+            sizes[t.path] += len(t.text)
+    worded = {p: out_words(p) for p in sizes if not out_tag(p)}
+    if not any(worded.values()):
+        return {p: p in worded for p in sizes}
+    # without what is boilerplate by a whole word, unless all is
+    counted = [p for p in worded if not [q for q in out_words(p, True) if not says_article(q[-1])]] or list(worded)
+    total = sum(sizes[p] for p in counted)
+    holds, holds_article, holds_title = Counter(), Counter(), set()
+    for p in counted:
+        first = next((d for d, k in enumerate(p, 1) if says_article(k) or is_article(k) and not out_word(k, False)), 0)
+        for q in worded[p]:
+            holds[q] += sizes[p]
+            if len(q) <= first:
+                holds_article[q] += sizes[p]
+            if "h1" in {k.split(" ")[0] for k in p[len(q):]}:
+                holds_title.add(q)
+    titled = any("h1" in {k.split(" ")[0] for k in p} for p in counted)
+    spared = {q for q, n in holds.items() if 2 * holds_article[q] >= total
+              or (2 * n >= total and q in holds_title if titled else 10 * n >= 9 * total)}
+    return {p: p in worded and spared.issuperset(worded[p]) for p in sizes}
+
+
 def main_text(page: list[Token], kept: list[bool]) -> str:
     """Blocks of the texts that are kept, one per line."""
     lines, block = [], []
@@ -387,7 +437,8 @@ def main_text(page: list[Token], kept: list[bool]) -> str:
     return "\n".join(x for x in clean if x)
 
 
-def by_place(streams: list[list[Token]], met: list[list[Node | None]], kept: list[list[bool]]) -> None:
+def by_place(streams: list[list[Token]], good: list[list[bool]], met: list[list[Node | None]],
+             kept: list[list[bool]]) -> None:
     """Adds the texts whose nodes lie in the marked elements of most pages,
     where a page lacks the marks; a page with no marks at all only gets them
     if they are most of its text, for else it has another layout."""
@@ -397,15 +448,15 @@ def by_place(streams: list[list[Token]], met: list[list[Node | None]], kept: lis
             for t, n, keep in zip(s, m, x, strict=True):
                 if n and not t.key:
                     votes[n] += 1 if keep else -1
-    for k, (s, m, x) in enumerate(zip(streams, met, kept, strict=True)):
-        good = [not t.key and not boilerplate(t.path) for t in s]
-        new = [keep or g and n is not None and votes[n] > 0 for keep, g, n in zip(x, good, m, strict=True)]
+    for k, (s, fine, m, x) in enumerate(zip(streams, good, met, kept, strict=True)):
+        new = [keep or g and n is not None and votes[n] > 0 for keep, g, n in zip(x, fine, m, strict=True)]
         size = lambda flags, s=s: sum(len(t.text) for t, f in zip(s, flags, strict=True) if f)
-        if any(x) or 10 * size(new) >= 7 * size(good):
+        if any(x) or 10 * size(new) >= 7 * size(fine):
             kept[k] = new
 
 
-def unmarked(streams: list[list[Token]], loose: list[list[Token]], met: list[list[Node | None]]) -> list[list[bool]]:
+def unmarked(streams: list[list[Token]], fine: list[list[bool]], loose: list[list[Token]],
+             met: list[list[Node | None]]) -> list[list[bool]]:
     """Whether each text is its page's own and lies in the region of the
     variable text.  A region serves the pages that have most of their variable
     text there; the others, of another layout, are looked at anew."""
@@ -413,7 +464,7 @@ def unmarked(streams: list[list[Token]], loose: list[list[Token]], met: list[lis
     rest = list(range(len(streams)))
     while rest:
         shared = Shared([streams[k] for k in rest], [met[k] for k in rest])
-        good = {k: [not t.key and not boilerplate(t.path) for t in streams[k]] for k in rest}
+        good = {k: fine[k] for k in rest}
         own = {k: [g and not shared(n, t.text) for g, t, n in zip(good[k], streams[k], met[k], strict=True)] for k in rest}
         if not any(map(any, own.values())):  # no text varies: all counts
             own = good
@@ -433,14 +484,16 @@ def extract_block(pages: list[str]) -> list[str]:
     read = [tokens(p) for p in pages]
     same = [tuple((t.key, t.text) for t in s) for s in read]
     streams = list(dict(zip(same, read, strict=True)).values())
-    kept, loose = [marked(s) for s in streams], loosened(streams)
+    clean = [fair(s) for s in streams]
+    good = [[not t.key and c[t.path] for t in s] for s, c in zip(streams, clean, strict=True)]
+    kept, loose = [marked(s, c) for s, c in zip(streams, clean, strict=True)], loosened(streams)
     wrapper = Wrapper(loose[0])
     for s in loose[1:]:
         wrapper.follow(s)
     met = [wrapper.follow(s, learn=False) for s in loose]
-    by_place(streams, met, kept)
+    by_place(streams, good, met, kept)
     if bare := [k for k, x in enumerate(kept) if not any(x)]:
-        found = unmarked([streams[k] for k in bare], [loose[k] for k in bare], [met[k] for k in bare])
+        found = unmarked(*([x[k] for k in bare] for x in (streams, good, loose, met)))
         for k, x in zip(bare, found, strict=True):
             kept[k] = x
     texts = dict(zip(dict.fromkeys(same), (main_text(s, x) for s, x in zip(streams, kept, strict=True)), strict=True))

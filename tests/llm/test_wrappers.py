@@ -116,3 +116,15 @@ def test_copies_among_other_pages_lose_no_text():
     links = page("T0", ["Own 0.", "And 0."]).replace("href=/", "href=/copy/")
     assert wrappers.extract_block([pages[0], links] * 8 + pages) == ["T0\nOwn 0.\nAnd 0."] * 16 + [
         f"T{k}\nOwn {k}.\nAnd {k}." for k in range(4)]
+
+
+def test_words_on_the_article_and_around_it_do_not_empty_a_page():
+    for open_, close in (("<article class='node node--promoted'>", "</article>"), ("<article class='post tag-social'>", "</article>"),
+                         ("<div id=page class='has-sidebar'><article>", "</article></div>"), ("<main class='with-ads'>", "</main>"),
+                         ("<article class='post sponsored'>", "</article>"), ("<div class='has-sidebar'><div>", "</div></div>"),
+                         ("<div class=social><main>", "</main></div>")):
+        pages = [f"{open_}<h1>T{k}</h1><p>Own text {k}.</p><div class=sidebar><p>Beside {k}</div>{close}<nav>Menu</nav>"
+                 f"<div class=comments><article><p>A reader's {k} words</article></div>" for k in range(3)]
+        want = [f"T{k}\nOwn text {k}." for k in range(3)]
+        assert wrappers.extract_block(pages) == want, open_
+        assert [wrappers.extract_block([p])[0] for p in pages] == want, open_
