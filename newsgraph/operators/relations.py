@@ -74,20 +74,18 @@ def best_relation(scored: DataFrame, threshold: float = 0.78) -> DataFrame:
     """E5: per ordered pair, the hypothesis with the highest probability
     (ties: lowest ``hord``); a triplet iff that probability > threshold.
 
-    The pair is grouped on its integer key and the aggregation carries two
-    numbers, never the entity or relation names, so it is a hash aggregate
-    with map-side combine: the probability, and a rank that orders by
-    probability (to 2^-40) and then by the lowest ordinals.  Hypotheses at or
-    below the threshold cannot win and are dropped before.  Returns
-    ``(article_id, sbj_idx, obj_idx, prop_ord, prob)``; ``name_triplets`` adds
-    the texts.  Property and template ordinals lie below 1024."""
-    order = F.col("hord.prop_ord").cast("long") * 1024 + F.col("hord.t_ord")
-    rank = F.round(F.col("prob") * float(1 << 40)).cast("long") * (1 << 20) + ((1 << 20) - 1 - order)
+    Two hash aggregates with map-side combine on the pair's integer key, which
+    never carry the entity or relation names: the lowest property ordinal of
+    each probability of a pair (template ordinals only order hypotheses of one
+    relation), then that of the highest probability.  Ordinals and
+    probabilities are carried as they are, so any size of ontology and any
+    scorer's values fit.  Hypotheses at or below the threshold cannot win and
+    are dropped before.  Returns ``(article_id, sbj_idx, obj_idx, prop_ord,
+    prob)``; ``name_triplets`` adds the texts."""
     return (scored.where(F.col("prob") > threshold)
-            .select(*_KEY, "prob", rank.alias("_rank")).groupBy(*_KEY)
-            .agg(F.max("_rank").alias("_rank"), F.max("prob").alias("prob"))
-            .select(*_KEY, F.floor(((1 << 20) - 1 - F.pmod("_rank", F.lit(1 << 20))) / 1024).cast("int")
-                    .alias("prop_ord"), "prob"))
+            .select(*_KEY, "prob", F.col("hord.prop_ord").alias("prop_ord"))
+            .groupBy(*_KEY, "prob").agg(F.min("prop_ord").alias("prop_ord"))
+            .groupBy(*_KEY).agg(F.max_by("prop_ord", "prob").alias("prop_ord"), F.max("prob").alias("prob")))
 
 
 def name_triplets(best: DataFrame, entities: DataFrame, props: DataFrame,

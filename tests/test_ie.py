@@ -69,6 +69,18 @@ def test_best_relation_ties_and_threshold(spark):
     assert got == {(0, 1, 0), (2, 0, 0)}
 
 
+def test_best_relation_of_a_large_ontology_and_any_score(spark):
+    rows = [(1, 0, 1, 1024, 0, 0.9), (1, 0, 1, 3000, 0, 0.9),       # ordinals beyond 10 bits
+            (1, 1, 0, 5, 1500, 0.9), (1, 1, 0, 7, 0, 0.9),          # template ordinals as well
+            (1, 2, 0, 1, 0, 9.5), (1, 2, 0, 0, 0, 1e12),            # a scorer that is no probability
+            (1, 3, 0, 4, 0, 0.9), (1, 3, 0, 2, 0, 0.9 - 1e-14)]     # nearly equal is not equal
+    df = spark.createDataFrame(rows, "article_id long, sbj_idx int, obj_idx int, prop_ord int, t_ord int, prob double")
+    best = relations.best_relation(df.withColumn("hord", F.struct("prop_ord", "t_ord")), 0.78)
+    assert {(r.sbj_idx, r.prop_ord, r.prob) for r in best.collect()} == {
+        (0, 1024, 0.9), (1, 5, 0.9), (2, 0, 1e12), (3, 4, 0.9)}
+    assert "SortAggregate" not in best._jdf.queryExecution().executedPlan().toString()
+
+
 def test_triplet_record_keeps_empty(spark):
     o = _onto(spark)
     arts = spark.createDataFrame([(1, "Kim works for Acme"), (2, "nothing")], "article_id long, translated_summary string")
