@@ -10,7 +10,8 @@ rejected, as is one that the base counts reject.  A line fails as
 * shouting: ``MIN_MARKS`` or more exclamation marks, one to every
   ``WORDS_PER_MARK`` words or denser;
 * unfinished: ``MIN_WORDS`` or more words without any sentence punctuation;
-* boilerplate: it holds one of ``NOTICES``;
+* boilerplate: it holds one of ``NOTICES`` (in ``clean``, and so in the
+  pipeline, only the sentences that hold one fail);
 * repetition: it equals an earlier line of the text.
 
 Lines without a word are neither judged nor counted.  Only DataFrame
@@ -43,6 +44,7 @@ WORDS_PER_MARK = 3
 MIN_WORDS = 30
 SYMBOLS = "#*$%&|<>"
 SENTENCE_MARKS = ".!?:;…。"
+SENTENCE_END = r"(?<=[.!?…。])\s+"
 NOTICES = ("all rights reserved", "cookie policy", "enable javascript", "privacy policy",
            "sign in to continue", "subscribe to our newsletter", "terms of service", "terms of use")
 
@@ -85,9 +87,19 @@ def repeated_words(ws: Column) -> Column:
     return let(windows, count)
 
 
-def line_fails(line: Column) -> Column:
+def _has_notice(text: Column) -> Column:
+    return let(F.lower(text), lambda low: reduce(lambda a, b: a | b, [low.contains(x) for x in NOTICES]))
+
+
+def _without_notices(line: Column) -> Column:
+    """The line's sentences that hold no notice."""
+    return F.when(~_has_notice(line), line).otherwise(
+        F.array_join(F.filter(F.split(line, SENTENCE_END), lambda x: ~_has_notice(x)), " "))
+
+
+def line_fails(line: Column, notices: bool = True) -> Column:
     """Whether a line (with at least one word) fails a rule that looks at the
-    line alone.  Each rule first asks for a character it needs, so most lines
+    line alone, unless ``notices`` other than the one on boilerplate.  Each rule first asks for a character it needs, so most lines
     are never cut into words."""
     n = F.size(words(line))
     separators = F.size(F.filter(words(line), lambda w: w.isin(*SEPARATORS)))
@@ -97,20 +109,25 @@ def line_fails(line: Column) -> Column:
             & (n - separators <= MAX_ITEM_WORDS * (separators + 1)))
     shouting = (marks >= MIN_MARKS) & (marks * WORDS_PER_MARK >= n)
     unfinished = ~line.rlike(f"[{SENTENCE_MARKS}]") & (n >= MIN_WORDS)
-    notice = let(F.lower(line), lambda low: reduce(lambda a, b: a | b, [low.contains(x) for x in NOTICES]))
-    return symbols | menu | shouting | unfinished | notice
+    fails = symbols | menu | shouting | unfinished
+    return fails | _has_notice(line) if notices else fails
 
 
-def judge(docs: DataFrame) -> DataFrame:
+def judge(docs: DataFrame, by_sentence: bool = False) -> DataFrame:
     """``docs`` with the base counts, ``base_failed``, ``lost_chars``,
-    ``clean_text`` (the lines that pass, joined) and ``kept``."""
+    ``clean_text`` (the lines that pass, joined) and ``kept``.  With
+    ``by_sentence`` a notice takes its sentence out of a line, not the line."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: without(x, WS_CHARS) != "")
 
     def judged(lines: Column) -> Column:
         # each line once, where it stands first; a later equal line is a repetition
-        verdicts = F.transform(F.array_distinct(lines), lambda x: F.struct(
-            x.alias("line"), word_chars(x).alias("chars"), line_fails(x).alias("fails")))
+        def verdict(x: Column) -> Column:
+            fails = line_fails(x, notices=not by_sentence)
+            left = F.when(fails, "").otherwise(_without_notices(x)) if by_sentence else x
+            return let(left, lambda y: F.struct(y.alias("line"), word_chars(y).alias("chars"), (
+                without(y, WS_CHARS) == "" if by_sentence else fails).alias("fails")))
+        verdicts = F.transform(F.array_distinct(lines), verdict)
         return let(verdicts, lambda v: F.struct(
             (F.size(lines) - F.size(v)).cast("long").alias("n_dup_lines"),
             F.aggregate(v, F.lit(0).cast("long"), lambda a, x: a + F.when(x["fails"], 0).otherwise(x["chars"]))
@@ -141,8 +158,9 @@ def op6(docs: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, with the columns of ``docs``."""
-    return judge(docs).where("kept").select(docs.columns)
+    """The documents that are kept, with the columns of ``docs``.  Notices are
+    judged by sentence: one in a long line does not cost the document."""
+    return judge(docs, by_sentence=True).where("kept").select(docs.columns)
 
 
 def _sql_count(text: str, chars: str) -> str:

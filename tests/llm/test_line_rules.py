@@ -60,3 +60,14 @@ def test_empty_table_and_clashing_columns(odd_docs, no_docs):
     assert line_rules.op6(no_docs).collect() == []
     assert line_rules.op6(odd_docs).count() == odd_docs.count()
     assert line_rules.clean(odd_docs).columns == odd_docs.columns
+
+
+def test_a_notice_in_a_long_line_does_not_cost_the_document(spark):
+    long, more = (" ".join(f"Sentence {i} tells of item{i} and place{i}." for i in range(a, a + 300)) for a in (0, 300))
+    rows = [(1, long + " They signed a privacy policy in May. " + more),
+            (2, "All rights reserved to " + " ".join(f"owner{i}" for i in range(80)) + "."), (3, long)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in line_rules.clean(df).collect()) == [1, 3]
+    got = {r["doc_id"]: r for r in line_rules.judge(df, by_sentence=True).collect()}
+    assert got[1]["lost_chars"] == len("TheysignedaprivacypolicyinMay.") and "policy" not in got[1]["clean_text"]
+    assert got[2]["clean_text"] == "" and got[3]["lost_chars"] == 0 and got[3]["clean_text"] == long
