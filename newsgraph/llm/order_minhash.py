@@ -9,6 +9,8 @@ taken, put back into text order and hashed as a tuple.  The fingerprint lists
 the slices that hold anything with their tuple's hash.  Two texts agree in a
 slice only if they share its smallest pairs *in the same order*, which makes
 the agreement sensitive to edit distance and not only to the shared words.
+Most slices of a text under about 66 words hold a single pair, and a single
+pair has no order: such fingerprints see reordering less (figures: README).
 
 ``likeness`` is the share of agreeing slices among those either text fills,
 to the power 1 / TUPLE, an estimate of the share of common k-mers; it is 1
