@@ -11,8 +11,8 @@ value and a segment tree over these values finds the smallest room that fits
 in logarithmic time.
 
 A group wastes at most its last few sequences, so random groups of thousands
-of pieces use hardly more sequences than packing all pieces together would,
-and no task ever holds more than one group.
+of pieces use few more sequences than packing all pieces together would (up to
+0.5 % in simulations, see the README), and no task ever holds more than one group.
 
 Null text counts as empty, and an empty document is its separator alone.
 Rows with equal ids, equal rows and null ids are each packed as documents of
