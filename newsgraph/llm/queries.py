@@ -4,8 +4,8 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from . import (chat, compress_quality, jaccard, licenses, line_rules, order_minhash, packing, pieces, url_filter,
-               wrappers)
+from . import (chat, compress_quality, importance, jaccard, licenses, line_rules, order_minhash, packing, pieces,
+               prefix_trie, repeats, url_filter, wrappers)
 from .shared import read
 
 BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -52,6 +52,18 @@ def op10_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return order_minhash.op10(read(spark, sf_dir, "documents"))
 
 
+def op11_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.op11(read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.op12(read(spark, sf_dir, "conversations"))
+
+
+def op13_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.op13(read(spark, sf_dir, "documents"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
     return corpus_pipeline.run(spark, sf_dir)
@@ -68,10 +80,13 @@ QUERIES = {
     "op8_quality_classifier": op8_quality_classifier,
     "op9_chat_formatting": op9_chat_formatting,
     "op10_document_fingerprints": op10_document_fingerprints,
+    "op11_importance_resampling": op11_importance_resampling,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_suffix_array_dedup": op13_suffix_array_dedup,
     "pipeline": pipeline,
 }
 
-#: Tokenisation, compression and MinHash are no SQL; tests hold those queries
+#: Tokenisation, compression, CRC-32 and MinHash are no SQL; tests hold those queries
 #: against brute force, round trips and held-out labels.
 SQL = {
     "op4_license_scan": licenses.SQL,

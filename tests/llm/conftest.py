@@ -27,4 +27,4 @@ def no_docs(odd_docs):
 
 @pytest.fixture(scope="session")
 def docs(spark):
-    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet").cache()
+    return spark.read.parquet("/root/testdata/sf0.001/documents.parquet")
