@@ -102,8 +102,14 @@ class Segmenter:
                 self._score.setdefault(text[:k], None)
             self._score[text] = min(round((-math.log(1 - s) if ranked else s) / UNIT), -1)
             self._id[text] = i
+        #: letter -> (the same for the letters that may follow, score of the piece up to here or None)
+        self._tree: dict[str, tuple[dict, int | None]] = {}
+        for piece in sorted(self._score, key=len):
+            node = self._tree
+            for c in piece[:-1]:
+                node = node[c][0]
+            node[piece[-1]] = ({}, self._score[piece])
         self._alone = {x for x in self._id if len(x) == 1}
-        self._longest = max(map(len, self._id), default=1)
         #: letter and stop that stand together inside some piece
         self._joined = {x for piece in self._id for x in re.findall(r"(?=([^\W\d_][.,]))", piece)}
         self._byte_score = min(x for x in self._score.values() if x) - round(10 / UNIT)
@@ -136,7 +142,7 @@ class Segmenter:
                 and word[len(core) - 1:len(core) + 1] not in self._joined:
             (ids, score, loss), tail = self.word(core), self.word(word[len(core):])
             return ids + tail[0], score + tail[1], min(loss, tail[2])
-        get, size, alone, longest = self._score.get, len(word), self._alone, self._longest
+        tree, size, alone = self._tree, len(word), self._alone
         first, second = [NONE] * (size + 1), [NONE] * (size + 1)
         first[0] = 0
         start_of = [0] * (size + 1)
@@ -149,9 +155,13 @@ class Segmenter:
                     first[i + 1], start_of[i + 1] = here + s, i
                 elif here + s > second[i + 1]:
                     second[i + 1] = here + s
-            for j in range(i + 1, min(size, i + longest) + 1):
-                s = get(word[i:j], False)
-                if s:
+            node, j = tree, i
+            for c in word[i:]:
+                if (step := node.get(c)) is None:
+                    break
+                node, s = step
+                j += 1
+                if s is not None:
                     v = here + s
                     if v > (old := first[j]):
                         v2 = here2 + s
@@ -159,8 +169,6 @@ class Segmenter:
                         first[j], start_of[j] = v, i
                     elif v > second[j]:
                         second[j] = v
-                elif s is False:
-                    break
         ids, end = [], size
         while end:
             i = start_of[end]
