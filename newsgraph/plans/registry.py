@@ -11,13 +11,14 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..operators import (coref, dedup, entities, indexing, ontology, relations, relevance,
-                         sentences, similarity, trainset, uncertainty)
+                         sentences, similarity, trainset, uncertainty, vectors)
 from ..operators.common import attach_row, bounded_broadcast
 from ..sources import ingest
 from ..sources import tables as tb
 
 # --- fixed parameters of the registered queries --------------------------
 NEAR_DUP_EPS = 0.35          # reference default for erase_similar
+TFIDF_EPS = 0.1              # cosine 0.9 on hashed TF-IDF vectors
 DENSE_EPS = 0.7              # dense vectors: 0.35 links nothing in this data
 RELATION_THRESHOLD = 0.78    # the reference's script value
 RELEVANCE_THRESHOLD = -0.4   # the reference's default
@@ -25,7 +26,8 @@ SUMMARY_K = 3
 PREFIX_CHARS = 500
 UNLABELED_CHARS = 750
 CHUNK_ROWS = 256
-GAZETTEER = [("and", "CONJ"), ("with", "PREP"), ("is", "VERB"),
+# "the" and "la" also stand inside the phrases: matches overlap
+GAZETTEER = [("and", "CONJ"), ("with", "PREP"), ("is", "VERB"), ("the", "DET"), ("la", "DET"),
              ("of the", "PHRASE"), ("in the", "PHRASE"), ("de la", "PHRASE")]
 # ---------------------------------------------------------------------------
 
@@ -79,6 +81,11 @@ def q_dense_clusters(spark, sf):
     return lab.select(F.col("id").alias("vec_id"), "cluster_id")
 
 
+def q_tfidf_near_dups(spark, sf):
+    return (vectors.similar_texts(_articles(spark, sf), TFIDF_EPS)
+            .select(F.col("id").alias("article_id"), "cluster_id", "n_links"))
+
+
 def _split(spark, sf):
     return sentences.split_sentences(_articles(spark, sf))
 
@@ -346,6 +353,7 @@ QUERIES = {
     "cluster_report": q_cluster_report,
     "dense_near_dup_edges": q_dense_near_dup_edges,
     "dense_clusters": q_dense_clusters,
+    "tfidf_near_dups": q_tfidf_near_dups,
     "sentence_split": q_sentence_split,
     "flatten_regroup": q_flatten_regroup,
     "glossary_translate": q_glossary_translate,
