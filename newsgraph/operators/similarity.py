@@ -13,19 +13,27 @@ Two vector kinds:
   in a day are collapsed to one representative before any pairing, so a
   group of copies costs one row, not a quadratic number of pairs.
 * **Dense vectors** (an embedding table).  Exact cosine within a day by
-  metric partitioning around pivots (triangle inequality on angles), so
-  vectors far apart are never paired; large cells are cut into tiles.
+  matrices: vectors packed into blocks of bounded size, pairs of blocks
+  multiplied in the workers, blocks too far apart skipped by the triangle
+  inequality of angles.
 """
 from __future__ import annotations
 
 import math
+import sys
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..session import materialize
-from .common import bounded_broadcast
+
+# executors need numpy and pyarrow, not this package
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 
 def shingle_sets(df: DataFrame, text_col: str = "text", id_col: str = "article_id",
@@ -134,89 +142,108 @@ def similar_text_pairs(df: DataFrame, eps: float = 0.35, text_col: str = "text",
     return set_pairs(reps, eps), copies, reps.select(F.col("id").alias("node"))
 
 
-def _norm(v):
-    return F.sqrt(F.aggregate(v, F.lit(0.0), lambda acc, x: acc + x * x))
-
-
-def _unit_vectors(vectors: DataFrame, id_col: str, day_col: str, vec_col: str) -> DataFrame:
-    v = vectors.select(F.col(id_col).alias("id"), F.col(day_col).alias("day"),
-                       F.col(vec_col).cast("array<double>").alias("v"))
-    # the norm is its own column so the unit-vector lambda reads it, not recomputes it
-    return (v.select("id", "day", "v", _norm(F.col("v")).alias("nv")).where(F.col("nv") > 0)
-            .select("id", "day", F.transform("v", lambda x: x / F.col("nv")).alias("u")))
-
-
-def _dot(a, b):
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x * y), F.lit(0.0), lambda acc, x: acc + x)
-
-
-def _angle(a, b):
-    return F.acos(F.least(F.lit(1.0), F.greatest(F.lit(-1.0), _dot(a, b))))
-
-
-def _grid_pairs(left: DataFrame, right: DataFrame, block: list[str], tile_rows: int) -> DataFrame:
-    """All (left, right) row pairs of each block, spread over tile pairs.
-
-    A block with n rows is cut into ceil(n / tile_rows) hash tiles per side;
-    every (left tile, right tile) is its own join key, so one large block
-    becomes many tasks of bounded size."""
-    sizes = right.groupBy(*block).agg(
-        F.ceil(F.count("*") / F.lit(float(tile_rows))).cast("int").alias("_nt"))
-    lt = (left.join(sizes, block)
-          .withColumn("_ti", F.pmod(F.xxhash64("id"), F.col("_nt")).cast("int"))
-          .withColumn("_tj", F.explode(F.sequence(F.lit(0), F.col("_nt") - 1))).drop("_nt"))
-    rt = (right.join(sizes, block)
-          .withColumn("_tj", F.pmod(F.xxhash64("id2"), F.col("_nt")).cast("int"))
-          .withColumn("_ti", F.explode(F.sequence(F.lit(0), F.col("_nt") - 1))).drop("_nt"))
-    return lt.join(rt, block + ["_ti", "_tj"]).drop("_ti", "_tj")
+def _packed(vectors: DataFrame, id_col: str, day_col: str, vec_col: str, block_rows: int,
+            cell_bits: int) -> DataFrame:
+    """(day, block, n, center, radius, ids, matrix): unit vectors packed into
+    matrices.
+
+    Vectors with the same signs in ``cell_bits`` random directions share a
+    cell, so a block's vectors lie close together; a cell with more than
+    ``block_rows`` is cut by id hash.  ``center`` is the block's mean direction,
+    ``radius`` its largest angle to it."""
+    def unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        directions: dict[int, np.ndarray] = {}               # the same ones on every worker
+        for batch in batches:
+            keep, cells, rows = [], [], []
+            for i, v in enumerate(batch.column(2)):
+                v = np.array(v.as_py() or [], np.float64)    # a null element gives a null direction
+                norm = math.sqrt(float(v @ v))
+                if norm > 0:
+                    if (d := directions.get(len(v))) is None:
+                        d = directions[len(v)] = np.random.default_rng(len(v)).standard_normal((cell_bits, len(v)))
+                    keep.append(i)
+                    rows.append((v / norm).astype("<f8").tobytes())
+                    cells.append(f"{len(v)}:" + "".join("01"[int(x)] for x in d @ v > 0))
+            at = pa.array(keep, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(at), batch.column(1).take(at), pa.array(cells, pa.string()),
+                 pa.array(rows, pa.binary())], names=["id", "day", "cell", "u"])
+
+    def pack(key: tuple, group: pa.Table) -> pa.Table:
+        u = np.vstack([np.frombuffer(x, "<f8") for x in group.column("u").to_pylist()])
+        mean = u.sum(axis=0)
+        norm = math.sqrt(float(mean @ mean))
+        center = mean / norm if norm > 0 else u[0]
+        radius = float(np.arccos(np.clip(u @ center, -1.0, 1.0)).max())
+        ids = np.asarray(group.column("id"), dtype="<i8")
+        day, cell, part = (x.as_py() for x in key)
+        return pa.table({"day": pa.array([day], pa.string()), "block": pa.array([f"{cell}/{part}"]),
+                         "n": pa.array([len(u)], pa.int64()), "center": pa.array([center.tolist()]),
+                         "radius": pa.array([radius]), "ids": pa.array([ids.tobytes()], pa.binary()),
+                         "matrix": pa.array([u.astype("<f8").tobytes()], pa.binary())})
+
+    slim = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(day_col).cast("string").alias("day"),
+                          F.col(vec_col).cast("array<double>").alias("v"))
+    u = materialize(slim.mapInArrow(unit, "id long, day string, cell string, u binary"))
+    parts = u.groupBy("day", "cell").agg(F.ceil(F.count("*") / F.lit(float(block_rows))).cast("int").alias("parts"))
+    many = parts.where("parts > 1")
+    cut = u.join(many, ["day", "cell"], "left").withColumn(
+        "part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int"))
+    packed = cut.groupBy("day", "cell", "part").applyInArrow(
+        pack, "day string, block string, n long, center array<double>, radius double, ids binary, matrix binary")
+    return materialize(packed)
 
 
 def dense_pairs(vectors: DataFrame, eps: float, id_col: str = "article_id",
                 day_col: str = "datetime", vec_col: str = "vec",
-                tile_rows: int = 4096, pivots_per_day: int = 16) -> DataFrame:
+                tile_rows: int = 1024, cell_bits: int = 4) -> DataFrame:
     """Exact cosine-distance pairs (distance ≤ eps) within a day for dense vectors.
 
-    Metric partitioning by pivots, exact by the triangle inequality of the
-    angle between unit vectors:
-
-    * about ``pivots_per_day`` vectors of each day (chosen by id hash) are
-      pivots; every vector's *home cell* is its nearest pivot and each
-      cell's radius is the largest angle of a home member to its pivot;
-    * a vector joins every cell whose pivot is within radius + θ of it,
-      where θ = acos(1 - eps); a pair within θ therefore always meets in the
-      home cell of either end, and is emitted once, from the cell with the
-      smaller index;
-    * vectors far from each other are never paired; a cell with many
-      members is further cut into hash tiles (``tile_rows``).
-
-    Zero vectors are never linked.  Returns ``(id_a, id_b, day, dist)`` with
-    ``id_a < id_b``.
+    Vectors are packed into matrices of about ``tile_rows`` rows (so a block is
+    about ``tile_rows`` times the vector's bytes, whatever a day holds), and
+    pairs of blocks are multiplied as matrices inside the workers: no pair of
+    vectors is a row before it is known to be near.  By the triangle inequality
+    of angles two blocks are skipped where the angle between their centers less
+    both radii exceeds acos(1 - eps): nothing in them can be near.
+
+    Zero vectors, null vectors and rows without a day are never linked; vectors
+    of different length neither.  Returns ``(id_a, id_b, day, dist)`` with
+    ``id_a < id_b``; equal ids are not linked to each other.
     """
-    theta = math.acos(max(-1.0, min(1.0, 1.0 - eps)))
-    # acos amplifies rounding near 1 (error ~ sqrt(ulp)): widen the bound
-    margin = 1e-6
-    u = _unit_vectors(vectors, id_col, day_col, vec_col)
-    n_day = bounded_broadcast(u.groupBy("day").agg(F.count("*").alias("_n"), F.min("id").alias("_first")))
-    # ~pivots_per_day pivots by id hash, plus the day's smallest id so that
-    # every day has at least one
-    piv = (u.join(n_day, "day")
-           .where((F.pmod(F.xxhash64(F.col("id"), F.lit(17)), F.col("_n")) < pivots_per_day)
-                  | (F.col("id") == F.col("_first")))
-           .select("day", F.col("id").alias("pid"), F.col("u").alias("pu")))
-    piv = bounded_broadcast(piv)
-    dist = u.join(piv, "day").select("id", "day", "u", "pid", _angle(F.col("u"), F.col("pu")).alias("a"))
-    home = (dist.groupBy("id", "day").agg(F.min_by("pid", F.struct("a", "pid")).alias("cell"),
-                                          F.min("a").alias("a_home")))
-    radius = home.groupBy("day", "cell").agg(F.max("a_home").alias("r"))
-    members = (dist.join(home, ["id", "day"]).where(F.col("pid") == F.col("cell"))
-               .select("id", "day", "u", "cell"))
-    reach = (dist.join(radius.withColumnRenamed("cell", "pid"), ["day", "pid"])
-             .where(F.col("a") <= F.col("r") + F.lit(theta + margin))
-             .join(home.select("id", "day", F.col("cell").alias("home2")), ["id", "day"])
-             .select(F.col("id").alias("id2"), "day", F.col("u").alias("u2"),
-                     F.col("pid").alias("cell"), "home2"))
-    j = _grid_pairs(members, reach, ["day", "cell"], tile_rows)
-    j = j.where((F.col("home2") > F.col("cell")) | ((F.col("home2") == F.col("cell")) & (F.col("id") < F.col("id2"))))
-    return (j.select(F.least("id", "id2").alias("id_a"), F.greatest("id", "id2").alias("id_b"), "day",
-                     (F.lit(1.0) - _dot(F.col("u"), F.col("u2"))).alias("dist"))
-            .where(F.col("dist") <= F.lit(eps)))
+    theta = math.acos(max(-1.0, min(1.0, 1.0 - eps))) + 1e-6    # acos magnifies rounding near 1
+    blocks = _packed(vectors, id_col, day_col, vec_col, tile_rows, cell_bits)
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for ca, ra, cb, rb in zip(*batch.columns[3:]):
+                a, b = np.asarray(ca.values), np.asarray(cb.values)
+                apart = len(a) != len(b) or math.acos(max(-1.0, min(1.0, float(a @ b)))) - ra.as_py() - rb.as_py() > theta
+                keep.append(not apart)
+            yield pa.RecordBatch.from_arrays(batch.columns[:3], names=["day", "x", "y"]).filter(pa.array(keep))
+
+    def multiply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for day, x, y, ids_x, m_x, ids_y, m_y in zip(*batch.columns):
+                ids_x, ids_y = np.frombuffer(ids_x.as_buffer(), "<i8"), np.frombuffer(ids_y.as_buffer(), "<i8")
+                a = np.frombuffer(m_x.as_buffer(), "<f8").reshape(len(ids_x), -1)
+                b = np.frombuffer(m_y.as_buffer(), "<f8").reshape(len(ids_y), -1)
+                dist = 1.0 - a @ b.T
+                i, j = np.nonzero(dist <= eps)
+                p, q = ids_x[i], ids_y[j]
+                ok = p < q if x.as_py() == y.as_py() else p != q
+                p, q, d = p[ok], q[ok], dist[i[ok], j[ok]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q)),
+                     pa.array([day.as_py()] * len(p), pa.string()), pa.array(d)], names=["id_a", "id_b", "day", "dist"])
+
+    head = blocks.select("day", "block", "center", "radius")
+    a = head.select("day", F.col("block").alias("x"), F.col("center").alias("ca"), F.col("radius").alias("ra"))
+    b = head.select("day", F.col("block").alias("y"), F.col("center").alias("cb"), F.col("radius").alias("rb"))
+    pairs = (a.join(b, "day").where("x <= y").select("day", "x", "y", "ca", "ra", "cb", "rb")
+             .mapInArrow(near, "day string, x string, y string"))
+    left = blocks.select("day", F.col("block").alias("x"), F.col("ids").alias("ids_x"), F.col("matrix").alias("m_x"))
+    right = blocks.select("day", F.col("block").alias("y"), F.col("ids").alias("ids_y"), F.col("matrix").alias("m_y"))
+    joined = pairs.join(left, ["day", "x"]).join(right, ["day", "y"])
+    return joined.select("day", "x", "y", "ids_x", "m_x", "ids_y", "m_y").mapInArrow(
+        multiply, "id_a long, id_b long, day string, dist double")

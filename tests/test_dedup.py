@@ -1,5 +1,6 @@
 """F1, F2, D7, E3, E4, J2 on hand-computed fixtures (FIXTURES F1, F4)."""
 import math
+import random
 
 from pyspark.sql import functions as F
 
@@ -45,6 +46,27 @@ def test_dense_tiles_match_single_tile(spark):
     assert one == many and len(one) > 0
 
 
+def test_dense_blocks_equal_brute_force(spark):
+    rng = random.Random(4)
+    rows, centers = [], [[rng.gauss(0, 1) for _ in range(6)] for _ in range(12)]
+    for i in range(300):
+        c = rng.choice(centers)
+        scale = rng.choice([0.5, 3.0])
+        rows.append((i, f"d{i % 2}", [scale * (x + rng.gauss(0, 0.2)) for x in c]))
+    unit = {i: (d, [x / math.hypot(*v) for x in v]) for i, d, v in rows}
+    odd = [(900, "d0", [0.0] * 6), (901, "d0", None), (902, None, centers[0]), (903, "d0", [1.0, 2.0]),
+           (904, "d0", [None, 1.0, 1.0, 1.0, 1.0, 1.0]), (905, "d0", [])]
+    v = spark.createDataFrame([(*r, "x") for r in rows + odd],
+                              "article_id long, datetime string, vec array<double>, block string")
+    for eps in (0.02, 0.3):
+        want = {(a, b) for a, (da, x) in unit.items() for b, (db, y) in unit.items()
+                if a < b and da == db and 1 - sum(p * q for p, q in zip(x, y)) <= eps}
+        for how in ({}, {"tile_rows": 5, "cell_bits": 3}, {"cell_bits": 0, "tile_rows": 40}):
+            out = similarity.dense_pairs(v, eps, **how).collect()
+            assert {(r.id_a, r.id_b) for r in out} == want and len(out) == len(want)
+    assert similarity.dense_pairs(v.limit(0), 0.3).collect() == []
+
+
 def test_components_invariant_under_relabel(spark):
     edges = [(1, 2), (2, 3), (10, 11), (4, 4), (20, 21), (21, 22), (22, 20)]
     e = spark.createDataFrame(edges, "src long, dst long")
@@ -168,7 +190,7 @@ def test_labels_equal_full_pairing(spark):
     assert lab == {i: find(i) for i in range(len(rows))}
 
 
-def test_dense_pivot_cells_match_brute_force(spark):
+def test_dense_cells_match_brute_force(spark):
     """Clustered unit vectors in 8 dims over two days: the pivot-cell join
     returns exactly the brute-force pair set, for small and large eps and
     for small tiles."""
@@ -189,5 +211,5 @@ def test_dense_pivot_cells_match_brute_force(spark):
     for eps in (0.02, 0.1, 0.6):
         want = {(a, b) for a in us for b in us if a < b and us[a][0] == us[b][0]
                 and us[a][1] and us[b][1] and 1 - sum(x * y for x, y in zip(us[a][1], us[b][1])) <= eps}
-        got = {(r.id_a, r.id_b) for r in similarity.dense_pairs(v, eps, pivots_per_day=5, tile_rows=16).collect()}
+        got = {(r.id_a, r.id_b) for r in similarity.dense_pairs(v, eps, cell_bits=2, tile_rows=16).collect()}
         assert got == want, eps
