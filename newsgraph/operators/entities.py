@@ -9,20 +9,33 @@ from pyspark.sql import functions as F
 
 from ..functions.scoring import char_overlap
 from ..session import materialize
-from .common import attach_row, bounded_broadcast
+from . import automaton
+from .common import BROADCAST_BYTES, attach_row, bounded_broadcast
 
 
 def gazetteer_mentions(df: DataFrame, gazetteer: DataFrame, text_col: str = "text",
-                       id_col: str = "article_id", max_len: int | None = None) -> DataFrame:
+                       id_col: str = "article_id", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Dictionary NER.  ``gazetteer(phrase, entity_group)``; phrases are
     matched as whole runs of space-separated tokens, longest match first,
     left to right, without overlaps.  Returns ``(article_id, pos, word,
-    entity_group)`` with ``pos`` the token position."""
+    entity_group)`` with ``pos`` the token position.
+
+    A gazetteer of at most ``max_bytes`` (counted) goes to the workers as an
+    automaton that reads each text once; a larger one is joined with the texts'
+    token runs.  Rows without a phrase or group are no entries.  A phrase with several groups has the first of them."""
+    rows = automaton.small_rows(gazetteer.select("phrase", "entity_group"), max_bytes)
+    if rows is not None:
+        return automaton.mentions(df, rows, text_col, id_col)
+    return _mentions_by_join(df, gazetteer, text_col, id_col)
+
+
+def _mentions_by_join(df: DataFrame, gazetteer: DataFrame, text_col: str, id_col: str) -> DataFrame:
+    """``gazetteer_mentions`` for a gazetteer of any size: one shuffled row for
+    each token run as long as some phrase."""
+    gazetteer = gazetteer.where("entity_group is not null").groupBy("phrase").agg(F.min("entity_group").alias("entity_group"))
     g = gazetteer.select(F.col("phrase"), "entity_group",
                          F.size(F.split("phrase", " ")).alias("plen"))
-    if max_len is None:
-        max_len = g.agg(F.max("plen")).first()[0] or 1
-    g = bounded_broadcast(g)
+    max_len = g.agg(F.max("plen")).first()[0] or 1
     toks = df.select(id_col, F.posexplode(F.split(text_col, " ")).alias("pos", "tok"))
     w = W.partitionBy(id_col).orderBy("pos")
     grams = toks

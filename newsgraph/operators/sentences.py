@@ -9,7 +9,9 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from .common import attach_row, bounded_broadcast
+from . import automaton, entities
+from .common import BROADCAST_BYTES, attach_row
+
 
 def split_sentences(df: DataFrame, text_col: str = "text", out_col: str = "split_text") -> DataFrame:
     """C5 + I4: drop rows whose text is null, add the sentence list."""
@@ -53,29 +55,50 @@ def map_list(df: DataFrame, list_col: str, fn: Callable[[Column], Column], out_c
 
 def glossary_map(df: DataFrame, glossary, list_col: str = "split_text",
                  out_col: str = "translated_text", src: str = "src", dst: str = "dst",
-                 id_col: str = "article_id") -> DataFrame:
-    """Translate each sentence token by token through a glossary.
-
-    Tokens are the sentence split on single spaces; a token whose lower-case
-    form is in the glossary is replaced, others are kept.  ``glossary`` is a
-    DataFrame ``(src, dst)`` of any size, or a Python dict of fixed values.
-    Tokens are exploded and joined on the token (a broadcast hash join when
-    the glossary passes the size check, a shuffle join otherwise), then
-    regrouped in order per sentence and per article.  (Measured: a map
-    lookup inside a per-token lambda is slower than this join.)
+                 id_col: str = "article_id", max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Translate each sentence through a glossary.
+
+    Tokens are the sentence split on single spaces; a run of tokens whose
+    lower-case form is in the glossary (the longest at a place, left to right)
+    is replaced, others are kept.  ``glossary`` is a DataFrame ``(src, dst)`` of
+    any size, or a Python dict of fixed values; a source may be several words,
+    and one with several targets has the first of them.
+
+    A glossary of at most ``max_bytes`` (counted) goes to the workers as an
+    automaton, which reads each sentence once, in its row: no shuffle.  A larger
+    one is joined with the sentences' token runs, and the matches (bounded by a
+    sentence) are put back into their article.
     """
     if isinstance(glossary, dict):
-        glossary = df.sparkSession.createDataFrame(sorted(glossary.items()), f"{src} string, {dst} string")
-    g = glossary.select(F.col(src).alias("src"), F.col(dst).alias("dst")).dropDuplicates(["src"])
-    flat = df.select(id_col, F.posexplode_outer(list_col).alias("spos", "s"))
-    toks = flat.select(id_col, "spos", F.posexplode_outer(F.split("s", " ")).alias("tpos", "tok"))
-    toks = toks.join(bounded_broadcast(g), F.lower(toks.tok) == g.src, "left") \
-        .select(id_col, "spos", "tpos", F.coalesce("dst", "tok").alias("tok"))
-    sent = toks.groupBy(id_col, "spos").agg(
-        F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("tpos", "tok"))), lambda x: x["tok"]),
-                     " ").alias("s"))
-    back = regroup_list(sent.withColumnRenamed("spos", "pos").withColumnRenamed("s", "item"),
-                        id_col, out_col=out_col)
+        rows = list(glossary.items())
+    else:
+        g = glossary.select(F.col(src).alias("src"), F.col(dst).alias("dst")).where(
+            "src is not null and dst is not null")
+        rows = automaton.small_rows(g, max_bytes)
+    if rows is not None:
+        values = dict(sorted(rows, reverse=True))        # the first target wins
+        return df.withColumn(out_col, automaton.translated(list_col, values))
+
+    flat = df.select(id_col, F.posexplode(list_col).alias("spos", "s"))
+    lows = flat.select(F.struct(id_col, "spos").alias("at"),
+                       F.array_join(F.transform(F.split("s", " "), lambda t: F.lower(t)), " ").alias("text"))
+    found = entities.gazetteer_mentions(lows, g.select(F.col("src").alias("phrase"), F.col("dst").alias("entity_group")),
+                                        "text", "at", max_bytes=max_bytes)
+    runs = found.groupBy("at").agg(F.sort_array(F.collect_list(F.struct("pos", "word", "entity_group"))).alias("runs"))
+    runs = runs.select(F.col(f"at.{id_col}").alias(id_col), F.col("at.spos").alias("spos"), "runs")
+
+    # tokens before, values and tokens between, tokens behind
+    toks = F.split(F.coalesce("s", F.lit("")), " ")
+    size = lambda r: F.size(F.split(r["word"], " "))
+    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<string>").alias("out"))
+    walked = F.aggregate("runs", start, lambda acc, r: F.struct(
+        (r["pos"] + size(r)).cast("int").alias("at"),
+        F.concat(acc["out"], F.slice(toks, acc["at"] + 1, r["pos"] - acc["at"]), F.array(r["entity_group"])).alias("out")))
+    item = F.array_join(F.concat(walked["out"], F.slice(toks, walked["at"] + 1, F.size(toks))), " ")
+    sent = flat.join(runs, [id_col, "spos"], "left").select(
+        id_col, F.col("spos").alias("pos"), F.when(F.col("runs").isNull(), F.coalesce("s", F.lit(""))).otherwise(item)
+        .alias("item"))
+    back = regroup_list(sent, id_col, out_col=out_col)
     return df.join(back, id_col, "left").withColumn(
         out_col, F.coalesce(out_col, F.array().cast("array<string>")))
 

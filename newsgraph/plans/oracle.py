@@ -334,15 +334,21 @@ SELECT prem.article_id, CAST(coalesce(en.n, 0) AS INTEGER) AS n_entities, CAST(c
        coalesce(en.s, '') AS entities, coalesce(re.s, '') AS relations
 FROM prem LEFT JOIN en USING (article_id) LEFT JOIN re USING (article_id)""",
 
-    "gazetteer_mentions": "WITH " + GAZ + """,
+    # the longest phrase at each place, then from left to right: the next kept match begins at or behind the end of
+    # the one before
+    "gazetteer_mentions": "WITH RECURSIVE " + GAZ + """,
 dt AS (SELECT doc_id AS article_id, string_split(text, ' ') AS ts FROM documents),
 tk AS (SELECT article_id, unnest(ts) AS tok, generate_subscripts(ts, 1) - 1 AS pos FROM dt),
 nx AS (SELECT *, lead(tok) OVER (PARTITION BY article_id ORDER BY pos) AS tok2 FROM tk),
 m AS (SELECT article_id, pos, tok AS phrase, 1 AS plen FROM nx
       UNION ALL SELECT article_id, pos, tok || ' ' || tok2, 2 FROM nx WHERE tok2 IS NOT NULL),
-hits AS (SELECT m.*, g.entity_group FROM m JOIN g ON m.phrase = g.phrase AND len(string_split(g.phrase, ' ')) = m.plen)
-SELECT article_id, CAST(pos AS INTEGER) AS pos, phrase AS word, entity_group FROM hits
-QUALIFY row_number() OVER (PARTITION BY article_id, pos ORDER BY plen DESC) = 1""",
+hits AS (SELECT m.*, g.entity_group FROM m JOIN g ON m.phrase = g.phrase AND len(string_split(g.phrase, ' ')) = m.plen),
+best AS (SELECT * FROM hits QUALIFY row_number() OVER (PARTITION BY article_id, pos ORDER BY plen DESC) = 1),
+nxt AS (SELECT a.*, b.pos AS next_pos FROM (SELECT *, pos + plen AS reach FROM best) a
+        ASOF LEFT JOIN best b ON a.article_id = b.article_id AND a.reach <= b.pos),
+kept AS (SELECT * FROM nxt QUALIFY row_number() OVER (PARTITION BY article_id ORDER BY pos) = 1
+         UNION ALL SELECT n.* FROM kept k JOIN nxt n ON n.article_id = k.article_id AND n.pos = k.next_pos)
+SELECT article_id, CAST(pos AS INTEGER) AS pos, phrase AS word, entity_group FROM kept""",
 
     "high_water_mark": """SELECT max(strftime(ts, '%Y%m%d')) AS mark FROM events
 WHERE ts IS NOT NULL""",
