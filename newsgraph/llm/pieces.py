@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 N_BEST = 4
 #: Distinct words one Python worker remembers.
-CACHE_WORDS = 800_000
+CACHE_WORDS = 1_600_000
 SPACE = "▁"
 UNIT = 1e-4
 _WORD = re.compile(r" +[^ ]*")
@@ -114,6 +114,7 @@ class Segmenter:
         self._joined = {x for piece in self._id for x in re.findall(r"(?=([^\W\d_][.,]))", piece)}
         self._byte_score = min(x for x in self._score.values() if x) - round(10 / UNIT)
         self._best: dict[str, tuple[bytes, int, int]] = {}
+        self._older: dict[str, tuple[bytes, int, int]] = {}
         self._paths: dict[str, list[tuple[int, bytes]]] = {}
 
     def edges(self, word: str) -> list[tuple[int, int, int, tuple[int, ...]]]:
@@ -182,9 +183,11 @@ class Segmenter:
 
     def word(self, word: str) -> tuple[bytes, int, int]:
         if (known := self._best.get(word)) is None:
-            if len(self._best) >= CACHE_WORDS:
+            if len(self._best) >= CACHE_WORDS // 2:      # words not met since the last time are forgotten
+                self._older = dict(self._best)
                 self._best.clear()
-            known = self._best[word] = self._word(word)
+            known = self._older.get(word) or self._word(word)
+            self._best[word] = known
         return known
 
     def paths(self, word: str) -> list[tuple[int, bytes]]:
