@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .similarity import dense_pairs, similar_text_pairs
+from .similarity import dense_links, similar_text_pairs
 
 
 def dedup_title_keep_last(df: DataFrame, id_col: str = "article_id", day_col: str = "datetime",
@@ -42,9 +42,11 @@ def component_labels(df: DataFrame, eps: float = 0.35, text_col: str = "text",
 
 def dense_component_labels(vectors: DataFrame, eps: float, id_col: str = "article_id",
                            day_col: str = "datetime", vec_col: str = "vec") -> DataFrame:
-    edges = dense_pairs(vectors, eps, id_col, day_col, vec_col)
+    """E3 over dense D7: ``(id, cluster_id)`` for every vector, from spanning
+    links of each pair of blocks; the pairs themselves are never rows."""
+    links = dense_links(vectors, eps, id_col, day_col, vec_col)
     nodes = vectors.select(F.col(id_col).alias("node"))
-    comp = connected_components(edges, nodes, src="id_a", dst="id_b")
+    comp = connected_components(links, nodes, src="id", dst="to")
     return comp.select(F.col("node").alias("id"), F.col("component").alias("cluster_id"))
 
 

@@ -21,7 +21,7 @@ from __future__ import annotations
 
 import math
 import sys
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -189,7 +189,8 @@ def _packed(vectors: DataFrame, id_col: str, day_col: str, vec_col: str, block_r
     many = parts.where("parts > 1")
     cut = u.join(many, ["day", "cell"], "left").withColumn(
         "part", F.pmod(F.xxhash64("id"), F.coalesce("parts", F.lit(1))).cast("int"))
-    packed = cut.groupBy("day", "cell", "part").applyInArrow(
+    # dealt by all three, so that the parts of a large cell do not meet in one task
+    packed = cut.repartition("day", "cell", "part").groupBy("day", "cell", "part").applyInArrow(
         pack, "day string, block string, n long, center array<double>, radius double, ids binary, matrix binary")
     return materialize(packed)
 
@@ -210,6 +211,54 @@ def dense_pairs(vectors: DataFrame, eps: float, id_col: str = "article_id",
     of different length neither.  Returns ``(id_a, id_b, day, dist)`` with
     ``id_a < id_b``; equal ids are not linked to each other.
     """
+    def pairs_of(x: str, y: str, ids_x: np.ndarray, ids_y: np.ndarray, dist: np.ndarray):
+        i, j = np.nonzero(dist <= eps)
+        p, q = ids_x[i], ids_y[j]
+        ok = p < q if x == y else p != q
+        p, q, d = p[ok], q[ok], dist[i[ok], j[ok]]
+        return [np.minimum(p, q), np.maximum(p, q), d]
+
+    return _block_products(vectors, eps, id_col, day_col, vec_col, tile_rows, cell_bits, pairs_of,
+                           ["id_a long", "id_b long", "day string", "dist double"])
+
+
+def dense_links(vectors: DataFrame, eps: float, id_col: str = "article_id", day_col: str = "datetime",
+                vec_col: str = "vec", tile_rows: int = 1024, cell_bits: int = 4) -> DataFrame:
+    """The graph of ``dense_pairs`` without its pairs: (id, to, day, n) for the
+    vectors of each pair of blocks that have links there, n their number and
+    ``to`` the smallest id that a vector hangs together with in that pair of
+    blocks.  Rows grow with the blocks' vectors, not with a group's square;
+    (id, to) connect what the pairs connect, and the sums of n are the degrees."""
+    def links_of(x: str, y: str, ids_x: np.ndarray, ids_y: np.ndarray, dist: np.ndarray):
+        linked = dist <= eps
+        linked &= ids_x[:, None] != ids_y[None, :]
+        if x == y:
+            ids, counts, sides = ids_x, linked.sum(axis=1), [(linked, slice(None), slice(None))]
+        else:
+            n = len(ids_x)
+            ids = np.concatenate([ids_x, ids_y])
+            counts = np.concatenate([linked.sum(axis=1), linked.sum(axis=0)])
+            sides = [(linked, slice(0, n), slice(n, None)), (linked.T, slice(n, None), slice(0, n))]
+        label, high = ids.copy(), np.iinfo(np.int64).max
+        while True:                                      # smallest id along the links
+            before = label.copy()
+            for m, own, other in sides:
+                least = np.where(m, label[other][None, :], high).min(axis=1, initial=high)
+                label[own] = np.minimum(label[own], least)
+            if (label == before).all():
+                break
+        ok = counts > 0
+        return [ids[ok], label[ok], counts[ok]]
+
+    return _block_products(vectors, eps, id_col, day_col, vec_col, tile_rows, cell_bits, links_of,
+                           ["id long", "to long", "day string", "n long"])
+
+
+def _block_products(vectors: DataFrame, eps: float, id_col: str, day_col: str, vec_col: str, tile_rows: int,
+                    cell_bits: int, rows_of: Callable, fields: list[str]) -> DataFrame:
+    """``rows_of(block x, block y, ids of x, ids of y, distances)`` for every
+    pair of a day's blocks that may hold a near pair."""
+    names = [f.split()[0] for f in fields]
     theta = math.acos(max(-1.0, min(1.0, 1.0 - eps))) + 1e-6    # acos magnifies rounding near 1
     blocks = _packed(vectors, id_col, day_col, vec_col, tile_rows, cell_bits)
 
@@ -228,14 +277,10 @@ def dense_pairs(vectors: DataFrame, eps: float, id_col: str = "article_id",
                 ids_x, ids_y = np.frombuffer(ids_x.as_buffer(), "<i8"), np.frombuffer(ids_y.as_buffer(), "<i8")
                 a = np.frombuffer(m_x.as_buffer(), "<f8").reshape(len(ids_x), -1)
                 b = np.frombuffer(m_y.as_buffer(), "<f8").reshape(len(ids_y), -1)
-                dist = 1.0 - a @ b.T
-                i, j = np.nonzero(dist <= eps)
-                p, q = ids_x[i], ids_y[j]
-                ok = p < q if x.as_py() == y.as_py() else p != q
-                p, q, d = p[ok], q[ok], dist[i[ok], j[ok]]
+                p, q, value = rows_of(x.as_py(), y.as_py(), ids_x, ids_y, 1.0 - a @ b.T)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q)),
-                     pa.array([day.as_py()] * len(p), pa.string()), pa.array(d)], names=["id_a", "id_b", "day", "dist"])
+                    [pa.array(p), pa.array(q), pa.array([day.as_py()] * len(p), pa.string()), pa.array(value)],
+                    names=names)
 
     head = blocks.select("day", "block", "center", "radius")
     a = head.select("day", F.col("block").alias("x"), F.col("center").alias("ca"), F.col("radius").alias("ra"))
@@ -246,4 +291,4 @@ def dense_pairs(vectors: DataFrame, eps: float, id_col: str = "article_id",
     right = blocks.select("day", F.col("block").alias("y"), F.col("ids").alias("ids_y"), F.col("matrix").alias("m_y"))
     joined = pairs.join(left, ["day", "x"]).join(right, ["day", "y"])
     return joined.select("day", "x", "y", "ids_x", "m_x", "ids_y", "m_y").mapInArrow(
-        multiply, "id_a long, id_b long, day string, dist double")
+        multiply, ", ".join(fields))

@@ -64,6 +64,14 @@ def test_dense_blocks_equal_brute_force(spark):
         for how in ({}, {"tile_rows": 5, "cell_bits": 3}, {"cell_bits": 0, "tile_rows": 40}):
             out = similarity.dense_pairs(v, eps, **how).collect()
             assert {(r.id_a, r.id_b) for r in out} == want and len(out) == len(want)
+            degree = {}
+            for r in similarity.dense_links(v, eps, **how).collect():
+                degree[r.id] = degree.get(r.id, 0) + r.n
+            assert degree == {i: n for i in unit if (n := sum(i in p for p in want))}
+        near = similarity.dense_pairs(v, eps)
+        whole = {r.node: r.component for r in components.connected_components(
+            near, v.select(F.col("article_id").alias("node")), src="id_a", dst="id_b").collect()}
+        assert {r.id: r.cluster_id for r in dedup.dense_component_labels(v, eps).collect()} == whole
     assert similarity.dense_pairs(v.limit(0), 0.3).collect() == []
 
 
