@@ -25,7 +25,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import cloudpickle
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -51,7 +51,7 @@ def hashed_words(col: str | Column, n_features: int = N_FEATURES) -> Column:
     return F.transform(tx.word_tokens(col), lambda t: F.pmod(F.xxhash64(t), F.lit(n_features)).cast("int"))
 
 
-def _counted(df: DataFrame, id_col: str, day_col: str) -> DataFrame:
+def _counted(df: DataFrame) -> DataFrame:
     """(id, day, idx, tf): distinct buckets, ascending, and how often each."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -67,6 +67,15 @@ def _counted(df: DataFrame, id_col: str, day_col: str) -> DataFrame:
     return df.mapInArrow(run, "id long, day string, idx array<int>, tf array<int>")
 
 
+def word_counts(df: DataFrame, text_col: str = "text", id_col: str = "article_id", day_col: str = "datetime",
+                n_features: int = N_FEATURES) -> DataFrame:
+    """(id, day, idx, tf): the distinct word buckets of a text, ascending, and
+    how often each; written once, as several later steps read it."""
+    slim = df.select(F.col(id_col).cast("long").alias("id"), F.col(day_col).cast("string").alias("day"),
+                     hashed_words(text_col, n_features).alias("words"))
+    return materialize(_counted(slim))
+
+
 def tfidf_vectors(df: DataFrame, text_col: str = "text", id_col: str = "article_id", day_col: str = "datetime",
                   n_features: int = N_FEATURES) -> DataFrame:
     """K3: (id, day, idx, w), w the unit-length TF-IDF weights of the word
@@ -74,27 +83,34 @@ def tfidf_vectors(df: DataFrame, text_col: str = "text", id_col: str = "article_
 
     A text without words (or null) has the empty vector, which is near
     nothing.  Two words may share a bucket: their counts add up."""
-    slim = df.select(F.col(id_col).cast("long").alias("id"), F.col(day_col).cast("string").alias("day"),
-                     hashed_words(text_col, n_features).alias("words"))
-    counted = materialize(_counted(slim, id_col, day_col))
+    counted = word_counts(df, text_col, id_col, day_col, n_features)
+    return _weighed(counted, _idf(counted, n_features))
+
+
+def _idf(counted: DataFrame, n_features: int) -> Broadcast:
+    """The weight of every bucket (n_features numbers), on all workers."""
     n_docs = counted.count()
     # n_features rows at most
     dfreq = counted.select(F.explode("idx").alias("i")).groupBy("i").agg(F.count("*").alias("df")).toPandas()
     idf = np.full(n_features, math.log(1 + n_docs) + 1, np.float32)
     idf[dfreq["i"].to_numpy()] = np.log((1 + n_docs) / (1 + dfreq["df"].to_numpy(np.float64))) + 1
-    shared = df.sparkSession.sparkContext.broadcast(idf)
+    return counted.sparkSession.sparkContext.broadcast(idf)
+
+
+def _weights(idx: pa.ListScalar, tf: pa.ListScalar, idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    i = np.asarray(idx.values)
+    v = np.asarray(tf.values, np.float64) * idf[i]
+    return i, v / math.sqrt(float(v @ v)) if len(v) else v
+
 
+def _weighed(counted: DataFrame, idf: Broadcast) -> DataFrame:
     def weigh(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            w = []
-            for idx, tf in zip(batch.column(2), batch.column(3)):
-                v = np.asarray(tf.values, np.float64) * shared.value[np.asarray(idx.values)]
-                w.append(v / math.sqrt(float(v @ v)) if len(v) else v)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), batch.column(2), pa.array(w, pa.list_(pa.float64()))],
-                names=["id", "day", "idx", "w"])
+            w = [_weights(i, n, idf.value)[1] for i, n in zip(batch.column(2), batch.column(3))]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(w, pa.list_(pa.float64()))],
+                                             names=["id", "day", "idx", "w"])
 
-    return counted.mapInArrow(weigh, f"id long, day string, {VECTOR}")
+    return counted.select("id", "day", "idx", "tf").mapInArrow(weigh, f"id long, day string, {VECTOR}")
 
 
 def choose_bands(eps: float, recall: float = RECALL, bits: int = BITS) -> int:
@@ -116,83 +132,87 @@ def random_signs(idx: np.ndarray, n_bits: int, seed: int = 0) -> np.ndarray:
     return np.unpackbits(x.astype("<u8").view(np.uint8), axis=1)[:, :n_bits]
 
 
-def bands_of(vectors: DataFrame, n_bands: int, bits: int = BITS) -> DataFrame:
-    """(id, day, bands array<long>): the packed signs of every band; the empty
-    vector has none."""
+def bands_of(counted: DataFrame, idf: Broadcast, n_bands: int, bits: int = BITS) -> DataFrame:
+    """(id, bands array<long>): the packed signs of every band, each with its
+    day and number hashed in; the empty vector has none."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.int64(1) << np.arange(bits, dtype=np.int64)
         for batch in batches:
             out = []
-            for idx, w in zip(batch.column(2), batch.column(3)):
-                idx, w = np.asarray(idx.values), np.asarray(w.values, np.float32)
+            for i, n in zip(batch.column(2), batch.column(3)):
+                idx, w = _weights(i, n, idf.value)
                 if not len(idx):
                     out.append([])
                     continue
                 # sum of +-w over the features: twice the sum of those with sign 1, less all of them
-                up = w @ random_signs(idx, n_bands * bits).astype(np.float32)
+                up = w.astype(np.float32) @ random_signs(idx, n_bands * bits).astype(np.float32)
                 out.append((2 * up > w.sum()).reshape(n_bands, bits) @ place)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int64()))], names=["id", "day", "bands"])
 
-    return vectors.select("id", "day", "idx", "w").mapInArrow(run, "id long, day string, bands array<long>")
-
-
-def collapse_equal(vectors: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """``(reps, copies)``: the vector with the smallest id of each group of
-    equal ones of a day, and (id, rep) for the others.  Empty vectors are
-    never merged."""
-    vectors = materialize(vectors.withColumn("sig", F.when(F.size("idx") > 0, F.sha2(F.concat_ws(
-        ",", F.col("idx").cast("array<string>"), F.transform("w", lambda x: F.round(x, 9).cast("string"))), 256))))
-    least = vectors.where("sig is not null").groupBy("day", "sig").agg(F.min("id").alias("rep"))
-    firsts = least.select(F.col("rep").alias("id")).unionByName(vectors.where("sig is null").select("id"))
-    reps = vectors.join(firsts, "id", "left_semi").drop("sig")
-    copies = (vectors.select("id", "day", "sig").join(least, ["day", "sig"]).where("id <> rep").select("id", "rep"))
+    signs = counted.select("id", "day", "idx", "tf").mapInArrow(run, "id long, day string, bands array<long>")
+    return signs.where("day is not null").select(
+        "id", F.transform("bands", lambda b, k: F.xxhash64("day", k, b)).alias("bands"))
+
+
+def collapse_equal(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``(reps, copies)``: the row with the smallest id of each group of equal
+    words and counts of a day, and (id, rep) for the others.  Rows without
+    words or day are never merged."""
+    sig = F.when((F.size("idx") > 0) & F.col("day").isNotNull(), F.unhex(F.sha2(F.concat_ws(
+        ",", F.col("idx").cast("array<string>"), F.lit("/"), F.col("tf").cast("array<string>")), 256)))
+    keyed = counted.select("id", "day", sig.alias("sig"))
+    least = keyed.where("sig is not null").groupBy("day", "sig").agg(F.min("id").alias("rep"))
+    firsts = least.select(F.col("rep").alias("id")).unionByName(keyed.where("sig is null").select("id"))
+    reps = counted.join(firsts, "id", "left_semi")
+    copies = keyed.join(least, ["day", "sig"]).where("id <> rep").select("id", "rep")
     return materialize(reps), copies
 
 
 def _candidates(bands: DataFrame, tile_rows: int) -> DataFrame:
     """Distinct (id_a, id_b), id_a < id_b, that share a band of one day."""
-    rows = bands.select("id", "day", F.posexplode("bands").alias("band", "value"))
-    key = ["day", "band", "value"]
+    rows = bands.select("id", F.explode("bands").alias("key")).repartition("key")   # dealt once, read twice
     # a bucket of one row pairs nothing; a large one is cut into tiles
-    sizes = (rows.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1")
-             .select(*key, F.ceil(F.col("n") / tile_rows).cast("int").alias("tiles")))
-    rows = rows.join(sizes, key).withColumn("t", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int"))
+    sizes = (rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+             .select("key", F.ceil(F.col("n") / tile_rows).cast("int").alias("tiles")))
+    rows = materialize(rows.join(sizes, "key").withColumn("t", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")))
     every = F.sequence(F.lit(0), F.col("tiles") - 1)
     # tile pair (i, j), i <= j: every pair of rows meets in just one
-    left = rows.select(*key, F.col("id").alias("x"), F.col("t").alias("i"), F.explode(
+    left = rows.select("key", F.col("id").alias("x"), F.col("t").alias("i"), F.explode(
         F.filter(every, lambda j: j >= F.col("t"))).alias("j"))
-    right = rows.select(*key, F.col("id").alias("y"), F.col("t").alias("j"), F.explode(
+    right = rows.select("key", F.col("id").alias("y"), F.col("t").alias("j"), F.explode(
         F.filter(every, lambda i: i <= F.col("t"))).alias("i"))
-    met = left.join(right, [*key, "i", "j"]).where((F.col("i") < F.col("j")) | (F.col("x") < F.col("y")))
+    met = left.join(right, ["key", "i", "j"]).where((F.col("i") < F.col("j")) | (F.col("x") < F.col("y")))
     return met.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
 
-def _cosines(pairs: DataFrame) -> DataFrame:
-    """(id_a, id_b, day, dist) of (id_a, id_b, day, idx_a, w_a, idx_b, w_b)."""
+def _cosines(pairs: DataFrame, idf: Broadcast) -> DataFrame:
+    """(id_a, id_b, day, dist) of (id_a, id_b, day, idx_a, tf_a, idx_b, tf_b)."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             dist = []
-            for ia, wa, ib, wb in zip(*batch.columns[3:]):
-                _, a, b = np.intersect1d(np.asarray(ia.values), np.asarray(ib.values), assume_unique=True,
-                                         return_indices=True)
-                dist.append(1.0 - float(np.asarray(wa.values)[a] @ np.asarray(wb.values)[b]))
+            for ia, na, ib, nb in zip(*batch.columns[3:]):
+                (x, v), (y, w) = _weights(ia, na, idf.value), _weights(ib, nb, idf.value)
+                _, a, b = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+                dist.append(1.0 - float(v[a] @ w[b]))
             yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(dist, pa.float64())],
                                              names=["id_a", "id_b", "day", "dist"])
 
     return pairs.mapInArrow(run, "id_a long, id_b long, day string, dist double")
 
 
-def similar_vector_pairs(reps: DataFrame, eps: float, recall: float = RECALL, bits: int = BITS,
+def similar_vector_pairs(reps: DataFrame, idf: Broadcast, eps: float, recall: float = RECALL, bits: int = BITS,
                          tile_rows: int = TILE_ROWS) -> DataFrame:
     """D7, approximate: (id_a, id_b, day, dist) with dist <= eps, of different
     vectors of a day.  Every pair is checked; see ``choose_bands`` for those
     that may be missed."""
-    cand = _candidates(bands_of(reps, choose_bands(eps, recall, bits), bits), tile_rows)
-    a = reps.select(F.col("id").alias("id_a"), "day", F.col("idx").alias("idx_a"), F.col("w").alias("w_a"))
-    b = reps.select(F.col("id").alias("id_b"), F.col("idx").alias("idx_b"), F.col("w").alias("w_b"))
-    pairs = cand.join(a, "id_a").join(b, "id_b").select("id_a", "id_b", "day", "idx_a", "w_a", "idx_b", "w_b")
-    return _cosines(pairs).where(F.col("dist") <= F.lit(eps + 1e-12))
+    cand = _candidates(bands_of(reps, idf, choose_bands(eps, recall, bits), bits), tile_rows)
+    a = reps.select(F.col("id").alias("id_a"), "day", F.col("idx").alias("idx_a"), F.col("tf").alias("tf_a"))
+    b = reps.select(F.col("id").alias("id_b"), F.col("day").alias("day_b"), F.col("idx").alias("idx_b"),
+                    F.col("tf").alias("tf_b"))
+    pairs = (cand.join(a, "id_a").join(b, "id_b").where("day = day_b")
+             .select("id_a", "id_b", "day", "idx_a", "tf_a", "idx_b", "tf_b"))
+    return _cosines(pairs, idf).where(F.col("dist") <= F.lit(eps + 1e-12))
 
 
 def similar_texts(df: DataFrame, eps: float, text_col: str = "text", id_col: str = "article_id",
@@ -201,8 +221,10 @@ def similar_texts(df: DataFrame, eps: float, text_col: str = "text", id_col: str
     for every row; n_links counts the different vectors it is linked to.
     Rows with equal vectors are in one cluster, rows without words alone.
     Ids must be unique and not null."""
-    reps, copies = collapse_equal(tfidf_vectors(df, text_col, id_col, day_col))
-    edges = materialize(similar_vector_pairs(reps, eps, recall, bits))
+    counted = word_counts(df, text_col, id_col, day_col)
+    idf = _idf(counted, N_FEATURES)
+    reps, copies = collapse_equal(counted)
+    edges = materialize(similar_vector_pairs(reps, idf, eps, recall, bits))
     comp = connected_components(edges, reps.select(F.col("id").alias("node")), src="id_a", dst="id_b")
     links = (edges.select(F.col("id_a").alias("id")).unionByName(edges.select(F.col("id_b").alias("id")))
              .groupBy("id").agg(F.count("*").alias("n_links")))

@@ -61,9 +61,11 @@ def test_vectors_equal_brute_force(articles, hashed):
 
 
 def links(spark, df, eps, **how):
-    reps, copies = vectors.collapse_equal(vectors.tfidf_vectors(df, **how))
+    counted = vectors.word_counts(df, **how)
+    reps, copies = vectors.collapse_equal(counted)
+    idf = vectors._idf(counted, vectors.N_FEATURES)
     rep = {r["id"]: r["rep"] for r in copies.collect()}
-    pairs = {(r["id_a"], r["id_b"]) for r in vectors.similar_vector_pairs(reps, eps).collect()}
+    pairs = {(r["id_a"], r["id_b"]) for r in vectors.similar_vector_pairs(reps, idf, eps).collect()}
     return pairs, rep
 
 
@@ -115,8 +117,7 @@ def test_titles_and_odd_rows(spark):
 
 
 def test_tiles_meet_once(spark):
-    bands = spark.range(40).select("id", F.lit("d").alias("day"), F.array(F.lit(1).cast("long"), F.col("id") % 2)
-                                   .alias("bands"))
+    bands = spark.range(40).select("id", F.array(F.lit(7).cast("long"), F.col("id") % 2).alias("bands"))
     for tile in (1, 7, 100):
         got = [tuple(r) for r in vectors._candidates(bands, tile).collect()]
         assert sorted(got) == [(a, b) for a in range(40) for b in range(a + 1, 40)]
