@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..session import materialize
+from ..session import materialize, stage_table
 from .components import connected_components
 
 # executors need numpy and pyarrow, not this package
@@ -73,7 +73,7 @@ def word_counts(df: DataFrame, text_col: str = "text", id_col: str = "article_id
     how often each; written once, as several later steps read it."""
     slim = df.select(F.col(id_col).cast("long").alias("id"), F.col(day_col).cast("string").alias("day"),
                      hashed_words(text_col, n_features).alias("words"))
-    return materialize(_counted(slim))
+    return stage_table(_counted(slim), "word-counts")
 
 
 def tfidf_vectors(df: DataFrame, text_col: str = "text", id_col: str = "article_id", day_col: str = "datetime",
@@ -166,7 +166,7 @@ def collapse_equal(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     firsts = least.select(F.col("rep").alias("id")).unionByName(keyed.where("sig is null").select("id"))
     reps = counted.join(firsts, "id", "left_semi")
     copies = keyed.join(least, ["day", "sig"]).where("id <> rep").select("id", "rep")
-    return materialize(reps), copies
+    return stage_table(reps, "word-counts-reps"), copies
 
 
 def _candidates(bands: DataFrame, tile_rows: int) -> DataFrame:
@@ -175,7 +175,8 @@ def _candidates(bands: DataFrame, tile_rows: int) -> DataFrame:
     # a bucket of one row pairs nothing; a large one is cut into tiles
     sizes = (rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
              .select("key", F.ceil(F.col("n") / tile_rows).cast("int").alias("tiles")))
-    rows = materialize(rows.join(sizes, "key").withColumn("t", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")))
+    rows = stage_table(rows.join(sizes, "key").withColumn(
+        "t", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")), "band-buckets")
     every = F.sequence(F.lit(0), F.col("tiles") - 1)
     # tile pair (i, j), i <= j: every pair of rows meets in just one
     left = rows.select("key", F.col("id").alias("x"), F.col("t").alias("i"), F.explode(

@@ -77,3 +77,13 @@ def materialize(df):
         return df.checkpoint(eager=True)
     finally:
         df.unpersist()
+
+
+def stage_table(df, name: str):
+    """Like ``materialize`` for wide tables: written as (compressed) Parquet
+    into the shared checkpoint folder and read again, so that later steps read
+    only the columns they need."""
+    import uuid
+    path = f"{ensure_checkpoint_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
