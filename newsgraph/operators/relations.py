@@ -106,6 +106,17 @@ def all_relations(scored: DataFrame, threshold: float = 0.78) -> DataFrame:
     return scored.where(F.col("prob") > threshold).select(*_PAIR, F.col("prop").alias("relation"), "prob", "hord")
 
 
+def attach_entities(articles: DataFrame, entities: DataFrame, id_col: str = "article_id") -> DataFrame:
+    """``found_entities array<struct<text,type>>`` in entity order, empty for
+    articles without any."""
+    ent = entities.groupBy(id_col).agg(F.transform(
+        F.sort_array(F.collect_list(F.struct("eidx", "text", "type"))),
+        lambda e: F.struct(e["text"].alias("text"), e["type"].alias("type"))).alias("found_entities"))
+    empty = F.array().cast("array<struct<text:string,type:string>>")
+    return (articles.join(ent, id_col, "left")
+            .withColumn("found_entities", F.coalesce("found_entities", empty)))
+
+
 def extract_relations(articles: DataFrame, entities: DataFrame, onto: dict[str, DataFrame],
                       premises: DataFrame | None = None, threshold: float = 0.78,
                       premise_col: str = "translated_summary", id_col: str = "article_id",
@@ -120,9 +131,6 @@ def extract_relations(articles: DataFrame, entities: DataFrame, onto: dict[str,
     pairs = entity_pairs(entities, candidate_relations(onto), id_col)
     scored = score_hypotheses(hypotheses(pairs, onto["template"]), prem, "premise", id_col, scorer, **kw)
     trip = name_triplets(best_relation(scored, threshold), entities, onto["property"], id_col)
-    ent = entities.groupBy(id_col).agg(F.transform(
-        F.sort_array(F.collect_list(F.struct("eidx", "text", "type"))),
-        lambda e: F.struct(e["text"].alias("text"), e["type"].alias("type"))).alias("found_entities"))
     rel = trip.groupBy(id_col).agg(F.transform(
         F.sort_array(F.collect_list(F.struct("sbj_idx", "obj_idx", "sbj_text", "sbj_type", "relation",
                                              "obj_text", "obj_type"))),
@@ -130,9 +138,7 @@ def extract_relations(articles: DataFrame, entities: DataFrame, onto: dict[str,
                            r["relation"].alias("relation"),
                            F.struct(r["obj_text"].alias("text"), r["obj_type"].alias("type")).alias("obj"))
     ).alias("found_relations"))
-    empty_e = F.array().cast("array<struct<text:string,type:string>>")
     empty_r = F.array().cast("array<struct<sbj:struct<text:string,type:string>,relation:string,"
                              "obj:struct<text:string,type:string>>>")
-    return (articles.join(ent, id_col, "left").join(rel, id_col, "left")
-            .withColumn("found_entities", F.coalesce("found_entities", empty_e))
+    return (attach_entities(articles, entities, id_col).join(rel, id_col, "left")
             .withColumn("found_relations", F.coalesce("found_relations", empty_r)))

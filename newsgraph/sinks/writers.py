@@ -1,7 +1,7 @@
-"""Sinks B1-B4, B6, B7: per-day JSON / CSV / Parquet, error side output."""
+"""Sinks B1-B4, B6, B7: per-day JSON / CSV / Parquet, error side output, triplet records."""
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -9,6 +9,9 @@ from pyspark.sql import types as T
 STAGE_DIRS = {"preprocess": "1", "filter": "1_", "erase_similar": "1_2_",
               "split_sentence": "1_2_3(SPL)", "translate": "1_2_3(SPL)_4"}
 
+# The triplet record of a news article, in the reference's order.
+TRIPLET_FIELDS = ["original_title", "original_text", "translated_summary", "found_entities", "found_relations"]
+
 
 def _csv_safe(df: DataFrame) -> DataFrame:
     cols = []
@@ -55,6 +58,33 @@ def write_with_errors(df: DataFrame, path: str, cols: list[str] | None = None,
         sel.unpersist()
 
 
+def write_triplets(df: DataFrame, path: str, day_col: str = "datetime", title_col: str = "title",
+                   text_col: str = "text", premise_col: str = "translated_summary",
+                   order_col: str = "article_id") -> None:
+    """The triplet records as JSON lines, one folder per day, every record
+    with exactly ``TRIPLET_FIELDS`` (a null is written as such).
+
+    ``df`` carries ``found_entities`` and ``found_relations`` as
+    ``relations.extract_relations`` returns them; the day is in the folder's
+    name only (a null day: ``day=null``).  Rows of a file follow
+    ``order_col``; only the days present are overwritten."""
+    day = F.coalesce(F.col(day_col).cast("string"), F.lit("null"))
+    out = df.select(day.alias("day"), F.col(order_col).alias("_order"), F.col(title_col).alias(TRIPLET_FIELDS[0]),
+                    F.col(text_col).alias(TRIPLET_FIELDS[1]), F.col(premise_col).alias(TRIPLET_FIELDS[2]),
+                    *TRIPLET_FIELDS[3:])
+    (out.hint("rebalance", "day").sortWithinPartitions("day", "_order").drop("_order")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("ignoreNullFields", False)
+     .partitionBy("day").json(path))
+
+
+def read_triplets(spark: SparkSession, path: str) -> DataFrame:
+    """The records of ``write_triplets`` with their ``day``."""
+    entity = "struct<text:string,type:string>"
+    return spark.read.schema(
+        f"original_title string, original_text string, translated_summary string, found_entities array<{entity}>, "
+        f"found_relations array<struct<sbj:{entity},relation:string,obj:{entity}>>, day string").json(path)
+
+
 def save_table(df: DataFrame, path: str) -> None:
     """A prepared training set as Parquet."""
     df.write.mode("overwrite").parquet(path)
