@@ -8,26 +8,35 @@ from pyspark.sql import Window as W
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.dedup import dedup_title_keep_last
+from ..sources import files
+from ..sources.daytable import DayTable
 from ..sources.ingest import read_landed
 
 _ARRIVED = "_arrived"
 
 
-def _landed(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def _landed(spark: SparkSession, dst: str | DayTable, schema: T.StructType, version: int | None = None) -> DataFrame:
     """The landed rows, empty where nothing has landed yet (only a missing
     path counts as that; other failures stop the batch)."""
-    found = read_landed(spark, path, schema)
+    if isinstance(dst, DayTable):
+        return dst.read(version).select(*schema.fieldNames())
+    found = read_landed(spark, dst, schema)
     return spark.createDataFrame([], schema) if found is None else found.select(*schema.fieldNames())
 
 
-def _replace_days(spark: SparkSession, days: DataFrame, rows: DataFrame, dst: str, batch_id: int,
-                  day_col: str, schema: T.StructType) -> None:
+def _replace_days(spark: SparkSession, days: DataFrame, rows: DataFrame, dst: str | DayTable, batch_id: int,
+                  day_col: str, schema: T.StructType, version: int | None = None) -> None:
     """Make ``rows`` the whole content of the given ``days`` of ``dst``.
 
-    The rows are written to a per-batch staging folder first (Spark refuses to
+    A ``DayTable`` publishes them as the next of ``version``, in one step.  In a plain
+    folder the rows are written to a per-batch staging folder first (Spark refuses to
     overwrite a path the same job reads), then replace exactly those day
     partitions.  A day that is left without rows is overwritten with none.
-    Re-running a batch id rewrites the same folders: idempotent."""
+    Re-running a batch id rewrites the same folders: idempotent.  The staging
+    folder is removed once the days are replaced."""
+    if isinstance(dst, DayTable):
+        dst.replace(rows, days, version)
+        return
     root = dst.rstrip("/")
     staged = f"{root}_staging/batch={batch_id}"
     rows.withColumn("day", F.col(day_col)).write.mode("overwrite").parquet(staged)
@@ -36,9 +45,10 @@ def _replace_days(spark: SparkSession, days: DataFrame, rows: DataFrame, dst: st
     empty = days.join(new.select(day_col).distinct(), day_col, "left_anti").where(F.col(day_col).isNotNull())
     for r in empty.collect():  # day names only
         spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{root}/day={r[0]}")
+    files.delete(spark, staged)
 
 
-def _upsert(spark: SparkSession, batch: DataFrame, batch_id: int, dst: str, key: str, day_col: str,
+def _upsert(spark: SparkSession, batch: DataFrame, batch_id: int, dst: str | DayTable, key: str, day_col: str,
             schema: T.StructType) -> DataFrame:
     """Land a batch: the newest version of a key wins, wherever it was before.
     Returns the touched days: those of the batch and those its keys left."""
@@ -46,11 +56,12 @@ def _upsert(spark: SparkSession, batch: DataFrame, batch_id: int, dst: str, key:
     newest = W.partitionBy(key).orderBy(F.col(_ARRIVED).desc(), F.col("_row").desc())
     b = (batch.withColumn("_row", F.monotonically_increasing_id())
          .withColumn("_rank", F.row_number().over(newest)).where("_rank = 1").select(*columns))
-    old = _landed(spark, dst, schema)
+    version = dst.version() if isinstance(dst, DayTable) else None
+    old = _landed(spark, dst, schema, version)
     left = old.join(b.select(key), key, "left_semi").select(day_col)
     days = b.select(day_col).unionByName(left).distinct().persist()
     merged = (old.join(days, day_col, "left_semi").join(b.select(key), key, "left_anti").unionByName(b))
-    _replace_days(spark, days, merged, dst, batch_id, day_col, schema)
+    _replace_days(spark, days, merged, dst, batch_id, day_col, schema, version)
     return days
 
 
@@ -72,20 +83,24 @@ def _start(spark: SparkSession, src: str, checkpoint: str, schema: T.StructType,
     return w.start()
 
 
-def stream_ingest(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: T.StructType,
+def stream_ingest(spark: SparkSession, src: str, dst: str | DayTable, checkpoint: str, schema: T.StructType,
                   key: str = "article_id", day_col: str = "datetime", fmt: str = "parquet",
                   available_now: bool = True) -> StreamingQuery:
     """L1: new article files -> day partitions of ``dst``.
 
     A key that arrives again is replaced by its newest version, also when its
-    day has changed; only the touched days are rewritten."""
+    day has changed; only the touched days are rewritten.
+
+    With a ``DayTable`` every batch is one published version, so a batch that
+    fails half way leaves the readers what they had, and is done anew on
+    restart.  A plain folder is replaced day by day."""
     def land(batch: DataFrame, batch_id: int) -> None:
         _upsert(spark, batch, batch_id, dst, key, day_col, schema).unpersist()
 
     return _start(spark, src, checkpoint, schema, fmt, available_now, land)
 
 
-def stream_title_dedup(spark: SparkSession, src: str, dst: str, checkpoint: str, schema: T.StructType,
+def stream_title_dedup(spark: SparkSession, src: str, dst: str | DayTable, checkpoint: str, schema: T.StructType,
                        key: str = "article_id", day_col: str = "datetime", title_col: str = "title",
                        fmt: str = "parquet", available_now: bool = True) -> StreamingQuery:
     """L2: same-day title dedup on a stream, keeping the LAST article as the
@@ -94,7 +109,10 @@ def stream_title_dedup(spark: SparkSession, src: str, dst: str, checkpoint: str,
     an article that a later retitle sets free comes back.
     (``dropDuplicatesWithinWatermark`` keeps the first row, so it would not be
     equivalent.)"""
-    raw = dst.rstrip("/") + "_raw"
+    if isinstance(dst, DayTable):
+        raw = DayTable(spark, dst.path + "_raw", schema, day_col)
+    else:
+        raw = dst.rstrip("/") + "_raw"
 
     def land(batch: DataFrame, batch_id: int) -> None:
         days = _upsert(spark, batch, batch_id, raw, key, day_col, schema)
