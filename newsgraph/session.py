@@ -18,6 +18,8 @@ DEFAULT_CONF = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # years of article files are decided before a file is opened
+    "spark.sql.python.filterPushdown.enabled": "true",
     "spark.ui.enabled": "false",
 }
 

@@ -1,12 +1,16 @@
 """Readers: article scans (A1-A5, H1, C11), label index (A10), ontology."""
 from __future__ import annotations
 
+import csv
+import json
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from . import articles
+
 ARTICLE_SCHEMA = T.StructType([
     T.StructField("original_index", T.LongType()),
     T.StructField("datetime", T.StringType()),
@@ -15,48 +19,57 @@ ARTICLE_SCHEMA = T.StructType([
 ])
 
 
-_FILE = "_source_file"
+_FILE = articles.SOURCE_FILE
 
 
-def _read_csv_by_name(spark: SparkSession, path: str | list[str], schema: T.StructType | None) -> DataFrame:
-    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), "value",
+def _csv_schema(spark: SparkSession, path: str | list[str]) -> T.StructType:
+    """The columns of all files, by the order in which the headers (those of
+    the first file in name order first) bring them.  The distinct headers reach
+    the driver, not the files."""
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"),
                                          F.col("_metadata.file_block_start").alias("at"))
-    # the first line of each file; only file names and headers reach the driver
-    heads = lines.where("at = 0").groupBy("file").agg(F.first("value").alias("header"))
-    groups: dict[str, list[str]] = {}
-    for r in heads.orderBy("file").collect():
-        groups.setdefault(r["header"], []).append(r["file"])
-    reader = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
-    out = None
-    for files in groups.values():
-        part = reader.csv(files)
-        part = part.select("*", F.col("_metadata.file_path").alias(_FILE))
-        out = part if out is None else out.unionByName(part, allowMissingColumns=True)
-    if out is None:
-        return spark.createDataFrame([], (schema or T.StructType()).add(_FILE, "string"))
-    if schema is not None:
-        out = out.select(*((F.col(f.name) if f.name in out.columns else F.lit(None)).cast(f.dataType).alias(f.name)
-                           for f in schema.fields), _FILE)
-    return out
+    first = lines.where("at = 0").groupBy("file").agg(F.first("value").alias("header"))
+    heads = first.groupBy("header").agg(F.min("file").alias("file")).orderBy("file")
+    names: dict[str, None] = {}
+    for r in heads.collect():
+        header = next(csv.reader([r["header"].removeprefix("\ufeff")]), [])
+        names.update(dict.fromkeys(articles.column_names(header)))
+    return T.StructType([T.StructField(n, T.StringType()) for n in names])
+
+
+def _read_csv_by_name(spark: SparkSession, path: str | list[str], schema: T.StructType | None,
+                      groups: int | None) -> DataFrame:
+    columns = _csv_schema(spark, path) if schema is None else T.StructType(
+        [T.StructField(f.name, T.StringType()) for f in schema.fields])
+    spark.dataSource.register(articles.ArticleFiles)
+    paths = [path] if isinstance(path, str) else list(path)
+    out = (spark.read.format("article_files").schema(articles.file_schema(columns))
+           .option("path", json.dumps(paths))
+           .option("groups", groups or max(2 * spark.sparkContext.defaultParallelism, 2)).load())
+    if schema is None:
+        return out
+    return out.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields), _FILE,
+                      articles.FILE_YEAR)
 
 
 def read_articles(spark: SparkSession, path: str | list[str], fmt: str = "csv",
                   years: tuple[int, int] | Iterable[int] | None = None,
                   schema: T.StructType | None = None,
-                  sample: int | None = None, seed: int = 111) -> DataFrame:
+                  sample: int | None = None, seed: int = 111, groups: int | None = None) -> DataFrame:
     """Scan article files in one job.
 
     * ``fmt`` is explicit ("csv", "json" or "parquet"); the reference guessed
       it from a substring of the first path.
     * ``years``: a ``(start, end)`` pair is end-exclusive; any other iterable
       is an explicit year list; ``None`` keeps every file.  The filter is on
-      the first four characters of the *file name* (the ``_metadata``
-      column), one job for all years.  A file without a year in front is
+      the first four characters of the *file name*, one job for all years; CSV
+      files of other years are not opened.  A file without a year in front is
       left out by any filter.
-    * CSV columns are aligned by name: files are grouped by their header
-      line, each group is read with its own header, and the groups are united
-      by name (a column that a group lacks is null).  With ``schema`` the
-      columns are picked from these by name.
+    * CSV goes through the data source ``article_files``: ``groups`` tasks
+      (default: twice the cluster's cores) each read their share of the files,
+      and columns are aligned by name (a column that a file lacks is null).
+      With ``schema`` its columns are picked by name; without one the headers
+      are read first.  A file is read by one task, in batches.
     * A pandas index column ``__index_level_0__`` is dropped, and the
       unnamed leading index column is renamed ``original_index``, both only
       when present.
@@ -64,22 +77,22 @@ def read_articles(spark: SparkSession, path: str | list[str], fmt: str = "csv",
       (debug runs); rows of the other files are never read.
     """
     if fmt == "csv":
-        df = _read_csv_by_name(spark, path, schema)
+        df = _read_csv_by_name(spark, path, schema, groups)
     else:
         reader = spark.read if schema is None else spark.read.schema(schema)
-        df = reader.format(fmt).load(path)
-    df = df if fmt == "csv" else df.select("*", F.col("_metadata.file_path").alias(_FILE))
-    fname = F.element_at(F.split(_FILE, "/"), -1)
+        df = reader.format(fmt).load(path).select("*", F.col("_metadata.file_path").alias(_FILE))
+        head = F.substring(F.element_at(F.split(_FILE, "/"), -1), 1, 4)
+        df = df.withColumn(articles.FILE_YEAR, F.when(head.rlike("^[0-9]{4}$"), head.cast("int")))
     if years is not None:
+        year = F.col(articles.FILE_YEAR)
         if isinstance(years, tuple) and len(years) == 2:
-            year_ok = F.substring(fname, 1, 4).cast("int").between(years[0], years[1] - 1)
+            df = df.where((year >= years[0]) & (year < years[1]))
         else:
-            year_ok = F.substring(fname, 1, 4).isin([str(y) for y in years])
-        df = df.where(year_ok)
+            df = df.where(year.isin([int(y) for y in years]))
     if sample is not None:
         files = df.select(_FILE).distinct().orderBy(F.xxhash64(_FILE, F.lit(seed))).limit(sample)
         df = df.join(F.broadcast(files), _FILE, "left_semi")  # ``sample`` names
-    df = df.drop(_FILE)
+    df = df.drop(_FILE, articles.FILE_YEAR)
     if "__index_level_0__" in df.columns:
         df = df.drop("__index_level_0__")
     # the unnamed leading index column: pandas calls it 'Unnamed: 0', Spark's
