@@ -10,8 +10,9 @@ rejected, as is one that the base counts reject.  A line fails as
 * shouting: ``MIN_MARKS`` or more exclamation marks, one to every
   ``WORDS_PER_MARK`` words or denser;
 * unfinished: ``MIN_WORDS`` or more words without any sentence punctuation;
-* boilerplate: it holds one of ``NOTICES`` (in ``clean``, and so in the
-  pipeline, only the sentences that hold one fail);
+* boilerplate: nothing is left of it without the sentences that hold one of
+  ``NOTICES``; these sentences go from every line, so one mention in a long line costs
+  that sentence only;
 * repetition: it equals an earlier line of the text.
 
 Lines without a word are neither judged nor counted.  Only DataFrame
@@ -44,7 +45,7 @@ WORDS_PER_MARK = 3
 MIN_WORDS = 30
 SYMBOLS = "#*$%&|<>"
 SENTENCE_MARKS = ".!?:;…。"
-SENTENCE_END = r"(?<=[.!?…。])\s+"
+SENTENCE_END = r"(?<=[.!?…。])[ \t\x0B\f\r]+"
 NOTICES = ("all rights reserved", "cookie policy", "enable javascript", "privacy policy",
            "sign in to continue", "subscribe to our newsletter", "terms of service", "terms of use")
 
@@ -97,10 +98,9 @@ def _without_notices(line: Column) -> Column:
         F.array_join(F.filter(F.split(line, SENTENCE_END), lambda x: ~_has_notice(x)), " "))
 
 
-def line_fails(line: Column, notices: bool = True) -> Column:
-    """Whether a line (with at least one word) fails a rule that looks at the
-    line alone, unless ``notices`` other than the one on boilerplate.  Each rule first asks for a character it needs, so most lines
-    are never cut into words."""
+def line_fails(line: Column) -> Column:
+    """Whether a line (with at least one word) fails a rule on its form.  Each
+    rule first asks for a character it needs, so most lines are never cut into words."""
     n = F.size(words(line))
     separators = F.size(F.filter(words(line), lambda w: w.isin(*SEPARATORS)))
     marks = _count(line, "!")
@@ -109,29 +109,29 @@ def line_fails(line: Column, notices: bool = True) -> Column:
             & (n - separators <= MAX_ITEM_WORDS * (separators + 1)))
     shouting = (marks >= MIN_MARKS) & (marks * WORDS_PER_MARK >= n)
     unfinished = ~line.rlike(f"[{SENTENCE_MARKS}]") & (n >= MIN_WORDS)
-    fails = symbols | menu | shouting | unfinished
-    return fails | _has_notice(line) if notices else fails
+    return symbols | menu | shouting | unfinished
 
 
-def judge(docs: DataFrame, by_sentence: bool = False) -> DataFrame:
+def line_left(line: Column) -> Column:
+    """What the rules leave of a line: nothing, or its sentences without a notice."""
+    return F.when(line_fails(line), "").otherwise(_without_notices(line))
+
+
+def judge(docs: DataFrame) -> DataFrame:
     """``docs`` with the base counts, ``base_failed``, ``lost_chars``,
-    ``clean_text`` (the lines that pass, joined) and ``kept``.  With
-    ``by_sentence`` a notice takes its sentence out of a line, not the line."""
+    ``clean_text`` (what is left of the lines, joined) and ``kept``."""
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: without(x, WS_CHARS) != "")
 
     def judged(lines: Column) -> Column:
         # each line once, where it stands first; a later equal line is a repetition
         def verdict(x: Column) -> Column:
-            fails = line_fails(x, notices=not by_sentence)
-            left = F.when(fails, "").otherwise(_without_notices(x)) if by_sentence else x
-            return let(left, lambda y: F.struct(y.alias("line"), word_chars(y).alias("chars"), (
-                without(y, WS_CHARS) == "" if by_sentence else fails).alias("fails")))
+            return let(line_left(x), lambda y: F.struct(y.alias("line"), word_chars(y).alias("chars"), (
+                without(y, WS_CHARS) == "").alias("fails")))
         verdicts = F.transform(F.array_distinct(lines), verdict)
         return let(verdicts, lambda v: F.struct(
             (F.size(lines) - F.size(v)).cast("long").alias("n_dup_lines"),
-            F.aggregate(v, F.lit(0).cast("long"), lambda a, x: a + F.when(x["fails"], 0).otherwise(x["chars"]))
-            .alias("left"),
+            F.aggregate(v, F.lit(0).cast("long"), lambda a, x: a + x["chars"]).alias("left"),
             F.array_join(F.transform(F.filter(v, lambda x: ~x["fails"]), lambda x: x["line"]), "\n")
             .alias("clean_text")))
 
@@ -158,9 +158,17 @@ def op6(docs: DataFrame) -> DataFrame:
 
 
 def clean(docs: DataFrame) -> DataFrame:
-    """The documents that are kept, with the columns of ``docs``.  Notices are
-    judged by sentence: one in a long line does not cost the document."""
-    return judge(docs, by_sentence=True).where("kept").select(docs.columns)
+    """The documents that are kept, with the columns of ``docs`` and the text
+    that is left of theirs.  A text that lost nothing is as it was, its blank
+    lines included; ``n_chars``, where there is one, follows the text."""
+    judged = judge(docs.withColumn("_whole", F.struct(*docs.columns))).where("kept")
+    changed = (F.col("lost_chars") > 0) | (F.col("n_dup_lines") > 0)
+    old = lambda c: F.col("_whole")[c]
+    new = {"text": F.when(changed, F.col("clean_text")).otherwise(old("text"))}
+    if "n_chars" in docs.columns:
+        size = F.length("clean_text").cast(docs.schema["n_chars"].dataType)
+        new["n_chars"] = F.when(changed & old("n_chars").isNotNull(), size).otherwise(old("n_chars"))
+    return judged.select(*(new.get(c, old(c)).alias(c) for c in docs.columns))
 
 
 def _sql_count(text: str, chars: str) -> str:
@@ -194,15 +202,17 @@ WITH d AS (
          any_value(len(list_filter(ws, lambda x: length(x) = 1 AND contains('{SEPARATORS}', x)))) AS seps,
          any_value({_sql_count('line', SYMBOLS)}) AS symbols,
          any_value({_sql_count('line', '!')}) AS marks,
-         any_value({_sql_count('line', SENTENCE_MARKS)}) AS ends
+         any_value({_sql_count('line', SENTENCE_MARKS)}) AS ends,
+         any_value(list_filter(string_split(regexp_replace(line, '([.!?…。])[ \\t\\x0B\\f\\r]+', '\\1' || chr(1), 'g'),
+                                            chr(1)),
+                               lambda x: NOT regexp_matches(lower(x), '{_NOTICES_SQL}'))) AS sentences
   FROM lines GROUP BY r, line
 ), judged AS (
-  SELECT r, copies, chars,
+  SELECT r, copies, length(translate(array_to_string(sentences, ''), {_WS_SQL}, '')) AS chars,
          symbols > {MAX_SYMBOLS} * chars
          OR (seps >= {MIN_SEPARATORS} AND n - seps <= {MAX_ITEM_WORDS} * (seps + 1))
          OR (marks >= {MIN_MARKS} AND marks * {WORDS_PER_MARK} >= n)
-         OR (n >= {MIN_WORDS} AND ends = 0)
-         OR regexp_matches(lower(line), '{_NOTICES_SQL}') AS fails
+         OR (n >= {MIN_WORDS} AND ends = 0) AS fails
   FROM facts
 ), per_doc AS (
   SELECT r, sum(copies) - count(*) AS dups, sum(CASE WHEN fails THEN 0 ELSE chars END) AS left_chars

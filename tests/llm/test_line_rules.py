@@ -37,7 +37,7 @@ def test_counts_equal_brute_force(docs, odd_docs):
 ])
 def test_line_rules(spark, line, fails):
     df = spark.createDataFrame([(line,)], "line string")
-    assert df.select(line_rules.line_fails(F.col("line"))).first()[0] is fails
+    assert (df.select(line_rules.line_left(F.col("line"))).first()[0] == "") is fails
 
 
 def test_clean_text_and_loss(spark):
@@ -68,6 +68,32 @@ def test_a_notice_in_a_long_line_does_not_cost_the_document(spark):
             (2, "All rights reserved to " + " ".join(f"owner{i}" for i in range(80)) + "."), (3, long)]
     df = spark.createDataFrame(rows, "doc_id long, text string")
     assert sorted(r["doc_id"] for r in line_rules.clean(df).collect()) == [1, 3]
-    got = {r["doc_id"]: r for r in line_rules.judge(df, by_sentence=True).collect()}
+    assert {r["doc_id"]: r["kept"] for r in line_rules.op6(df).collect()} == {1: True, 2: False, 3: True}
+    got = {r["doc_id"]: r for r in line_rules.judge(df).collect()}
     assert got[1]["lost_chars"] == len("TheysignedaprivacypolicyinMay.") and "policy" not in got[1]["clean_text"]
     assert got[2]["clean_text"] == "" and got[3]["lost_chars"] == 0 and got[3]["clean_text"] == long
+
+
+def test_clean_gives_the_text_that_is_left(spark):
+    good = "\n".join(" ".join(f"word{i}x{k}" for k in range(9)) + "." for i in range(9))
+    rows = [(1, good.replace(".\n", ".\n\n"), 5, "a"), (2, good + "\nHome | News | Sport | Contact", 7, "b"),
+            (3, good + " Read our privacy policy.\n" + good.split("\n")[0], 9, None), (4, "short", 1, "d")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n_chars int, lost_chars string")
+    got = {r["doc_id"]: tuple(r)[1:] for r in line_rules.clean(df).collect()}
+    assert got == {1: rows[0][1:], 2: (good, len(good), "b"), 3: (good, len(good), None)}
+
+
+def test_sql_says_the_same_of_sentences(spark, tmp_path):
+    """The registered SQL against the operator on lines that mix notices and text."""
+    import duckdb
+    filler = " ".join(f"Word{i} stands here." for i in range(30))
+    notes = ["Privacy policy.", "See our terms of use! Then go on.", "Cookie policy", "A.\tSign in to continue?\u000bB.",
+             "All rights reserved。 x", "No. 1 all rights reserved... and more. End", "!!! privacy policy !!!", " . "]
+    rows = [(i * 10 + k, f"{n}\n{n} {filler}\n" * k + n) for i, n in enumerate(notes) for k in (1, 2, 5)]
+    rows += [(900 + i, f"{filler} {n} " + "long tail " * w) for i, n in enumerate(notes) for w in (25, 100)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "d"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM '{tmp_path}/d/*.parquet'")
+    want = sorted(con.execute(line_rules.SQL).fetchall())
+    got = sorted(map(tuple, line_rules.op6(spark.read.parquet(str(tmp_path / "d"))).collect()))
+    assert got == want and {r[-1] for r in got} == {True, False}

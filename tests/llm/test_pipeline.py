@@ -21,6 +21,11 @@ def test_stages_and_run_equal_brute_force(spark, tmp_path):
     quality = {r["doc_id"]: r["quality"] for r in labels.collect()}
     rules = {r["doc_id"]: r["kept"] for r in line_rules.op6(source).collect()}
     assert set(kept["quality_rules"]) == {k for k, v in rules.items() if v}
+    judged = {r["doc_id"]: r for r in line_rules.judge(source).collect()}
+    for k, text in kept["quality_rules"].items():
+        r = judged[k]
+        assert text == (r["clean_text"] if r["lost_chars"] or r["n_dup_lines"] else r["text"])
+    assert any(text != judged[k]["text"] for k, text in kept["quality_rules"].items())
     model = compress_quality.train(source, labels)
     assert set(kept["quality_classifier"]) == {
         k for k, t in kept["quality_rules"].items() if model.score(*model.sizes(t)) >= 0.3}
