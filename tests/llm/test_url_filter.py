@@ -58,3 +58,86 @@ def test_odd_rows(spark):
                                "page_id long, url string, host string")
     assert url_filter.op7(df).count() == 3
     assert url_filter.op7(df.limit(0)).collect() == []
+
+
+def _segments(spark, urls):
+    from pyspark.sql import functions as F
+    df = spark.createDataFrame([(u,) for u in urls], "url string").select(
+        url_filter.url_parts(F.col("url")).alias("u")).select(
+        "u.host", F.explode(F.concat(url_filter.chunks(F.col("u.host")), url_filter.chunks(F.col("u.path")))).alias("chunk"))
+    counts = df.groupBy("chunk").agg(F.count("*").alias("n"), F.count_distinct("host").alias("hosts"))
+    return {r["chunk"]: r["words"] for r in url_filter.segment(counts).collect()}
+
+
+TABLE = [f"http://{w}.example.org/{i}" for w in ("kitchen", "garden", "museum", "history", "bonus") for i in range(50)]
+
+
+def test_names_fall_into_words_of_the_table(spark):
+    got = _segments(spark, TABLE + [f"http://kitchengarden.org/page/{i}" for i in range(80)] + [
+        "http://onlinecasinobonus.com/", "http://bestpharmacydeals.com/", "http://museumhistory.org/",
+        "http://onlinecasinoxyz.com/", "http://winter.org/", "http://windows.org/", "http://sussex.org/",
+        "http://freedom.org/", "http://adulthood.org/", f"http://{'q' * 300}.org/"])
+    assert got["kitchengarden"] == ["kitchen", "garden"] and got["museumhistory"] == ["museum", "history"]
+    assert got["onlinecasinobonus"] == ["online", "casino", "bonus"]
+    assert got["bestpharmacydeals"][:2] == ["best", "pharmacy"]
+    assert got["onlinecasinoxyz"] == ["online", "casino", "xyz"]
+    for whole in ("kitchen", "garden", "winter", "windows", "sussex", "freedom", "adulthood", "casino", "q" * 300):
+        assert got.get(whole, [whole]) == [whole]
+
+
+def test_a_word_that_many_hosts_use_stays_whole(spark):
+    urls = TABLE + [f"http://host{chr(97 + i)}.org/gardenhistory/" for i in range(20)]
+    assert _segments(spark, urls)["gardenhistory"] == ["gardenhistory"]
+    assert _segments(spark, TABLE + ["http://a.org/gardenhistory/"])["gardenhistory"] == ["garden", "history"]
+
+
+def test_runs_equal_brute_force():
+    p = {"ab": -2.5, "bc": -1.5, "c": -4.0, "abc": -5.0, "ca": -1.0}
+
+    def score(parts):
+        return sum(p[w] if known else -3.0 * len(w) - 4.0 for w, known in parts)
+
+    for chunk in map("".join, itertools.product("abcx", repeat=5)):
+        known = [(i, j - i, p[chunk[i:j]]) for i in range(5) for j in range(i + 1, 6) if chunk[i:j] in p]
+        got = url_filter.best_words(chunk, known, -3.0, -4.0)
+        best = -math.inf
+        for cuts in itertools.product((0, 1), repeat=4):
+            ends = [0, *(i + 1 for i, c in enumerate(cuts) if c), 5]
+            words = [chunk[a:b] for a, b in itertools.pairwise(ends)]
+            for flags in itertools.product((0, 1), repeat=len(words)):
+                if all(not f or w in p for f, w in zip(flags, words)):
+                    best = max(best, score(list(zip(words, flags))))
+        options = itertools.product(*[[f for f in (0, 1) if not f or w in p] for w in got])
+        assert "".join(got) == chunk
+        assert any(math.isclose(score(list(zip(got, f))), best, abs_tol=1e-9) for f in options)
+
+
+def test_score_equals_brute_force_and_decides(spark):
+    """The whole query: counts, weights, prior and verdict by hand; a URL
+    without a listed word is blocked for the company its words keep."""
+    rows = [f"http://casino.example.org/jackpot-{w}" for w in ("slots", "wheel", "chips")] * 6
+    rows += [f"http://{h}.example.org/{w}" for h in ("museum", "garden", "school") for w in ("roses", "tales", "maps")] * 6
+    rows += ["http://lounge.example.org/jackpot-slots", "http://garden.example.org/wheel"]
+    got = judged(spark, *rows)
+    words = [[w for part in r.split("://")[1].replace("/", ".").replace("-", ".").split(".") for w in [part] if w]
+             for r in rows]
+    bad = [not {"casino"}.isdisjoint(w) for w in words]
+    count = {c: {} for c in (True, False)}
+    for b, ws in zip(bad, words):
+        for w in ws:
+            count[b][w] = count[b].get(w, 0) + 1
+    n = {c: sum(count[c].values()) for c in count}
+    k = url_filter.SMOOTHING
+
+    def weight(w):
+        b, g = count[True].get(w, 0), count[False].get(w, 0)
+        share = k * (b + g) / (n[True] + n[False])
+        return math.log((b + share) / (n[True] + k)) - math.log((g + share) / (n[False] + k))
+
+    prior = math.log(sum(bad) + 1) - math.log(len(bad) - sum(bad) + 1)
+    for i, ws in enumerate(words):
+        score = prior + sum(map(weight, ws))
+        assert math.isclose(got[i]["score"], score, abs_tol=1e-9)
+        assert got[i]["verdict"] == ("block" if score > 0 else "allow")
+        assert got[i]["top_word"] == max((weight(w), w) for w in ws)[1]
+    assert got[len(rows) - 2]["verdict"] == "block" and got[len(rows) - 1]["verdict"] == "allow"
