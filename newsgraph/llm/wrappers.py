@@ -14,7 +14,8 @@ article, and so is the text at places of the wrapper that lie in such elements
 on most pages.  For the other pages of the block the wrapper says which texts
 vary: the region (a path of open tags, without marks that change from page to
 page) that holds most of them is the article, and texts that most of the
-block's distinct pages share stay out; pages of another layout have a region of their own.  Boilerplate
+block's distinct pages share stay out, as do repeated groups of links that pages share (menus); pages of
+another layout have a region of their own.  Boilerplate
 inside the region (by tag, class, id or role) stays out; a class, id or role
 makes no boilerplate of an element that holds the article.
 
@@ -53,6 +54,8 @@ BLOCKS = frozenset("address article aside blockquote body caption center dd deta
                    "summary table tbody td tfoot th thead tr ul".split())
 CONTAINERS = frozenset("article body center div main section table tbody td".split())
 SINGLE = frozenset("html body article main".split())
+TABLE = frozenset("table thead tbody tfoot tr td th".split())
+ITEMS = frozenset("li dt dd td th".split())
 CLOSED_BY = {  # an open element of the key ends where one of these begins
     "p": BLOCKS, "li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr"}, "td": {"td", "th", "tr"},
     "th": {"td", "th", "tr"}, "option": {"option"}}
@@ -78,6 +81,7 @@ class Token:
     key: str          # tag with its marks, "/tag", or "" for a text
     text: str
     path: tuple       # keys of the open elements around it
+    linked: int = 0   # characters of the text inside links
 
 
 @dataclass(slots=True, eq=False)
@@ -105,7 +109,7 @@ def tokens(page: str) -> list[Token]:
     out: list[Token] = []
     stack: list[str] = []
     names: list[str] = []
-    at, end = 0, len(page)
+    at, end, in_link = 0, len(page), False
 
     def close(depth: int) -> None:
         while len(names) > depth:
@@ -122,10 +126,15 @@ def tokens(page: str) -> list[Token]:
                 out[-1].text += text
             elif not text.isspace():
                 out.append(Token("", text, tuple(stack)))
+            else:
+                continue
+            out[-1].linked += len(text) if in_link else 0
             continue
         if m["name"] is None:
             continue
         name = m["name"].lower()
+        if name == "a":
+            in_link = not m["close"]
         if m["close"]:
             if name in names:
                 close(len(names) - 1 - names[::-1].index(name))
@@ -285,15 +294,53 @@ class Wrapper:
         return i
 
 
+def repeated_groups(wrapper: Wrapper) -> dict[Node, int]:
+    """The nodes in repeated groups, each with the number of its outermost one."""
+    nodes = wrapper.nodes  # counts them
+    spans = sorted((first.pos, n.pos) for n in nodes for first in (n.loops or {}).values() if not first.gone)
+    out: dict[Node, int] = {}
+    at, reach, number = 0, -1, -1
+    for begin, last in spans:
+        if begin > reach:
+            number, at = number + 1, begin
+        for k in range(max(at, reach + 1), last + 1):
+            out[nodes[k]] = number
+        reach = max(reach, last)
+    return out
+
+
 class Shared:
-    """Texts that most of the (distinct) pages have at the same node."""
+    """Texts that most of the (distinct) pages have at the same node.
+
+    Items of a repeated list or table are not judged singly, for articles
+    share values of cells too.  Such a group is a menu, and all of its texts are out,
+    if nine tenths of its text are links and most pages that have it share at
+    least half of their items with another page."""
 
-    def __init__(self, streams: list[list[Token]], met: list[list[Node | None]]):
+    def __init__(self, streams: list[list[Token]], met: list[list[Node | None]], groups: dict[Node, int]):
         self.pages = len(streams)
+        self.groups = groups
         self.seen = Counter(x for s, m in zip(streams, met, strict=True)
                             for x in {(n, t.text) for t, n in zip(s, m, strict=True) if n and not t.key})
-
-    def __call__(self, node: Node | None, text: str) -> bool:
+        size, linked = Counter(), Counter()
+        items: list[dict[int, set]] = []
+        for s, m in zip(streams, met, strict=True):
+            items.append({})
+            for t, n in zip(s, m, strict=True):
+                if not t.key and n in groups and is_item(t.path):
+                    g = groups[n]
+                    size[g] += len(t.text)
+                    linked[g] += t.linked
+                    items[-1].setdefault(g, set()).add((n, t.text))
+        votes = Counter()
+        for page in items:
+            for g, found in page.items():
+                votes[g] += 1 if 2 * sum(self.seen[x] > 1 for x in found) >= len(found) else -1
+        self.menus = {g for g, n in size.items() if 10 * linked[g] >= 9 * n and votes[g] > 0}
+
+    def __call__(self, node: Node | None, text: str, path: tuple) -> bool:
+        if node in self.groups and is_item(path):
+            return self.groups[node] in self.menus
         seen = self.seen[node, text]
         return seen > 1 and 2 * seen > self.pages
 
@@ -325,7 +372,7 @@ def loosened(streams: list[list[Token]]) -> list[list[Token]]:
             paths[p] = tuple(map(key, p))
         return paths[p]
 
-    return [[Token(key(t.key), t.text, path(t.path)) for t in s] for s in streams]
+    return [[Token(key(t.key), t.text, path(t.path), t.linked) for t in s] for s in streams]
 
 
 def marked(page: list[Token], clean: dict[tuple, bool]) -> list[bool]:
@@ -339,8 +386,16 @@ def marked(page: list[Token], clean: dict[tuple, bool]) -> list[bool]:
     return [not t.key and inside[t.path] for t in page]
 
 
+@lru_cache(100_000)
+def is_item(path: tuple) -> bool:
+    """Whether a text is an item of a list or a cell of a table."""
+    return not ITEMS.isdisjoint(k.split(" ")[0] for k in path)
+
+
 def region(texts: list[tuple[tuple, int]]) -> tuple:
-    """Path of the deepest container that holds most of the texts (path, size)."""
+    """Path of the deepest container that holds most of the texts (path,
+    size).  A table or a part of one is the region only where no text stands beside it in
+    the element around the table: a heading and a closing paragraph stay with it."""
     by_path: Counter[tuple] = Counter()
     for path, size in texts:
         by_path[path] += size
@@ -348,7 +403,13 @@ def region(texts: list[tuple[tuple, int]]) -> tuple:
     for path, size in by_path.items():
         for depth in range(len(path) + 1):
             mass[path[:depth]] += size
-    deep = [p for p, m in mass.items() if 10 * m >= 7 * mass[()] and p and p[-1].split(" ")[0] in CONTAINERS]
+
+    def whole(p: tuple) -> bool:
+        around = next((d for d in range(len(p), 0, -1) if p[d - 1].split(" ")[0] not in TABLE), 0)
+        return mass[p] == mass[p[:around]]
+
+    deep = [p for p, m in mass.items()
+            if 10 * m >= 7 * mass[()] and p and p[-1].split(" ")[0] in CONTAINERS and whole(p)]
     return max(deep, key=len, default=())
 
 
@@ -456,16 +517,19 @@ def by_place(streams: list[list[Token]], good: list[list[bool]], met: list[list[
 
 
 def unmarked(streams: list[list[Token]], fine: list[list[bool]], loose: list[list[Token]],
-             met: list[list[Node | None]]) -> list[list[bool]]:
+             met: list[list[Node | None]], groups: dict[Node, int]) -> list[list[bool]]:
     """Whether each text is its page's own and lies in the region of the
     variable text.  A region serves the pages that have most of their variable
-    text there; the others, of another layout, are looked at anew."""
+    text there; the others, of another layout, are looked at anew, without what they
+    share with each other or with most pages of the block."""
     kept: list[list[bool]] = [[] for _ in streams]
     rest = list(range(len(streams)))
+    with_all = Shared(streams, met, groups)
     while rest:
-        shared = Shared([streams[k] for k in rest], [met[k] for k in rest])
+        shared = Shared([streams[k] for k in rest], [met[k] for k in rest], groups)
         good = {k: fine[k] for k in rest}
-        own = {k: [g and not shared(n, t.text) for g, t, n in zip(good[k], streams[k], met[k], strict=True)] for k in rest}
+        own = {k: [g and not shared(n, t.text, t.path) and not with_all(n, t.text, t.path)
+                   for g, t, n in zip(good[k], streams[k], met[k], strict=True)] for k in rest}
         if not any(map(any, own.values())):  # no text varies: all counts
             own = good
         sizes = {k: [(t.path, len(t.text)) for t, o in zip(loose[k], own[k], strict=True) if o] for k in rest}
@@ -493,7 +557,7 @@ def extract_block(pages: list[str]) -> list[str]:
     met = [wrapper.follow(s, learn=False) for s in loose]
     by_place(streams, good, met, kept)
     if bare := [k for k, x in enumerate(kept) if not any(x)]:
-        found = unmarked(*([x[k] for k in bare] for x in (streams, good, loose, met)))
+        found = unmarked(*([x[k] for k in bare] for x in (streams, good, loose, met)), repeated_groups(wrapper))
         for k, x in zip(bare, found, strict=True):
             kept[k] = x
     texts = dict(zip(dict.fromkeys(same), (main_text(s, x) for s, x in zip(streams, kept, strict=True)), strict=True))

@@ -128,3 +128,30 @@ def test_words_on_the_article_and_around_it_do_not_empty_a_page():
         want = [f"T{k}\nOwn text {k}." for k in range(3)]
         assert wrappers.extract_block(pages) == want, open_
         assert [wrappers.extract_block([p])[0] for p in pages] == want, open_
+
+
+def table_page(k, rows, shared=False):
+    cells = "".join(f"<tr><td>name {i}</td><td>{'yes' if shared else f'value {k} {i}'}</td></tr>" for i in range(rows))
+    return (HEAD + f"<div id=c><h1>Table {k}</h1><table>{cells}</table><p>Closing words of page {k}.</p></div>"
+            "<div>Imprint of us</div></body></html>")
+
+
+def test_a_large_table_does_not_cost_its_heading_and_closing_words():
+    for shared in (False, True):
+        sizes = (5, 400, 8)
+        want = ["\n".join([f"Table {k}", *(x for i in range(n) for x in (f"name {i}", "yes" if shared else f"value {k} {i}")),
+                           f"Closing words of page {k}."]) for k, n in enumerate(sizes)]
+        assert wrappers.extract_block([table_page(k, n, shared) for k, n in enumerate(sizes)]) == want
+
+
+def test_menus_of_any_length_stay_out():
+    def made(k, links, items):
+        return (HEAD + "<div><ul>" + "".join(f"<li><a href=/{i}>Menu entry {i}</a></li>" for i in range(links)) + "</ul></div>"
+                + f"<div><h1>T{k}</h1><p>Own text of {k}.</p><ul>" + "".join(f"<li>item {i}</li>" for i in range(items))
+                + f"</ul><p>End of {k}.</p></div><div>Imprint of us</div></body></html>")
+
+    sizes = [(10, 2), (3, 4), (50, 3)]
+    for order in (sizes, sizes[::-1], sizes + [(7, 60)]):
+        assert wrappers.extract_block([made(k, *n) for k, n in enumerate(order)]) == [
+            "\n".join([f"T{k}", f"Own text of {k}.", *(f"item {i}" for i in range(n[1])), f"End of {k}."])
+            for k, n in enumerate(order)]
