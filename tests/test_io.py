@@ -53,7 +53,8 @@ def test_write_with_errors(spark, tmp_dir):
     write_with_errors(df, f"{tmp_dir}/tr")
     err = spark.read.option("header", True).csv(f"{tmp_dir}/tr_errors")
     assert err.count() == 1
-    assert sorted(os.listdir(f"{tmp_dir}/tr_errors"))[0].startswith("_") or True
+    assert [d for d in os.listdir(f"{tmp_dir}/tr_errors") if d.startswith("day=")] == ["day=20200101"]
+    assert spark.read.option("header", True).csv(f"{tmp_dir}/tr").count() == 3
 
 
 def test_read_articles_years(spark, tmp_dir):
