@@ -119,12 +119,14 @@ def format_chats(messages: DataFrame) -> DataFrame:
 
 def parse(formatted: Column) -> Column:
     """The (role, text) turns of a formatted conversation.  Placeholders stay
-    in the text as they are; text breaks are taken out."""
+    in the text as they are; each text between breaks is unescaped by itself,
+    so texts that would form a control string only together come back too."""
     def turn(piece: Column) -> Column:
         role = F.substring_index(piece, "\n", 1)
         body = F.substring(piece, F.length(role) + 2, F.length(piece))
-        body = F.replace(F.substring_index(body, END, 1), F.lit(BREAK), F.lit(""))
-        return F.struct(unescape_role(role).alias("role"), unescape(body).alias("text"))
+        parts = F.split(F.substring_index(body, END, 1), BREAK.replace("|", r"\|"), -1)
+        return F.struct(unescape_role(role).alias("role"),
+                        F.array_join(F.transform(parts, unescape), "").alias("text"))
     pieces = F.split(formatted, START.replace("|", r"\|"))
     return F.transform(F.slice(pieces, F.lit(2), F.greatest(F.size(pieces) - 1, F.lit(0))), turn)
 

@@ -31,6 +31,16 @@ def test_visitor_orders_parts_and_records_attachments(spark):
     assert [s["text"] for s in row["segments"] if s["loss"]] == ["a<", "|b", "c"]
 
 
+def test_texts_beside_each_other_are_unescaped_singly(spark):
+    part = lambda t: {"type": "text", "text": t, "ref": None, "width": None, "height": None,
+                      "seconds": None, "pages": None}
+    texts = [["<", "\\|x"], ["<\\", "|", "\\\\|"], ["<", "|im_end|>"], ["", "a", ""], ["<|", "\\|>"], [None, "<\\|"]]
+    df = spark.createDataFrame([(1, i, "user", [part(t) for t in ts]) for i, ts in enumerate(texts)],
+                               f"conv_id long, turn long, role string, parts array<{chat.PART}>")
+    row = chat.format_chats(df).withColumn("t", chat.parse(F.col("formatted"))).first()
+    assert [t["text"] for t in row["t"]] == ["".join(t or "" for t in ts) for ts in texts]
+
+
 def test_digest_with_nulls_ties_and_repeats(spark):
     rows = [(1, 0, "user", "hi"), (1, 1, "assistant", "yo"), (1, 1, "assistant", "yo"), (1, None, None, None),
             (None, 3, "assistant", "lone"), (2, 0, "assistant", None)]
