@@ -65,6 +65,30 @@ def word_tokens(col) -> Column:
     return F.filter(F.split(F.lower(_c(col)), WORD_SPLIT), lambda s: s != F.lit(""))
 
 
+def bind(value, body) -> Column:
+    """``body(value)`` with ``value`` evaluated once, however often ``body``
+    names it, also inside its lambdas and where the optimizer moves or copies
+    the expression (a filter pushed below a projection inlines columns)."""
+    return F.get(F.transform(F.array(_c(value)), body), 0)
+
+
+def term_counts(toks) -> Column:
+    """Distinct terms of a token array with their counts -> array<struct<term,
+    n>> in term order: the array is sorted and its runs are measured, so no
+    term becomes a row before it is counted.  Null array -> null."""
+    def ends(arr):
+        return F.filter(F.sequence(F.lit(1), F.size(arr)),
+                        lambda i: (i == F.size(arr)) | (F.get(arr, i) != F.get(arr, i - 1)))
+
+    def counts(arr):
+        return bind(ends(arr), lambda e: F.transform(e, lambda to, k: F.struct(
+            F.get(arr, to - 1).alias("term"), (to - F.coalesce(F.get(e, k - 1), F.lit(0))).alias("n"))))
+
+    none = F.array().cast("array<struct<term:string,n:int>>")
+    return bind(F.sort_array(F.filter(_c(toks), lambda t: t.isNotNull())),
+                lambda arr: F.when(F.size(arr) > 0, counts(arr)).when(F.size(arr) == 0, none))
+
+
 def shingles_of_tokens(toks, k: int = 3) -> Column:
     """Distinct word k-grams of a token array column (fewer than k tokens ->
     one shingle of all of them; no tokens -> empty).

@@ -39,22 +39,26 @@ def fit_relevance(df: DataFrame, label_col: str = "label", title_col: str = "tit
     return Pipeline(stages=[pair, tok, tf, idf, lr]).fit(df)
 
 
-def _terms(df: DataFrame, title_col: str, text_col: str):
-    return tx.word_tokens(F.concat_ws(" ", title_col, text_col))
+def _terms(df: DataFrame, keep: list, title_col: str, text_col: str) -> DataFrame:
+    """``keep`` columns, ``term``, ``n``: one row per distinct term of a row,
+    counted inside the row."""
+    counts = tx.term_counts(tx.word_tokens(F.concat_ws(" ", title_col, text_col)))
+    counted = df.select(*keep, F.explode(counts).alias("_c"))
+    return counted.select(*counted.columns[:-1], "_c.term", "_c.n")
 
 
 def fit_term_odds(df: DataFrame, label_col: str = "label", title_col: str = "title",
                   text_col: str = "text") -> DataFrame:
-    """K2: naive Bayes on the word counts of *all* labelled rows, by grouping.
+    """K2: multinomial naive Bayes on the word counts of *all* labelled rows.
 
     ``(term, weight, prior)``: the smoothed log odds of a term between label 1
     and label 0, and the log odds of the labels themselves on every row."""
     rows = df.where(F.col(label_col).isin(0, 1))
     prior = rows.agg((F.log(F.count(F.when(F.col(label_col) == 1, 1)) + 1)
                       - F.log(F.count(F.when(F.col(label_col) == 0, 1)) + 1)).alias("prior"))
-    counts = (rows.select(F.col(label_col).alias("_y"), F.explode(_terms(df, title_col, text_col)).alias("term"))
-              .groupBy("term").agg(F.count(F.when(F.col("_y") == 1, 1)).alias("pos"),
-                                   F.count(F.when(F.col("_y") == 0, 1)).alias("neg")))
+    sums = lambda y: F.coalesce(F.sum(F.when(F.col("_y") == y, F.col("n"))), F.lit(0))
+    counts = (_terms(rows, [F.col(label_col).alias("_y")], title_col, text_col)
+              .groupBy("term").agg(sums(1).alias("pos"), sums(0).alias("neg")))
     totals = counts.agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"), F.count("*").alias("_v"))
     weight = (F.log((F.col("pos") + 1) / (F.col("_p") + F.col("_v")))
               - F.log((F.col("neg") + 1) / (F.col("_n") + F.col("_v"))))
@@ -63,11 +67,12 @@ def fit_term_odds(df: DataFrame, label_col: str = "label", title_col: str = "tit
 
 def term_odds_scores(df: DataFrame, model: DataFrame, id_col: str = "article_id", title_col: str = "title",
                      text_col: str = "text") -> DataFrame:
-    """``(id, score)``: prior plus the weights of a row's distinct terms; a
-    score table for ``relevance_filter``.  Rows without a known term score
-    the prior."""
-    terms = df.select(id_col, F.explode(F.array_distinct(_terms(df, title_col, text_col))).alias("term"))
-    sums = terms.join(model, "term").groupBy(id_col).agg(F.sum("weight").alias("_w"))
+    """``(id, score)``: the log odds of the model that was fitted, that is the
+    prior plus every known term's weight times its count in the row; a score
+    table for ``relevance_filter``.  Rows without a known term score the
+    prior."""
+    terms = _terms(df, [id_col], title_col, text_col)
+    sums = terms.join(model, "term").groupBy(id_col).agg(F.sum(F.col("weight") * F.col("n")).alias("_w"))
     prior = model.agg(F.max("prior").alias("_prior"))
     return (attach_row(df.select(id_col).join(sums, id_col, "left"), prior)
             .select(id_col, (F.col("_prior") + F.coalesce("_w", F.lit(0.0))).alias("score")))

@@ -4,7 +4,8 @@ A generation trace is a table of steps ``(article_id, step, logits
 array<double>)`` — the array form keeps one row per step, so the softmax and
 entropy are in-row expressions with no shuffle — plus the chosen token per
 step ``(article_id, step, token)``.  A long-form trace ``(article_id, step,
-token_id, logit)`` is packed to the array form by ``pack_logits``.
+token_id, logit)`` is scored by ``step_entropy_long``, or packed to the array
+form by ``pack_logits``.
 """
 from __future__ import annotations
 
@@ -19,6 +20,43 @@ def pack_logits(long_df: DataFrame, id_col: str = "article_id") -> DataFrame:
             .select(id_col, "step", F.transform("z", lambda s: s["logit"]).alias("logits")))
 
 
+#: Width of the ranges of logits that share one reference value.
+LOGIT_RANGE = 64.0
+
+
+def step_entropy_long(long_df: DataFrame, id_col: str = "article_id", argmax: bool = True) -> DataFrame:
+    """E8 on the long form ``(article_id, step, token_id, logit)``: one row per
+    step with ``entropy`` and, if asked for, ``argmax`` (the smallest token id
+    of the largest logit).
+
+    The state (reference, S = sum exp(z - r), E = sum exp(z - r) * z) merges by
+    addition where the reference r is the same, so logits are grouped by ranges
+    of 64 that share the range's upper end: exp stays within e^-64 and 1, the
+    vocabulary is combined map-side, and a step's few ranges are rescaled to its
+    largest one at the end.  No array of the vocabulary is built.  Logits of
+    minus infinity have no weight; null logits are none; a step with only those
+    has a null entropy; NaN and plus infinity give NaN."""
+    z = F.col("logit").cast("double")
+    low = z == F.lit(float("-inf"))
+    ref = F.when(F.isnan(z) | (z == F.lit(float("inf"))), F.lit(float("inf"))).when(
+        low, F.lit(None).cast("double")).otherwise((F.floor(z / LOGIT_RANGE) + 1) * LOGIT_RANGE)
+    rows = long_df.where(z.isNotNull()).withColumn("_z", z).withColumn("_r", ref)
+    w = F.exp(F.col("_z") - F.col("_r"))
+    best = [F.max(F.struct("_z", (-F.col("token_id")).alias("_t"))).alias("_b")] if argmax else []
+    ranges = rows.groupBy(id_col, "step", "_r").agg(F.sum(w).alias("_s"), F.sum(w * F.col("_z")).alias("_e"), *best)
+    top = [F.max("_b").alias("_b")] if argmax else []
+    steps = ranges.groupBy(id_col, "step").agg(
+        F.max("_r").alias("_m"), F.collect_list(F.struct("_r", "_s", "_e")).alias("_a"), *top)
+    total = lambda f: F.aggregate(
+        F.filter("_a", lambda x: x["_r"].isNotNull()), F.lit(0.0),
+        lambda acc, x: acc + F.exp(x["_r"] - F.col("_m")) * x[f])
+    steps = steps.withColumn("_s", total("_s")).withColumn("_e", total("_e"))
+    out = [(F.col("_m") + F.log("_s") - F.col("_e") / F.col("_s")).alias("entropy")]
+    if argmax:
+        out.append((-F.col("_b._t")).cast("int").alias("argmax"))
+    return steps.select(id_col, "step", *out)
+
+
 def _sum(arr, f):
     return F.aggregate(arr, F.lit(0.0), lambda acc, x: acc + f(x))
 

@@ -107,6 +107,35 @@ best AS (SELECT article_id, cluster_id, regexp_replace(string, '''s$', '') AS re
           SELECT *, row_number() OVER (PARTITION BY article_id, cluster_id ORDER BY length(string) DESC, string) AS r
           FROM d WHERE regexp_matches(string, '^[A-Z]')) WHERE r = 1)"""
 
+NESTED = SPANS.replace("off AS (SELECT article_id, tok, coalesce", """off AS (SELECT article_id, tok,
+        lead(tok) OVER (PARTITION BY article_id ORDER BY tpos) AS nxt, coalesce""").replace("spans AS (", """one AS (
+        SELECT article_id, start, tok, nxt, cluster_id FROM off JOIN words ON off.tok = words.string),
+spans AS (SELECT article_id, cluster_id, CAST(start AS INTEGER) AS start,
+          CAST(start + length(tok) AS INTEGER) AS "end", tok AS string FROM one
+          UNION ALL SELECT article_id, cluster_id + 10, CAST(start AS INTEGER),
+          CAST(start + length(tok) + 1 + length(nxt) AS INTEGER), tok || ' ' || nxt FROM one WHERE nxt IS NOT NULL),
+unused AS (""", 1)
+
+# types of the corpus with their counts, and the abbreviations among them
+TYPES = ARTICLES + r""",
+wt AS (SELECT article_id, list_filter(regexp_split_to_array(text, '[ \t\n\r\f]+'), lambda x: x <> '') AS ts
+       FROM articles),
+w1 AS (SELECT article_id, unnest(ts) AS tok, generate_subscripts(ts, 1) AS i FROM wt),
+w2 AS (SELECT regexp_replace(regexp_replace(tok, '^["''(\[“‘«]+', ''), '[^\p{L}\p{N}.]+$', '') AS b,
+         lag(tok) OVER (PARTITION BY article_id ORDER BY i) AS prev FROM w1),
+types AS (SELECT regexp_replace(lower(b), '\.$', '') AS type,
+    count(*) FILTER (WHERE b LIKE '%.') AS n_dot, count(*) FILTER (WHERE b NOT LIKE '%.') AS n_plain,
+    count(*) FILTER (WHERE regexp_matches(b, '^\p{Ll}')) AS n_lower,
+    count(*) FILTER (WHERE regexp_matches(b, '^\p{Lu}') AND prev IS NOT NULL
+                     AND NOT regexp_matches(prev, '[.!?:][^\p{L}\p{N}]*$')) AS n_inside_upper
+  FROM w2 GROUP BY 1 HAVING regexp_matches(type, '\p{L}')),
+tot AS (SELECT (coalesce(sum(n_dot), 0) + 1) / (coalesce(sum(n_dot + n_plain), 0) + 2) AS p FROM types),
+sc AS (SELECT type, n_dot, n_plain, length(replace(type, '.', '')) AS k,
+         -2 * (n_dot * (ln(p) - ln(0.99)) + n_plain * (ln(1 - p) - ln(1 - CAST('0.99' AS DOUBLE)))) AS ratio
+       FROM types, tot WHERE n_dot > 0),
+abbr AS (SELECT type, n_dot, n_plain,
+           ratio * exp(-k) * (length(type) - k + 1) * pow(CAST(k AS DOUBLE), -n_plain) AS score FROM sc)"""
+
 ONTO = f"""cls AS (SELECT 'Entity' AS name, CAST(NULL AS VARCHAR) AS parent
         UNION ALL SELECT r_name, 'Entity' FROM region
         UNION ALL SELECT n_name, r_name FROM nation JOIN region ON n_regionkey = r_regionkey),
@@ -309,6 +338,45 @@ SELECT doc_id AS article_id, CASE WHEN agg.article_id IS NULL THEN text
        ELSE body || substring(text, last_end + 1) END AS resolved_text
 FROM documents LEFT JOIN agg ON documents.doc_id = agg.article_id""",
 
+    "coref_nested": "WITH RECURSIVE " + NESTED + """,
+sp AS (SELECT DISTINCT spans.article_id, spans.start, spans."end", best.rep
+       FROM spans JOIN best USING (article_id, cluster_id) WHERE best.rep IS NOT NULL),
+ks(article_id, start, "end", rep) AS (
+  SELECT * FROM sp QUALIFY row_number() OVER (PARTITION BY article_id ORDER BY start, "end" DESC, rep) = 1
+  UNION ALL
+  SELECT article_id, start, "end", rep FROM (
+    SELECT sp.*, row_number() OVER (PARTITION BY sp.article_id ORDER BY sp.start, sp."end" DESC, sp.rep) AS r
+    FROM ks JOIN sp ON sp.article_id = ks.article_id AND sp.start >= ks."end") WHERE r = 1),
+pc AS (SELECT *, coalesce(lag("end") OVER (PARTITION BY article_id ORDER BY start), 0) AS prev FROM ks),
+agg AS (SELECT pc.article_id, string_agg(substring(doc.text, prev + 1, start - prev) || rep, '' ORDER BY start) AS body,
+          max("end") AS last_end, count(*) AS n
+        FROM pc JOIN documents doc ON doc.doc_id = pc.article_id GROUP BY pc.article_id),
+alls AS (SELECT article_id, count(*) AS n_all FROM sp GROUP BY article_id)
+SELECT doc_id AS article_id, CASE WHEN agg.article_id IS NULL THEN text
+       ELSE body || substring(text, last_end + 1) END AS resolved_text, coalesce(n < n_all, false) AS nested_spans
+FROM documents LEFT JOIN agg ON documents.doc_id = agg.article_id
+LEFT JOIN alls ON documents.doc_id = alls.article_id""",
+
+    "step_entropy_long": "WITH " + STEPS + """
+SELECT article_id, step, round(entropy, 6) AS entropy, argmax FROM e""",
+
+    "learned_abbreviations": "WITH " + TYPES + """
+SELECT type, n_dot, n_plain, round(score, 6) AS score FROM abbr WHERE score >= 0.3""",
+
+    "learned_sentences": "WITH " + TYPES + SPLIT[len(ARTICLES):] + r""",
+b AS (SELECT article_id, pos, sentence, lag(sentence) OVER (PARTITION BY article_id ORDER BY pos) AS prev FROM sent),
+e AS (SELECT *, CASE WHEN prev LIKE '%.' THEN regexp_replace(lower(regexp_replace(
+          regexp_extract(prev, '[^ \t\n\r\f]+$'), '^["''(\[“‘«]+', '')), '\.$', '') END AS before,
+        regexp_replace(regexp_replace(regexp_extract(sentence, '^[^ \t\n\r\f]+'), '^["''(\[“‘«]+', ''),
+          '[^\p{L}\p{N}.]+$', '') AS fw FROM b),
+gl AS (SELECT article_id, pos, sentence,
+         coalesce(before IN (SELECT type FROM abbr WHERE score >= 0.3)
+           AND NOT (regexp_matches(fw, '^\p{Lu}') AND regexp_replace(lower(fw), '\.$', '') IN
+             (SELECT type FROM types WHERE n_lower > 0 AND n_inside_upper = 0)), false) AS glue FROM e),
+gr AS (SELECT *, sum(CASE WHEN glue THEN 0 ELSE 1 END) OVER (PARTITION BY article_id ORDER BY pos) - 1 AS g FROM gl)
+SELECT article_id, CAST(g AS INTEGER) AS pos, string_agg(sentence, ' ' ORDER BY pos) AS sentence
+FROM gr GROUP BY article_id, g""",
+
     "class_closure": "WITH RECURSIVE " + ONTO + "\nSELECT name, ancestor FROM clo",
 
     "candidate_relations": "WITH RECURSIVE " + ONTO + "\nSELECT sbj_type, obj_type, prop FROM cand",
@@ -388,7 +456,7 @@ totals AS (SELECT sum(pos) AS p, sum(neg) AS n, count(*) AS v FROM counts),
 weights AS (SELECT term, ln((pos + 1) / (p + v)) - ln((neg + 1) / (n + v)) AS w FROM counts, totals),
 prior AS (SELECT ln(count(*) FILTER (y = 1) + 1) - ln(count(*) FILTER (y = 0) + 1) AS prior FROM known),
 sums AS (SELECT article_id, sum(w) AS w
-         FROM (SELECT article_id, unnest(list_distinct(ts)) AS term FROM t) JOIN weights USING (term)
+         FROM (SELECT article_id, unnest(ts) AS term FROM t) JOIN weights USING (term)
          GROUP BY article_id)
 SELECT article_id, round(prior + coalesce(w, 0), 6) AS score
 FROM t LEFT JOIN sums USING (article_id), prior

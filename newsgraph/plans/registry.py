@@ -10,9 +10,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..operators import (coref, dedup, entities, indexing, ontology, relations, relevance,
+from ..operators import (abbreviations, coref, dedup, entities, indexing, ontology, relations, relevance,
                          sentences, similarity, trainset, uncertainty, vectors)
-from ..operators.common import attach_row, bounded_broadcast
+from ..operators.common import attach_row, bounded_broadcast, spread
+from ..session import materialize
 from ..sources import ingest
 from ..sources import tables as tb
 
@@ -192,6 +193,35 @@ def q_coref_rewrite(spark, sf):
     return r.select("article_id", "resolved_text")
 
 
+def q_coref_nested(spark, sf):
+    """I9, J4 on mentions that nest and overlap."""
+    d = tb.table(spark, sf, "documents").select(F.col("doc_id").alias("article_id"), "text")
+    r = coref.resolve_coref(d, tb.coref_nested_spans(spark, sf))
+    return r.select("article_id", "resolved_text", "nested_spans")
+
+
+def q_step_entropy_long(spark, sf):
+    """E8 on traces in long form."""
+    s = uncertainty.step_entropy_long(tb.gen_logits(spark, sf))
+    return s.select("article_id", "step", F.round("entropy", 6).alias("entropy"), "argmax")
+
+
+def q_learned_abbreviations(spark, sf):
+    """I4: abbreviations found in the corpus itself."""
+    counts = materialize(abbreviations.type_counts(_articles(spark, sf)))
+    return abbreviations.abbreviations(counts).select("type", "n_dot", "n_plain", F.round("score", 6).alias("score"))
+
+
+def q_learned_sentences(spark, sf):
+    """I4: sentences, uncut behind the corpus's own abbreviations."""
+    a = _articles(spark, sf)
+    counts = materialize(abbreviations.type_counts(a))
+    s = abbreviations.split_sentences_learned(
+        spread(a.select("article_id", "text")), abbreviations.abbreviations(counts).select("type"),
+        abbreviations.starters(counts))
+    return s.select("article_id", F.posexplode("split_text").alias("pos", "sentence"))
+
+
 def q_class_closure(spark, sf):
     return ontology.class_closure(tb.ontology(spark, sf)["class"])
 
@@ -388,4 +418,8 @@ QUERIES = {
     "all_relations": q_all_relations,
     "tweet_clean": q_tweet_clean,
     "relevance_model": q_relevance_model,
+    "coref_nested": q_coref_nested,
+    "step_entropy_long": q_step_entropy_long,
+    "learned_abbreviations": q_learned_abbreviations,
+    "learned_sentences": q_learned_sentences,
 }

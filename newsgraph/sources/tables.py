@@ -178,20 +178,48 @@ def nli_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
                      z.alias("logits"))
 
 
-def coref_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Coreference span stand-in: offsets of listed words in ``documents``.
-
-    Offsets are 0-based ``[start, end)`` over the text split on single
-    spaces; a cluster is (article, word group)."""
+def _coref_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Listed words of ``documents`` with their offsets and the word behind."""
     d = table(spark, sf_dir, "documents")
     words = spark.createDataFrame(COREF_WORDS, "cluster_id int, string string")
     toks = d.select(F.col("doc_id").alias("article_id"),
                     F.posexplode(F.split("text", " ")).alias("tpos", "tok"))
-    w = W.partitionBy("article_id").orderBy("tpos").rowsBetween(W.unboundedPreceding, -1)
+    order = W.partitionBy("article_id").orderBy("tpos")
+    w = order.rowsBetween(W.unboundedPreceding, -1)
     toks = toks.withColumn("start", F.coalesce(F.sum(F.length("tok") + 1).over(w), F.lit(0)))
-    return (toks.join(F.broadcast(words), toks.tok == words.string)
-            .select("article_id", "cluster_id", F.col("start").cast("int").alias("start"),
-                    (F.col("start") + F.length("tok")).cast("int").alias("end"), "string"))
+    toks = toks.withColumn("next", F.lead("tok").over(order))
+    return toks.join(F.broadcast(words), toks.tok == words.string)
+
+
+def coref_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coreference span stand-in: offsets of listed words in ``documents``.
+
+    Offsets are 0-based ``[start, end)`` over the text split on single
+    spaces; a cluster is (article, word group)."""
+    return _coref_tokens(spark, sf_dir).select(
+        "article_id", "cluster_id", F.col("start").cast("int").alias("start"),
+        (F.col("start") + F.length("tok")).cast("int").alias("end"), "string")
+
+
+def coref_nested_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same words, and each with the word behind it as a mention of a
+    second cluster: these nest, and overlap where two listed words meet."""
+    t = _coref_tokens(spark, sf_dir)
+    start = F.col("start").cast("int")
+    word = F.struct("cluster_id", (F.col("start") + F.length("tok")).cast("int").alias("end"),
+                    F.col("tok").alias("string"))
+    two = F.struct((F.col("cluster_id") + 10).alias("cluster_id"),
+                   (F.col("start") + F.length("tok") + 1 + F.length("next")).cast("int").alias("end"),
+                   F.concat_ws(" ", "tok", "next").alias("string"))
+    both = F.when(F.col("next").isNotNull(), F.array(word, two)).otherwise(F.array(word))
+    return t.select("article_id", start.alias("start"), F.explode(both).alias("s")).select(
+        "article_id", "s.cluster_id", "start", "s.end", "s.string")
+
+
+def gen_logits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The traces of ``gen_steps`` in long form: one row per step and token id."""
+    s = gen_steps(spark, sf_dir)
+    return s.select("article_id", "step", F.posexplode("logits").alias("token_id", "logit"))
 
 
 def source_days(spark: SparkSession, sf_dir: str) -> DataFrame:

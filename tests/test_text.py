@@ -94,11 +94,15 @@ def test_cluster_representative_possessive(spark):
     assert coref.cluster_representative(spans).first().rep == "Acme Corp"
 
 
-def test_overlapping_spans_flag_error(spark):
-    df = spark.createDataFrame([(1, "abcdef")], "article_id long, text string")
-    sp = spark.createDataFrame([(1, 0, 3, "X"), (1, 2, 4, "Y")], "article_id long, start int, end int, rep string")
-    r = coref.rewrite_spans(df, sp).first()
-    assert r.rewrite_error and r.resolved_text is None
+def test_nested_and_overlapping_spans_keep_the_text(spark):
+    df = spark.createDataFrame([(1, "abcdef"), (2, "0123456789"), (3, "xy"), (4, None), (5, "plain")],
+                               "article_id long, text string")
+    rows = [(1, 0, 3, "X"), (1, 2, 4, "Y"),
+            (2, 1, 2, "in"), (2, 1, 5, "OUT"), (2, 3, 4, "in"), (2, 4, 7, "late"), (2, 6, 9, "NEXT"), (2, 6, 9, "NEXT"),
+            (3, 0, 1, "b"), (3, 0, 1, "a"), (3, None, 2, "n"), (3, 1, 1, "empty"), (3, 1, 2, None), (4, 0, 1, "z")]
+    sp = spark.createDataFrame(rows, "article_id long, start int, end int, rep string")
+    got = {r.article_id: (r.resolved_text, r.nested_spans) for r in coref.rewrite_spans(df, sp).collect()}
+    assert got == {1: ("Xdef", True), 2: ("0OUT5NEXT9", True), 3: ("ay", True), 4: (None, False), 5: ("plain", False)}
 
 
 def test_template_does_not_reexpand(spark):
