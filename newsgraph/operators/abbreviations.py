@@ -7,8 +7,8 @@ every type, a log-likelihood ratio of "the period belongs to the word" against
 "it stands there by chance", and three factors for length, inner periods and
 uses without a period.
 
-Counting explodes the tokens of a text, but they are combined per type before
-the one shuffle, whose rows grow with the vocabulary.  Cutting starts from the
+Counting explodes the tokens of a text, but equal tokens are combined before
+they are shuffled, so the shuffled rows grow with the vocabulary.  Cutting starts from the
 plain rule of ``split_sentences_expr`` and glues a piece to the one before it
 where that one ends in an abbreviation and the next word does not start a
 sentence.  No token is shuffled there: the two word lists are looked up in the
@@ -49,18 +49,21 @@ def type_counts(df: DataFrame, text_col: str = "text") -> DataFrame:
     stands between white space, without opening quotes and brackets and
     without closing marks other than the period; types without a letter are
     not counted."""
-    toks = df.select(F.filter(F.split(F.col(text_col), f"{tx.WS}+"), lambda t: t != "").alias("_t"))
-    pairs = toks.select(F.explode(F.transform("_t", lambda t, i: F.struct(
-        t.alias("tok"), F.get(F.col("_t"), i - 1).alias("prev")))).alias("_p"))
-    bare = pairs.select(_bare(F.col("_p.tok")).alias("_b"), F.col("_p.prev").alias("_prev"))
-    typed = bare.select("_b", "_prev", _type(F.col("_b")).alias("type")).where(F.col("type").rlike("\\p{L}"))
+    toks = tx.bind(F.filter(F.split(F.col(text_col), f"{tx.WS}+"), lambda t: t != ""), lambda ts: F.transform(
+        ts, lambda t, i: F.struct(t.alias("tok"), F.get(ts, i - 1).alias("prev"))))
+    pairs = df.select(F.explode_outer(toks).alias("_p")).select("_p.tok", "_p.prev").where("tok IS NOT NULL")
+    # equal tokens are counted before any pattern reads them; what stands before matters to capitals only
+    inside = F.when(F.col("tok") == F.lower("tok"), False).otherwise(
+        F.col("prev").isNotNull() & ~F.col("prev").rlike("[.!?:][^\\p{L}\\p{N}]*$"))
+    tokens = pairs.groupBy("tok", inside.alias("_inside")).agg(F.count("*").alias("_n"))
+    typed = tokens.withColumn("_b", _bare(F.col("tok"))).withColumn("type", _type(F.col("_b"))).where(
+        F.col("type").rlike("\\p{L}"))
     dot = F.col("_b").endswith(".")
-    inside = F.col("_prev").isNotNull() & ~F.col("_prev").rlike("[.!?:][^\\p{L}\\p{N}]*$")
-    count = lambda c: F.count(F.when(c, 1))
+    count = lambda c: F.coalesce(F.sum(F.when(c, F.col("_n"))), F.lit(0))
     return typed.groupBy("type").agg(
         count(dot).alias("n_dot"), count(~dot).alias("n_plain"),
         count(F.col("_b").rlike("^\\p{Ll}")).alias("n_lower"),
-        count(F.col("_b").rlike("^\\p{Lu}") & inside).alias("n_inside_upper"))
+        count(F.col("_b").rlike("^\\p{Lu}") & F.col("_inside")).alias("n_inside_upper"))
 
 
 def abbreviations(counts: DataFrame, min_score: float = MIN_SCORE) -> DataFrame:
@@ -98,14 +101,15 @@ def _in(word: Column, table: Column) -> Column:
     return F.array_contains(F.get(table, F.pmod(F.hash(word), F.lit(BUCKETS))), word)
 
 
-def _ends(pieces: Column) -> Column:
-    """For each piece, the word it starts with and the type the piece before
-    it ends in (null where that one does not end in a period)."""
-    first = lambda s: F.regexp_extract(s, "^[^ \t\n\r\f]+", 0)
-    last = lambda s: F.regexp_replace(F.regexp_extract(s, "[^ \t\n\r\f]+$", 0), OPENERS, "")
-    return F.transform(pieces, lambda s, i: F.struct(
-        F.when(F.get(pieces, i - 1).endswith("."), _type(last(F.get(pieces, i - 1)))).alias("before"),
-        _bare(first(s)).alias("first")))
+def _first(piece: Column) -> Column:
+    """The word a piece starts with."""
+    return _bare(F.regexp_extract(F.substring_index(piece, " ", 1), "^[^ \t\n\r\f]+", 0))
+
+
+def _before(pieces: Column, i: Column) -> Column:
+    """The type that the piece before ``i`` ends in, if with a period."""
+    word = F.regexp_extract(F.substring_index(F.get(pieces, i - 1), " ", -1), "[^ \t\n\r\f]+$", 0)
+    return F.when(F.get(pieces, i - 1).endswith("."), _type(F.regexp_replace(word, OPENERS, "")))
 
 
 def _places(pieces: Column) -> Column:
@@ -137,17 +141,17 @@ def split_sentences_learned(df: DataFrame, abbrevs: DataFrame, starts: DataFrame
     where the word lists are too large to be looked up in the row."""
     pieces = tx.split_sentences_expr(text_col)
     if _words_fit(abbrevs.select("type").unionByName(starts), max_bytes):
-        def heads(ends: Column, s: Column) -> Column:
-            def glued(i: Column) -> Column:
-                return tx.bind(F.get(ends, i), lambda e: F.coalesce(_glued(
-                    _in(e["before"], F.col("_ab")), e["first"], _in(_type(e["first"]), F.col("_st"))), F.lit(False)))
-            return F.filter(_places(s), lambda i: ~glued(i))
+        def glued(s: Column, i: Column) -> Column:
+            known_before = tx.bind(_before(s, i), lambda w: _in(w, F.col("_ab")))
+            return F.when(known_before, tx.bind(_first(F.get(s, i)), lambda w: _glued(
+                F.lit(True), w, _in(_type(w), F.col("_st"))))).otherwise(False)
 
         known = df.withColumn("_ab", _table(abbrevs).scalar()).withColumn("_st", _table(starts).scalar())
         cut = tx.bind(pieces, lambda s: F.when(s.isNotNull(), tx.bind(
-            _ends(s), lambda ends: tx.bind(heads(ends, s), lambda h: _join(s, h)))))
+            F.filter(_places(s), lambda i: ~glued(s, i)), lambda h: _join(s, h))))
         return known.withColumn(out_col, cut).drop("_ab", "_st")
-    ends = df.select(id_col, F.posexplode_outer(tx.bind(pieces, _ends)).alias("_i", "_e"))
+    ends = df.select(id_col, F.posexplode_outer(tx.bind(pieces, lambda s: F.transform(
+        s, lambda x, i: F.struct(_before(s, i).alias("before"), _first(x).alias("first"))))).alias("_i", "_e"))
     hits = (ends.where("_e.before IS NOT NULL")
             .select(id_col, "_i", F.col("_e.before").alias("type"), F.col("_e.first").alias("_f"),
                     _type(F.col("_e.first")).alias("_ft")).join(abbrevs.select("type"), "type")

@@ -219,7 +219,9 @@ def q_learned_sentences(spark, sf):
     s = abbreviations.split_sentences_learned(
         spread(a.select("article_id", "text")), abbreviations.abbreviations(counts).select("type"),
         abbreviations.starters(counts))
-    return s.select("article_id", F.posexplode("split_text").alias("pos", "sentence"))
+    # outer: no filter on the list's size is pushed below, which would cut every text twice
+    return (s.select("article_id", F.posexplode_outer("split_text").alias("pos", "sentence"))
+            .where("sentence IS NOT NULL"))
 
 
 def q_class_closure(spark, sf):

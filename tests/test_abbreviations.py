@@ -105,9 +105,11 @@ def test_a_long_text_is_read_once_also_below_an_explode(spark):
     assert counts.agg(F.sum("c.n")).first()[0] == 8 * 3000
 
 
-def test_counting_shuffles_types_only(spark):
+def test_counting_shuffles_distinct_tokens_only(spark):
     plan = ab.type_counts(_frame(spark, _planted(4)))._jdf.queryExecution().executedPlan().toString()
-    assert plan.count("Exchange hashpartitioning") == 1 and "partial_count" in plan
+    # distinct tokens, then types: both behind a partial count or sum
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert "partial_count" in plan and "partial_sum" in plan
 
 
 def test_term_counts_equal_a_counter(spark):
