@@ -133,3 +133,45 @@ def test_pack_logits_long_form(spark):
     df = spark.createDataFrame(long_rows, "article_id long, step int, token_id int, logit double")
     r = uncertainty.pack_logits(df).first()
     assert r.logits == [1.5, -1.0, 0.5]
+
+
+def _keys_dealt(df):
+    import re
+    return set(re.findall(r"hashpartitioning\(([^)]*)\)", re.sub(r"#\d+L?", "", df._jdf.queryExecution().executedPlan().toString())))
+
+
+def test_pairs_and_hypotheses_are_not_dealt(spark):
+    """Entities and premises meet by article; no pair, hypothesis or candidate
+    relation is shuffled on its way to the best relation."""
+    o = _onto(spark)
+    ents = spark.createDataFrame([(1, 0, "Kim", "Person"), (1, 1, "Acme", "Company"), (2, 0, "Lee", "Person"),
+                                  (2, 1, "Lee", "Company"), (None, 0, "Foo", "Company"), (2, 2, None, "Company")],
+                                 "article_id long, eidx int, text string, type string")
+    prem = spark.createDataFrame([(1, "Kim works for Acme"), (2, "Lee works")], "article_id long, premise string")
+    hyp = relations.hypotheses(relations.entity_pairs(ents, ontology.candidate_relations(o)), o["template"])
+    best = relations.best_relation(relations.score_hypotheses(hyp, prem), 0.7)
+    assert [tuple(r) for r in best.collect()] == [(1, 0, 1, 0, 1.0)]
+    assert _keys_dealt(best) == {"article_id, 8"}
+
+    # a score table: rows of one key all count, keys without a row have no score
+    table = spark.createDataFrame([(1, "works_for", 0.9), (1, "works_for", 0.8), (2, None, 0.9), (None, "works_for", 0.9)],
+                                  "article_id long, prop string, prob double")
+    scored = relations.score_hypotheses(hyp, prem, scorer=table, keys=["article_id", "prop"])
+    got = sorted((r.article_id, r.sbj_idx, r.obj_idx, r.prob or 0.0) for r in scored.where("prop = 'works_for'").collect())
+    assert got == [(1, 0, 1, 0.8), (1, 0, 1, 0.9), (2, 0, 1, 0.0), (2, 0, 2, 0.0)]
+    assert _keys_dealt(scored) == {"article_id, 8"}
+
+
+def test_entities_are_dealt_by_article_only(spark):
+    """Labels go to the mentions; ties and null keys as before."""
+    o = _onto(spark)
+    m = spark.createDataFrame([(1, 0, "Kim", "PER"), (1, 2, "Kim", "ORG"), (1, 1, "Acme", "MISC"), (1, 1, "Acme", "ORG"),
+                               (None, 0, "Kim", "PER"), (2, 0, None, "PER"), (2, None, "Foo", "PER"), (2, 1, "Foo", "MISC")],
+                              "article_id long, pos int, word string, entity_group string")
+    first = entities.first_mentions(m)
+    assert sorted(tuple(r) for r in first.collect()) == [
+        (1, 0, "Kim", "PER"), (1, 1, "Acme", "MISC"), (1, 1, "Acme", "ORG"), (2, 1, "Foo", "MISC")]
+    tag = spark.createDataFrame([("PER", "Person"), ("ORG", "Organization")], "entity_group string, type string")
+    ents = entities.extract_entities(m.repartition(4, "article_id"), tag, o, checkpoint=False)
+    # the tag map is dealt by tag, the mentions by nothing else than their article
+    assert _keys_dealt(ents) <= {"article_id, 4", "entity_group, 8"}
