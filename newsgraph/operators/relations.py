@@ -14,18 +14,20 @@ from .ontology import candidate_relations
 def entity_pairs(entities: DataFrame, cands: DataFrame, id_col: str = "article_id") -> DataFrame:
     """D2 + D3: ordered pairs (sbj, obj) of an article's entities with
     sbj != obj on (text, type), joined with the relations allowed for their
-    types.  The candidate table (bounded by the ontology) is joined on the
-    subject type first, so pairs whose types admit no relation are never
-    formed.  Rows: ``(article_id, sbj_idx, sbj_text, sbj_type, obj_idx,
-    obj_text, obj_type, prop, prop_ord)``."""
+    types.  Entities meet by article and the candidate table (bounded by the
+    ontology) is looked up in the row of the pair, so what is dealt are
+    entities: never pairs, and no entity once for each relation of its type.
+    Rows: ``(article_id, sbj_idx, sbj_text, sbj_type, obj_idx, obj_text,
+    obj_type, prop, prop_ord)``."""
     s = entities.select(id_col, F.col("eidx").alias("sbj_idx"), F.col("text").alias("sbj_text"),
                         F.col("type").alias("sbj_type"), tx.word_tokens("text").alias("sbj_toks"))
     o = entities.select(id_col, F.col("eidx").alias("obj_idx"), F.col("text").alias("obj_text"),
                         F.col("type").alias("obj_type"), tx.word_tokens("text").alias("obj_toks"))
-    c = bounded_broadcast(cands)
-    sc = s.join(c, "sbj_type")
-    return (sc.join(o, [id_col, "obj_type"])
-            .where(~((F.col("sbj_text") == F.col("obj_text")) & (F.col("sbj_type") == F.col("obj_type")))))
+    # a merge join at any size: its rows stay dealt by article, as the premise
+    # and the choice of a pair's best relation want them
+    return (s.join(o.hint("merge"), id_col)
+            .where(~((F.col("sbj_text") == F.col("obj_text")) & (F.col("sbj_type") == F.col("obj_type"))))
+            .join(bounded_broadcast(cands), ["sbj_type", "obj_type"]))
 
 
 def hypotheses(pairs: DataFrame, templates: DataFrame) -> DataFrame:
@@ -52,7 +54,11 @@ def score_hypotheses(hyp: DataFrame, premises: DataFrame, premise_col: str = "pr
     attached, e.g. the entailment probability of an NLI model."""
     if scorer is not None:
         p = premises.select(id_col, F.col(premise_col).alias("premise"))
-        scored = score(hyp.join(p, id_col, "left"), scorer, "prob", **kw)
+        hyp = hyp.join(p, id_col, "left")
+        if isinstance(scorer, DataFrame) and id_col in (kw.get("keys") or []):
+            scored = _table_scores(hyp, scorer, kw["keys"], id_col)
+        else:
+            scored = score(hyp, scorer, "prob", **kw)
         return scored.drop("premise", "tmpl", "t_safe", "t_toks", "sbj_toks", "obj_toks")
     p = premises.select(id_col, F.array_distinct(tx.word_tokens(premise_col)).alias("_pt"))
     pt = F.coalesce("_pt", F.array().cast("array<string>"))
@@ -66,6 +72,18 @@ def score_hypotheses(hyp: DataFrame, premises: DataFrame, premise_col: str = "pr
             .drop("_pt", "tmpl", "t_safe", "t_toks", "sbj_toks", "obj_toks"))
 
 
+def _table_scores(hyp: DataFrame, table: DataFrame, keys: list[str], id_col: str) -> DataFrame:
+    """K1 by a score table that has the article among its keys: the scores of
+    an article meet its hypotheses by article alone, as the premise does, and
+    the other keys are compared in the row, so no hypothesis is dealt anew."""
+    others = [k for k in keys if k != id_col]
+    lists = table.groupBy(id_col).agg(F.collect_list(F.struct(*others, F.struct("prob").alias("v"))).alias("_s"))
+    mine = F.filter("_s", lambda x: F.forall(F.array(*(x[k] == F.col(k) for k in others)), lambda same: same)
+                    if others else F.lit(True))
+    j = hyp.join(lists, id_col, "left")
+    return j.select(*hyp.columns, F.explode_outer(mine).alias("_m")).select(*hyp.columns, F.col("_m.v.prob").alias("prob"))
+
+
 _PAIR = ["article_id", "sbj_idx", "sbj_text", "sbj_type", "obj_idx", "obj_text", "obj_type"]
 _KEY = ["article_id", "sbj_idx", "obj_idx"]
 
