@@ -169,14 +169,19 @@ def collapse_equal(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     return stage_table(reps, "word-counts-reps"), copies
 
 
-def _candidates(bands: DataFrame, tile_rows: int) -> DataFrame:
-    """Distinct (id_a, id_b), id_a < id_b, that share a band of one day."""
+def _buckets(bands: DataFrame, tile_rows: int) -> DataFrame:
+    """(key, id, n, tiles, t): the members of every band with at least two,
+    their number, and the tile of each."""
     rows = bands.select("id", F.explode("bands").alias("key")).repartition("key")   # dealt once, read twice
     # a bucket of one row pairs nothing; a large one is cut into tiles
     sizes = (rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-             .select("key", F.ceil(F.col("n") / tile_rows).cast("int").alias("tiles")))
-    rows = stage_table(rows.join(sizes, "key").withColumn(
+             .select("key", "n", F.ceil(F.col("n") / tile_rows).cast("int").alias("tiles")))
+    return stage_table(rows.join(sizes, "key").withColumn(
         "t", F.pmod(F.xxhash64("id"), F.col("tiles")).cast("int")), "band-buckets")
+
+
+def _met(rows: DataFrame) -> DataFrame:
+    """Distinct (id_a, id_b), id_a < id_b, that share a bucket."""
     every = F.sequence(F.lit(0), F.col("tiles") - 1)
     # tile pair (i, j), i <= j: every pair of rows meets in just one
     left = rows.select("key", F.col("id").alias("x"), F.col("t").alias("i"), F.explode(
@@ -187,19 +192,45 @@ def _candidates(bands: DataFrame, tile_rows: int) -> DataFrame:
     return met.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b")).distinct()
 
 
-def _cosines(pairs: DataFrame, idf: Broadcast) -> DataFrame:
-    """(id_a, id_b, day, dist) of (id_a, id_b, day, idx_a, tf_a, idx_b, tf_b)."""
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            dist = []
-            for ia, na, ib, nb in zip(*batch.columns[3:]):
-                (x, v), (y, w) = _weights(ia, na, idf.value), _weights(ib, nb, idf.value)
-                _, a, b = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-                dist.append(1.0 - float(v[a] @ w[b]))
-            yield pa.RecordBatch.from_arrays([*batch.columns[:3], pa.array(dist, pa.float64())],
-                                             names=["id_a", "id_b", "day", "dist"])
-
-    return pairs.mapInArrow(run, "id_a long, id_b long, day string, dist double")
+def _candidates(bands: DataFrame, tile_rows: int) -> DataFrame:
+    """Distinct (id_a, id_b), id_a < id_b, that share a band of one day."""
+    return _met(_buckets(bands, tile_rows))
+
+
+def _tiles(buckets: DataFrame) -> DataFrame:
+    """(id, home): the tile of a row's largest bucket, so that near copies
+    have few homes among them."""
+    top = buckets.groupBy("id").agg(F.max(F.struct("n", "key", "t")).alias("h"))
+    return top.select("id", F.xxhash64("h.key", "h.t").alias("home"))
+
+
+def _cosines(cand: DataFrame, homes: DataFrame, reps: DataFrame, idf: Broadcast) -> DataFrame:
+    """(id_a, id_b, day, dist) of the candidates whose rows are of one day.
+
+    A pair is checked where the homes of its rows meet: a vector is sent once
+    to a pair of homes that has candidates with it, not once to each of them."""
+    def run(pairs: pa.Table, vectors: pa.Table) -> pa.Table:
+        rows, near = {}, {"id_a": [], "id_b": [], "day": [], "dist": []}
+        for i, day, idx, tf in zip(*(vectors.column(c) for c in ("id", "day", "idx", "tf"))):
+            rows.setdefault(i.as_py(), []).append((day.as_py(), *_weights(idx, tf, idf.value)))
+        for a, b in zip(pairs.column("id_a").to_pylist(), pairs.column("id_b").to_pylist()):
+            for day, x, v in rows.get(a, ()):
+                for other, y, w in rows.get(b, ()):
+                    if day is not None and day == other:
+                        _, at, bt = np.intersect1d(x, y, assume_unique=True, return_indices=True)
+                        for k, value in zip(near, (a, b, day, 1.0 - float(v[at] @ w[bt]))):
+                            near[k].append(value)
+        return pa.table([pa.array(near["id_a"], pa.int64()), pa.array(near["id_b"], pa.int64()),
+                         pa.array(near["day"], pa.string()), pa.array(near["dist"], pa.float64())], names=list(near))
+
+    at = (cand.join(homes.select(F.col("id").alias("id_a"), F.col("home").alias("p")), "id_a")
+          .join(homes.select(F.col("id").alias("id_b"), F.col("home").alias("q")), "id_b")
+          .select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"), "id_a", "id_b"))
+    at = stage_table(at, "candidates")                       # numbers only; read for the vectors and for the pairs
+    used = at.select("p", "q", F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
+    sent = used.join(reps.select("id", "day", "idx", "tf"), "id").select(F.col("p").alias("r"), F.col("q").alias("s"), "id", "day", "idx", "tf")
+    return at.groupBy("p", "q").cogroup(sent.groupBy("r", "s")).applyInArrow(
+        run, "id_a long, id_b long, day string, dist double")
 
 
 def similar_vector_pairs(reps: DataFrame, idf: Broadcast, eps: float, recall: float = RECALL, bits: int = BITS,
@@ -207,13 +238,8 @@ def similar_vector_pairs(reps: DataFrame, idf: Broadcast, eps: float, recall: fl
     """D7, approximate: (id_a, id_b, day, dist) with dist <= eps, of different
     vectors of a day.  Every pair is checked; see ``choose_bands`` for those
     that may be missed."""
-    cand = _candidates(bands_of(reps, idf, choose_bands(eps, recall, bits), bits), tile_rows)
-    a = reps.select(F.col("id").alias("id_a"), "day", F.col("idx").alias("idx_a"), F.col("tf").alias("tf_a"))
-    b = reps.select(F.col("id").alias("id_b"), F.col("day").alias("day_b"), F.col("idx").alias("idx_b"),
-                    F.col("tf").alias("tf_b"))
-    pairs = (cand.join(a, "id_a").join(b, "id_b").where("day = day_b")
-             .select("id_a", "id_b", "day", "idx_a", "tf_a", "idx_b", "tf_b"))
-    return _cosines(pairs, idf).where(F.col("dist") <= F.lit(eps + 1e-12))
+    buckets = _buckets(bands_of(reps, idf, choose_bands(eps, recall, bits), bits), tile_rows)
+    return _cosines(_met(buckets), _tiles(buckets), reps, idf).where(F.col("dist") <= F.lit(eps + 1e-12))
 
 
 def similar_texts(df: DataFrame, eps: float, text_col: str = "text", id_col: str = "article_id",

@@ -131,3 +131,21 @@ def test_choose_bands():
     assert signs.shape == (3000, 130) and abs(signs.mean() - 0.5) < 0.01
     assert abs(np.corrcoef(signs[:, :60].T) - np.eye(60)).max() < 0.1
     assert re.fullmatch("[01]+", "".join(map(str, signs[0])))
+
+
+def test_a_vector_is_sent_once_to_a_pair_of_homes(spark):
+    """40 near copies have 780 links; what is dealt of their vectors is far less."""
+    words = [f"w{k}" for k in range(60)]
+    rows = [(i, "20240101", " ".join(words[:59] + [f"x{i}"])) for i in range(40)] + [(99, None, " ".join(words))]
+    df = spark.createDataFrame(rows, "article_id long, datetime string, text string")
+    counted = vectors.word_counts(df)
+    idf = vectors._idf(counted, vectors.N_FEATURES)
+    pairs = vectors.similar_vector_pairs(counted, idf, 0.9, recall=0.9999, bits=4)
+    got = {(r.id_a, r.id_b) for r in pairs.collect()}
+    assert got == {(a, b) for a in range(40) for b in range(a + 1, 40)}
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "idx_a" not in plan and "FlatMapCoGroupsInArrow" in plan
+    # a repeated row links as often as it stands there
+    twice = vectors.similar_vector_pairs(counted.unionByName(counted.where("id = 3")), idf, 0.9, recall=0.9999, bits=4)
+    n = {(r.id_a, r.id_b): r["count"] for r in twice.groupBy("id_a", "id_b").count().collect()}
+    assert n == {p: 2 if 3 in p else 1 for p in got}
