@@ -12,7 +12,6 @@ import sys
 from collections.abc import Iterator
 
 import ahocorasick
-import pandas as pd
 import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame
@@ -20,9 +19,12 @@ from pyspark.sql import functions as F
 
 from .common import BROADCAST_BYTES
 
-# executors need pyarrow, pandas and ahocorasick, not this package
+# executors need pyarrow and ahocorasick, not this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+#: Rows of a batch that are Python objects at a time.
+ROWS_AT_ONCE = 64
+
 
 def small_rows(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> list[tuple] | None:
     """The rows of a dictionary (two string columns) whose values take at most
@@ -104,17 +106,21 @@ def translated(list_col: str | Column, glossary: dict[str, str]) -> Column:
     empty sentence."""
     built: list[ahocorasick.Automaton] = []
 
-    @F.pandas_udf("array<string>")
-    def run(lists: pd.Series) -> pd.Series:
+    @F.arrow_udf("array<string>")
+    def run(lists: pa.Array) -> pa.Array:
         if not built:
             built.append(build(list(glossary)))
-        out = []
-        for sentences in lists:
-            done = []
-            for s in (() if sentences is None else sentences):
-                tokens = [] if s is None else s.split(" ")
-                done.append(replace(tokens, find(built[0], " ".join([t.lower() for t in tokens])), glossary))
-            out.append(done)
-        return pd.Series(out)
+        # a batch stays in Arrow's own form; only ROWS_AT_ONCE of its texts are Python strings at a time
+        parts = [pa.array([], pa.list_(pa.string()))]
+        for at in range(0, len(lists), ROWS_AT_ONCE):
+            out = []
+            for sentences in lists.slice(at, ROWS_AT_ONCE):
+                done = []
+                for s in (sentences.values if sentences.is_valid else ()):
+                    tokens = s.as_py().split(" ") if s.is_valid else []
+                    done.append(replace(tokens, find(built[0], " ".join([t.lower() for t in tokens])), glossary))
+                out.append(done)
+            parts.append(pa.array(out, pa.list_(pa.string())))
+        return pa.concat_arrays(parts)
 
     return run(F.col(list_col) if isinstance(list_col, str) else list_col)

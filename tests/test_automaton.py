@@ -74,3 +74,14 @@ def test_glossary_of_several_words(spark):
         out = sentences.glossary_map(df, g, **how)
         assert out.columns == ["article_id", "split_text", "translated_text"]
         assert {r["article_id"]: r["translated_text"] for r in out.collect()} == want
+
+
+def test_translation_holds_few_rows_as_objects(spark):
+    """The list column stays in Arrow; null lists and sentences as before."""
+    rows = [(i, None if i % 5 == 0 else [f"le chat {i}", None, "ok"]) for i in range(3 * automaton.ROWS_AT_ONCE)]
+    df = spark.createDataFrame(rows, "article_id long, split_text array<string>").coalesce(1)
+    out = df.withColumn("t", automaton.translated("split_text", {"le": "the"}))
+    assert {r.article_id: r.t for r in out.collect()} == {
+        i: [] if i % 5 == 0 else [f"the chat {i}", "", "ok"] for i in range(len(rows))}
+    assert "ArrowEvalPython" in out._jdf.queryExecution().executedPlan().toString()
+    assert "pandas" not in open(automaton.__file__).read()
