@@ -6,7 +6,8 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..functions.scoring import score
-from .common import attach_row
+from ..session import materialize
+from .common import attach_row, join_terms
 
 
 def relevance_filter(df: DataFrame, scorer, threshold: float = -0.4, out_col: str = "score",
@@ -51,8 +52,9 @@ def fit_term_odds(df: DataFrame, label_col: str = "label", title_col: str = "tit
                   text_col: str = "text") -> DataFrame:
     """K2: multinomial naive Bayes on the word counts of *all* labelled rows.
 
-    ``(term, weight, prior)``: the smoothed log odds of a term between label 1
-    and label 0, and the log odds of the labels themselves on every row."""
+    ``(term, weight, n, prior)``: the smoothed log odds of a term between label 1
+    and label 0, how often it stands in the labelled rows, and the log odds of
+    the labels themselves on every row."""
     rows = df.where(F.col(label_col).isin(0, 1))
     prior = rows.agg((F.log(F.count(F.when(F.col(label_col) == 1, 1)) + 1)
                       - F.log(F.count(F.when(F.col(label_col) == 0, 1)) + 1)).alias("prior"))
@@ -62,7 +64,8 @@ def fit_term_odds(df: DataFrame, label_col: str = "label", title_col: str = "tit
     totals = counts.agg(F.sum("pos").alias("_p"), F.sum("neg").alias("_n"), F.count("*").alias("_v"))
     weight = (F.log((F.col("pos") + 1) / (F.col("_p") + F.col("_v")))
               - F.log((F.col("neg") + 1) / (F.col("_n") + F.col("_v"))))
-    return attach_row(attach_row(counts, totals).select("term", weight.alias("weight")), prior)
+    return attach_row(attach_row(counts, totals).select(
+        "term", weight.alias("weight"), (F.col("pos") + F.col("neg")).alias("n")), prior)
 
 
 def term_odds_scores(df: DataFrame, model: DataFrame, id_col: str = "article_id", title_col: str = "title",
@@ -72,7 +75,9 @@ def term_odds_scores(df: DataFrame, model: DataFrame, id_col: str = "article_id"
     table for ``relevance_filter``.  Rows without a known term score the
     prior."""
     terms = _terms(df, [id_col], title_col, text_col)
-    sums = terms.join(model, "term").groupBy(id_col).agg(F.sum(F.col("weight") * F.col("n")).alias("_w"))
+    model = materialize(model)                       # read for the prior and for the weights
+    weights = model.select("term", "weight", F.col("n").alias("freq"))
+    sums = join_terms(terms, weights, "term", "freq").groupBy(id_col).agg(F.sum(F.col("weight") * F.col("n")).alias("_w"))
     prior = model.agg(F.max("prior").alias("_prior"))
     return (attach_row(df.select(id_col).join(sums, id_col, "left"), prior)
             .select(id_col, (F.col("_prior") + F.coalesce("_w", F.lit(0.0))).alias("score")))
