@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from . import automaton, entities
-from .common import BROADCAST_BYTES, attach_row
+from .common import BROADCAST_BYTES, attach_row, join_terms
 
 
 def split_sentences(df: DataFrame, text_col: str = "text", out_col: str = "split_text") -> DataFrame:
@@ -138,8 +138,9 @@ def extractive_summary(df: DataFrame, k: int = 3, min_words: int = 10, max_words
       (the best one is always kept);
     * the kept sentences are joined with one space in text order.
 
-    Articles without sentences get an empty summary.  The df join is on the
-    term; common terms are skewed, which AQE's skew join splits.
+    Articles without sentences get an empty summary.  The idf of a term (at
+    least of a frequent one) goes to the tokens, see ``join_terms``; what is
+    dealt is a partial mean of each sentence, not its tokens.
     """
     sents = sentence_table(df, list_col, id_col)
     toks = sents.select(id_col, "pos", F.explode(tx.word_tokens("sentence")).alias("term"))
@@ -150,8 +151,8 @@ def extractive_summary(df: DataFrame, k: int = 3, min_words: int = 10, max_words
     art_terms = df.select(F.explode(F.array_distinct(F.flatten(
         F.transform(list_col, lambda s: tx.word_tokens(s))))).alias("term"))
     dfreq = art_terms.groupBy("term").agg(F.count("*").alias("df"))
-    idf = attach_row(dfreq, n_docs).select("term", F.log(F.col("n_docs") / F.col("df")).alias("idf"))
-    scored = (toks.join(idf, "term")
+    idf = attach_row(dfreq, n_docs).select("term", F.log(F.col("n_docs") / F.col("df")).alias("idf"), "df")
+    scored = (join_terms(toks, idf, "term", "df")
               .groupBy(id_col, "pos")
               .agg(F.round(F.avg("idf"), 6).alias("score")))
     words = sents.select(id_col, "pos", "sentence",

@@ -221,3 +221,28 @@ def test_dense_cells_match_brute_force(spark):
                 and us[a][1] and us[b][1] and 1 - sum(x * y for x, y in zip(us[a][1], us[b][1])) <= eps}
         got = {(r.id_a, r.id_b) for r in similarity.dense_pairs(v, eps, cell_bits=2, tile_rows=16).collect()}
         assert got == want, eps
+
+
+def test_terms_are_joined_without_dealing_frequent_ones(spark):
+    from newsgraph.operators.common import join_terms
+    words = spark.createDataFrame([(i, w) for i in range(20) for w in ("a", "b", f"r{i}", "no")] + [(99, None)],
+                                  "id long, term string")
+    table = words.where("term <> 'no'").groupBy("term").agg(F.count("*").alias("df"))
+    want = sorted(tuple(r) for r in words.join(table, "term").collect())
+    for kw in ({}, {"max_bytes": 0, "n_frequent": 2}):
+        got = join_terms(words, table, "term", "df", **kw)
+        assert sorted(tuple(r) for r in got.collect()) == want
+    whole = join_terms(words, table, "term", "df")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange hashpartitioning" not in whole
+
+
+def test_summary_and_relevance_do_not_deal_tokens_by_term(spark):
+    from newsgraph.operators import relevance, sentences
+    df = spark.createDataFrame([(1, "One two. Three two."), (2, "Two three four."), (3, "")], "article_id long, text string")
+    s = sentences.extractive_summary(sentences.split_sentences(df), k=1, min_words=1)
+    model = relevance.fit_term_odds(df.withColumn("title", F.lit("t")).withColumn("label", F.col("article_id") % 2))
+    scores = relevance.term_odds_scores(df.withColumn("title", F.lit("t")), model)
+    for out in (s, scores):
+        assert out.count() == 3
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "hashpartitioning(term" not in plan
