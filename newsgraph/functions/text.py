@@ -106,6 +106,16 @@ def shingles_of_tokens(toks, k: int = 3) -> Column:
     return F.array_distinct(F.coalesce(short, grams))
 
 
+def shingle_hashes(toks, k: int, key) -> Column:
+    """The distinct word k-grams of ``shingles_of_tokens`` as 64-bit hashes of
+    ``key`` and the k-gram's words (no k-gram is joined to a string)."""
+    toks, key = _c(toks), _c(key)
+    z = F.arrays_zip(*[F.slice(toks, i + 1, F.greatest(F.size(toks) - (k - 1), F.lit(0))) for i in range(k)])
+    grams = F.transform(z, lambda s: F.xxhash64(key, *[s[str(i)] for i in range(k)]))
+    short = F.when((F.size(toks) > 0) & (F.size(toks) < k), F.array(F.xxhash64(key, F.array_join(toks, " "))))
+    return F.array_distinct(F.coalesce(short, grams))
+
+
 def paragraphs(col) -> Column:
     """Split raw text on newline runs, drop blank paragraphs."""
     parts = F.split(_c(col), "\n+")

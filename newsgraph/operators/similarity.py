@@ -30,7 +30,8 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import text as tx
-from ..session import materialize
+from ..session import materialize, stage_table
+from .common import measured_broadcast
 
 # executors need numpy and pyarrow, not this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -38,57 +39,70 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 def shingle_sets(df: DataFrame, text_col: str = "text", id_col: str = "article_id",
                  day_col: str = "datetime", k: int = 3) -> DataFrame:
-    """(id, day, sh array<string>) — distinct word k-grams of ``text_col``."""
-    toks = df.select(F.col(id_col).alias("id"), F.col(day_col).alias("day"),
+    """(id, day, text, terms array<long>): the distinct word k-grams of
+    ``text_col``, each as a 64-bit hash of the day and the k-gram (so equal
+    terms mean the same day).  ``_with_shingles`` gives the k-grams themselves."""
+    toks = df.select(F.col(id_col).alias("id"), F.col(day_col).alias("day"), F.col(text_col).alias("text"),
                      tx.word_tokens(text_col).alias("toks"))
+    return toks.select("id", "day", "text", tx.shingle_hashes("toks", k, "day").alias("terms"))
+
+
+def _with_shingles(rows: DataFrame, k: int) -> DataFrame:
+    """(id, day, sh array<string>): the distinct k-grams of ``text``."""
+    toks = rows.select("id", "day", tx.word_tokens("text").alias("toks"))
     return toks.select("id", "day", tx.shingles_of_tokens("toks", k).alias("sh"))
 
 
 def collapse_copies(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Collapse identical non-empty sets of a day.
 
-    Returns ``(reps, copies)``: ``reps(id, day, sh, n)`` one row per distinct
-    set (id = smallest member; an empty set is always its own singleton,
-    never merged or paired), ``copies(id, rep)`` for the other members.  The
-    grouping is a partial aggregation, so a hot group of copies is combined
-    map-side.  ``reps`` is read by several later joins, so it is
-    materialised once (reliable checkpoint)."""
+    Returns ``(reps, copies)``: ``reps(id, day, text, terms, n)`` one row per
+    distinct set (id = smallest member; an empty set is always its own
+    singleton, never merged or paired), ``copies(id, rep)`` for the other
+    members.  The sets are staged once, as columns; the grouping is a partial
+    aggregation over signatures, so a hot group of copies is combined
+    map-side, and the sets themselves are not dealt again where the copies'
+    ids can be broadcast."""
     # no filter here: a predicate on the sets would be pushed below the
     # projection (and the repartition) and recompute the shingles
-    sig = F.when(F.size("sh") == 0, F.concat(F.lit("empty:"), F.col("id").cast("string"))) \
-        .otherwise(F.sha2(F.array_join(F.sort_array("sh"), "\u001f"), 256))
-    s = materialize(sets.select("id", "day", "sh", sig.alias("sig")))
-    # fixed-width hash aggregate for the representative id; the set itself
-    # is fetched by a semi-join instead of being carried through the group
-    rep_ids = s.groupBy("day", "sig").agg(F.min("id").alias("rep"))
-    reps = (s.join(rep_ids.select(F.col("rep").alias("id")), "id", "left_semi")
-            .select("id", "day", "sh", F.size("sh").alias("n")))
-    copies = (s.select("id", "day", "sig").join(rep_ids, ["day", "sig"])
-              .where(F.col("id") != F.col("rep")).select("id", "rep"))
-    return materialize(reps), copies
+    sig = F.when(F.size("terms") == 0, F.concat(F.lit("empty:"), F.col("id").cast("string"))) \
+        .otherwise(F.sha2(F.array_join(F.sort_array("terms").cast("array<string>"), " "), 256))
+    s = stage_table(sets.select("id", "day", "text", "terms", F.size("terms").alias("n"), sig.alias("sig")),
+                    "shingle_sets")
+    rep_ids = materialize(s.groupBy("day", "sig").agg(F.min("id").alias("rep")))
+    copies = materialize(s.select("id", "day", "sig").join(rep_ids, ["day", "sig"])
+                         .where(F.col("id") != F.col("rep")).select("id", "rep"))
+    gone = copies.select("id").distinct().join(rep_ids.select(F.col("rep").alias("id")), "id", "left_anti")
+    return s.drop("sig").join(measured_broadcast(gone), "id", "left_anti"), copies
 
 
 def _prefixes(reps: DataFrame, t2: float) -> DataFrame:
-    """(id, day, n, term, rest) for the prefix elements of every representative.
-
-    ``term`` is the shingle's 64-bit hash (candidates are verified on the real
-    sets), ``rest`` the number of elements from this one on.  Prefix length
-    keeps elements until the remaining k satisfy k < t²·n (one extra element
-    guards the ceil against float rounding), with elements in global (document
-    frequency, term) order, rarest first."""
-    flat = reps.select("id", "day", "n", F.explode(F.transform("sh", lambda s: F.xxhash64(s))).alias("term"))
-    dfreq = flat.groupBy("term").agg(F.count("*").alias("df"))
-    ranked = flat.join(dfreq, "term")
-    plen = F.least(F.col("n"), F.col("n") - F.ceil(F.col("n") * F.lit(t2)) + 2)
-    # position in the global order within each set (a window per set: one
-    # set is one source row, so no window partition is larger than a text)
-    rank = F.row_number().over(Window.partitionBy("id").orderBy("df", "term"))
-    return (ranked.withColumn("_r", rank).where(F.col("_r") <= plen)
-            .select("id", "day", "n", "term", (F.col("n") - F.col("_r") + 1).alias("rest")))
+    """(id, lo, hi, term, rest) for the prefix elements of every representative
+    that others of its day have too.
+
+    Candidates are verified on the real sets.  Elements are in the order (day's
+    document frequency, term), rarest first; ``rest`` is the number of elements
+    from this one on.  The prefix keeps elements until the remaining k satisfy
+    k < t²·n (one extra element guards the ceil against float rounding).
+    Elements that no other set has come first in that order and join nothing:
+    they are dropped once counted, before anything is dealt by id, and ``rest``
+    counts from the end.  ``lo`` and ``hi`` are the set's size; an id that
+    stands on several rows has their smallest and largest, and ``rest`` over
+    all of them, which only lets more candidates through."""
+    flat = reps.where(F.col("day").isNotNull()).select("id", F.explode("terms").alias("term"))
+    df = F.count("*").over(Window.partitionBy("term"))
+    shared = flat.withColumn("df", df).where("df > 1")
+    # position in the order within each set (a window per set: one set is one
+    # source row, so no window partition is larger than a text)
+    rest = F.row_number().over(Window.partitionBy("id").orderBy(F.desc("df"), F.desc("term")))
+    sizes = reps.groupBy("id").agg(F.min("n").alias("lo"), F.max("n").alias("hi"))
+    return (shared.withColumn("rest", rest).join(sizes, "id")
+            .where(F.col("rest") >= F.ceil(F.col("lo") * F.lit(t2)) - 1)
+            .select("id", "lo", "hi", "term", "rest"))
 
 
 def _pair_candidates(pref: DataFrame, t: float) -> DataFrame:
-    """Candidate pairs sharing (day, term), by two exact filters.
+    """Candidate pairs sharing a term (which names its day), by two exact filters.
 
     Size: cos ≥ t needs t²·n_a ≤ n_b ≤ n_a / t².  Position: no element before
     a pair's first common one is shared, so its overlap is at most the smaller
@@ -96,37 +110,41 @@ def _pair_candidates(pref: DataFrame, t: float) -> DataFrame:
     first common term, and one whose sets differ too much before it never
     becomes a row."""
     a, b = pref.alias("a"), pref.alias("b")
-    need = F.lit(t) * F.sqrt(F.col("a.n").cast("double") * F.col("b.n")) - F.lit(1e-9)
-    cond = ((F.col("a.day") == F.col("b.day")) & (F.col("a.term") == F.col("b.term"))
-            & (F.col("a.id") < F.col("b.id"))
-            & (F.col("b.n") >= F.col("a.n") * (t * t)) & (F.col("a.n") >= F.col("b.n") * (t * t))
+    need = F.lit(t) * F.sqrt(F.col("a.lo").cast("double") * F.col("b.lo")) - F.lit(1e-9)
+    cond = ((F.col("a.term") == F.col("b.term")) & (F.col("a.id") < F.col("b.id"))
+            & (F.col("b.hi") >= F.col("a.lo") * (t * t)) & (F.col("a.hi") >= F.col("b.lo") * (t * t))
             & (F.least("a.rest", "b.rest") >= need))
-    return (a.join(b, cond).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b"),
-                                   F.col("a.day").alias("day")).distinct())
-
-
-def _verify(cand: DataFrame, reps: DataFrame, t: float) -> DataFrame:
-    """Exact check of candidate pairs: ``overlap / sqrt(n_a * n_b) >= t``."""
-    sa = reps.select(F.col("id").alias("id_a"), F.col("sh").alias("sh_a"), F.col("n").alias("n_a"))
-    sb = reps.select(F.col("id").alias("id_b"), F.col("sh").alias("sh_b"), F.col("n").alias("n_b"))
+    return a.join(b, cond).select(F.col("a.id").alias("id_a"), F.col("b.id").alias("id_b")).distinct()
+
+
+def _verify(cand: DataFrame, reps: DataFrame, t: float, k: int = 3) -> DataFrame:
+    """Exact check of candidate pairs on their k-grams:
+    ``overlap / sqrt(n_a * n_b) >= t``.  Only the candidates' texts are cut."""
+    cand = materialize(cand)
+    ids = cand.select(F.col("id_a").alias("id")).unionByName(cand.select(F.col("id_b").alias("id"))).distinct()
+    near = reps.select("id", "day", "text").join(measured_broadcast(ids), "id", "left_semi")
+    sets = materialize(_with_shingles(near, k))
+    sa = sets.select(F.col("id").alias("id_a"), "day", F.col("sh").alias("sh_a"), F.size("sh").alias("n_a"))
+    sb = sets.select(F.col("id").alias("id_b"), F.col("day").alias("day_b"), F.col("sh").alias("sh_b"),
+                     F.size("sh").alias("n_b"))
     ov = F.size(F.array_intersect("sh_a", "sh_b"))
     sim = ov / F.sqrt(F.col("n_a").cast("double") * F.col("n_b"))
-    return (cand.join(sa, "id_a").join(sb, "id_b")
+    return (cand.join(sa, "id_a").join(sb, "id_b").where(F.col("day") == F.col("day_b"))
             .select("id_a", "id_b", "day", sim.alias("sim"))
             .where(F.col("sim") >= F.lit(t)))
 
 
-def set_pairs(reps: DataFrame, eps: float) -> DataFrame:
+def set_pairs(reps: DataFrame, eps: float, k: int = 3) -> DataFrame:
     """All pairs of representatives with cosine distance ≤ eps (exact).
 
-    ``reps(id, day, sh, n)``; returns ``(id_a, id_b, day, sim)`` with
-    ``id_a < id_b``.  Edge rule: ``overlap / sqrt(n_a * n_b) >= 1 - eps``.
-    Posting lists of any length go the same way."""
+    ``reps(id, day, text, terms, n)`` of word k-grams; returns ``(id_a, id_b,
+    day, sim)`` with ``id_a < id_b``.  Edge rule: ``overlap / sqrt(n_a * n_b)
+    >= 1 - eps``.  Posting lists of any length go the same way."""
     t = 1.0 - eps
     if t <= 0:
         raise ValueError("eps must be < 1 for set similarity")
     pref = materialize(_prefixes(reps, t * t))   # read by both sides of the self-join
-    return _verify(_pair_candidates(pref, t), reps, t)
+    return _verify(_pair_candidates(pref, t), reps, t, k)
 
 
 def similar_text_pairs(df: DataFrame, eps: float = 0.35, text_col: str = "text",
@@ -139,7 +157,7 @@ def similar_text_pairs(df: DataFrame, eps: float = 0.35, text_col: str = "text",
     every representative id (a text without words is its own singleton)."""
     sets = shingle_sets(df, text_col, id_col, day_col, k)
     reps, copies = collapse_copies(sets)
-    return set_pairs(reps, eps), copies, reps.select(F.col("id").alias("node"))
+    return set_pairs(reps, eps, k), copies, reps.select(F.col("id").alias("node"))
 
 
 def _packed(vectors: DataFrame, id_col: str, day_col: str, vec_col: str, block_rows: int,

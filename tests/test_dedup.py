@@ -246,3 +246,43 @@ def test_summary_and_relevance_do_not_deal_tokens_by_term(spark):
         assert out.count() == 3
         plan = out._jdf.queryExecution().executedPlan().toString()
         assert "hashpartitioning(term" not in plan
+
+
+def test_shingles_that_one_text_has_alone_are_not_dealt_by_id(spark):
+    """Only shingles that another text of the day has too go on from the count:
+    the rows that are ranked and joined do not grow with texts of their own."""
+    near = " ".join(f"n{k}" for k in range(40))
+    rows = [(0, "d", near), (1, "d", near + " more"), (2, "e", near)]
+    rows += [(i, "d", " ".join(f"u{i}x{k}" for k in range(40))) for i in range(10, 60)]
+    df = spark.createDataFrame(rows, "article_id long, datetime string, text string")
+    reps, _ = similarity.collapse_copies(similarity.shingle_sets(df))
+    assert reps.count() == 53
+    pref = similarity._prefixes(reps, 0.65 ** 2)
+    assert {r.id for r in pref.collect()} == {0, 1}
+    assert [(r.id_a, r.id_b) for r in similarity.set_pairs(reps, 0.35).collect()] == [(0, 1)]
+    # the sets themselves are not dealt to drop the copies' rows
+    assert "Exchange hashpartitioning" not in reps._jdf.queryExecution().executedPlan().toString()
+
+
+def test_pairs_with_null_days_null_texts_and_repeated_ids(spark):
+    rng = random.Random(5)
+    rows = []
+    for i in range(60):
+        w = [f"g{i % 6}w{k}" for k in range(30)]
+        for _ in range(rng.randrange(6)):
+            w[rng.randrange(30)] = f"e{rng.randrange(20)}"
+        rows.append((i, f"d{i % 2}", " ".join(w)))
+    near = rows[0][2]
+    odd = [(100, None, near), (101, None, near + " x"), (102, "d0", None), (103, "d0", ""), (104, None, None),
+           (105, "d0", "one two"), (106, "d0", "Two one"), (107, "d0", "one, two")]
+    texts = {i: (d or f"none{i}", t or "") for i, d, t in rows + odd}
+    # every row of some ids stands twice
+    df = spark.createDataFrame(rows + odd + rows[::5], "article_id long, datetime string, text string")
+    for eps in (0.2, 0.35):
+        edges, copies, nodes = similarity.similar_text_pairs(df, eps)
+        rep = {r.id: r.rep for r in copies.collect()}
+        assert rep[107] == 105
+        want = {(a, b) for a, b in _brute_pairs(texts, eps) if a not in rep and b not in rep}
+        got = {(r.id_a, r.id_b) for r in edges.collect()}
+        assert got == want and got
+        assert {r.node for r in nodes.collect()} | set(rep) >= set(texts) - {104}
