@@ -5,8 +5,7 @@ Two vector kinds:
 * **Shingle sets** (default for text).  A text is the set of its distinct
   lower-cased word 3-grams; the cosine of two binary sets is
   ``|A∩B| / sqrt(|A||B|)``.  Candidates come from an inverted index on a
-  *prefix* of each set (rarest shingles first, global document-frequency
-  order): if two unit vectors have cosine ≥ t they share an element of their
+  *prefix* of each set (rarest shingles of the day first): if two unit vectors have cosine ≥ t they share an element of their
   prefixes, where a prefix keeps elements until the rest has norm < t
   (Bayardo, Ma, Srikant, "Scaling up all pairs similarity search", WWW 2007).
   No pair is lost; every candidate is then checked exactly.  Identical sets
