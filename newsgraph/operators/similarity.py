@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..session import materialize, stage_table
-from .common import measured_broadcast
+from .common import bounded_broadcast, measured_broadcast
 
 # executors need numpy and pyarrow, not this package
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
@@ -52,6 +52,17 @@ def _with_shingles(rows: DataFrame, k: int) -> DataFrame:
     return toks.select("id", "day", tx.shingles_of_tokens("toks", k).alias("sh"))
 
 
+def _staged(sets: DataFrame) -> DataFrame:
+    """(id, day, text, terms, n, sig): the sets written once, ``sig`` equal for
+    equal non-empty sets."""
+    # no filter here: a predicate on the sets would be pushed below the
+    # projection (and the repartition) and recompute the shingles
+    sig = F.when(F.size("terms") == 0, F.concat(F.lit("empty:"), F.col("id").cast("string"))) \
+        .otherwise(F.sha2(F.array_join(F.sort_array("terms").cast("array<string>"), " "), 256))
+    return stage_table(sets.select("id", "day", "text", "terms", F.size("terms").alias("n"), sig.alias("sig")),
+                       "shingle_sets")
+
+
 def collapse_copies(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Collapse identical non-empty sets of a day.
 
@@ -62,12 +73,7 @@ def collapse_copies(sets: DataFrame) -> tuple[DataFrame, DataFrame]:
     aggregation over signatures, so a hot group of copies is combined
     map-side, and the sets themselves are not dealt again where the copies'
     ids can be broadcast."""
-    # no filter here: a predicate on the sets would be pushed below the
-    # projection (and the repartition) and recompute the shingles
-    sig = F.when(F.size("terms") == 0, F.concat(F.lit("empty:"), F.col("id").cast("string"))) \
-        .otherwise(F.sha2(F.array_join(F.sort_array("terms").cast("array<string>"), " "), 256))
-    s = stage_table(sets.select("id", "day", "text", "terms", F.size("terms").alias("n"), sig.alias("sig")),
-                    "shingle_sets")
+    s = _staged(sets)
     rep_ids = s.groupBy("day", "sig").agg(F.min("id").alias("rep"))
     copies = (s.select("id", "day", "sig").join(rep_ids, ["day", "sig"])
               .where(F.col("id") != F.col("rep")).select("id", "rep"))
@@ -159,6 +165,57 @@ def similar_text_pairs(df: DataFrame, eps: float = 0.35, text_col: str = "text",
     return set_pairs(reps, eps, k), copies, reps.select(F.col("id").alias("node"))
 
 
+def all_text_pairs(df: DataFrame, eps: float = 0.35, text_col: str = "text", id_col: str = "article_id",
+                   day_col: str = "datetime", k: int = 3, tile_rows: int = 512) -> DataFrame:
+    """(id_a, id_b), id_a < id_b: every pair of rows of a day with cosine
+    distance ≤ eps, copies with each other and with what their set is near to.
+
+    Distinct sets are compared once (``set_pairs``); a near pair of sets then
+    stands for all pairs of its rows.  Rows of a set are kept in lists of about
+    ``tile_rows``, and a pair of lists is taken apart where it is written: only
+    the pairs themselves grow as the square of a group."""
+    s = (_staged(shingle_sets(df, text_col, id_col, day_col, k))
+         .where(F.col("day").isNotNull() & (F.col("n") > 0) & F.col("id").isNotNull())
+         .withColumn("set", F.xxhash64("day", "sig")).drop("sig"))
+    groups = measured_broadcast(s.groupBy("set").agg(F.min("id").alias("rep"), F.count("*").alias("rows"))
+                                .where("rows > 1"))
+    gone = s.select("set", "id").join(groups, "set").where("id <> rep").select("set", "id").distinct()
+    reps = s.join(measured_broadcast(gone), ["set", "id"], "left_anti").drop("id").withColumnRenamed("set", "id")
+    # a row that stands twice is two rows of its set
+    near = materialize(set_pairs(reps, eps, k).select("id_a", "id_b").distinct())
+
+    sets = near.select(F.col("id_a").alias("set")).unionByName(near.select(F.col("id_b").alias("set")))
+    used = measured_broadcast(sets.unionByName(groups.select("set")).distinct())
+    tiles = F.ceil(F.coalesce("rows", F.lit(1)) / tile_rows).cast("int")
+    lists = materialize(s.select("set", "id").join(used, "set", "left_semi").join(groups, "set", "left")
+                        .select("set", "id", tiles.alias("tiles"))
+                        .groupBy("set", "tiles", F.pmod(F.xxhash64("id"), "tiles").cast("int").alias("t"))
+                        .agg(F.collect_list("id").alias("ids")))
+    few = bounded_broadcast(lists)
+    numbers = bounded_broadcast(lists.select("set", "tiles").distinct())
+    every = F.sequence(F.lit(0), F.col("tiles") - 1)
+
+    def side(x: str) -> DataFrame:
+        return few.select(F.col("set").alias(f"id_{x}"), F.col("t").alias(f"t_{x}"), F.col("ids").alias(f"ids_{x}"))
+
+    between = near
+    for x in "ab":                                           # numbers only, until the lists are there
+        between = (between.join(numbers.withColumnRenamed("set", f"id_{x}"), f"id_{x}")
+                   .withColumn(f"t_{x}", F.explode(every)).drop("tiles"))
+    between = (between.join(side("a"), ["id_a", "t_a"]).join(side("b"), ["id_b", "t_b"])
+               .select(F.lit(False).alias("one"), "ids_a", "ids_b"))
+    # two lists i <= j of a set meet in one place
+    left = lists.where("tiles > 1 or size(ids) > 1").select("set", F.col("t").alias("i"), F.col("ids").alias(
+        "ids_a"), F.explode(F.filter(every, lambda j: j >= F.col("t"))).alias("j"))
+    right = lists.where("tiles > 1 or size(ids) > 1").select("set", F.col("t").alias("j"), F.col("ids").alias(
+        "ids_b"), F.explode(F.filter(every, lambda i: i <= F.col("t"))).alias("i"))
+    within = left.join(right, ["set", "i", "j"]).select((F.col("i") == F.col("j")).alias("one"), "ids_a", "ids_b")
+    both = (between.unionByName(within).select("one", F.explode("ids_a").alias("x"), "ids_b")
+            .select("one", "x", F.explode("ids_b").alias("y")))
+    met = both.where(F.when(F.col("one"), F.col("x") < F.col("y")).otherwise(F.col("x") != F.col("y")))
+    return met.select(F.least("x", "y").alias("id_a"), F.greatest("x", "y").alias("id_b"))
+
+
 def _packed(vectors: DataFrame, id_col: str, day_col: str, vec_col: str, block_rows: int,
             cell_bits: int) -> DataFrame:
     """(day, block, n, center, radius, ids, matrix): unit vectors packed into

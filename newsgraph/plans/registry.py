@@ -55,8 +55,7 @@ def q_title_dedup_keep_last(spark, sf):
 
 def q_near_dup_edges(spark, sf):
     f1 = dedup.dedup_title_keep_last(_articles(spark, sf))
-    edges, _, _ = similarity.similar_text_pairs(f1, NEAR_DUP_EPS)
-    return edges.select("id_a", "id_b")
+    return similarity.all_text_pairs(f1, NEAR_DUP_EPS)
 
 
 def q_near_dup_survivors(spark, sf):

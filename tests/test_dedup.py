@@ -286,3 +286,47 @@ def test_pairs_with_null_days_null_texts_and_repeated_ids(spark):
         got = {(r.id_a, r.id_b) for r in edges.collect()}
         assert got == want and got
         assert {r.node for r in nodes.collect()} | set(rep) >= set(texts) - {104}
+
+
+def test_all_pairs_hold_copies_too(spark):
+    """Copies (texts of equal shingles under other titles) are paired with each
+    other and with all that their set is near to; brute force over the rows."""
+    rng = random.Random(6)
+    rows = []
+    for i in range(48):
+        w = [f"g{i % 4}w{k}" for k in range(24)]
+        for _ in range(rng.randrange(4)):
+            w[rng.randrange(24)] = f"e{rng.randrange(9)}"
+        rows.append((i, f"d{i % 2}", " ".join(w)))
+    for i in range(48, 90):                      # copies, other signs and case
+        _, d, t = rows[rng.randrange(12)]
+        rows.append((i, d, rng.choice(["! ", " ", "?"]) + rng.choice([t, t.upper(), t.replace(" ", ", ")])))
+    odd = [(100, None, rows[0][2]), (101, None, rows[0][2]), (102, "d0", None), (103, "d0", ""), (104, "d0", "?!"),
+           (105, "d0", "one two"), (106, "d0", "Two one"), (107, "d0", "one, two"), (108, "d1", "one two")]
+    again = rows[50:90:9]                        # a row that stands twice pairs twice
+    df = spark.createDataFrame(rows + odd + again, "article_id long, datetime string, text string")
+
+    def shingles(t):
+        w = [x for x in "".join(c if c.isalnum() else " " for c in (t or "").lower()).split()]
+        return {tuple(w[i:i + 3]) for i in range(max(1, len(w) - 2))} if w else set()
+
+    sets = [(i, d, shingles(t)) for i, d, t in rows + odd + again if d and shingles(t)]
+    for eps in (0.2, 0.35):
+        want = sorted((a, b) for a, d, x in sets for b, e, y in sets
+                      if a < b and d == e and len(x & y) / math.sqrt(len(x) * len(y)) >= 1 - eps)
+        assert (105, 107) in want and len(want) > 300
+        for tile in (512,) if eps == 0.2 else (3, 1):
+            got = similarity.all_text_pairs(df, eps, tile_rows=tile).collect()
+            assert sorted((r.id_a, r.id_b) for r in got) == want
+    assert similarity.all_text_pairs(df.limit(0)).collect() == []
+
+
+def test_near_dup_edges_leave_out_no_copy(spark, tmp_dir):
+    from newsgraph.plans import registry
+    text = " ".join(f"w{k}" for k in range(30))
+    rows = [(7, "A\n" + text), (14, "a!\n" + text), (21, "(A)\n" + text), (28, "B\n" + text + " more"),
+            (8, "A\n" + text), (35, "other words of a text")]
+    spark.createDataFrame(rows, "doc_id long, text string").selectExpr(
+        "*", "'en' lang", "'s' source").write.parquet(f"{tmp_dir}/documents.parquet")
+    got = {(r.id_a, r.id_b) for r in registry.q_near_dup_edges(spark, tmp_dir).collect()}
+    assert got == {(7, 14), (7, 21), (14, 21), (7, 28), (14, 28), (21, 28)}
