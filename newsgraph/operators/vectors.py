@@ -14,13 +14,17 @@ that lets a pair exactly at eps be missed with probability 1 - recall (closer
 pairs less).  Every candidate is then checked on the vectors themselves, so
 nothing wrong is returned; what is missed is bounded by the recall asked for.
 
-Equal vectors of a day are collapsed to the smallest id before any pairing, and a
-bucket with many members is cut into tiles, each pair of tiles a key of its own.
+Equal vectors of a day are collapsed to the smallest id before any pairing.  The
+rows of a day go in blocks, and the pairs of two blocks are found in one task: by
+the bands, then by all signs (``most_signs_apart``), then on the vectors.  A
+candidate is never a row of a table; a near pair is.
 """
 from __future__ import annotations
 
+import hashlib
 import math
 import sys
+import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -31,6 +35,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text as tx
 from ..session import materialize, stage_table
+from .common import measured_broadcast
 from .components import connected_components
 
 # executors need numpy and pyarrow, not this package
@@ -41,7 +46,12 @@ N_FEATURES = 1 << 18
 #: Signs in one band: two texts without a common word share a band once in 2 ** BITS.
 BITS = 20
 RECALL = 0.95
-TILE_ROWS = 512
+#: Rows of a day that are compared in one task with as many: about 25 MB sent, four times that in memory.
+BLOCK_ROWS = 1 << 16
+#: Rows packed together, and words held meanwhile.
+PACKED_ROWS, PACKED_WORDS = 512, 1 << 21
+#: Pairs, and words of their vectors, that a task holds at a time.
+PAIRS, GATHERED = 1 << 17, 1 << 20
 
 VECTOR = "idx array<int>, w array<double>"
 
@@ -52,25 +62,30 @@ def hashed_words(col: str | Column, n_features: int = N_FEATURES) -> Column:
 
 
 def _counted(df: DataFrame) -> DataFrame:
-    """(id, day, idx, tf): distinct buckets, ascending, and how often each."""
+    """(id, day, idx, tf, sig): distinct buckets, ascending, and how often
+    each; ``sig`` is the hash of both, null without words."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            idx, tf = [], []
+            idx, tf, sig = [], [], []
             for x in batch.column(2):
                 found, n = np.unique(np.array(x.values if x.is_valid else [], dtype=np.int32), return_counts=True)
                 idx.append(found)
                 tf.append(n)
+                sig.append(hashlib.sha256(found.astype("<i4").tobytes() + n.astype("<i4").tobytes()).digest()
+                           if len(found) else None)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(idx, pa.list_(pa.int32())),
-                 pa.array(tf, pa.list_(pa.int32()))], names=["id", "day", "idx", "tf"])
+                 pa.array(tf, pa.list_(pa.int32())), pa.array(sig, pa.binary())],
+                names=["id", "day", "idx", "tf", "sig"])
 
-    return df.mapInArrow(run, "id long, day string, idx array<int>, tf array<int>")
+    return df.mapInArrow(run, "id long, day string, idx array<int>, tf array<int>, sig binary")
 
 
 def word_counts(df: DataFrame, text_col: str = "text", id_col: str = "article_id", day_col: str = "datetime",
                 n_features: int = N_FEATURES) -> DataFrame:
-    """(id, day, idx, tf): the distinct word buckets of a text, ascending, and
-    how often each; written once, as several later steps read it."""
+    """(id, day, idx, tf, sig): the distinct word buckets of a text, ascending,
+    how often each, and a hash of both; written once, as several later steps
+    read it."""
     slim = df.select(F.col(id_col).cast("long").alias("id"), F.col(day_col).cast("string").alias("day"),
                      hashed_words(text_col, n_features).alias("words"))
     return stage_table(_counted(slim), "word-counts")
@@ -89,9 +104,17 @@ def tfidf_vectors(df: DataFrame, text_col: str = "text", id_col: str = "article_
 
 def _idf(counted: DataFrame, n_features: int) -> Broadcast:
     """The weight of every bucket (n_features numbers), on all workers."""
+    def texts_with(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        df = np.zeros(n_features, np.int64)
+        for batch in batches:
+            df += np.bincount(np.asarray(batch.column(0).flatten()), minlength=n_features)
+        i = np.flatnonzero(df)
+        yield pa.RecordBatch.from_arrays([pa.array(i, pa.int32()), pa.array(df[i])], names=["i", "df"])
+
     n_docs = counted.count()
-    # n_features rows at most
-    dfreq = counted.select(F.explode("idx").alias("i")).groupBy("i").agg(F.count("*").alias("df")).toPandas()
+    # n_features rows at most, from a task and in all
+    dfreq = (counted.select("idx").mapInArrow(texts_with, "i int, df long")
+             .groupBy("i").agg(F.sum("df").alias("df")).toPandas())
     idf = np.full(n_features, math.log(1 + n_docs) + 1, np.float32)
     idf[dfreq["i"].to_numpy()] = np.log((1 + n_docs) / (1 + dfreq["df"].to_numpy(np.float64))) + 1
     return counted.sparkSession.sparkContext.broadcast(idf)
@@ -132,9 +155,16 @@ def random_signs(idx: np.ndarray, n_bits: int, seed: int = 0) -> np.ndarray:
     return np.unpackbits(x.astype("<u8").view(np.uint8), axis=1)[:, :n_bits]
 
 
+def _signs(idx: np.ndarray, w: np.ndarray, n_bits: int) -> np.ndarray:
+    """The signs (true or false) of a vector's projections."""
+    # sum of +-w over the features: twice the sum of those with sign 1, less all of them
+    return 2 * (w.astype(np.float32) @ random_signs(idx, n_bits).astype(np.float32)) > w.sum()
+
+
 def bands_of(counted: DataFrame, idf: Broadcast, n_bands: int, bits: int = BITS) -> DataFrame:
     """(id, bands array<long>): the packed signs of every band, each with its
-    day and number hashed in; the empty vector has none."""
+    day and number hashed in; the empty vector has none.  The definition of the
+    candidates, in rows; ``similar_vector_pairs`` compares bands in its tasks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         place = np.int64(1) << np.arange(bits, dtype=np.int64)
         for batch in batches:
@@ -144,9 +174,7 @@ def bands_of(counted: DataFrame, idf: Broadcast, n_bands: int, bits: int = BITS)
                 if not len(idx):
                     out.append([])
                     continue
-                # sum of +-w over the features: twice the sum of those with sign 1, less all of them
-                up = w.astype(np.float32) @ random_signs(idx, n_bands * bits).astype(np.float32)
-                out.append((2 * up > w.sum()).reshape(n_bands, bits) @ place)
+                out.append(_signs(idx, w, n_bands * bits).reshape(n_bands, bits) @ place)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(out, pa.list_(pa.int64()))], names=["id", "day", "bands"])
 
@@ -159,14 +187,17 @@ def collapse_equal(counted: DataFrame) -> tuple[DataFrame, DataFrame]:
     """``(reps, copies)``: the row with the smallest id of each group of equal
     words and counts of a day, and (id, rep) for the others.  Rows without
     words or day are never merged."""
-    sig = F.when((F.size("idx") > 0) & F.col("day").isNotNull(), F.unhex(F.sha2(F.concat_ws(
-        ",", F.col("idx").cast("array<string>"), F.lit("/"), F.col("tf").cast("array<string>")), 256)))
-    keyed = counted.select("id", "day", sig.alias("sig"))
-    least = keyed.where("sig is not null").groupBy("day", "sig").agg(F.min("id").alias("rep"))
-    firsts = least.select(F.col("rep").alias("id")).unionByName(keyed.where("sig is null").select("id"))
-    reps = counted.join(firsts, "id", "left_semi")
-    copies = keyed.join(least, ["day", "sig"]).where("id <> rep").select("id", "rep")
-    return stage_table(reps, "word-counts-reps"), copies
+    keyed = counted.select("id", "day", F.when(F.col("day").isNotNull(), F.col("sig")).alias("sig"))
+    least = (keyed.where("sig is not null").groupBy("day", "sig")
+             .agg(F.min("id").alias("rep"), F.count("*").alias("n")).where("n > 1").drop("n"))
+    least = measured_broadcast(least)
+    copies = materialize(keyed.join(least, ["day", "sig"]).where("id <> rep").select("id", "rep"))
+    # the words are not dealt to drop the copies' rows; an id may have other rows that stay
+    ids = measured_broadcast(copies.select("id").distinct())
+    stay = (keyed.join(ids, "id", "left_semi").join(least, ["day", "sig"], "left")
+            .where("rep is null or rep = id").select("id").distinct())
+    gone = measured_broadcast(ids.join(stay, "id", "left_anti"))
+    return counted.where("id is not null").join(gone, "id", "left_anti"), copies
 
 
 def _buckets(bands: DataFrame, tile_rows: int) -> DataFrame:
@@ -197,49 +228,207 @@ def _candidates(bands: DataFrame, tile_rows: int) -> DataFrame:
     return _met(_buckets(bands, tile_rows))
 
 
-def _tiles(buckets: DataFrame) -> DataFrame:
-    """(id, home): the tile of a row's largest bucket, so that near copies
-    have few homes among them."""
-    top = buckets.groupBy("id").agg(F.max(F.struct("n", "key", "t")).alias("h"))
-    return top.select("id", F.xxhash64("h.key", "h.t").alias("home"))
-
-
-def _cosines(cand: DataFrame, homes: DataFrame, reps: DataFrame, idf: Broadcast) -> DataFrame:
-    """(id_a, id_b, day, dist) of the candidates whose rows are of one day.
-
-    A pair is checked where the homes of its rows meet: a vector is sent once
-    to a pair of homes that has candidates with it, not once to each of them."""
-    def run(pairs: pa.Table, vectors: pa.Table) -> pa.Table:
-        rows, near = {}, {"id_a": [], "id_b": [], "day": [], "dist": []}
-        for i, day, idx, tf in zip(*(vectors.column(c) for c in ("id", "day", "idx", "tf"))):
-            rows.setdefault(i.as_py(), []).append((day.as_py(), *_weights(idx, tf, idf.value)))
-        for a, b in zip(pairs.column("id_a").to_pylist(), pairs.column("id_b").to_pylist()):
-            for day, x, v in rows.get(a, ()):
-                for other, y, w in rows.get(b, ()):
-                    if day is not None and day == other:
-                        _, at, bt = np.intersect1d(x, y, assume_unique=True, return_indices=True)
-                        for k, value in zip(near, (a, b, day, 1.0 - float(v[at] @ w[bt]))):
-                            near[k].append(value)
-        return pa.table([pa.array(near["id_a"], pa.int64()), pa.array(near["id_b"], pa.int64()),
-                         pa.array(near["day"], pa.string()), pa.array(near["dist"], pa.float64())], names=list(near))
-
-    at = (cand.join(homes.select(F.col("id").alias("id_a"), F.col("home").alias("p")), "id_a")
-          .join(homes.select(F.col("id").alias("id_b"), F.col("home").alias("q")), "id_b")
-          .select(F.least("p", "q").alias("p"), F.greatest("p", "q").alias("q"), "id_a", "id_b"))
-    at = stage_table(at, "candidates")                       # numbers only; read for the vectors and for the pairs
-    used = at.select("p", "q", F.explode(F.array("id_a", "id_b")).alias("id")).distinct()
-    sent = used.join(reps.select("id", "day", "idx", "tf"), "id").select(F.col("p").alias("r"), F.col("q").alias("s"), "id", "day", "idx", "tf")
-    return at.groupBy("p", "q").cogroup(sent.groupBy("r", "s")).applyInArrow(
-        run, "id_a long, id_b long, day string, dist double")
+def most_signs_apart(eps: float, n_bits: int, chance: float = 2.0 ** -64) -> int:
+    """The number of signs of ``n_bits`` above which two vectors of distance
+    ``eps`` differ with at most ``chance`` (Chernoff's bound): as unlikely as
+    two words with one 64-bit hash."""
+    p = max(1e-6, math.acos(max(-1.0, min(1.0, 1.0 - eps))) / math.pi)
+
+    def exponent(k: int) -> float:
+        q = k / n_bits
+        return n_bits * (q * math.log(q / p) + ((1 - q) * math.log((1 - q) / (1 - p)) if q < 1 else 0))
+
+    return next((k - 1 for k in range(math.floor(p * n_bits) + 1, n_bits + 1) if exponent(k) >= -math.log(chance)), n_bits)
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Numbers as their low bytes, then their next ones: high bytes are nearly
+    all zero, which compresses well."""
+    return x.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes()
+
+
+def _packed(reps: DataFrame, idf: Broadcast, n_bits: int, block_rows: int) -> DataFrame:
+    """(day, block, blocks, ids, norms, signs, words): the rows of a day, dealt
+    into blocks of about ``block_rows``, some hundreds to a row of the table:
+    ids, lengths and signs as bytes, and compressed the number of words of
+    each, the gaps between its buckets and their counts.  About two bytes a
+    word, where an array of numbers has eight."""
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[tuple, list] = {}
+        names = ["day", "block", "blocks", "ids", "norms", "signs", "words"]
+
+        def packed(key: tuple) -> pa.RecordBatch:
+            ids, norms, signs, gaps, tfs = zip(*held.pop(key))
+            words = zlib.compress(_planes(np.array([len(g) for g in gaps])) + _planes(np.concatenate(gaps))
+                                  + _planes(np.concatenate(tfs)), 1)
+            columns = [*key, np.array(ids, "<i8").tobytes(), np.array(norms, "<f8").tobytes(), b"".join(signs), words]
+            kinds = [pa.string(), pa.int32(), pa.int32()] + 4 * [pa.binary()]
+            return pa.RecordBatch.from_arrays([pa.array([c], k) for c, k in zip(columns, kinds)], names=names)
+
+        n_words = 0
+        for batch in batches:
+            for i, day, block, blocks, idx, tf in zip(*batch.columns):
+                x, n = np.asarray(idx.values), np.asarray(tf.values)
+                if not len(x):
+                    continue
+                v = np.asarray(n, np.float64) * idf.value[x]
+                norm = math.sqrt(float(v @ v))
+                key = (day.as_py(), block.as_py(), blocks.as_py())
+                rows = held.setdefault(key, [])
+                rows.append((i.as_py(), norm, np.packbits(_signs(x, v / norm, n_bits)).tobytes(),
+                             np.diff(x, prepend=-1), n))
+                n_words += len(x)
+                if len(rows) >= PACKED_ROWS:
+                    n_words -= sum(len(r[3]) for r in rows)
+                    yield packed(key)
+                elif n_words >= PACKED_WORDS:
+                    n_words = 0
+                    yield from [packed(k) for k in list(held)]
+        yield from [packed(k) for k in list(held)]
+
+    rows = reps.where("day is not null").select("id", "day", "idx", "tf")
+    blocks = rows.groupBy("day").agg(F.ceil(F.count("*") / block_rows).cast("int").alias("blocks"))
+    cut = rows.join(measured_broadcast(blocks), "day").withColumn("block", F.pmod(F.xxhash64("id"), "blocks").cast("int"))
+    return stage_table(cut.select("id", "day", "block", "blocks", "idx", "tf").mapInArrow(
+        pack, "day string, block int, blocks int, ids binary, norms binary, signs binary, words binary"), "packed-words")
+
+
+class _Block:
+    """The rows of a block, by id: ``ids``, ``norms``, ``keys`` (one number a
+    band), ``signs`` (64 in a word), and the words of row r at ``at[r]:at[r +
+    1]`` of ``idx`` and ``tf``."""
+
+    def __init__(self, table: pa.Table, n_bands: int, bits: int):
+        def all_of(name: str, kind: str) -> np.ndarray:
+            return np.frombuffer(b"".join(table.column(name).to_pylist()), kind)
+
+        self.ids, self.norms = all_of("ids", "<i8"), all_of("norms", "<f8")
+        wide = -(-n_bands * bits // 8)
+        signs = all_of("signs", np.uint8).reshape(-1, wide)
+        place = 1 << np.arange(bits, dtype=np.int64)
+        self.keys = np.empty((len(signs), n_bands), np.int64 if bits > 31 else np.int32)
+        for k in range(0, len(signs), 2048):
+            on = np.unpackbits(signs[k:k + 2048], axis=1)[:, :n_bands * bits]
+            self.keys[k:k + 2048] = on.reshape(-1, n_bands, bits) @ place
+        self.signs = np.zeros((len(signs), -(-wide // 8) * 8), np.uint8)
+        self.signs[:, :wide] = signs
+        self.signs = self.signs.view(np.uint64)
+        lengths, idx, tf = [], [], []
+        for ids, words in zip(table.column("ids"), table.column("words")):
+            n = len(ids.as_py()) // 8
+            flat = zlib.decompress(words.as_py())
+            many = _numbers(flat[:4 * n])
+            gaps, counts = (_numbers(x) for x in (flat[4 * n:(len(flat) + 4 * n) // 2], flat[(len(flat) + 4 * n) // 2:]))
+            whole = np.cumsum(gaps, dtype=np.int64)          # buckets begin at gap - 1 in each row
+            start = np.cumsum(many) - many
+            idx.append((whole - np.repeat(whole[start] - gaps[start], many) - 1).astype(np.int32))
+            tf.append(counts.astype(np.uint16) if counts.max(initial=0) < 1 << 16 else counts.astype(np.int32))
+            lengths.append(many)
+        self.at = np.concatenate([[0], np.cumsum(np.concatenate([*lengths, np.zeros(0, np.int64)]))]).astype(np.int64)
+        self.idx = np.concatenate([*idx, np.zeros(0, np.int32)])
+        self.tf = np.concatenate([*tf, np.zeros(0, np.uint16)])
+
+
+def _numbers(planes: bytes) -> np.ndarray:
+    return np.frombuffer(planes, np.uint8).reshape(4, -1).T.copy().view("<u4").ravel().astype(np.int64)
+
+
+def _sharing(x: _Block, y: _Block, apart: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Pairs of rows of two blocks (of one, each pair once) that share a band
+    and differ in at most ``apart`` signs, each pair at its first band."""
+    for band in range(x.keys.shape[1]):
+        ox = np.argsort(x.keys[:, band], kind="stable")
+        kx = x.keys[ox, band]
+        if x is y:
+            oy, first, last = ox, np.arange(1, len(kx) + 1), np.searchsorted(kx, kx, "right")
+        else:
+            oy = np.argsort(y.keys[:, band], kind="stable")
+            ky = y.keys[oy, band]
+            first, last = np.searchsorted(ky, kx, "left"), np.searchsorted(ky, kx, "right")
+        n = last - first
+        ends = np.cumsum(n)
+        for k in range(0, int(ends[-1]) if len(ends) else 0, PAIRS):   # as many at a time, also of one row
+            pair = np.arange(k, min(k + PAIRS, int(ends[-1])))
+            left = np.searchsorted(ends, pair, "right")
+            a, b = ox[left], oy[first[left] + pair - (ends[left] - n[left])]
+            ok = np.bitwise_count(x.signs[a] ^ y.signs[b]).sum(axis=1) <= apart
+            ok &= x.ids[a] != y.ids[b]
+            a, b = a[ok], b[ok]
+            new = ~(x.keys[a, :band] == y.keys[b, :band]).any(axis=1)
+            if new.any():
+                yield a[new], b[new]
+
+
+def _cosines(x: _Block, y: _Block, a: np.ndarray, b: np.ndarray, idf: np.ndarray) -> np.ndarray:
+    """The cosine of each pair of rows, ``a`` ascending."""
+    out, wide = np.empty(len(a)), np.zeros(len(idf))
+    cuts = np.flatnonzero(np.diff(a, prepend=-1, append=-1))
+    for s, e in zip(cuts[:-1], cuts[1:]):
+        own = slice(x.at[a[s]], x.at[a[s] + 1])
+        i, weight = x.idx[own], idf[x.idx[own]].astype(np.float64)
+        wide[i] = x.tf[own] * weight / x.norms[a[s]] * weight
+        size = y.at[b[s:e] + 1] - y.at[b[s:e]]
+        part = np.cumsum(size) // GATHERED
+        for p in np.unique(part):
+            some = s + np.flatnonzero(part == p)
+            length = y.at[b[some] + 1] - y.at[b[some]]
+            start = np.cumsum(length) - length
+            take = np.repeat(y.at[b[some]] - start, length) + np.arange(length.sum())
+            out[some] = np.add.reduceat(wide[y.idx[take]] * y.tf[take], start) / y.norms[b[some]]
+        wide[i] = 0
+    return out
 
 
 def similar_vector_pairs(reps: DataFrame, idf: Broadcast, eps: float, recall: float = RECALL, bits: int = BITS,
-                         tile_rows: int = TILE_ROWS) -> DataFrame:
+                         block_rows: int = BLOCK_ROWS) -> DataFrame:
     """D7, approximate: (id_a, id_b, day, dist) with dist <= eps, of different
     vectors of a day.  Every pair is checked; see ``choose_bands`` for those
-    that may be missed."""
-    buckets = _buckets(bands_of(reps, idf, choose_bands(eps, recall, bits), bits), tile_rows)
-    return _cosines(_met(buckets), _tiles(buckets), reps, idf).where(F.col("dist") <= F.lit(eps + 1e-12))
+    that may be missed.
+
+    The rows of a day go in compressed blocks, each pair of blocks to one task,
+    which compares bands, signs and vectors there: a pair is a row only when it
+    is near, and a vector is sent once for every block of its day."""
+    n_bands = choose_bands(eps, recall, bits)
+    apart = most_signs_apart(eps, n_bands * bits)
+
+    def run(left: pa.Table, right: pa.Table) -> pa.Table:
+        x = _Block(left, n_bands, bits)
+        y = _Block(right, n_bands, bits) if right.num_rows else x
+        near: list[tuple[np.ndarray, ...]] = []
+
+        def check(some: list[tuple[np.ndarray, np.ndarray]]) -> None:
+            a, b = (np.concatenate(c) for c in zip(*some))
+            order = np.argsort(a, kind="stable")
+            a, b = a[order], b[order]
+            dist = 1.0 - _cosines(x, y, a, b, idf.value)
+            ok = dist <= eps + 1e-12
+            near.append((x.ids[a[ok]], y.ids[b[ok]], dist[ok]))
+
+        some, n = [], 0
+        if left.num_rows and (right.num_rows or left.column("i")[0] == left.column("j")[0]):
+            for a, b in _sharing(x, y, apart):
+                some.append((a, b))
+                n += len(a)
+                if n >= PAIRS:
+                    check(some)
+                    some, n = [], 0
+            if some:
+                check(some)
+        p, q, d = (np.concatenate(c) for c in zip(*near)) if near else (np.zeros(0, np.int64),) * 2 + (np.zeros(0),)
+        day = pa.array([left.column("day")[0].as_py()] * len(p) if len(p) else [], pa.string())
+        return pa.table([pa.array(np.minimum(p, q)), pa.array(np.maximum(p, q)), day, pa.array(d)],
+                        names=["id_a", "id_b", "day", "dist"])
+
+    packed = _packed(reps, idf, n_bands * bits, block_rows)
+    every = F.sequence(F.lit(0), F.col("blocks") - 1)
+    wide = ["ids", "norms", "signs", "words"]
+    # blocks i <= j of a day meet in one place; a block meets itself on one side only
+    left = packed.select("day", F.col("block").alias("i"), F.explode(
+        F.filter(every, lambda j: j >= F.col("block"))).alias("j"), *wide)
+    right = packed.select(F.col("day").alias("d"), F.explode(F.filter(every, lambda i: i < F.col("block"))).alias("p"),
+                          F.col("block").alias("q"), *[F.col(c).alias(c) for c in wide])   # columns of its own
+    return left.groupBy("day", "i", "j").cogroup(right.groupBy("d", "p", "q")).applyInArrow(
+        run, "id_a long, id_b long, day string, dist double")
 
 
 def similar_texts(df: DataFrame, eps: float, text_col: str = "text", id_col: str = "article_id",

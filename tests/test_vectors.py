@@ -1,4 +1,5 @@
 import math
+import random
 import re
 from collections import Counter, defaultdict
 
@@ -149,3 +150,70 @@ def test_a_vector_is_sent_once_to_a_pair_of_homes(spark):
     twice = vectors.similar_vector_pairs(counted.unionByName(counted.where("id = 3")), idf, 0.9, recall=0.9999, bits=4)
     n = {(r.id_a, r.id_b): r["count"] for r in twice.groupBy("id_a", "id_b").count().collect()}
     assert n == {p: 2 if 3 in p else 1 for p in got}
+
+
+def test_blocks_find_the_pairs_that_share_a_band(spark):
+    """The rows' definition (a shared band, then the distance) against blocks of
+    any size; few bands, so that near pairs are missed too."""
+    rng = random.Random(3)
+    rows = []
+    for i in range(90):
+        w = [f"g{i % 5}w{k}" for k in range(25)] + ["the"] * (300 if i == 7 else i % 3)
+        for _ in range(rng.randrange(12)):
+            w[rng.randrange(25)] = f"e{rng.randrange(30)}"
+        rows.append((i, f"d{i % 2}", " ".join(w)))
+    rows += [(200, None, rows[0][2]), (201, "d0", None), (202, "d0", "")] + rows[::11]     # some rows twice
+    df = spark.createDataFrame(rows, "article_id long, datetime string, text string")
+    counted = vectors.word_counts(df)
+    idf = vectors._idf(counted, vectors.N_FEATURES)
+    eps, recall, bits = 0.4, 0.4, 8
+    bands = vectors.bands_of(counted, idf, vectors.choose_bands(eps, recall, bits), bits)
+    shared = {tuple(r) for r in vectors._candidates(bands, 512).collect()}
+    vec = {r.id: dict(zip(r.idx, r.w)) for r in vectors.tfidf_vectors(df).collect()}
+    times, day = Counter(i for i, _, _ in rows), {i: d for i, d, _ in rows}
+    near = brute_pairs(vec, {i: d for i, d in day.items() if d}, eps)
+    want = {p: times[p[0]] * times[p[1]] for p in near & shared}
+    assert 50 < len(want) < len(near) and len(shared - near) > 20
+    for block_rows in (1 << 16, 20, 1):
+        out = vectors.similar_vector_pairs(counted, idf, eps, recall, bits, block_rows).collect()
+        assert Counter((r.id_a, r.id_b) for r in out) == want
+        for r in out:
+            dot = sum(x * vec[r.id_b].get(b, 0) for b, x in vec[r.id_a].items())
+            assert r.day == day[r.id_a] and r.dist == pytest.approx(1 - dot, abs=1e-9)
+
+
+def test_what_is_dealt_of_a_vector_is_small(spark):
+    """Two to three bytes a word and the signs, each row once for every block of
+    its day, however many candidates it has."""
+    rng = random.Random(8)
+    rows = [(i, "d", " ".join(f"w{rng.randrange(5000)}" for _ in range(400))) for i in range(300)]
+    df = spark.createDataFrame(rows, "article_id long, datetime string, text string")
+    counted = vectors.word_counts(df)
+    idf = vectors._idf(counted, vectors.N_FEATURES)
+    words = counted.select(F.sum(F.size("idx"))).first()[0]
+    for block_rows, blocks in ((1000, 1), (100, 3)):
+        packed = vectors._packed(counted, idf, 1300, block_rows)
+        assert {r.blocks for r in packed.collect()} == {blocks}
+        size = packed.select(F.sum(sum(F.octet_length(c) for c in ("ids", "norms", "signs", "words")))).first()[0]
+        assert size < 2.5 * words + 300 * (1300 // 8 + 20)
+    assert vectors.similar_vector_pairs(counted, idf, 0.1, block_rows=100).count() == 0
+
+
+def test_signs_apart_bound_holds():
+    n = 1300
+    most, p = vectors.most_signs_apart(0.1, n), math.acos(0.9) / math.pi
+    tail = sum(math.exp(math.lgamma(n + 1) - math.lgamma(k + 1) - math.lgamma(n - k + 1) + k * math.log(p)
+                        + (n - k) * math.log(1 - p)) for k in range(most + 1, n + 1))
+    assert p * n < most < n / 3 and tail <= 2.0 ** -64
+    assert vectors.most_signs_apart(0.9, 16) == 16 and vectors.most_signs_apart(0.0, n) < 20
+
+
+def test_collapse_keeps_rows_of_ids_that_stand_alone_too(spark):
+    rows = [(1, "d", "a b"), (2, "d", "a b"), (3, "d", "A, b"), (3, "e", "c d"), (4, "d", None), (4, "d", "a b"),
+            (5, None, "a b"), (None, "d", "x")]
+    df = spark.createDataFrame(rows, "article_id long, datetime string, text string")
+    reps, copies = vectors.collapse_equal(vectors.word_counts(df))
+    assert sorted(tuple(r) for r in copies.collect()) == [(2, 1), (3, 1), (4, 1)]
+    assert sorted(r.id for r in reps.collect()) == [1, 3, 3, 4, 4, 5]
+    # the words are not dealt by id
+    assert "Exchange hashpartitioning" not in reps._jdf.queryExecution().executedPlan().toString()
