@@ -51,7 +51,7 @@ BLOCK_ROWS = 1 << 16
 #: Rows packed together, and words held meanwhile.
 PACKED_ROWS, PACKED_WORDS = 512, 1 << 21
 #: Pairs, and words of their vectors, that a task holds at a time.
-PAIRS, GATHERED = 1 << 17, 1 << 20
+PAIRS, GATHERED = 1 << 16, 1 << 19
 
 VECTOR = "idx array<int>, w array<double>"
 
@@ -322,11 +322,12 @@ class _Block:
             whole = np.cumsum(gaps, dtype=np.int64)          # buckets begin at gap - 1 in each row
             start = np.cumsum(many) - many
             idx.append((whole - np.repeat(whole[start] - gaps[start], many) - 1).astype(np.int32))
-            tf.append(counts.astype(np.uint16) if counts.max(initial=0) < 1 << 16 else counts.astype(np.int32))
+            tf.append(counts.astype(np.min_scalar_type(counts.max(initial=0))))
             lengths.append(many)
         self.at = np.concatenate([[0], np.cumsum(np.concatenate([*lengths, np.zeros(0, np.int64)]))]).astype(np.int64)
         self.idx = np.concatenate([*idx, np.zeros(0, np.int32)])
-        self.tf = np.concatenate([*tf, np.zeros(0, np.uint16)])
+        del idx                                              # as large as all of it
+        self.tf = np.concatenate([*tf, np.zeros(0, np.uint8)])
 
 
 def _numbers(planes: bytes) -> np.ndarray:
